@@ -65,3 +65,55 @@ def q_login(spark, sf_dir):
 @query("user_login_window_1d")
 def q_login_1d(spark, sf_dir):
     return windows.login_window(retail.page_log(_t(spark, sf_dir)), "1 day")
+
+
+# -- fact layer (change feed -> DWD facts) -----------------------------------
+
+from ..operators import facts  # noqa: E402
+
+DETAIL_FEEDS = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+
+
+def _detail(t):
+    return facts.order_detail_fact(retail.ods(t, DETAIL_FEEDS))
+
+
+@query("cart_add_fact")
+def q_cart_add(spark, sf_dir):
+    return facts.cart_add_fact(retail.ods(_t(spark, sf_dir), ["cart_info"]))
+
+
+@query("order_detail_fact")
+def q_order_detail(spark, sf_dir):
+    return _detail(_t(spark, sf_dir))
+
+
+@query("order_cancel_fact")
+def q_order_cancel(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return facts.order_cancel_fact(_detail(t), retail.ods(t, ["order_info"]))
+
+
+@query("payment_fact")
+def q_payment(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return facts.payment_fact(_detail(t), retail.ods(t, ["refund_payment"]), retail.base_dic(spark))
+
+
+@query("payment_fact_interval")
+def q_payment_interval(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return facts.payment_fact(_detail(t), retail.ods(t, ["refund_payment"]), retail.base_dic(spark),
+                              interval=("30 minutes", "5 seconds"))
+
+
+@query("refund_fact")
+def q_refund(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return facts.refund_fact(retail.ods(t, ["order_refund_info", "order_info"]), retail.base_dic(spark))
+
+
+@query("comment_fact")
+def q_comment(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return facts.comment_fact(retail.ods(t, ["comment_info"]), retail.base_dic(spark))

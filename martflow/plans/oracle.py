@@ -142,3 +142,166 @@ SELECT {win_cols('any_ms', size_ms)}, back_ct, uu_ct FROM g WHERE uu_ct <> 0 OR
 
 register("user_login_window", _login(3 * 3_600_000))
 register("user_login_window_1d", _login(86_400_000))
+
+
+# -- fact layer ---------------------------------------------------------------
+
+def ms(col: str) -> str:
+    """Epoch milliseconds of a timestamp column (truncating, like Spark)."""
+    return f"(epoch_us({col}) // 1000)"
+
+
+def vc(expr: str) -> str:
+    return f"CAST({expr} AS VARCHAR)"
+
+
+def d2(expr: str) -> str:
+    return f"CAST({expr} AS DECIMAL(16,2))"
+
+
+BASE_DIC_SQL = """
+base_dic AS (
+  SELECT * FROM (VALUES
+    ('1101', 'alipay'), ('1102', 'wechat'), ('1103', 'unionpay'),
+    ('1201', 'good'), ('1202', 'medium'), ('1203', 'bad'),
+    ('1301', 'quality issue'), ('1302', 'wrong size'), ('1303', 'other reason'),
+    ('1501', 'refund only'), ('1502', 'return and refund')) AS d(dic_code, dic_name)
+)"""
+
+DID = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
+
+ORDER_DETAIL = f"""
+lines AS (
+  SELECT l.*, o.o_custkey, o.o_orderdate, p.p_name, p.p_retailprice
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+),
+od_ranked AS (
+  SELECT {DID} AS id, {vc('l_orderkey')} AS order_id, {vc('l_partkey')} AS sku_id, p_name AS sku_name,
+         {vc(ms('o_orderdate'))} AS create_time, {ms('o_orderdate')} AS create_ms,
+         {vc(d2('l_quantity'))} AS sku_num,
+         {vc(f"{d2('l_quantity')} * {d2('p_retailprice')}")} AS split_original_amount,
+         {vc(f"{d2('l_extendedprice')} * {d2('l_discount')}")} AS split_activity_amount,
+         {vc(f"{d2('l_extendedprice')} * {d2('l_tax')}")} AS split_coupon_amount,
+         {vc(f"{d2('l_extendedprice')} - {d2('l_extendedprice')} * {d2('l_discount')} - {d2('l_extendedprice')} * {d2('l_tax')}")} AS split_total_amount,
+         {ms('l_shipdate')} AS ts_ms,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                            ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC,
+                                     l_quantity DESC, l_discount DESC, l_tax DESC) AS rn
+  FROM lines
+),
+act AS (
+  SELECT DISTINCT {DID} AS aid, {vc('l_linenumber + 100')} AS activity_id,
+         {vc('l_linenumber * 10 + 1')} AS activity_rule_id
+  FROM lineitem WHERE l_discount >= 0.05
+),
+cou AS (
+  SELECT DISTINCT {DID} AS cid, {vc('l_linenumber + 200')} AS coupon_id FROM lineitem WHERE l_tax >= 0.05
+),
+oi AS (
+  SELECT {vc('o_orderkey')} AS oid, {vc('o_custkey')} AS user_id, {vc('c_nationkey')} AS province_id,
+         o_orderstatus, o_orderdate, o_orderkey, o_totalprice
+  FROM orders JOIN customer ON o_custkey = c_custkey
+),
+detail AS (
+  SELECT id, order_id, user_id, sku_id, sku_name, province_id, activity_id, activity_rule_id, coupon_id,
+         strftime(epoch_ms(create_ms), '%Y-%m-%d') AS date_id, create_time, create_ms, sku_num,
+         split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount, ts_ms
+  FROM od_ranked JOIN oi ON order_id = oid
+  LEFT JOIN act ON id = aid LEFT JOIN cou ON id = cid
+  WHERE rn = 1
+)"""
+
+register("order_detail_fact", f"""
+WITH {ORDER_DETAIL}
+SELECT * EXCLUDE (create_ms) FROM detail
+""")
+
+register("order_cancel_fact", f"""
+WITH {ORDER_DETAIL},
+cancel AS (
+  SELECT oid AS c_oid, {ms('o_orderdate')} + 600000 AS cancel_ms FROM oi WHERE o_orderstatus = 'F'
+)
+SELECT id, order_id, user_id, sku_id, sku_name, province_id, activity_id, activity_rule_id, coupon_id,
+       strftime(epoch_ms(cancel_ms), '%Y-%m-%d') AS date_id, {vc('cancel_ms')} AS cancel_time, sku_num,
+       split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount,
+       cancel_ms AS ts_ms
+FROM detail JOIN cancel ON order_id = c_oid
+""")
+
+
+def _payment(interval: bool) -> str:
+    cond = ""
+    if interval:
+        cond = ("AND detail.create_ms >= pay.pay_ms - 30 * 60000 "
+                "AND detail.create_ms <= pay.pay_ms + 5000")
+    return f"""
+WITH {ORDER_DETAIL}, {BASE_DIC_SQL},
+pay AS (
+  SELECT oid AS p_oid, {vc('1101 + o_orderkey % 3')} AS payment_type_code,
+         {ms('o_orderdate')} + (o_orderkey % 60 - 10) * 60000 AS pay_ms
+  FROM oi WHERE o_orderstatus = 'F'
+)
+SELECT id AS order_detail_id, order_id, user_id, sku_id, sku_name, province_id, activity_id, activity_rule_id,
+       coupon_id, payment_type_code, dic_name AS payment_type_name, {vc('pay_ms')} AS callback_time, sku_num,
+       split_original_amount, split_activity_amount, split_coupon_amount,
+       split_total_amount AS split_payment_amount, pay_ms AS ts_ms
+FROM pay JOIN detail ON detail.order_id = pay.p_oid {cond}
+JOIN base_dic ON payment_type_code = dic_code
+"""
+
+
+register("payment_fact", _payment(False))
+register("payment_fact_interval", _payment(True))
+
+register("refund_fact", f"""
+WITH {BASE_DIC_SQL},
+r AS (
+  SELECT l_orderkey, l_linenumber, min(o_custkey) AS custkey, min(l_partkey) AS partkey,
+         sum(l_quantity) AS qty, max(l_extendedprice) AS price, max(l_shipdate) AS shipdate
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE l_returnflag = 'R' GROUP BY l_orderkey, l_linenumber
+),
+oi AS (
+  SELECT {vc('o_orderkey')} AS oid, {vc('c_nationkey')} AS province_id
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'O'
+),
+ri AS (
+  SELECT {DID} AS id, {vc('custkey')} AS user_id, {vc('l_orderkey')} AS order_id, {vc('partkey')} AS sku_id,
+         {vc('1501 + l_linenumber % 2')} AS refund_type_code, {vc('CAST(qty AS BIGINT)')} AS refund_num,
+         {vc(d2('price'))} AS refund_amount, {vc('1301 + partkey % 3')} AS refund_reason_type_code,
+         'reason for line ' || {DID} AS refund_reason_txt, {ms('shipdate')} AS create_ms
+  FROM r
+)
+SELECT id, user_id, order_id, sku_id, province_id, strftime(epoch_ms(create_ms), '%Y-%m-%d') AS date_id,
+       {vc('create_ms')} AS create_time, refund_type_code, d1.dic_name AS refund_type_name,
+       refund_reason_type_code, d2.dic_name AS refund_reason_type_name, refund_reason_txt, refund_num,
+       refund_amount, create_ms AS ts_ms
+FROM ri JOIN oi ON order_id = oid
+JOIN base_dic d1 ON refund_type_code = d1.dic_code
+JOIN base_dic d2 ON refund_reason_type_code = d2.dic_code
+""")
+
+register("comment_fact", f"""
+WITH {BASE_DIC_SQL}
+SELECT {vc('event_id')} AS id, {vc('user_id')} AS user_id, json_extract_string(props, '$.k') AS sku_id,
+       {vc('1201 + event_id % 4')} AS appraise, dic_name AS appraise_name,
+       'comment ' || {vc('event_id')} AS comment_txt, {ms('ts')} AS ts_ms
+FROM events JOIN base_dic ON {vc('1201 + event_id % 4')} = dic_code
+WHERE event_type = 'view'
+""")
+
+register("cart_add_fact", f"""
+WITH c AS (
+  SELECT event_id, user_id, ts, json_extract_string(props, '$.k') AS sku_id,
+         CASE WHEN event_id % 2 = 0 THEN 'c' ELSE 'u' END AS op,
+         CASE WHEN event_id % 2 = 0 OR event_id % 11 = 0 THEN NULL ELSE {vc('event_id % 5')} END AS old_num,
+         {vc('event_id % 7 + 1')} AS sku_num
+  FROM events WHERE event_type = 'purchase'
+)
+SELECT {vc('event_id')} AS id, {vc('user_id')} AS user_id, sku_id,
+       CASE WHEN op = 'c' THEN sku_num ELSE {vc('TRY_CAST(sku_num AS INTEGER) - TRY_CAST(old_num AS INTEGER)')} END AS sku_num,
+       {ms('ts')} AS ts
+FROM c
+WHERE op = 'c' OR (op = 'u' AND old_num IS NOT NULL AND TRY_CAST(sku_num AS INTEGER) > TRY_CAST(old_num AS INTEGER))
+""")

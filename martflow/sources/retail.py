@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_ms
+from .cdc import envelope, explode_envelopes, text_map
 from .tables import Tables, ts_col
 
 
@@ -54,3 +55,223 @@ def page_log(t: Tables) -> DataFrame:
         F.when(et == "click", F.lit("keyword")).alias("item_type"),
         F.round(e.value * 1000).cast("bigint").alias("during_time"),
     )
+
+
+# --------------------------------------------------------------------------
+# change feed of the shop database (ODS topic)
+# --------------------------------------------------------------------------
+
+MINUTE_MS = 60_000
+
+
+def _dec(c, p: int = 16, s: int = 2) -> F.Column:
+    return (F.col(c) if isinstance(c, str) else c).cast(f"decimal({p},{s})")
+
+
+def order_status(code) -> F.Column:
+    """Order states of the shop: P -> 1001 (placed), F -> 1003 (cancelled),
+    O -> 1005 (refunding)."""
+    c = F.col(code)
+    return F.when(c == "P", "1001").when(c == "F", "1003").when(c == "O", "1005")
+
+
+def order_info_feed(t: Tables) -> DataFrame:
+    """order_info changes: an insert per order (status 1001) and, for orders
+    that moved on, an update 1001 -> 1003 (F, 10 min later) or
+    1001 -> 1005 (O, 20 min later)."""
+    o = t.orders.join(t.customer.select("c_custkey", "c_nationkey"),
+                      F.col("o_custkey") == F.col("c_custkey"), "inner")
+    created = epoch_ms("o_orderdate")
+    delay = F.when(F.col("o_orderstatus") == "F", 10 * MINUTE_MS).otherwise(20 * MINUTE_MS)
+    row = lambda status, op_time: text_map({
+        "id": "o_orderkey", "user_id": "o_custkey", "province_id": "c_nationkey",
+        "order_status": status, "create_time": created, "operate_time": op_time,
+        "total_amount": _dec("o_totalprice")})
+    ins = envelope("order_info", "c", row(F.lit("1001"), None), None, created)
+    upd = F.when(F.col("o_orderstatus").isin("F", "O"),
+                 envelope("order_info", "u", row(order_status("o_orderstatus"), created + delay),
+                          row(F.lit("1001"), None), created + delay))
+    return explode_envelopes(o, [ins, upd])
+
+
+def _lines(t: Tables) -> DataFrame:
+    """lineitem with its order's time and customer and the part's name/price."""
+    li = t.lineitem
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    p = t.part.select("p_partkey", "p_name", "p_retailprice")
+    return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+              .join(p, li.l_partkey == p.p_partkey, "left"))
+
+
+def detail_id() -> F.Column:
+    return F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"))
+
+
+def order_detail_feed(t: Tables) -> DataFrame:
+    """order_detail inserts, one per lineitem row. (orderkey, linenumber)
+    repeats on purpose: a repeated id is a replayed record."""
+    li = _lines(t)
+    original = _dec("l_extendedprice")
+    activity = original * _dec("l_discount")
+    coupon = original * _dec("l_tax")
+    after = text_map({
+        "id": detail_id(), "order_id": "l_orderkey", "sku_id": "l_partkey", "sku_name": "p_name",
+        "create_time": epoch_ms("o_orderdate"), "source_id": "l_suppkey", "source_type": F.lit("2401"),
+        "sku_num": _dec("l_quantity"), "order_price": _dec("p_retailprice"),
+        "split_original_amount": original,
+        "split_activity_amount": activity, "split_coupon_amount": coupon,
+        "split_total_amount": original - activity - coupon})
+    return explode_envelopes(li, [envelope("order_detail", "c", after, None, epoch_ms("l_shipdate"))])
+
+
+def order_detail_activity_feed(t: Tables) -> DataFrame:
+    """Activity attached to a detail line: lines with discount >= 0.05."""
+    li = (t.lineitem.where(F.col("l_discount") >= 0.05)
+          .groupBy("l_orderkey", "l_linenumber").agg(F.min("l_shipdate").alias("l_shipdate")))
+    after = text_map({"order_detail_id": detail_id(), "activity_id": F.col("l_linenumber") + 100,
+                      "activity_rule_id": F.col("l_linenumber") * 10 + 1})
+    return explode_envelopes(li, [envelope("order_detail_activity", "c", after, None, epoch_ms("l_shipdate"))])
+
+
+def order_detail_coupon_feed(t: Tables) -> DataFrame:
+    """Coupon attached to a detail line: lines with tax >= 0.05."""
+    li = (t.lineitem.where(F.col("l_tax") >= 0.05)
+          .groupBy("l_orderkey", "l_linenumber").agg(F.min("l_shipdate").alias("l_shipdate")))
+    after = text_map({"order_detail_id": detail_id(), "coupon_id": F.col("l_linenumber") + 200})
+    return explode_envelopes(li, [envelope("order_detail_coupon", "c", after, None, epoch_ms("l_shipdate"))])
+
+
+def cart_info_feed(t: Tables) -> DataFrame:
+    """cart_info changes from purchase events: even ids insert, odd ids update
+    an existing cart line (old quantity missing for some updates)."""
+    e = t.events.where(F.col("event_type") == "purchase")
+    is_c = e.event_id % 2 == 0
+    old = F.when(is_c | (e.event_id % 11 == 0), F.lit(None)).otherwise(_s(e.event_id % 5))
+    new = _s(e.event_id % 7 + 1)
+    sku = F.get_json_object("props", "$.k")
+    row = lambda n: text_map({"id": "event_id", "user_id": "user_id", "sku_id": sku, "sku_num": n})
+    rec = F.when(is_c, envelope("cart_info", "c", row(new), None, epoch_ms("ts"))) \
+           .otherwise(envelope("cart_info", "u", row(new), row(old), epoch_ms("ts")))
+    return explode_envelopes(e, [rec])
+
+
+def payment_time_ms() -> F.Column:
+    """Payment callback time: order date shifted by (orderkey % 60 - 10) minutes."""
+    return epoch_ms("o_orderdate") + ((F.col("o_orderkey") % 60) - 10) * MINUTE_MS
+
+
+def refund_payment_feed(t: Tables) -> DataFrame:
+    """refund_payment status updates 1601 -> 1602 for the cancelled orders."""
+    o = t.orders.where(F.col("o_orderstatus") == "F")
+    et = payment_time_ms()
+    row = lambda st: text_map({
+        "id": "o_orderkey", "order_id": "o_orderkey",
+        "payment_type": F.lit(1101) + F.col("o_orderkey") % 3,
+        "callback_time": et, "total_amount": _dec("o_totalprice"), "refund_status": st})
+    return explode_envelopes(o, [envelope("refund_payment", "u", row(F.lit("1602")), row(F.lit("1601")), et)])
+
+
+def order_refund_info_feed(t: Tables) -> DataFrame:
+    """order_refund_info snapshot rows: one per detail id with return flag R."""
+    li = (t.lineitem.where(F.col("l_returnflag") == "R")
+          .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+          .groupBy("l_orderkey", "l_linenumber")
+          .agg(F.min("o_custkey").alias("o_custkey"), F.min("l_partkey").alias("l_partkey"),
+               F.sum("l_quantity").alias("l_quantity"), F.max("l_extendedprice").alias("l_extendedprice"),
+               F.max("l_shipdate").alias("l_shipdate")))
+    created = epoch_ms("l_shipdate")
+    after = text_map({
+        "id": detail_id(), "user_id": "o_custkey", "order_id": "l_orderkey", "sku_id": "l_partkey",
+        "refund_type": F.lit(1501) + F.col("l_linenumber") % 2,
+        "refund_num": F.col("l_quantity").cast("bigint"),
+        "refund_amount": _dec("l_extendedprice"),
+        "refund_reason_type": F.lit(1301) + F.col("l_partkey") % 3,
+        "refund_reason_txt": F.concat(F.lit("reason for line "), detail_id()),
+        "create_time": created, "refund_status": F.lit("0701")})
+    return explode_envelopes(li, [envelope("order_refund_info", "r", after, None, created)])
+
+
+def comment_info_feed(t: Tables) -> DataFrame:
+    """comment_info snapshot rows from view events; appraise 1201..1204."""
+    e = t.events.where(F.col("event_type") == "view")
+    after = text_map({"id": "event_id", "user_id": "user_id", "sku_id": F.get_json_object("props", "$.k"),
+                      "appraise": F.lit(1201) + F.col("event_id") % 4,
+                      "comment_txt": F.concat(F.lit("comment "), _s("event_id")),
+                      "create_time": epoch_ms("ts")})
+    return explode_envelopes(e, [envelope("comment_info", "r", after, None, epoch_ms("ts"))])
+
+
+FEEDS = {
+    "order_info": order_info_feed,
+    "order_detail": order_detail_feed,
+    "order_detail_activity": order_detail_activity_feed,
+    "order_detail_coupon": order_detail_coupon_feed,
+    "cart_info": cart_info_feed,
+    "refund_payment": refund_payment_feed,
+    "order_refund_info": order_refund_info_feed,
+    "comment_info": comment_info_feed,
+}
+
+
+def ods(t: Tables, tables=None) -> DataFrame:
+    """The whole change feed (all source tables in one DataFrame, like the
+    single ODS topic). ``tables`` restricts it to the source tables a job
+    reads -- the same as the job's ``source.table`` filter, applied at the
+    source so unrelated tables are never scanned."""
+    names = list(FEEDS) if tables is None else list(tables)
+    out = None
+    for n in names:
+        d = FEEDS[n](t)
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+# --------------------------------------------------------------------------
+# dimensions and dictionary
+# --------------------------------------------------------------------------
+
+# The dictionary (dic_code, dic_name, parent_code) of payment
+# types, appraisals, refund types and refund reasons. Appraisal 1204 is
+# deliberately absent, so the inner dictionary lookup drops those comments.
+BASE_DIC = [
+    ("1101", "alipay", "11"), ("1102", "wechat", "11"), ("1103", "unionpay", "11"),
+    ("1201", "good", "12"), ("1202", "medium", "12"), ("1203", "bad", "12"),
+    ("1301", "quality issue", "13"), ("1302", "wrong size", "13"), ("1303", "other reason", "13"),
+    ("1501", "refund only", "15"), ("1502", "return and refund", "15"),
+]
+
+
+def base_dic(spark) -> DataFrame:
+    """Dictionary lookup table as stored: row key ``dic_code`` and a column
+    family ``info`` holding ``dic_name`` (S10)."""
+    return spark.createDataFrame(
+        BASE_DIC, "dic_code string, dic_name string, parent_code string"
+    ).select("dic_code", F.struct("dic_name", "parent_code").alias("info"))
+
+
+def province_dim(t: Tables) -> DataFrame:
+    """dim_base_province: id, name (from nation)."""
+    return t.nation.select(_s("n_nationkey").alias("id"), F.col("n_name").alias("name"),
+                           _s("n_regionkey").alias("region_id"))
+
+
+def sku_dims(t: Tables) -> dict[str, DataFrame]:
+    """The SKU snowflake: sku -> spu -> trademark, sku -> category3 ->
+    category2 -> category1, derived from part / region. spu = part name,
+    trademark = brand, category3 = type, category2 = size band, category1 =
+    region of the size band."""
+    p = t.part
+    sku = p.select(_s("p_partkey").alias("id"), F.col("p_name").alias("sku_name"),
+                   F.col("p_name").alias("spu_id"), F.col("p_type").alias("category3_id"),
+                   F.col("p_brand").alias("tm_id"))
+    spu = p.select(F.col("p_name").alias("id"), F.col("p_name").alias("spu_name")).distinct()
+    tm = p.select(F.col("p_brand").alias("id"), F.col("p_brand").alias("tm_name")).distinct()
+    c3 = p.select(F.col("p_type").alias("id"), F.lower("p_type").alias("name"),
+                  F.concat(F.lit("size"), _s(F.col("p_size") % 5)).alias("category2_id")) \
+          .groupBy("id", "name").agg(F.min("category2_id").alias("category2_id"))
+    r = t.region
+    c2 = (r.select(F.concat(F.lit("size"), _s("r_regionkey")).alias("id"),
+                   F.concat(F.lit("size band "), _s("r_regionkey")).alias("name"),
+                   _s("r_regionkey").alias("category1_id")))
+    c1 = r.select(_s("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    return {"sku": sku, "spu": spu, "trademark": tm, "category3": c3, "category2": c2, "category1": c1}
