@@ -51,32 +51,28 @@ ORDER_DETAIL_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "provinc
                      "split_total_amount", "ts_ms"]
 
 
-def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
-    """J1 + J2: order detail inserts joined to their order (inner) and to the
-    detail's activity and coupon (left outer). ``split_original_amount`` is
-    ``sku_num * order_price`` in decimal(16,2) arithmetic. ``date_id`` is
-    the date of ``create_time`` (Q7: epoch-ms text is read as a time).
-
-    Plan: the detail rows are reduced to their last version per id first (an
-    aggregate hash-partitioned by id); activity and coupon are keyed by the
-    same id, so both left joins reuse that partitioning; only the order join
-    re-shuffles, on order_id.
-    """
+def _detail_rows(ods: DataFrame, order: Sequence[Column] | None) -> DataFrame:
+    """order_detail inserts projected to fact columns, plus the replay order
+    as a struct ``replay_order``. ``split_original_amount`` is
+    ``sku_num * order_price`` in decimal(16,2) arithmetic."""
     od = cdc.select_changes(ods, "order_detail", "c").where(F.col("ts_ms").isNotNull())
     a = F.col("after")
-    od = od.select(
+    return od.select(
         a["id"].alias("id"), a["order_id"].alias("order_id"), a["sku_id"].alias("sku_id"),
         a["sku_name"].alias("sku_name"), a["create_time"].alias("create_time"),
-        a["source_id"].alias("source_id"), a["sku_num"].alias("sku_num"),
+        a["sku_num"].alias("sku_num"),
         (a["sku_num"].cast("decimal(16,2)") * a["order_price"].cast("decimal(16,2)")).cast("string")
         .alias("split_original_amount"),
         a["split_total_amount"].alias("split_total_amount"),
         a["split_activity_amount"].alias("split_activity_amount"),
         a["split_coupon_amount"].alias("split_coupon_amount"),
-        F.col("ts_ms"), *[c.alias(f"__k{i}") for i, c in enumerate(order or detail_order())])
-    keys = [c for c in od.columns if c.startswith("__k")]
-    od = state.keep_latest(od, "id", [F.col(k) for k in keys]).drop(*keys)
+        F.col("ts_ms"),
+        F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order or detail_order())]).alias("replay_order"))
+
 
+def _attach_orders(od: DataFrame, ods: DataFrame) -> DataFrame:
+    """J1 + J2: join detail rows to their order (inner) and to the detail's
+    activity and coupon (left outer), add ``date_id`` (Q7)."""
     oi = cdc.project(cdc.select_changes(ods, "order_info", "c"),
                      {"__oid": "id", "user_id": "user_id", "province_id": "province_id"})
     # One order_info insert per order id; keep the last if the feed replays it.
@@ -90,7 +86,29 @@ def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None) ->
     j = (od.join(act, F.col("id") == F.col("__aid"), "left")
            .join(cou, F.col("id") == F.col("__cid"), "left")
            .join(oi, F.col("order_id") == F.col("__oid"), "inner"))
-    return j.withColumn("date_id", flexible_date("create_time")).select(*ORDER_DETAIL_COLS)
+    return j.withColumn("date_id", flexible_date("create_time"))
+
+
+def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
+    """J1 + J2 as an upsert table: the last version of every order detail,
+    joined to its order (inner) and to its activity and coupon (left).
+    ``date_id`` is the date of ``create_time`` (Q7: epoch-ms text is read as
+    a time).
+
+    Plan: detail rows are reduced to their last version per id first (an
+    aggregate hash-partitioned by id); activity and coupon are keyed by the
+    same id, so both left joins reuse that partitioning; only the order join
+    re-shuffles, on order_id.
+    """
+    od = state.keep_latest(_detail_rows(ods, order), "id", [F.col("replay_order")])
+    return _attach_orders(od, ods).select(*ORDER_DETAIL_COLS)
+
+
+def order_detail_versions(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
+    """The order-detail topic as the DWS jobs read it: every version of
+    every detail (replays included), with ``replay_order`` kept so that
+    downstream dedup (T6/T7) knows which version came last."""
+    return _attach_orders(_detail_rows(ods, order), ods).select(*ORDER_DETAIL_COLS, "replay_order")
 
 
 # --------------------------------------------------------------------------

@@ -153,3 +153,59 @@ def keyword_counts(keywords: DataFrame, size: str = "1 second", ts: str = "et")
     the output has ``stt`` and ``cur_date`` but no ``edt`` (Q20)."""
     g = tumble(keywords, ts, size).groupBy(WIN, "keyword").agg(F.sum("cnt").cast("bigint").alias("keyword_count"))
     return decorate_window(g, with_edt=False)
+
+
+# --------------------------------------------------------------------------
+# Order amounts per SKU and per province
+# --------------------------------------------------------------------------
+
+AMOUNT = "decimal(20,4)"
+SUM_AMOUNT = "decimal(38,4)"
+
+
+def latest_details(versions: DataFrame) -> DataFrame:
+    """T7 in front of the order windows: one row per detail id, its last
+    version (Q15: the batch twin of the retraction dedup -- summing the
+    +/- rows of T6 gives exactly these sums), with event time ``et``."""
+    last = state.keep_latest(versions, "id", [F.col("replay_order")])
+    return last.withColumn("et", F.timestamp_millis(F.col("ts_ms")))
+
+
+def province_window(versions: DataFrame, provinces: DataFrame, size: str = "2 seconds") -> DataFrame:
+    """T6/T7 + A6 + W2 + J6: per window and province, distinct orders and
+    summed order amount, then the province name (looked up after the
+    aggregate, so the lookup touches one row per group)."""
+    from . import dims
+    d = latest_details(versions).select(
+        "et", "province_id", "order_id", F.col("split_total_amount").cast(AMOUNT).alias("amt"))
+    g = (tumble(d, "et", size).groupBy(WIN, "province_id")
+         .agg(F.count_distinct("order_id").cast("bigint").alias("order_count"),
+              F.sum("amt").cast(SUM_AMOUNT).alias("order_amount")))
+    g = dims.with_province(g, provinces)
+    return decorate_window(g).select("stt", "edt", "cur_date", "province_id", "province_name",
+                                     "order_count", "order_amount")
+
+
+SKU_OUT = ["stt", "edt", "cur_date", "trademark_id", "trademark_name", "category1_id", "category1_name",
+           "category2_id", "category2_name", "category3_id", "category3_name", "sku_id", "sku_name",
+           "spu_id", "spu_name", "original_amount", "activity_reduce_amount", "coupon_reduce_amount",
+           "order_amount"]
+
+
+def sku_window(versions: DataFrame, wide_sku: DataFrame, size: str = "10 seconds") -> DataFrame:
+    """T6/T7 + A5 + W1 + J7: four decimal sums per window and SKU, then one
+    left join to the pre-joined wide SKU dimension (Q13: event time; the
+    processing-time variant exists only for streams)."""
+    from . import dims
+    d = latest_details(versions).select(
+        "et", "sku_id",
+        F.col("split_original_amount").cast(AMOUNT).alias("original_amount"),
+        F.col("split_activity_amount").cast(AMOUNT).alias("activity_reduce_amount"),
+        F.col("split_coupon_amount").cast(AMOUNT).alias("coupon_reduce_amount"),
+        F.col("split_total_amount").cast(AMOUNT).alias("order_amount"))
+    g = (tumble(d, "et", size).groupBy(WIN, "sku_id")
+         .agg(*[F.sum(c).cast(SUM_AMOUNT).alias(c) for c in
+                ("original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount")]))
+    g = dims.with_sku(g, wide_sku).withColumnRenamed("tm_id", "trademark_id") \
+            .withColumnRenamed("tm_name", "trademark_name")
+    return decorate_window(g).select(*SKU_OUT)

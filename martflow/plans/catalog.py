@@ -117,3 +117,124 @@ def q_refund(spark, sf_dir):
 def q_comment(spark, sf_dir):
     t = _t(spark, sf_dir)
     return facts.comment_fact(retail.ods(t, ["comment_info"]), retail.base_dic(spark))
+
+
+# -- order windows, dedup ------------------------------------------------------
+
+from ..operators import dims, text  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+AMOUNTS = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
+
+
+def _versions(t):
+    return facts.order_detail_versions(retail.ods(t, DETAIL_FEEDS))
+
+
+def _amounts(df):
+    return df.select("id", "ts_ms", "replay_order", *[F.col(c).cast("decimal(20,4)").alias(c) for c in AMOUNTS])
+
+
+@query("order_dedup_retract")
+def q_retract(spark, sf_dir):
+    v = _amounts(_versions(_t(spark, sf_dir)))
+    return state.retract_duplicates(v, "id", [F.col("replay_order")], AMOUNTS, sign_col="sign") \
+                .drop("replay_order")
+
+
+@query("order_dedup_latest")
+def q_latest(spark, sf_dir):
+    v = _amounts(_versions(_t(spark, sf_dir)))
+    return state.keep_latest(v, "id", [F.col("replay_order")]).drop("replay_order")
+
+
+@query("province_order_window")
+def q_province(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return windows.province_window(_versions(t), retail.province_dim(t), "2 seconds")
+
+
+@query("province_order_window_1d")
+def q_province_1d(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return windows.province_window(_versions(t), retail.province_dim(t), "1 day")
+
+
+@query("sku_order_window")
+def q_sku(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return windows.sku_window(_versions(t), dims.wide_sku_dim(retail.sku_dims(t)), "10 seconds")
+
+
+@query("sku_order_window_1d")
+def q_sku_1d(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return windows.sku_window(_versions(t), dims.wide_sku_dim(retail.sku_dims(t)), "1 day")
+
+
+def _cart_add_et(t):
+    c = facts.cart_add_fact(retail.ods(t, ["cart_info"]))
+    return c.withColumn("et", F.timestamp_millis("ts"))
+
+
+@query("cart_add_uu_window")
+def q_cart_uu(spark, sf_dir):
+    return windows.cart_uu_window(_cart_add_et(_t(spark, sf_dir)), "5 seconds")
+
+
+@query("cart_add_uu_window_1d")
+def q_cart_uu_1d(spark, sf_dir):
+    return windows.cart_uu_window(_cart_add_et(_t(spark, sf_dir)), "1 day")
+
+
+# -- keywords and text -----------------------------------------------------------
+
+def _search_keywords(t):
+    return text.search_keywords(text.search_rows(retail.page_log(t)), t.documents)
+
+
+@query("keyword_window")
+def q_keyword(spark, sf_dir):
+    return windows.keyword_counts(_search_keywords(_t(spark, sf_dir)), "1 second")
+
+
+@query("keyword_window_1d")
+def q_keyword_1d(spark, sf_dir):
+    return windows.keyword_counts(_search_keywords(_t(spark, sf_dir)), "1 day")
+
+
+@query("keyword_tokens")
+def q_keyword_tokens(spark, sf_dir):
+    d = _t(spark, sf_dir).documents
+    return text.explode_keywords(d.select("text"), "text").groupBy("keyword") \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("keyword_count"))
+
+
+# The word list of the membership check.
+WORD_LIST = ["password", "secret", "token", "apikey", "passwd", "private", "ssn", "license"]
+
+
+@query("sensitive_word_flag")
+def q_sensitive(spark, sf_dir):
+    d = _t(spark, sf_dir).documents
+    words = text.explode_keywords(d.select("text"), "text", "word")
+    wl = spark.createDataFrame([(w,) for w in WORD_LIST], "word string")
+    return text.flag_words(words, "word", wl)
+
+
+@query("text_charset_filter")
+def q_charset(spark, sf_dir):
+    d = _t(spark, sf_dir).documents
+    toks = F.regexp_extract_all(F.col("text"), F.lit("[^ \t\n\r\f]+"), 0)
+    from ..functions.strings import CHARSET_PATTERN
+    return d.select("doc_id", F.size(toks).cast("bigint").alias("n_tokens"),
+                    F.size(F.filter(toks, lambda x: x.rlike(CHARSET_PATTERN))).cast("bigint").alias("n_clean"))
+
+
+# Markup of the test pages: title, headline and link texts.
+PAGE_ITEM_PATTERN = r"<(?:title|h1|a)(?: [^>]*)?>([^<]*)</(?:title|h1|a)>"
+
+
+@query("page_titles")
+def q_titles(spark, sf_dir):
+    return text.page_titles(_t(spark, sf_dir).pages, pattern=PAGE_ITEM_PATTERN)

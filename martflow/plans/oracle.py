@@ -305,3 +305,167 @@ SELECT {vc('event_id')} AS id, {vc('user_id')} AS user_id, sku_id,
 FROM c
 WHERE op = 'c' OR (op = 'u' AND old_num IS NOT NULL AND TRY_CAST(sku_num AS INTEGER) > TRY_CAST(old_num AS INTEGER))
 """)
+
+
+# -- order windows, dedup ------------------------------------------------------
+
+AMT = "DECIMAL(20,4)"
+
+
+def _amount_cols(prefix: str = "") -> str:
+    return ", ".join(f"CAST({prefix}{c} AS {AMT}) AS {c}" for c in
+                     ("split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"))
+
+
+register("order_dedup_latest", f"""
+WITH {ORDER_DETAIL}
+SELECT id, ts_ms, {_amount_cols()} FROM od_ranked JOIN oi ON order_id = oid WHERE rn = 1
+""")
+
+register("order_dedup_retract", f"""
+WITH {ORDER_DETAIL},
+v AS (SELECT id, ts_ms, rn, {_amount_cols()} FROM od_ranked JOIN oi ON order_id = oid)
+SELECT id, ts_ms, split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount,
+       1 AS sign FROM v
+UNION ALL
+SELECT id, ts_ms, -split_original_amount, -split_activity_amount, -split_coupon_amount, -split_total_amount,
+       -1 AS sign FROM v WHERE rn > 1
+""")
+
+
+def _province(size_ms: int) -> str:
+    return f"""
+WITH {ORDER_DETAIL},
+g AS (
+  SELECT {win_key('ts_ms', size_ms)} AS wk, min(ts_ms) AS any_ms, province_id,
+         CAST(count(DISTINCT order_id) AS BIGINT) AS order_count,
+         CAST(sum(CAST(split_total_amount AS {AMT})) AS DECIMAL(38,4)) AS order_amount
+  FROM detail GROUP BY 1, province_id
+)
+SELECT {win_cols('any_ms', size_ms)}, province_id, n_name AS province_name, order_count, order_amount
+FROM g LEFT JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR)
+"""
+
+
+register("province_order_window", _province(2_000))
+register("province_order_window_1d", _province(86_400_000))
+
+WIDE_SKU = """
+c3 AS (SELECT p_type AS c3_id, lower(p_type) AS c3_name, min('size' || CAST(p_size % 5 AS VARCHAR)) AS c2_id
+       FROM part GROUP BY p_type),
+wide AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS w_sku_id, p_name AS sku_name, p_name AS spu_id, p_name AS spu_name,
+         p_brand AS trademark_id, p_brand AS trademark_name, c3_id AS category3_id, c3_name AS category3_name,
+         c2_id AS category2_id, 'size band ' || CAST(r.r_regionkey AS VARCHAR) AS category2_name,
+         CAST(r.r_regionkey AS VARCHAR) AS category1_id, r.r_name AS category1_name
+  FROM part LEFT JOIN c3 ON p_type = c3_id
+  LEFT JOIN region r ON c2_id = 'size' || CAST(r.r_regionkey AS VARCHAR)
+)"""
+
+
+def _sku(size_ms: int) -> str:
+    sums = ", ".join(f"CAST(sum(CAST({src} AS {AMT})) AS DECIMAL(38,4)) AS {dst}" for src, dst in [
+        ("split_original_amount", "original_amount"), ("split_activity_amount", "activity_reduce_amount"),
+        ("split_coupon_amount", "coupon_reduce_amount"), ("split_total_amount", "order_amount")])
+    return f"""
+WITH {ORDER_DETAIL}, {WIDE_SKU},
+g AS (
+  SELECT {win_key('ts_ms', size_ms)} AS wk, min(ts_ms) AS any_ms, sku_id, {sums}
+  FROM detail GROUP BY 1, sku_id
+)
+SELECT {win_cols('any_ms', size_ms)}, trademark_id, trademark_name, category1_id, category1_name,
+       category2_id, category2_name, category3_id, category3_name, sku_id, wide.sku_name, spu_id, spu_name,
+       original_amount, activity_reduce_amount, coupon_reduce_amount, order_amount
+FROM g LEFT JOIN wide ON sku_id = w_sku_id
+"""
+
+
+register("sku_order_window", _sku(10_000))
+register("sku_order_window_1d", _sku(86_400_000))
+
+
+def _cart_uu(size_ms: int) -> str:
+    return f"""
+WITH c AS (
+  SELECT event_id, user_id, ts, {ms('ts')} AS ts_ms,
+         CASE WHEN event_id % 2 = 0 THEN 'c' ELSE 'u' END AS op,
+         CASE WHEN event_id % 2 = 0 OR event_id % 11 = 0 THEN NULL ELSE {vc('event_id % 5')} END AS old_num,
+         {vc('event_id % 7 + 1')} AS sku_num
+  FROM events WHERE event_type = 'purchase'
+),
+adds AS (
+  SELECT * FROM c
+  WHERE op = 'c' OR (op = 'u' AND old_num IS NOT NULL AND TRY_CAST(sku_num AS INTEGER) > TRY_CAST(old_num AS INTEGER))
+),
+f AS (
+  SELECT *, lag(strftime(epoch_ms(ts_ms), '%Y-%m-%d')) OVER (PARTITION BY user_id ORDER BY ts_ms, {vc('event_id')}) AS prev_day
+  FROM adds
+),
+g AS (
+  SELECT {win_key('ts_ms', size_ms)} AS wk, min(ts_ms) AS any_ms, CAST(count(*) AS BIGINT) AS cart_add_uu_ct
+  FROM f WHERE prev_day IS DISTINCT FROM strftime(epoch_ms(ts_ms), '%Y-%m-%d') GROUP BY 1
+)
+SELECT {win_cols('any_ms', size_ms)}, cart_add_uu_ct FROM g
+"""
+
+
+register("cart_add_uu_window", _cart_uu(5_000))
+register("cart_add_uu_window_1d", _cart_uu(86_400_000))
+
+
+# -- keywords and text -----------------------------------------------------------
+
+TOKENS = "regexp_extract_all(lower(text), '[a-z0-9]+|[一-龥]+')"
+
+
+def _keyword(size_ms: int) -> str:
+    return f"""
+WITH {PAGE_LOG},
+s AS (SELECT ts_ms, item FROM page_log
+      WHERE last_page_id = 'search' AND item_type = 'keyword' AND item IS NOT NULL),
+tok AS (SELECT CAST(doc_id AS VARCHAR) AS ref, unnest({TOKENS}) AS keyword FROM documents),
+g AS (
+  SELECT {win_key('ts_ms', size_ms)} AS wk, min(ts_ms) AS any_ms, keyword, CAST(count(*) AS BIGINT) AS keyword_count
+  FROM s JOIN tok ON s.item = tok.ref GROUP BY 1, keyword
+)
+SELECT {win_cols('any_ms', size_ms, edt=False)}, keyword, keyword_count FROM g
+"""
+
+
+register("keyword_window", _keyword(1_000))
+register("keyword_window_1d", _keyword(86_400_000))
+
+register("keyword_tokens", f"""
+SELECT keyword, CAST(count(*) AS BIGINT) AS keyword_count
+FROM (SELECT unnest({TOKENS}) AS keyword FROM documents) GROUP BY keyword
+""")
+
+register("sensitive_word_flag", f"""
+WITH w AS (SELECT DISTINCT unnest({TOKENS}) AS word FROM documents),
+l AS (SELECT * FROM (VALUES ('password'), ('secret'), ('token'), ('apikey'), ('passwd'), ('private'),
+                             ('ssn'), ('license')) AS t(lw))
+SELECT word, lw IS NOT NULL AS listed FROM w LEFT JOIN l ON word = lw
+""")
+
+
+def _charset_sql() -> str:
+    from ..functions.strings import CHARSET_PATTERN
+    pat = CHARSET_PATTERN.replace("'", "''")
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(text, '[^ \t\n\r\f]+') AS toks FROM documents)
+SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens,
+       CAST(len(list_filter(toks, lambda x: regexp_matches(x, '{pat}'))) AS BIGINT) AS n_clean
+FROM d
+"""
+
+
+register("text_charset_filter", _charset_sql())
+
+register("page_titles", """
+WITH x AS (
+  SELECT page_id, regexp_extract_all(html, '<(?:title|h1|a)(?: [^>]*)?>([^<]*)</(?:title|h1|a)>', 1) AS items
+  FROM pages
+),
+y AS (SELECT page_id, unnest(generate_series(0, len(items) - 1)) AS pos, unnest(items) AS title FROM x)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, title FROM y WHERE NOT contains(title, '/')
+""")
