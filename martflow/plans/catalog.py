@@ -238,3 +238,56 @@ PAGE_ITEM_PATTERN = r"<(?:title|h1|a)(?: [^>]*)?>([^<]*)</(?:title|h1|a)>"
 @query("page_titles")
 def q_titles(spark, sf_dir):
     return text.page_titles(_t(spark, sf_dir).pages, pattern=PAGE_ITEM_PATTERN)
+
+
+# -- log split -------------------------------------------------------------------
+
+from ..operators import logsplit  # noqa: E402
+from ..sources import applog  # noqa: E402
+
+
+def _split(spark, sf_dir):
+    return logsplit.split_log(applog.app_log_topic(_t(spark, sf_dir)))
+
+
+@query("log_split_page")
+def q_split_page(spark, sf_dir):
+    p = _split(spark, sf_dir)["page"]
+    return p.select(F.col("common.sid").alias("sid"), F.col("common.mid").alias("mid"),
+                    F.col("common.uid").alias("uid"), F.col("common.is_new").alias("is_new"),
+                    "page.page_id", "page.last_page_id", "page.item", "page.during_time", "ts")
+
+
+@query("log_split_start")
+def q_split_start(spark, sf_dir):
+    s = _split(spark, sf_dir)["start"]
+    return s.select(F.col("common.sid").alias("sid"), F.col("common.mid").alias("mid"),
+                    F.col("common.is_new").alias("is_new"), "start.entry", "start.loading_time", "ts")
+
+
+@query("log_split_err")
+def q_split_err(spark, sf_dir):
+    e = _split(spark, sf_dir)["err"]
+    return e.select(F.col("common.sid").alias("sid"), F.col("common.mid").alias("mid"),
+                    F.col("common.is_new").alias("is_new"), "err.error_code", "err.msg",
+                    F.col("start").isNotNull().alias("has_start"), "ts")
+
+
+@query("log_split_display")
+def q_split_display(spark, sf_dir):
+    d = _split(spark, sf_dir)["display"]
+    return d.select(F.col("common.sid").alias("sid"), F.col("common.mid").alias("mid"), "page.page_id",
+                    "display.item", "display.item_type", "display.pos_id", "display.pos_seq", "ts")
+
+
+@query("log_split_action")
+def q_split_action(spark, sf_dir):
+    a = _split(spark, sf_dir)["action"]
+    return a.select(F.col("common.sid").alias("sid"), F.col("common.mid").alias("mid"), "page.page_id",
+                    "action.action_id", "action.item", F.col("action.ts").alias("action_ts"))
+
+
+@query("log_split_dirty")
+def q_split_dirty(spark, sf_dir):
+    d = _split(spark, sf_dir)["dirty"]
+    return d.select(F.regexp_extract("value", '"sid":"([^"]*)"', 1).alias("sid"))

@@ -469,3 +469,68 @@ WITH x AS (
 y AS (SELECT page_id, unnest(generate_series(0, len(items) - 1)) AS pos, unnest(items) AS title FROM x)
 SELECT page_id, CAST(pos AS INTEGER) AS pos, title FROM y WHERE NOT contains(title, '/')
 """)
+
+
+# -- log split -------------------------------------------------------------------
+
+LOGS = f"""
+{PAGE_LOG},
+ev AS (
+  SELECT p.*, e.event_type, e.value, CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k,
+         's_' || CAST(p.event_id AS VARCHAR) AS sid
+  FROM page_log p JOIN events e USING (event_id)
+),
+logs AS (
+  SELECT *, (event_type = 'signup' OR (event_type = 'error' AND k % 2 = 0)) AS is_start,
+         (event_type = 'error' AND value < 1.0) AS dirty
+  FROM ev
+),
+rep AS (
+  SELECT *, first_value(is_new) OVER w AS ff, first_value(ts_ms) OVER w AS fts
+  FROM logs WHERE NOT dirty
+  WINDOW w AS (PARTITION BY mid ORDER BY ts_ms, sid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+fixed AS (
+  SELECT * REPLACE (
+    CASE WHEN is_new = '1' AND
+              (CASE WHEN ff = '1' THEN strftime(epoch_ms(fts), '%Y-%m-%d')
+                    ELSE strftime(CAST(epoch_ms(fts) AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') END)
+              <> strftime(epoch_ms(ts_ms), '%Y-%m-%d')
+         THEN '0' ELSE is_new END AS is_new)
+  FROM rep
+)"""
+
+register("log_split_page", f"""
+WITH {LOGS}
+SELECT sid, mid, uid, is_new, page_id, last_page_id, item, during_time, ts_ms AS ts FROM fixed WHERE NOT is_start
+""")
+register("log_split_start", f"""
+WITH {LOGS}
+SELECT sid, mid, is_new, 'icon' AS entry, during_time AS loading_time, ts_ms AS ts FROM fixed WHERE is_start
+""")
+register("log_split_err", f"""
+WITH {LOGS}
+SELECT sid, mid, is_new, CAST(k AS BIGINT) AS error_code, 'exception at ' || page_id AS msg,
+       is_start AS has_start, ts_ms AS ts
+FROM fixed WHERE event_type = 'error'
+""")
+register("log_split_display", f"""
+WITH {LOGS},
+d AS (SELECT sid, mid, page_id, k, ts_ms, unnest(generate_series(0, k % 4 - 1)) AS i
+      FROM fixed WHERE event_type = 'view' AND NOT is_start)
+SELECT sid, mid, page_id, CAST(k + i AS VARCHAR) AS item, 'sku_id' AS item_type,
+       CAST(i + 1 AS INTEGER) AS pos_id, CAST(i AS INTEGER) AS pos_seq, ts_ms AS ts
+FROM d
+""")
+register("log_split_action", f"""
+WITH {LOGS},
+a AS (SELECT sid, mid, page_id, k, ts_ms, unnest(generate_series(0, k % 3)) AS i
+      FROM fixed WHERE event_type = 'click' AND NOT is_start)
+SELECT sid, mid, page_id, CASE WHEN i = 0 THEN 'cart_add' ELSE 'favor_add' END AS action_id,
+       CAST(k AS VARCHAR) AS item, ts_ms + i * 1000 AS action_ts
+FROM a
+""")
+register("log_split_dirty", f"""
+WITH {LOGS}
+SELECT sid FROM logs WHERE dirty
+""")

@@ -38,6 +38,9 @@ def build_session(master: str | None = None, partitions: int | None = None,
     if master:
         b = b.master(master)
     conf = dict(CORE_CONF)
+    if master and master.startswith("local"):
+        # Local mode runs every task inside the driver JVM.
+        conf["spark.driver.memory"] = "16g"
     if partitions:
         conf["spark.sql.shuffle.partitions"] = str(partitions)
     conf.update(extra or {})

@@ -25,11 +25,12 @@ def _s(c) -> F.Column:
 # page log (DWD page topic)
 # --------------------------------------------------------------------------
 
-def page_log(t: Tables) -> DataFrame:
+def page_log(t: Tables, extra=()) -> DataFrame:
     """Flat page-log rows: one per event.
 
     Columns: event_id, ts (TIMESTAMP), ts_ms, mid, uid, vc, ch, ar, is_new,
-    page_id, last_page_id, item, item_type, during_time.
+    page_id, last_page_id, item, item_type, during_time (+ ``extra`` event
+    columns passed through).
     Search pages (``last_page_id = 'search'``) carry a keyword reference:
     ``item`` is the id of the document holding the search text.
     """
@@ -54,6 +55,7 @@ def page_log(t: Tables) -> DataFrame:
         F.when(et == "click", _s(uid)).alias("item"),
         F.when(et == "click", F.lit("keyword")).alias("item_type"),
         F.round(e.value * 1000).cast("bigint").alias("during_time"),
+        *[e[c] for c in extra],
     )
 
 
