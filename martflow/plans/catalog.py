@@ -291,3 +291,41 @@ def q_split_action(spark, sf_dir):
 def q_split_dirty(spark, sf_dir):
     d = _split(spark, sf_dir)["dirty"]
     return d.select(F.regexp_extract("value", '"sid":"([^"]*)"', 1).alias("sid"))
+
+
+# -- routing (config-driven splits) ----------------------------------------------
+
+from ..operators import routing  # noqa: E402
+from ..sources import cdc as cdc_src  # noqa: E402
+from ..sources import config as cfg_src  # noqa: E402
+
+
+@query("dim_route")
+def q_dim_route(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    routed = routing.route_dims(retail.dim_ods(t), cfg_src.dim_config_feed(spark), db="stream_retail")
+    return routing.fold_routed_dims(routed)
+
+
+@query("dim_fold")
+def q_dim_fold(spark, sf_dir):
+    feed = retail.user_info_feed(_t(spark, sf_dir))
+    return routing.fold_dimension_table(feed, "id", ["id", "name", "nation_id", "segment", "acctbal"])
+
+
+def _ods_topic(t, tables):
+    """The change feed as JSON text in a stored topic (lineage cut), parsed
+    back with the envelope parser (P2)."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(t.spark)
+    text_topic = cdc_src.to_topic_value(retail.ods(t, tables)).checkpoint(eager=True)
+    good, _bad = cdc_src.parse_cdc(text_topic)
+    return good
+
+
+@query("fact_route")
+def q_fact_route(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    ods = _ods_topic(t, ["cart_info", "comment_info", "refund_payment", "order_info"])
+    r = routing.route_facts(ods, cfg_src.fact_config_feed(spark))
+    return r.select("sink_table", F.col("data")["id"].alias("row_id"), F.explode("data").alias("column", "value"))

@@ -534,3 +534,121 @@ register("log_split_dirty", f"""
 WITH {LOGS}
 SELECT sid FROM logs WHERE dirty
 """)
+
+
+# -- routing ------------------------------------------------------------------------
+
+T0 = 1_700_000_000_000
+
+def kv(*pairs: tuple[str, str]) -> str:
+    """DuckDB list of {k, v} structs (one entry per image column)."""
+    return "[" + ", ".join("{'k': '%s', 'v': %s}" % (k, v) for k, v in pairs) + "]"
+
+
+USER_CHANGES = f"""
+cust AS (
+  SELECT {vc('c_custkey')} AS id, c_name, {vc('c_nationkey')} AS nation_id, c_mktsegment,
+         {vc(d2('c_acctbal'))} AS bal_txt, c_acctbal
+  FROM customer
+),
+uc AS (
+  SELECT 'r' AS op, {T0} AS ts, id, {kv(('id', 'id'), ('name', 'c_name'), ('nation_id', 'nation_id'), ('segment', 'c_mktsegment'), ('acctbal', 'bal_txt'))} AS kv FROM cust
+  UNION ALL
+  SELECT 'u', {T0 + 1000}, id, {kv(('id', 'id'), ('name', "c_name || '-v2'"), ('nation_id', 'nation_id'), ('segment', "''"), ('acctbal', 'CAST(NULL AS VARCHAR)'))} FROM cust WHERE c_acctbal < 0
+  UNION ALL
+  SELECT 'd', {T0 + 2000}, id, {kv(('id', 'id'), ('name', 'c_name'), ('nation_id', 'nation_id'), ('segment', 'c_mktsegment'), ('acctbal', 'bal_txt'))} FROM cust WHERE c_acctbal > 9000
+  UNION ALL
+  SELECT 'c', {T0 + 3000}, id, {kv(('id', 'id'), ('name', "c_name || '-back'"), ('nation_id', 'nation_id'), ('segment', 'CAST(NULL AS VARCHAR)'), ('acctbal', "'0.00'"))} FROM cust WHERE c_acctbal > 9500
+)"""
+
+_NONEMPTY = "op <> 'd' AND v IS NOT NULL AND v <> ''"
+
+
+def _fold_col(c: str) -> str:
+    return (f"arg_max(v, ts) FILTER (WHERE {_NONEMPTY} AND k = '{c}') AS {c}, "
+            f"max(ts) FILTER (WHERE {_NONEMPTY} AND k = '{c}') AS {c}_ts")
+
+
+register("dim_fold", f"""
+WITH {USER_CHANGES},
+cells AS (SELECT op, ts, id, unnest(kv, recursive := true) FROM uc),
+keys_ AS (SELECT id, max(ts) FILTER (WHERE op = 'd') AS del, max(ts) AS last FROM uc GROUP BY id),
+c AS (SELECT id, {_fold_col('name')}, {_fold_col('nation_id')}, {_fold_col('segment')}, {_fold_col('acctbal')}
+      FROM cells GROUP BY id)
+SELECT keys_.id,
+       CASE WHEN del IS NULL OR name_ts > del THEN name END AS name,
+       CASE WHEN del IS NULL OR nation_id_ts > del THEN nation_id END AS nation_id,
+       CASE WHEN del IS NULL OR segment_ts > del THEN segment END AS segment,
+       CASE WHEN del IS NULL OR acctbal_ts > del THEN acctbal END AS acctbal
+FROM keys_ JOIN c USING (id) WHERE del IS NULL OR last > del
+""")
+
+register("dim_route", f"""
+WITH {USER_CHANGES},
+ch AS (
+  SELECT 'user_info' AS src, op, ts, id AS rk, kv FROM uc
+  UNION ALL
+  SELECT 'sku_info', 'r', {T0}, {vc('p_partkey')}, {kv(('id', vc('p_partkey')), ('sku_name', 'p_name'), ('brand', 'p_brand'), ('type', 'p_type'), ('size', vc('p_size')))} FROM part
+  UNION ALL
+  SELECT 'base_province', 'r', {T0}, {vc('n_nationkey')}, {kv(('id', vc('n_nationkey')), ('name', 'n_name'), ('region_id', vc('n_regionkey')))} FROM nation
+  UNION ALL
+  SELECT 'base_region', 'r', {T0}, {vc('r_regionkey')}, {kv(('id', vc('r_regionkey')), ('name', 'r_name'))} FROM region
+),
+cfg_feed AS (
+  SELECT * FROM (VALUES
+    ('r', 1, 'user_info', 'dim_user_info', 'id,name,nation_id,segment'),
+    ('r', 1, 'sku_info', 'dim_sku_info', 'id,sku_name,brand,type,size'),
+    ('r', 1, 'base_province', 'dim_base_province', 'id,name,region_id'),
+    ('r', 1, 'base_region', 'dim_base_region', 'id,name'),
+    ('u', {T0 + 500}, 'user_info', 'dim_user_info', 'id,name,segment'),
+    ('d', 3, 'base_region', 'dim_base_region', 'id,name')) AS f(op, ts, source_table, sink_table, sink_columns)
+),
+cfg AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY ts DESC) AS rn FROM cfg_feed)
+  WHERE rn = 1 AND op <> 'd'
+),
+routed AS (
+  SELECT sink_table, ch.op, ch.ts, rk,
+         list_filter(kv, lambda e: list_contains(string_split(sink_columns, ','), e.k)) AS kv
+  FROM ch JOIN cfg ON ch.src = cfg.source_table
+  WHERE cfg.op <> 'u' OR ch.ts >= cfg.ts
+),
+cells AS (SELECT sink_table, rk, op, ts, unnest(kv, recursive := true) FROM routed),
+rows_ AS (SELECT sink_table, rk, max(ts) FILTER (WHERE op = 'd') AS del, max(ts) AS last FROM routed GROUP BY 1, 2),
+c AS (
+  SELECT sink_table, rk, k AS col, arg_max(v, ts) AS value, max(ts) AS cts
+  FROM cells WHERE {_NONEMPTY} GROUP BY 1, 2, 3
+)
+SELECT c.sink_table, c.rk AS row_key, col AS "column", value
+FROM c JOIN rows_ USING (sink_table, rk)
+WHERE (del IS NULL OR last > del) AND (del IS NULL OR cts > del)
+""")
+
+register("fact_route", f"""
+WITH ev AS (
+  SELECT event_id, user_id, ts, props, event_type FROM events WHERE event_type IN ('purchase', 'view')
+),
+cart AS (
+  SELECT CASE WHEN event_id % 2 = 0 THEN 'c' ELSE 'u' END AS op, {vc('event_id')} AS id,
+         [('id', {vc('event_id')}), ('user_id', {vc('user_id')}), ('sku_id', json_extract_string(props, '$.k')),
+          ('sku_num', {vc('event_id % 7 + 1')}), ('ts_ms', {vc(ms('ts'))})] AS kv
+  FROM ev WHERE event_type = 'purchase'
+),
+routed AS (
+  SELECT 'dwd_cart_add' AS sink_table, id, list_filter(kv, lambda e: e[1] IN ('id', 'user_id', 'sku_id', 'sku_num', 'ts_ms')) AS kv
+  FROM cart WHERE op = 'c'
+  UNION ALL
+  SELECT 'dwd_cart_update', id, list_filter(kv, lambda e: e[1] IN ('id', 'sku_num', 'ts_ms')) FROM cart WHERE op = 'u'
+  UNION ALL
+  SELECT 'dwd_comment', {vc('event_id')},
+         [('id', {vc('event_id')}), ('user_id', {vc('user_id')}), ('appraise', {vc('1201 + event_id % 4')}),
+          ('comment_txt', 'comment ' || {vc('event_id')}), ('ts_ms', {vc(ms('ts'))})]
+  FROM ev WHERE event_type = 'view'
+  UNION ALL
+  SELECT 'dwd_refund_payment_success', {vc('o_orderkey')},
+         [('id', {vc('o_orderkey')}), ('order_id', {vc('o_orderkey')}), ('payment_type', {vc('1101 + o_orderkey % 3')}),
+          ('refund_status', '1602'), ('ts_ms', {vc(ms('o_orderdate') + ' + (o_orderkey % 60 - 10) * 60000')})]
+  FROM orders WHERE o_orderstatus = 'F'
+)
+SELECT sink_table, id AS row_id, e[1] AS "column", e[2] AS value FROM (SELECT sink_table, id, unnest(kv) AS e FROM routed)
+""")

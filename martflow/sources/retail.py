@@ -277,3 +277,62 @@ def sku_dims(t: Tables) -> dict[str, DataFrame]:
                    _s("r_regionkey").alias("category1_id")))
     c1 = r.select(_s("r_regionkey").alias("id"), F.col("r_name").alias("name"))
     return {"sku": sku, "spu": spu, "trademark": tm, "category3": c3, "category2": c2, "category1": c1}
+
+
+# --------------------------------------------------------------------------
+# dimension change feeds (DIM layer input)
+# --------------------------------------------------------------------------
+
+DIM_T0 = 1_700_000_000_000
+
+
+def user_info_feed(t: Tables) -> DataFrame:
+    """user_info changes from customer: a snapshot row each; negative
+    balances later rename the user and send empty segment / null balance
+    (cells that must not overwrite); balances above 9000 are deleted, and
+    above 9500 inserted again with fresh values."""
+    c = t.customer
+    full = text_map({"id": "c_custkey", "name": "c_name", "nation_id": "c_nationkey",
+                     "segment": "c_mktsegment", "acctbal": _dec("c_acctbal")})
+    upd = text_map({"id": "c_custkey", "name": F.concat(F.col("c_name"), F.lit("-v2")),
+                    "nation_id": "c_nationkey", "segment": F.lit(""), "acctbal": None})
+    back = text_map({"id": "c_custkey", "name": F.concat(F.col("c_name"), F.lit("-back")),
+                     "nation_id": "c_nationkey", "segment": None, "acctbal": F.lit("0.00")})
+    bal = F.col("c_acctbal")
+    recs = [
+        envelope("user_info", "r", full, None, F.lit(DIM_T0)),
+        F.when(bal < 0, envelope("user_info", "u", upd, full, F.lit(DIM_T0 + 1000))),
+        F.when(bal > 9000, envelope("user_info", "d", None, full, F.lit(DIM_T0 + 2000))),
+        F.when(bal > 9500, envelope("user_info", "c", back, None, F.lit(DIM_T0 + 3000))),
+    ]
+    return explode_envelopes(c, recs)
+
+
+def sku_info_feed(t: Tables) -> DataFrame:
+    p = t.part
+    after = text_map({"id": "p_partkey", "sku_name": "p_name", "brand": "p_brand", "type": "p_type",
+                      "size": "p_size"})
+    return explode_envelopes(p, [envelope("sku_info", "r", after, None, F.lit(DIM_T0))])
+
+
+def province_feed(t: Tables) -> DataFrame:
+    after = text_map({"id": "n_nationkey", "name": "n_name", "region_id": "n_regionkey"})
+    return explode_envelopes(t.nation, [envelope("base_province", "r", after, None, F.lit(DIM_T0))])
+
+
+def region_feed(t: Tables) -> DataFrame:
+    after = text_map({"id": "r_regionkey", "name": "r_name"})
+    return explode_envelopes(t.region, [envelope("base_region", "r", after, None, F.lit(DIM_T0))])
+
+
+DIM_FEEDS = {"user_info": user_info_feed, "sku_info": sku_info_feed,
+             "base_province": province_feed, "base_region": region_feed}
+
+
+def dim_ods(t: Tables, tables=None) -> DataFrame:
+    names = list(DIM_FEEDS) if tables is None else list(tables)
+    out = None
+    for n in names:
+        d = DIM_FEEDS[n](t)
+        out = d if out is None else out.unionByName(d)
+    return out
