@@ -329,3 +329,95 @@ def q_fact_route(spark, sf_dir):
     ods = _ods_topic(t, ["cart_info", "comment_info", "refund_payment", "order_info"])
     r = routing.route_facts(ods, cfg_src.fact_config_feed(spark))
     return r.select("sink_table", F.col("data")["id"].alias("row_id"), F.explode("data").alias("column", "value"))
+
+
+# -- re-aimed utilities, scalar functions ------------------------------------------
+
+from .. import functions as fn  # noqa: E402
+from ..operators import misc  # noqa: E402
+
+
+@query("day_partition_spine")
+def q_spine(spark, sf_dir):
+    return misc.daily_counts_on_spine(_t(spark, sf_dir).orders, "o_orderdate")
+
+
+def mixed_epoch(e):
+    """Event time as producers send it: seconds for views, milliseconds for
+    most others, and unusable text for errors."""
+    ms = fn.epoch_ms("ts")
+    return (F.when(F.col("event_type") == "view", (ms / 1000).cast("bigint").cast("string"))
+             .when(F.col("event_type") == "error", F.lit("n/a"))
+             .otherwise(ms.cast("string")))
+
+
+@query("event_day_partition")
+def q_event_day(spark, sf_dir):
+    e = _t(spark, sf_dir).events
+    d = misc.with_event_day(e.select(mixed_epoch(e).alias("v")), "v")
+    return d.groupBy("day").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("salted_key_buckets")
+def q_buckets(spark, sf_dir):
+    return misc.bucket_counts(_t(spark, sf_dir).customer, "c_custkey", 128)
+
+
+@query("ordered_list_append")
+def q_ordered_list(spark, sf_dir):
+    c = _t(spark, sf_dir).conversations
+    return misc.ordered_list(c, "conv_id", "turn", "role", "roles") \
+               .select("conv_id", F.array_join("roles", ",").alias("roles"))
+
+
+@query("scan_limit")
+def q_scan_limit(spark, sf_dir):
+    return misc.scan_limit(_t(spark, sf_dir).part.select("p_partkey", "p_name", "p_brand"), "p_partkey", 100)
+
+
+@query("table_row_count")
+def q_row_count(spark, sf_dir):
+    from ..sources.tables import TABLES
+    t = _t(spark, sf_dir)
+    out = None
+    for name in TABLES:
+        c = misc.count_rows(t.read(name)).select(F.lit(name).alias("table_name"), "rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query("scalar_dates")
+def q_scalar_dates(spark, sf_dir):
+    e = _t(spark, sf_dir).events.select("event_id", fn.epoch_ms("ts").alias("ms"))
+    return e.select(
+        "event_id", "ms",
+        fn.ms_to_date("ms").alias("date"), fn.ms_to_datetime("ms").alias("datetime"),
+        fn.ms_to_partition("ms").alias("day"), fn.format_ms("ms", "yyyy/MM/dd HH").alias("hour_text"),
+        fn.datetime_to_ms(fn.ms_to_datetime("ms")).alias("second_ms"),
+        fn.date_to_ms(fn.ms_to_date("ms")).alias("midnight_ms"),
+        fn.days_between(fn.ms_to_date("ms"), F.lit("2024-01-01")).alias("day_no"),
+        fn.previous_day("ms").alias("prev_date"),
+        fn.flexible_date(F.col("ms").cast("string")).alias("date_from_text"))
+
+
+@query("scalar_strings")
+def q_scalar_strings(spark, sf_dir):
+    p = _t(spark, sf_dir).part
+    return p.select(
+        "p_partkey",
+        fn.join_list(F.array("p_brand", "p_type"), ",").alias("brand_type"),
+        fn.upper_first("p_name").alias("name_cap"),
+        fn.lower_first(F.upper("p_name")).alias("name_low"),
+        fn.pad("p_size", 4).alias("size_pad"),
+        fn.repeat_char("*", F.col("p_size") % 5).alias("stars"),
+        fn.is_blank(F.when(F.col("p_size") % 7 == 0, F.lit("  ")).otherwise(F.col("p_name"))).alias("blank"),
+        fn.is_empty(F.when(F.col("p_size") % 3 == 0, F.lit("")).otherwise(F.col("p_name"))).alias("empty"))
+
+
+@query("scalar_rowkey")
+def q_scalar_rowkey(spark, sf_dir):
+    p = _t(spark, sf_dir).part
+    cols = ["p_partkey", "p_brand", "p_type"]
+    return p.select("p_partkey", fn.row_key(cols, "_").alias("rk"),
+                    fn.row_key(cols, "|", md5_fields=True).alias("rk_md5_fields"),
+                    fn.row_key(cols, "_", md5_all=True).alias("rk_md5"))

@@ -652,3 +652,78 @@ routed AS (
 )
 SELECT sink_table, id AS row_id, e[1] AS "column", e[2] AS value FROM (SELECT sink_table, id, unnest(kv) AS e FROM routed)
 """)
+
+
+# -- re-aimed utilities, scalar functions ------------------------------------------
+
+register("day_partition_spine", """
+WITH d AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders),
+spine AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS day_ts FROM d),
+c AS (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS day, count(*) AS n FROM d GROUP BY 1)
+SELECT CAST(strftime(day_ts, '%Y%m%d') AS INTEGER) AS day, CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM spine LEFT JOIN c ON CAST(strftime(day_ts, '%Y%m%d') AS INTEGER) = c.day
+""")
+
+register("event_day_partition", f"""
+WITH v AS (
+  SELECT CASE WHEN event_type = 'view' THEN CAST({ms('ts')} // 1000 AS VARCHAR)
+              WHEN event_type = 'error' THEN 'n/a' ELSE CAST({ms('ts')} AS VARCHAR) END AS v FROM events
+),
+n AS (SELECT TRY_CAST(v AS BIGINT) AS n FROM v),
+m AS (SELECT CASE WHEN n < 10000000000 THEN n * 1000 ELSE n END AS ms FROM n)
+SELECT coalesce(strftime(epoch_ms(ms), '%Y%m%d'), 'error_bucket') AS day, CAST(count(*) AS BIGINT) AS n
+FROM m GROUP BY 1
+""")
+
+register("salted_key_buckets", """
+SELECT lpad(CAST(CAST(('0x' || right(md5(CAST(c_custkey AS VARCHAR)), 3)) AS INTEGER) % 128 AS VARCHAR), 4, '0') AS bucket,
+       CAST(count(*) AS BIGINT) AS n
+FROM customer GROUP BY 1
+""")
+
+register("ordered_list_append", """
+SELECT conv_id, string_agg(role, ',' ORDER BY turn, role) AS roles FROM conversations GROUP BY conv_id
+""")
+
+register("scan_limit", """
+SELECT p_partkey, p_name, p_brand, CAST(p_partkey AS VARCHAR) AS row_key FROM part ORDER BY p_partkey LIMIT 100
+""")
+
+register("table_row_count", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM {t}" for t in
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()))
+
+register("scalar_dates", f"""
+WITH e AS (SELECT event_id, {ms('ts')} AS ms FROM events)
+SELECT event_id, ms,
+       strftime(epoch_ms(ms), '%Y-%m-%d') AS date,
+       strftime(epoch_ms(ms), '%Y-%m-%d %H:%M:%S') AS datetime,
+       strftime(epoch_ms(ms), '%Y%m%d') AS day,
+       strftime(epoch_ms(ms), '%Y/%m/%d %H') AS hour_text,
+       ms // 1000 * 1000 AS second_ms,
+       epoch_ms(CAST(epoch_ms(ms) AS DATE)::TIMESTAMP) AS midnight_ms,
+       CAST(date_diff('day', DATE '2024-01-01', CAST(epoch_ms(ms) AS DATE)) AS INTEGER) AS day_no,
+       strftime(CAST(epoch_ms(ms) AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AS prev_date,
+       strftime(epoch_ms(ms), '%Y-%m-%d') AS date_from_text
+FROM e
+""")
+
+register("scalar_strings", """
+SELECT p_partkey,
+       p_brand || ',' || p_type AS brand_type,
+       upper(substr(p_name, 1, 1)) || substr(p_name, 2) AS name_cap,
+       lower(substr(upper(p_name), 1, 1)) || substr(upper(p_name), 2) AS name_low,
+       lpad(CAST(p_size AS VARCHAR), 4, '0') AS size_pad,
+       repeat('*', CAST(p_size % 5 AS INTEGER)) AS stars,
+       coalesce(trim(CASE WHEN p_size % 7 = 0 THEN '  ' ELSE p_name END), '') = '' AS blank,
+       (CASE WHEN p_size % 3 = 0 THEN '' ELSE p_name END) IS NULL OR (CASE WHEN p_size % 3 = 0 THEN '' ELSE p_name END) = '' AS empty
+FROM part
+""")
+
+register("scalar_rowkey", """
+SELECT p_partkey,
+       CAST(p_partkey AS VARCHAR) || '_' || p_brand || '_' || p_type AS rk,
+       md5(CAST(p_partkey AS VARCHAR)) || '|' || md5(p_brand) || '|' || md5(p_type) AS rk_md5_fields,
+       md5(CAST(p_partkey AS VARCHAR) || '_' || p_brand || '_' || p_type) AS rk_md5
+FROM part
+""")
