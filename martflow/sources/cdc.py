@@ -35,22 +35,37 @@ def text_map(fields: dict[str, Column | str | None]) -> Column:
 
 def envelope(table: str, op, after: Column | None, before: Column | None, ts_ms: Column,
              db: str = "stream_retail") -> Column:
-    """One change record as a struct (the element type of a feed)."""
+    """One change record as a struct (the element type of a feed). The
+    ``table``/``db`` arguments are kept for readability; the ``source`` map
+    is attached by :func:`explode_envelopes` as a constant column."""
     op_c = F.lit(op) if isinstance(op, str) else op
     return F.struct(
         (before if before is not None else F.lit(None).cast(MAP_SS)).alias("before"),
         (after if after is not None else F.lit(None).cast(MAP_SS)).alias("after"),
-        F.create_map(F.lit("db"), F.lit(db), F.lit("table"), F.lit(table)).alias("source"),
         op_c.alias("op"),
         ts_ms.cast("bigint").alias("ts_ms"),
     )
 
 
-def explode_envelopes(df: DataFrame, records: list[Column]) -> DataFrame:
-    """Emit zero or more change records per input row (null records skipped)
-    in a single pass over ``df``."""
-    arr = F.filter(F.array(*records), lambda r: r.isNotNull())
-    return df.select(F.explode(arr).alias("r")).select("r.*")
+def source_map(table: str, db: str = "stream_retail") -> Column:
+    return F.create_map(F.lit("db"), F.lit(db), F.lit("table"), F.lit(table))
+
+
+def explode_envelopes(df: DataFrame, records: list[Column], table: str,
+                      db: str = "stream_retail") -> DataFrame:
+    """Emit zero or more change records of source table ``table`` per input
+    row (null records skipped) in a single pass over ``df``.
+
+    ``source`` is a constant column added after the explode, so a job's
+    ``source['table'] = ...`` filter folds to true/false at planning time
+    and a union of feeds is pruned to the tables the job reads. Plain
+    ``explode`` + ``where`` keeps the projection inside whole-stage codegen
+    (a higher-order ``filter`` would not be)."""
+    if len(records) == 1:
+        x = df.select(records[0].alias("r")).where(F.col("r").isNotNull())
+    else:
+        x = df.select(F.explode(F.array(*records)).alias("r")).where(F.col("r").isNotNull())
+    return x.select("r.before", "r.after", source_map(table, db).alias("source"), "r.op", "r.ts_ms")
 
 
 # --------------------------------------------------------------------------

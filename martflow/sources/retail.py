@@ -93,7 +93,7 @@ def order_info_feed(t: Tables) -> DataFrame:
     upd = F.when(F.col("o_orderstatus").isin("F", "O"),
                  envelope("order_info", "u", row(order_status("o_orderstatus"), created + delay),
                           row(F.lit("1001"), None), created + delay))
-    return explode_envelopes(o, [ins, upd])
+    return explode_envelopes(o, [ins, upd], "order_info")
 
 
 def _lines(t: Tables) -> DataFrame:
@@ -123,7 +123,7 @@ def order_detail_feed(t: Tables) -> DataFrame:
         "split_original_amount": original,
         "split_activity_amount": activity, "split_coupon_amount": coupon,
         "split_total_amount": original - activity - coupon})
-    return explode_envelopes(li, [envelope("order_detail", "c", after, None, epoch_ms("l_shipdate"))])
+    return explode_envelopes(li, [envelope("order_detail", "c", after, None, epoch_ms("l_shipdate"))], "order_detail")
 
 
 def order_detail_activity_feed(t: Tables) -> DataFrame:
@@ -132,7 +132,7 @@ def order_detail_activity_feed(t: Tables) -> DataFrame:
           .groupBy("l_orderkey", "l_linenumber").agg(F.min("l_shipdate").alias("l_shipdate")))
     after = text_map({"order_detail_id": detail_id(), "activity_id": F.col("l_linenumber") + 100,
                       "activity_rule_id": F.col("l_linenumber") * 10 + 1})
-    return explode_envelopes(li, [envelope("order_detail_activity", "c", after, None, epoch_ms("l_shipdate"))])
+    return explode_envelopes(li, [envelope("order_detail_activity", "c", after, None, epoch_ms("l_shipdate"))], "order_detail_activity")
 
 
 def order_detail_coupon_feed(t: Tables) -> DataFrame:
@@ -140,7 +140,7 @@ def order_detail_coupon_feed(t: Tables) -> DataFrame:
     li = (t.lineitem.where(F.col("l_tax") >= 0.05)
           .groupBy("l_orderkey", "l_linenumber").agg(F.min("l_shipdate").alias("l_shipdate")))
     after = text_map({"order_detail_id": detail_id(), "coupon_id": F.col("l_linenumber") + 200})
-    return explode_envelopes(li, [envelope("order_detail_coupon", "c", after, None, epoch_ms("l_shipdate"))])
+    return explode_envelopes(li, [envelope("order_detail_coupon", "c", after, None, epoch_ms("l_shipdate"))], "order_detail_coupon")
 
 
 def cart_info_feed(t: Tables) -> DataFrame:
@@ -154,7 +154,7 @@ def cart_info_feed(t: Tables) -> DataFrame:
     row = lambda n: text_map({"id": "event_id", "user_id": "user_id", "sku_id": sku, "sku_num": n})
     rec = F.when(is_c, envelope("cart_info", "c", row(new), None, epoch_ms("ts"))) \
            .otherwise(envelope("cart_info", "u", row(new), row(old), epoch_ms("ts")))
-    return explode_envelopes(e, [rec])
+    return explode_envelopes(e, [rec], "cart_info")
 
 
 def payment_time_ms() -> F.Column:
@@ -170,7 +170,7 @@ def refund_payment_feed(t: Tables) -> DataFrame:
         "id": "o_orderkey", "order_id": "o_orderkey",
         "payment_type": F.lit(1101) + F.col("o_orderkey") % 3,
         "callback_time": et, "total_amount": _dec("o_totalprice"), "refund_status": st})
-    return explode_envelopes(o, [envelope("refund_payment", "u", row(F.lit("1602")), row(F.lit("1601")), et)])
+    return explode_envelopes(o, [envelope("refund_payment", "u", row(F.lit("1602")), row(F.lit("1601")), et)], "refund_payment")
 
 
 def order_refund_info_feed(t: Tables) -> DataFrame:
@@ -190,7 +190,7 @@ def order_refund_info_feed(t: Tables) -> DataFrame:
         "refund_reason_type": F.lit(1301) + F.col("l_partkey") % 3,
         "refund_reason_txt": F.concat(F.lit("reason for line "), detail_id()),
         "create_time": created, "refund_status": F.lit("0701")})
-    return explode_envelopes(li, [envelope("order_refund_info", "r", after, None, created)])
+    return explode_envelopes(li, [envelope("order_refund_info", "r", after, None, created)], "order_refund_info")
 
 
 def comment_info_feed(t: Tables) -> DataFrame:
@@ -200,7 +200,7 @@ def comment_info_feed(t: Tables) -> DataFrame:
                       "appraise": F.lit(1201) + F.col("event_id") % 4,
                       "comment_txt": F.concat(F.lit("comment "), _s("event_id")),
                       "create_time": epoch_ms("ts")})
-    return explode_envelopes(e, [envelope("comment_info", "r", after, None, epoch_ms("ts"))])
+    return explode_envelopes(e, [envelope("comment_info", "r", after, None, epoch_ms("ts"))], "comment_info")
 
 
 FEEDS = {
@@ -305,24 +305,24 @@ def user_info_feed(t: Tables) -> DataFrame:
         F.when(bal > 9000, envelope("user_info", "d", None, full, F.lit(DIM_T0 + 2000))),
         F.when(bal > 9500, envelope("user_info", "c", back, None, F.lit(DIM_T0 + 3000))),
     ]
-    return explode_envelopes(c, recs)
+    return explode_envelopes(c, recs, "user_info")
 
 
 def sku_info_feed(t: Tables) -> DataFrame:
     p = t.part
     after = text_map({"id": "p_partkey", "sku_name": "p_name", "brand": "p_brand", "type": "p_type",
                       "size": "p_size"})
-    return explode_envelopes(p, [envelope("sku_info", "r", after, None, F.lit(DIM_T0))])
+    return explode_envelopes(p, [envelope("sku_info", "r", after, None, F.lit(DIM_T0))], "sku_info")
 
 
 def province_feed(t: Tables) -> DataFrame:
     after = text_map({"id": "n_nationkey", "name": "n_name", "region_id": "n_regionkey"})
-    return explode_envelopes(t.nation, [envelope("base_province", "r", after, None, F.lit(DIM_T0))])
+    return explode_envelopes(t.nation, [envelope("base_province", "r", after, None, F.lit(DIM_T0))], "base_province")
 
 
 def region_feed(t: Tables) -> DataFrame:
     after = text_map({"id": "r_regionkey", "name": "r_name"})
-    return explode_envelopes(t.region, [envelope("base_region", "r", after, None, F.lit(DIM_T0))])
+    return explode_envelopes(t.region, [envelope("base_region", "r", after, None, F.lit(DIM_T0))], "base_region")
 
 
 DIM_FEEDS = {"user_info": user_info_feed, "sku_info": sku_info_feed,
