@@ -58,10 +58,13 @@ def repair_is_new_stream(stream: DataFrame, key: str, ts: str, ties, flag: str =
 
 
 def login_flags_stream(stream: DataFrame, key: str, ts: str, ties, back_days: int = 8,
-                       lag: str = "0 seconds") -> DataFrame:
-    """T5 on a stream."""
+                       lag: str | None = "0 seconds") -> DataFrame:
+    """T5 on a stream. ``lag=None`` when the caller already set the
+    watermark upstream (e.g. before a filter, so that every source row
+    advances event time)."""
     schema = _with(stream.schema, T.StructField("back_ct", T.LongType()), T.StructField("uu_ct", T.LongType()))
-    return (stream.withWatermark(ts, lag).groupBy(key)
+    s = stream if lag is None else stream.withWatermark(ts, lag)
+    return (s.groupBy(key)
             .transformWithStateInPandas(LoginFlags(ts, list(ties), back_days), schema, "Append", "None",
                                         eventTimeColumnName=ts))
 
@@ -102,10 +105,13 @@ def cart_uu_window_stream(cart_add: DataFrame, size: str = "5 seconds", ts: str
     return decorate_window(g)
 
 
-def login_window_stream(page_log: DataFrame, size: str = "3 hours", back_days: int = 8) -> DataFrame:
-    """X9 + T5 + A4 + W3 on a page-log stream."""
-    rows = windows.login_rows(page_log).select("uid", "ts", "event_id")
-    flags = login_flags_stream(rows, "uid", "ts", ["event_id"], back_days)
+def login_window_stream(page_log: DataFrame, size: str = "3 hours", back_days: int = 8,
+                        lag: str = "0 seconds") -> DataFrame:
+    """X9 + T5 + A4 + W3 on a page-log stream. The watermark is set on the
+    whole page stream, before the login filter: event time advances with
+    every page view, not only with logins."""
+    rows = windows.login_rows(page_log.withWatermark("ts", lag)).select("uid", "ts", "event_id")
+    flags = login_flags_stream(rows, "uid", "ts", ["event_id"], back_days, lag=None)
     g = tumble(flags, "ts", size).groupBy(WIN).agg(F.sum("back_ct").cast("bigint").alias("back_ct"),
                                                    F.sum("uu_ct").cast("bigint").alias("uu_ct"))
     return windows.drop_zero(decorate_window(g), ["uu_ct", "back_ct"])
