@@ -209,3 +209,23 @@ def sku_window(versions: DataFrame, wide_sku: DataFrame, size: str = "10 seconds
     g = dims.with_sku(g, wide_sku).withColumnRenamed("tm_id", "trademark_id") \
             .withColumnRenamed("tm_name", "trademark_name")
     return decorate_window(g).select(*SKU_OUT)
+
+
+# --------------------------------------------------------------------------
+# Event time from alternative fields
+# --------------------------------------------------------------------------
+
+def event_time_from(df: DataFrame, candidates, unit: str = "s", out: str = "et") -> DataFrame:
+    """Event time from the first non-null of ``candidates`` (e.g.
+    ``block_timestamp`` then ``timestamp``), in seconds (``unit='s'``) or
+    milliseconds; add ``withWatermark(out, lag)`` on a stream."""
+    v = F.coalesce(*[F.col(c).cast("bigint") for c in candidates])
+    return df.withColumn(out, F.timestamp_seconds(v) if unit == "s" else F.timestamp_millis(v))
+
+
+def batch_event_time(df: DataFrame, arr: str, field: str = "window_start_time", unit: str = "s",
+                     out: str = "et") -> DataFrame:
+    """Records that carry a batch of elements take the time of the
+    batch's first element."""
+    v = F.element_at(F.col(arr), 1)[field].cast("bigint")
+    return df.withColumn(out, F.timestamp_seconds(v) if unit == "s" else F.timestamp_millis(v))

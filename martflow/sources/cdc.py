@@ -136,3 +136,49 @@ def parse_cdc(df: DataFrame, mode: str = "divert", col: str = "value"):
         good, bad = parse_json(df, ENVELOPE, col)
     good = good.where(~F.coalesce(F.col("op").startswith("bootstrap-"), F.lit(False)))
     return (good, bad) if mode != "failfast" else good
+
+
+# --------------------------------------------------------------------------
+# topic tables
+# --------------------------------------------------------------------------
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A JSON-lines file (one object per line) as rows; with a schema no
+    inference pass is made over the data."""
+    r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
+    return r.json(path)
+
+
+PAGE_TOPIC = T.StructType([
+    T.StructField("common", MAP_SS), T.StructField("page", MAP_SS), T.StructField("ts", T.LongType()),
+])
+
+
+def page_topic_table(value_df: DataFrame, lag: str | None = "0 seconds", col: str = "value") -> DataFrame:
+    """The page topic as a table -- ``common`` and ``page`` maps, ``ts``,
+    computed event time ``et`` (epoch ms) and, on a stream, a watermark.
+    Flattened to the page-log columns the DWS jobs use."""
+    j = value_df.select(F.from_json(F.col(col), PAGE_TOPIC).alias("j")).select("j.*")
+    c, p = F.col("common"), F.col("page")
+    out = j.select(
+        c["mid"].alias("mid"), c["uid"].alias("uid"), c["vc"].alias("vc"), c["ch"].alias("ch"),
+        c["ar"].alias("ar"), c["is_new"].alias("is_new"), c["sid"].alias("sid"),
+        p["page_id"].alias("page_id"), p["last_page_id"].alias("last_page_id"),
+        p["item"].alias("item"), p["item_type"].alias("item_type"),
+        p["during_time"].try_cast("bigint").alias("during_time"),
+        F.col("ts").alias("ts_ms"), F.timestamp_millis("ts").alias("ts"))
+    return out.withWatermark("ts", lag) if (lag is not None and value_df.isStreaming) else out
+
+
+def fact_topic_table(value_df: DataFrame, columns: list[str], lag: str | None = None,
+                     col: str = "value") -> DataFrame:
+    """A DWD fact topic re-read as a table: text columns, ``ts_ms``
+    bigint and its event time ``et``; optional watermark (3 s in one of the
+    original jobs, none in the other)."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in columns if n != "ts_ms"]
+                          + [T.StructField("ts_ms", T.LongType())])
+    j = value_df.select(F.from_json(F.col(col), schema).alias("j")).select("j.*")
+    j = j.withColumn("et", F.timestamp_millis("ts_ms"))
+    return j.withWatermark("et", lag) if (lag is not None and value_df.isStreaming) else j

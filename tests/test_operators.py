@@ -182,3 +182,25 @@ def test_tokens_titles_and_word_flags(spark):
     words = spark.createDataFrame([("a",), ("b",), ("a",)], "w string")
     wl = spark.createDataFrame([("a",)], "word string")
     assert {r.word: r.listed for r in text.flag_words(words, "w", wl).collect()} == {"a": True, "b": False}
+
+
+def test_event_time_fallbacks_and_topic_tables(spark):
+    from martflow.operators import windows as W
+    df = spark.createDataFrame([(None, 1704067200), (1704067201, 5)], "block_timestamp long, timestamp long")
+    got = [str(r.et) for r in W.event_time_from(df, ["block_timestamp", "timestamp"]).collect()]
+    assert got == ["2024-01-01 00:00:00", "2024-01-01 00:00:01"]
+    b = spark.createDataFrame([([{"window_start_time": 1704067200}],)], "items array<struct<window_start_time:long>>")
+    assert str(W.batch_event_time(b, "items").first().et) == "2024-01-01 00:00:00"
+    v = spark.createDataFrame([('{"common":{"mid":"m","is_new":"1"},"page":{"page_id":"home","during_time":12},'
+                                '"ts":1704067200123}',)], "value string")
+    r = cdc_src.page_topic_table(v).first()
+    assert (r.mid, r.page_id, r.during_time, r.ts_ms) == ("m", "home", 12, 1704067200123)
+    f = spark.createDataFrame([('{"id":"1","order_id":"9","ts_ms":5}',)], "value string")
+    r = cdc_src.fact_topic_table(f, ["id", "order_id", "ts_ms"]).first()
+    assert (r.id, r.order_id, r.ts_ms) == ("1", "9", 5)
+
+
+def test_camel_columns_and_positional_rename(spark):
+    df = spark.createDataFrame([(1, 2)], "sink_table int, sink_row_key int")
+    assert strings.camel_columns(df).columns == ["sinkTable", "sinkRowKey"]
+    assert cdc.rename_positional(df, ["a", "b"]).columns == ["a", "b"]
