@@ -46,6 +46,11 @@ def split_log(raw: DataFrame, repair: bool = True) -> dict[str, DataFrame]:
     logs, dirty = parse_logs(raw)
     if repair:
         logs = repair_logs(logs)
+    return {**split_records(logs), "dirty": dirty}
+
+
+def split_records(logs: DataFrame) -> dict[str, DataFrame]:
+    """R1 over parsed (and repaired) records: the five outputs."""
     err = logs.where(F.col("err").isNotNull())
     rest = logs.drop("err")
     start = rest.where(F.col("start").isNotNull())
@@ -53,8 +58,7 @@ def split_log(raw: DataFrame, repair: bool = True) -> dict[str, DataFrame]:
     display = pages.select("common", "page", F.explode("displays").alias("display"), "ts")
     action = pages.select("common", "page", F.explode("actions").alias("action"))
     page = pages.drop("displays", "actions", "start")
-    return {"err": err, "start": start, "display": display, "action": action, "page": page,
-            "dirty": dirty}
+    return {"err": err, "start": start, "display": display, "action": action, "page": page}
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:

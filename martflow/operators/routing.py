@@ -44,9 +44,21 @@ def fold_routed_dims(routed: DataFrame) -> DataFrame:
     column, the last non-empty value, with deletes resetting the row.
     Output is long: ``(sink_table, row_key, column, value)``.
 
-    Two combinable aggregates -- per cell, then per row -- so neither a hot
-    row key nor a wide table concentrates raw rows in one task.
+    Two combinable aggregates -- per cell (:func:`dim_cells`), then per row
+    (:func:`dim_rows`) -- so neither a hot row key nor a wide table
+    concentrates raw rows in one task.
     """
+    return dim_rows(dim_cells(routed))
+
+
+CELL_SCHEMA = "sink_table string, row_key string, k string, m struct<s:bigint,v:string>"
+
+
+def dim_cells(routed: DataFrame) -> DataFrame:
+    """The fold state: per (sink_table, row_key, k) the newest non-empty
+    ``m = (s, v)``; ``k = '__last'`` holds the row's last change time and
+    ``k = '__del'`` its last delete. States of different batches merge with
+    :func:`merge_cells` (the same max), whatever order changes arrive in."""
     nonempty = lambda v: v.isNotNull() & (v != "")
     cells = F.filter(
         F.transform(F.map_entries(F.when(F.col("op") != "d", F.col("data"))),
@@ -55,13 +67,26 @@ def fold_routed_dims(routed: DataFrame) -> DataFrame:
     markers = F.array(
         F.struct(F.lit("__last").alias("k"), F.lit(None).cast("string").alias("v")),
         F.when(F.col("op") == "d", F.struct(F.lit("__del").alias("k"), F.lit(None).cast("string").alias("v"))))
-    entries = F.filter(F.concat(F.coalesce(cells, F.array().cast("array<struct<k:string,v:string>>")), markers),
-                       lambda c: c.isNotNull())
-    x = routed.select("sink_table", "row_key", "ts_ms", F.explode(entries).alias("e"))
-    per_cell = x.groupBy("sink_table", "row_key", F.col("e.k").alias("k")) \
-                .agg(F.max(F.struct(F.col("ts_ms").alias("s"), F.col("e.v").alias("v"))).alias("m"))
-    per_row = per_cell.groupBy("sink_table", "row_key") \
-                      .agg(F.map_from_entries(F.collect_list(F.struct("k", "m"))).alias("mm"))
+    entries = F.concat(F.coalesce(cells, F.array().cast("array<struct<k:string,v:string>>")), markers)
+    x = routed.select("sink_table", "row_key", "ts_ms", F.explode(entries).alias("e")).where(F.col("e").isNotNull())
+    return x.groupBy("sink_table", "row_key", F.col("e.k").alias("k")) \
+            .agg(F.max(F.struct(F.col("ts_ms").alias("s"), F.col("e.v").alias("v"))).alias("m"))
+
+
+def merge_cells(*states: DataFrame) -> DataFrame:
+    """Merge fold states (associative, commutative)."""
+    u = states[0]
+    for s_ in states[1:]:
+        u = u.unionByName(s_)
+    return u.groupBy("sink_table", "row_key", "k").agg(F.max("m").alias("m"))
+
+
+def dim_rows(cells: DataFrame) -> DataFrame:
+    """Visible dimension rows from the fold state: a row lives if its last
+    change is newer than its last delete; a cell counts if newer than that
+    delete."""
+    per_row = cells.groupBy("sink_table", "row_key") \
+                   .agg(F.map_from_entries(F.collect_list(F.struct("k", "m"))).alias("mm"))
     dl = F.col("mm")["__del"]["s"]
     last = F.col("mm")["__last"]["s"]
     live = per_row.where(dl.isNull() | (last > dl))
