@@ -21,10 +21,12 @@ def with_hash_bucket(df: DataFrame, key: str, n: int, out: str = "bucket",
     """Add ``out`` = hash bucket of ``key``; keys listed in ``overrides``
     (columns ``key_lower``, ``bucket``; a short fixed list of hot keys) get
     their own bucket instead. Lookup is case-insensitive on the key text.
-    The override list is tiny by construction, so it is broadcast."""
+    The override list is broadcast after the size check."""
     b = hash_bucket(key, n)
     if overrides is None:
         return df.withColumn(out, b)
-    o = F.broadcast(overrides.select(F.col("key_lower").alias("__ok"), F.col("bucket").alias("__ob")))
+    from ..operators.joins import SMALL_ROWS, bounded_broadcast
+    o = bounded_broadcast(overrides.select(F.col("key_lower").alias("__ok"), F.col("bucket").alias("__ob")),
+                          SMALL_ROWS)
     return (df.join(o, F.lower(_c(key).cast("string")) == F.col("__ok"), "left")
               .withColumn(out, F.coalesce(F.col("__ob"), b)).drop("__ok", "__ob"))

@@ -13,28 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cdc import flatten_dict
-
-# Largest dimension (rows) we broadcast after checking.
-BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` if it has at most ``max_rows`` rows, else leave it to
-    the planner. The check reads at most ``max_rows + 1`` rows."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+from .joins import SMALL_ROWS, bounded_broadcast  # noqa: F401
 
 
 def dict_lookup(df: DataFrame, dic: DataFrame, key: str, out: str, how: str = "inner",
                 code_col: str = "dic_code", name_col: str = "dic_name") -> DataFrame:
     """Lookup of a code in the dictionary (``FOR SYSTEM_TIME AS OF
     proc_time``): adds ``out`` = the code's name. Inner drops unknown codes.
-    The dictionary is a short fixed list, so it is broadcast; join it twice
+    The dictionary is a short list, broadcast after the size check; join it twice
     under different ``out`` names for two codes."""
     d = dic
     if "info" in d.columns:
         d = flatten_dict(d)
-    d = F.broadcast(d.select(F.col(code_col).alias("__code"), F.col(name_col).alias(out)))
+    d = bounded_broadcast(d.select(F.col(code_col).alias("__code"), F.col(name_col).alias(out)), SMALL_ROWS)
     return df.join(d, F.col(key) == F.col("__code"), how).drop("__code")
 
 

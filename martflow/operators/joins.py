@@ -1,0 +1,22 @@
+"""Broadcast policy shared by all lookups.
+
+A side is broadcast only after a bounded count proves it small; beyond the
+bound the join stays a shuffle join (and adaptive execution may still
+switch it to a broadcast from run-time sizes). The count reads at most
+``max_rows + 1`` rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed lists and configs (dictionary, word list, hot keys, routing config).
+SMALL_ROWS = 100_000
+# Growing dimensions (SKUs, provinces).
+DIM_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import cdc, state
+from .joins import SMALL_ROWS, bounded_broadcast
 
 
 # --------------------------------------------------------------------------
@@ -33,7 +34,7 @@ def route_dims(ods: DataFrame, config_feed: DataFrame, db: str | None = None) ->
         F.col("op").alias("__cfg_op"), F.col("ts_ms").alias("__cfg_ts"))
     g = cdc.cdc_gate(ods, db).select(F.col("source")["table"].alias("__src"), "op", "ts_ms",
                                      cdc.image().alias("data"))
-    j = g.join(F.broadcast(cfg), F.col("__src") == F.col("source_table"), "inner")
+    j = g.join(bounded_broadcast(cfg, SMALL_ROWS), F.col("__src") == F.col("source_table"), "inner")
     j = j.where((F.col("__cfg_op") != "u") | (F.col("ts_ms") >= F.col("__cfg_ts")))
     j = cdc.prune_payload(j, "data", "sink_columns")
     return j.select("sink_table", F.col("data")[F.col("sink_row_key")].alias("row_key"), "op", "ts_ms", "data")
@@ -113,7 +114,7 @@ def route_facts(ods: DataFrame, config_feed: DataFrame) -> DataFrame:
     ``ts_ms``. Q2: deletes use their before image."""
     cfg = state.latest_config(config_feed, ["source_table", "source_type"], "ts_ms") \
                .select("source_table", "source_type", "sink_table", "sink_columns")
-    j = ods.join(F.broadcast(cfg), (F.col("source")["table"] == F.col("source_table")) &
+    j = ods.join(bounded_broadcast(cfg, SMALL_ROWS), (F.col("source")["table"] == F.col("source_table")) &
                  (F.col("op") == F.col("source_type")), "inner")
     j = j.withColumn("data", cdc.image())
     j = cdc.prune_payload(j, "data", "sink_columns")

@@ -8,7 +8,6 @@ are only ever joined to the business feeds, never used alone.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 T0 = 1_700_000_000_000
 

@@ -19,9 +19,16 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One scan DataFrame per table and query: the file listing and
+        footer schema read happen once on the driver, however many branches
+        of the plan use the table (each branch still prunes its own
+        columns)."""
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._scans[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from martflow.operators import logsplit, routing
 from martflow.sources import applog, cdc as cdc_src, config, retail
