@@ -6,7 +6,7 @@ import os
 from martflow.operators import logsplit, routing
 from martflow.sources import applog, cdc as cdc_src, config, retail
 from martflow.sources.tables import Tables
-from martflow.streaming import apps, jobs, sinks
+from martflow.streaming import apps, jobs, sinks  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,3 +50,39 @@ def test_dim_sync_app_matches_batch(spark, scratch):
     want = sorted(tuple(r) for r in routing.fold_routed_dims(
         routing.route_dims(feed, config.dim_config_feed(spark))).collect())
     assert got == want and len(got) > 0
+
+
+def test_order_detail_fact_stream_equals_batch_versions(spark, scratch):
+    """J1 + J2 as stream-stream joins. In the derived feed the change times
+    of an order, its lines and their links are years apart (order date vs
+    ship dates), so the test bounds are wide. A sentinel change far in the
+    future moves the watermark so every pending outer row is emitted."""
+    from martflow.operators import facts
+    from martflow.plans.catalog import DETAIL_FEEDS
+    t = Tables(spark, SF)
+    ods = retail.ods(t, DETAIL_FEEDS)
+    sentinel = spark.createDataFrame(
+        [(None, {"id": "x"}, {"db": "stream_retail", "table": "order_info"}, "c", 4102444800000)],
+        ods.schema)
+    topic_dir(cdc_src.to_topic_value(ods), f"{scratch}/ods/a", parts=1)
+    topic_dir(cdc_src.to_topic_value(sentinel), f"{scratch}/ods/b", parts=1)
+    for f in os.listdir(f"{scratch}/ods/b"):
+        os.utime(f"{scratch}/ods/b/{f}", (5_000_000, 5_000_000))
+    os.makedirs(f"{scratch}/topic")
+    for d in ["a", "b"]:
+        for f in os.listdir(f"{scratch}/ods/{d}"):
+            if f.startswith("part-"):
+                st = os.stat(f"{scratch}/ods/{d}/{f}")
+                os.link(f"{scratch}/ods/{d}/{f}", f"{scratch}/topic/{d}_{f}")
+                os.utime(f"{scratch}/topic/{d}_{f}", (st.st_mtime, st.st_mtime))
+    s = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{scratch}/topic")
+    good, _ = cdc_src.parse_cdc(s)
+    fact = jobs.order_detail_fact_stream(good, lag="0 seconds", order_bound=("3650 days", "3650 days"),
+                                         link_bound="3650 days")
+    q = (fact.writeStream.format("memory").queryName("od_stream").outputMode("append")
+         .option("checkpointLocation", f"{scratch}/ckpt_od").start())
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(tuple(r) for r in spark.table("od_stream").collect())
+    want = sorted(tuple(r) for r in facts.order_detail_versions(ods).drop("replay_order").collect())
+    assert got == want and len(got) > 0
