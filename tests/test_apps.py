@@ -86,3 +86,22 @@ def test_order_detail_fact_stream_equals_batch_versions(spark, scratch):
     got = sorted(tuple(r) for r in spark.table("od_stream").collect())
     want = sorted(tuple(r) for r in facts.order_detail_versions(ods).drop("replay_order").collect())
     assert got == want and len(got) > 0
+
+
+def test_refund_fact_stream_equals_batch(spark, scratch):
+    """J10 on a stream with a wide bound (refund and order changes of the
+    derived feed are years apart) equals the batch fact."""
+    from martflow.operators import facts
+    t = Tables(spark, SF)
+    ods = retail.ods(t, ["order_refund_info", "order_info"])
+    topic_dir(cdc_src.to_topic_value(ods), f"{scratch}/topic", parts=2)
+    s = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{scratch}/topic")
+    good, _ = cdc_src.parse_cdc(s)
+    fact = jobs.refund_fact_stream(good, retail.base_dic(spark), lag="3650 days", bound="3650 days")
+    q = (fact.writeStream.format("memory").queryName("refund_stream").outputMode("append")
+         .option("checkpointLocation", f"{scratch}/ckpt_refund").start())
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(tuple(r) for r in spark.table("refund_stream").collect())
+    want = sorted(tuple(r) for r in facts.refund_fact(ods, retail.base_dic(spark)).collect())
+    assert got == want and len(got) > 0
