@@ -97,6 +97,23 @@ def traffic_window_stream(page_log: DataFrame, size: str = "10 seconds", lag: st
     return decorate_window(g)
 
 
+def home_detail_window_stream(page_log: DataFrame, size: str = "3 seconds", lag: str = "3 seconds") -> DataFrame:
+    """X8 + T3 + A2 + W3 on a page-log stream: daily first home / good_detail
+    view per visitor (two independent states = key (mid, page_id)). The
+    watermark is set before the page filter."""
+    pages = page_log.withWatermark("ts", lag).where(F.col("page_id").isin("home", "good_detail")) \
+                    .select("mid", "page_id", "ts", "event_id")
+    schema = pages.schema
+    firsts = (pages.groupBy("mid", "page_id")
+              .transformWithStateInPandas(FirstOfDay("ts", ["event_id"], "first"), schema, "Append", "None",
+                                          eventTimeColumnName="ts"))
+    m = firsts.select("ts", F.when(F.col("page_id") == "home", 1).otherwise(0).alias("home_uv_ct"),
+                      F.when(F.col("page_id") == "good_detail", 1).otherwise(0).alias("good_detail_uv_ct"))
+    g = tumble(m, "ts", size).groupBy(WIN).agg(F.sum("home_uv_ct").cast("bigint").alias("home_uv_ct"),
+                                               F.sum("good_detail_uv_ct").cast("bigint").alias("good_detail_uv_ct"))
+    return windows.drop_zero(decorate_window(g), ["home_uv_ct", "good_detail_uv_ct"])
+
+
 def cart_uu_window_stream(cart_add: DataFrame, size: str = "5 seconds", ts: str = "et",
                           lag: str = "0 seconds") -> DataFrame:
     """T4 + A3 + W3 + W7 on a cart-add stream."""
