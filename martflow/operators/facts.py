@@ -104,6 +104,15 @@ def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None) ->
     return _attach_orders(od, ods).select(*ORDER_DETAIL_COLS)
 
 
+def order_detail_rows(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
+    """Detail versions that have their order (the inner side of J1) without
+    attaching anything: the cheap input for per-id dedup or retraction.
+    Attaching order, activity and coupon never changes the rows of an id,
+    so dedup first and attach after gives the same result on fewer rows."""
+    oi = cdc.select_changes(ods, "order_info", "c").select(F.col("after")["id"].alias("order_id")).distinct()
+    return _detail_rows(ods, order).join(oi, "order_id", "left_semi")
+
+
 def order_detail_versions(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """The order-detail topic as the DWS jobs read it: every version of
     every detail (replays included), with ``replay_order`` kept so that

@@ -163,20 +163,23 @@ AMOUNT = "decimal(20,4)"
 SUM_AMOUNT = "decimal(38,4)"
 
 
-def latest_details(versions: DataFrame) -> DataFrame:
+def latest_details(versions: DataFrame, deduped: bool = False) -> DataFrame:
     """T7 in front of the order windows: one row per detail id, its last
     version (Q15: the batch twin of the retraction dedup -- summing the
-    +/- rows of T6 gives exactly these sums), with event time ``et``."""
-    last = state.keep_latest(versions, "id", [F.col("replay_order")])
+    +/- rows of T6 gives exactly these sums), with event time ``et``.
+    ``deduped=True`` when the input is already the upsert fact table (one
+    row per id), e.g. ``facts.order_detail_fact``."""
+    last = versions if deduped else state.keep_latest(versions, "id", [F.col("replay_order")])
     return last.withColumn("et", F.timestamp_millis(F.col("ts_ms")))
 
 
-def province_window(versions: DataFrame, provinces: DataFrame, size: str = "2 seconds") -> DataFrame:
+def province_window(versions: DataFrame, provinces: DataFrame, size: str = "2 seconds",
+                    deduped: bool = False) -> DataFrame:
     """T6/T7 + A6 + W2 + J6: per window and province, distinct orders and
     summed order amount, then the province name (looked up after the
     aggregate, so the lookup touches one row per group)."""
     from . import dims
-    d = latest_details(versions).select(
+    d = latest_details(versions, deduped).select(
         "et", "province_id", "order_id", F.col("split_total_amount").cast(AMOUNT).alias("amt"))
     g = (tumble(d, "et", size).groupBy(WIN, "province_id")
          .agg(F.count_distinct("order_id").cast("bigint").alias("order_count"),
@@ -192,12 +195,13 @@ SKU_OUT = ["stt", "edt", "cur_date", "trademark_id", "trademark_name", "category
            "order_amount"]
 
 
-def sku_window(versions: DataFrame, wide_sku: DataFrame, size: str = "10 seconds") -> DataFrame:
+def sku_window(versions: DataFrame, wide_sku: DataFrame, size: str = "10 seconds",
+               deduped: bool = False) -> DataFrame:
     """T6/T7 + A5 + W1 + J7: four decimal sums per window and SKU, then one
     left join to the pre-joined wide SKU dimension (Q13: event time; the
     processing-time variant exists only for streams)."""
     from . import dims
-    d = latest_details(versions).select(
+    d = latest_details(versions, deduped).select(
         "et", "sku_id",
         F.col("split_original_amount").cast(AMOUNT).alias("original_amount"),
         F.col("split_activity_amount").cast(AMOUNT).alias("activity_reduce_amount"),

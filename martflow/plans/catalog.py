@@ -127,49 +127,51 @@ from pyspark.sql import functions as F  # noqa: E402
 AMOUNTS = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 
 
-def _versions(t):
-    return facts.order_detail_versions(retail.ods(t, DETAIL_FEEDS))
-
-
 def _amounts(df):
     return df.select("id", "ts_ms", "replay_order", *[F.col(c).cast("decimal(20,4)").alias(c) for c in AMOUNTS])
 
 
+def _detail_amounts(t):
+    """Detail versions that have an order, with numeric amounts -- nothing
+    else is needed for the per-id dedup, so nothing else is joined."""
+    return _amounts(facts.order_detail_rows(retail.ods(t, ("order_detail", "order_info"))))
+
+
 @query("order_dedup_retract")
 def q_retract(spark, sf_dir):
-    v = _amounts(_versions(_t(spark, sf_dir)))
+    v = _detail_amounts(_t(spark, sf_dir))
     return state.retract_duplicates(v, "id", [F.col("replay_order")], AMOUNTS, sign_col="sign") \
                 .drop("replay_order")
 
 
 @query("order_dedup_latest")
 def q_latest(spark, sf_dir):
-    v = _amounts(_versions(_t(spark, sf_dir)))
+    v = _detail_amounts(_t(spark, sf_dir))
     return state.keep_latest(v, "id", [F.col("replay_order")]).drop("replay_order")
 
 
 @query("province_order_window")
 def q_province(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return windows.province_window(_versions(t), retail.province_dim(t), "2 seconds")
+    return windows.province_window(_detail(t), retail.province_dim(t), "2 seconds", deduped=True)
 
 
 @query("province_order_window_1d")
 def q_province_1d(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return windows.province_window(_versions(t), retail.province_dim(t), "1 day")
+    return windows.province_window(_detail(t), retail.province_dim(t), "1 day", deduped=True)
 
 
 @query("sku_order_window")
 def q_sku(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return windows.sku_window(_versions(t), dims.wide_sku_dim(retail.sku_dims(t)), "10 seconds")
+    return windows.sku_window(_detail(t), dims.wide_sku_dim(retail.sku_dims(t)), "10 seconds", deduped=True)
 
 
 @query("sku_order_window_1d")
 def q_sku_1d(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return windows.sku_window(_versions(t), dims.wide_sku_dim(retail.sku_dims(t)), "1 day")
+    return windows.sku_window(_detail(t), dims.wide_sku_dim(retail.sku_dims(t)), "1 day", deduped=True)
 
 
 def _cart_add_et(t):
