@@ -23,6 +23,8 @@ CORE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Lineage cuts written to spark.checkpoint.dir are removed once unused.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
