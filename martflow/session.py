@@ -20,6 +20,8 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Target shuffle partition size after AQE coalescing.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -53,6 +55,14 @@ def build_session(master: str | None = None, partitions: int | None = None,
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, per_partition: int = 256 << 20, floor: int = 8) -> int:
+    """Initial ``spark.sql.shuffle.partitions`` for a job reading
+    ``input_bytes``: about one partition per ``per_partition`` bytes so each
+    reducer's share fits executor memory without heavy spill (AQE then
+    coalesces small ones). E.g. 100 TB -> ~400k partitions."""
+    return max(floor, -(-int(input_bytes) // per_partition))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and streaming state.
 
