@@ -23,7 +23,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """``transformWithState`` needs the RocksDB state store."""
+    """``transformWithState`` needs the RocksDB state store (T11); every
+    builder below that keeps keyed state sets it on its session."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
@@ -42,6 +43,7 @@ def _time_mode(ttl_ms) -> str:
 def first_of_day_stream(stream: DataFrame, key, ts: str, ties, emit: str = "flag", out: str = "uv_ct",
                         lag: str = "1 second", ttl_ms: int | None = None) -> DataFrame:
     """T2/T3 (``emit='flag'``) or T4 (``emit='first'``) on a stream."""
+    use_rocksdb_state(stream.sparkSession)
     keys = [key] if isinstance(key, str) else list(key)
     schema = stream.schema if emit == "first" else _with(stream.schema, T.StructField(out, T.LongType()))
     return (stream.withWatermark(ts, lag).groupBy(*keys)
@@ -52,6 +54,7 @@ def first_of_day_stream(stream: DataFrame, key, ts: str, ties, emit: str = "flag
 def repair_is_new_stream(stream: DataFrame, key: str, ts: str, ties, flag: str = "is_new",
                          lag: str = "1 second", ttl_ms: int | None = None) -> DataFrame:
     """T1 on a stream (Q5: no TTL unless asked)."""
+    use_rocksdb_state(stream.sparkSession)
     return (stream.withWatermark(ts, lag).groupBy(key)
             .transformWithStateInPandas(RepairIsNew(ts, list(ties), flag, ttl_ms), stream.schema, "Append",
                                         _time_mode(ttl_ms), eventTimeColumnName=ts))
@@ -62,6 +65,7 @@ def login_flags_stream(stream: DataFrame, key: str, ts: str, ties, back_days: in
     """T5 on a stream. ``lag=None`` when the caller already set the
     watermark upstream (e.g. before a filter, so that every source row
     advances event time)."""
+    use_rocksdb_state(stream.sparkSession)
     schema = _with(stream.schema, T.StructField("back_ct", T.LongType()), T.StructField("uu_ct", T.LongType()))
     s = stream if lag is None else stream.withWatermark(ts, lag)
     return (s.groupBy(key)
@@ -72,6 +76,7 @@ def login_flags_stream(stream: DataFrame, key: str, ts: str, ties, back_days: in
 def retract_stream(stream: DataFrame, key: str, order, measures, ts: str | None = None,
                    lag: str = "0 seconds", ttl_ms: int | None = None) -> DataFrame:
     """T6 on a stream: rows plus negated predecessors, column ``sign``."""
+    use_rocksdb_state(stream.sparkSession)
     cols = stream.columns
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields)
     schema = _with(stream.schema, T.StructField("sign", T.IntegerType()))
@@ -101,6 +106,7 @@ def home_detail_window_stream(page_log: DataFrame, size: str = "3 seconds", lag:
     """X8 + T3 + A2 + W3 on a page-log stream: daily first home / good_detail
     view per visitor (two independent states = key (mid, page_id)). The
     watermark is set before the page filter."""
+    use_rocksdb_state(page_log.sparkSession)
     pages = page_log.withWatermark("ts", lag).where(F.col("page_id").isin("home", "good_detail")) \
                     .select("mid", "page_id", "ts", "event_id")
     schema = pages.schema
@@ -140,26 +146,29 @@ def keyword_window_stream(keywords: DataFrame, size: str = "1 second", ts: str =
     return windows.keyword_counts(keywords.withWatermark(ts, lag), size, ts)
 
 
-def province_window_stream(details: DataFrame, provinces: DataFrame, size: str = "2 seconds",
-                           lag: str = "0 seconds") -> DataFrame:
-    """T6 + A6 + W2 + J6 on an order-detail stream (``et`` TIMESTAMP,
-    ``replay_order`` sortable columns flattened by the caller as ``ro``).
+def province_window_stream(details: DataFrame, provinces: DataFrame, order: list[str],
+                           size: str = "2 seconds", lag: str = "0 seconds") -> DataFrame:
+    """T6 + A6 + W2 + J6 on an order-detail stream (``et`` TIMESTAMP, replay
+    order given as scalar columns ``order``).
 
-    Amounts are summed over the +/- rows. Distinct orders use
-    ``size(collect_set)`` (exact; ``count_distinct`` is refused on streams).
-    Q15 caveat: a retraction keeps its old time and lands in the old window;
-    if that window already closed, the retraction is dropped as late -- the
-    batch form (last version per id) equals the stream only when the
-    watermark delay covers the replay gap.
+    Amounts are summed over the +/- rows, so each superseded version cancels
+    in its own window. Distinct orders use ``size(collect_set)`` over the
+    positive rows (exact; ``count_distinct`` is refused on streams).
+    Q15 caveats, kept as in the original: a retraction keeps its old time and
+    lands in the old window -- if that window already closed it is dropped as
+    late, so batch (last version per id) equals the stream only when the
+    watermark delay covers the replay gap; a window holding only superseded
+    versions is still emitted (amount 0); order ids are never retracted.
     """
     from ..operators import dims
-    d = details.select("id", "et", "ro", "province_id", "order_id",
+    d = details.select("id", "et", *order, "province_id", "order_id",
                        F.col("split_total_amount").cast("decimal(20,4)").alias("amt"))
-    r = retract_stream(d, "id", ["ro"], ["amt"], ts="et", lag=lag)
+    r = retract_stream(d, "id", list(order), ["amt"], ts="et", lag=lag)
     g = tumble(r, "et", size).groupBy(WIN, "province_id").agg(
         F.size(F.collect_set(F.when(F.col("sign") > 0, F.col("order_id")))).cast("bigint").alias("order_count"),
         F.sum("amt").cast("decimal(38,4)").alias("order_amount"))
-    return decorate_window(dims.with_province(g, provinces))
+    return decorate_window(dims.with_province(g, provinces)).select(
+        "stt", "edt", "cur_date", "province_id", "province_name", "order_count", "order_amount")
 
 
 def processing_time_window(df: DataFrame, size: str = "10 seconds") -> DataFrame:
