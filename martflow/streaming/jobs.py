@@ -171,6 +171,25 @@ def province_window_stream(details: DataFrame, provinces: DataFrame, order: list
         "stt", "edt", "cur_date", "province_id", "province_name", "order_count", "order_amount")
 
 
+def sku_window_stream(details: DataFrame, wide_sku: DataFrame, order: list[str], size: str = "10 seconds",
+                      lag: str = "0 seconds", processing_time: bool = False) -> DataFrame:
+    """T6 + A5 + J7 on an order-detail stream: the four amounts summed over
+    the +/- rows per window and SKU, then one lookup in the wide SKU
+    dimension. ``processing_time=True`` windows on arrival time instead
+    (W4, the original's mode; Q13) -- run it in update mode."""
+    from ..operators import dims
+    amounts = {"original_amount": "split_original_amount", "activity_reduce_amount": "split_activity_amount",
+               "coupon_reduce_amount": "split_coupon_amount", "order_amount": "split_total_amount"}
+    d = details.select("id", "et", *order, "sku_id",
+                       *[F.col(src).cast("decimal(20,4)").alias(dst) for dst, src in amounts.items()])
+    r = retract_stream(d, "id", list(order), list(amounts), ts="et", lag=lag)
+    r = processing_time_window(r, size) if processing_time else tumble(r, "et", size)
+    g = r.groupBy(WIN, "sku_id").agg(*[F.sum(c).cast("decimal(38,4)").alias(c) for c in amounts])
+    g = dims.with_sku(g, wide_sku).withColumnRenamed("tm_id", "trademark_id") \
+            .withColumnRenamed("tm_name", "trademark_name")
+    return decorate_window(g).select(*windows.SKU_OUT)
+
+
 def processing_time_window(df: DataFrame, size: str = "10 seconds") -> DataFrame:
     """Tumbling window on processing time (the SKU job's original mode);
     only meaningful on a stream in update mode."""
