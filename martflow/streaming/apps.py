@@ -68,32 +68,29 @@ def log_split_app(raw: DataFrame, out: str, lag: str = "3 seconds", **kw):
 # DIM sync (J8, P5, K6, K7, T8, T9)
 # --------------------------------------------------------------------------
 
-def dim_sync_app(ods_values: DataFrame, config_reader, out: str, db: str | None = None, **kw):
+def dim_sync_app(ods_values: DataFrame, config_reader, out: str, db: str | None = None, buckets: int = 64,
+                 **kw):
     """Change feed -> dimension tables. Each micro-batch re-reads the current
     routing config (``config_reader()`` returns the config change feed, so a
     config change applies from the next batch -- the broadcast-state update
     of the original), routes, and merges the batch's fold state into the
-    stored one for the touched rows only (versioned, idempotent per batch
-    id). The stored state keeps each cell's change time, so changes of a
+    stored one; only the hash buckets of the touched rows are rewritten
+    (versioned, idempotent per batch id). The stored state keeps each cell's change time, so changes of a
     row may arrive in any order. Read the visible rows with
     ``routing.dim_rows(sinks.read_upsert_table(spark, out))``."""
     ods, _bad = cdc_src.parse_cdc(ods_values)
 
     def write(batch, batch_id):
         spark = batch.sparkSession
-        new = routing.dim_cells(routing.route_dims(batch, config_reader(), db))
-        cur = sinks.read_upsert_table(spark, out)
+        bucket = sinks.key_bucket(["sink_table", "row_key"], buckets)
+        new = routing.dim_cells(routing.route_dims(batch, config_reader(), db)).withColumn(sinks.BUCKET, bucket)
+        touched = [r[0] for r in new.select(sinks.BUCKET).distinct().collect()]
+        cur = sinks.read_versioned(spark, out, touched, before=batch_id)
         if cur is None:
             state_ = new
         else:
-            touched = new.select("sink_table", "row_key").distinct()
-            keep = cur.join(touched, ["sink_table", "row_key"], "left_anti")
-            old = cur.join(touched, ["sink_table", "row_key"], "left_semi")
-            state_ = keep.unionByName(routing.merge_cells(old, new))
-        vpath = f"{out}/v={batch_id:012d}"
-        state_.write.mode("overwrite").parquet(vpath)
-        spark.createDataFrame([(batch_id, vpath)], "version long, path string") \
-             .write.mode("append").parquet(f"{out}/_versions")
+            state_ = routing.merge_cells(cur, new.drop(sinks.BUCKET)).withColumn(sinks.BUCKET, bucket)
+        sinks.write_versioned(state_, out, batch_id, touched)
 
     return _start(ods, "dim_sync", fn=write, **kw)
 

@@ -67,36 +67,76 @@ def console(df: DataFrame):
 # upsert table (K4 / K6)
 # --------------------------------------------------------------------------
 
-def upsert_batch(batch: DataFrame, batch_id: int, path: str, key, order, op_col: str | None = None) -> None:
+BUCKET = "__bucket"
+
+
+def key_bucket(keys, n: int) -> F.Column:
+    """F20 hash bucket of the (possibly composite) key."""
+    from ..functions.keys import hash_bucket
+    return hash_bucket(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]), n)
+
+
+def read_versioned(spark: SparkSession, path: str, buckets: list[str] | None = None,
+                   before: int | None = None) -> DataFrame | None:
+    """Current rows of a bucket-versioned table (all buckets, or only
+    ``buckets``), as of the versions older than ``before`` if given -- a
+    retried batch must merge into the state before itself. The version log
+    holds one small row per (bucket, version), so the driver reads at most
+    one path per bucket."""
+    try:
+        log = spark.read.parquet(f"{path}/_versions")
+    except Exception:  # nothing written yet
+        return None
+    if buckets is not None:
+        log = log.where(F.col("bucket").isin(list(buckets)))
+    if before is not None:
+        log = log.where(F.col("version") < before)
+    latest = log.groupBy("bucket").agg(F.max_by("path", "version").alias("path")).collect()
+    paths = [r["path"] for r in latest if r["path"]]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def write_versioned(rows: DataFrame, path: str, version: int, touched: list[str]) -> None:
+    """Write the new contents of the ``touched`` buckets as ``version`` and
+    then record them in the version log (a bucket left empty is recorded
+    with no path). Rewriting the same version is idempotent."""
+    spark = rows.sparkSession
+    vpath = f"{path}/v={version:012d}"
+    rows.write.mode("overwrite").partitionBy(BUCKET).parquet(vpath)
+    present = {r[0] for r in rows.select(BUCKET).distinct().collect()}
+    log = [(b, version, f"{vpath}/{BUCKET}={b}" if b in present else None) for b in touched]
+    spark.createDataFrame(log, "bucket string, version long, path string") \
+         .write.mode("append").parquet(f"{path}/_versions")
+
+
+def upsert_batch(batch: DataFrame, batch_id: int, path: str, key, order, op_col: str | None = None,
+                 buckets: int = 64) -> None:
     """K4: merge one micro-batch into a keyed table kept as versions.
 
-    The batch is reduced to its last record per key, merged over the current
-    version (batch rows replace existing keys; rows whose ``op_col`` is 'd'
-    are tombstones and remove the key) and written as version ``batch_id``.
-    A small version log names the current version; writing it last makes
-    the switch atomic for readers, and a retried batch rewrites the same
+    The batch is reduced to its last record per key; keys are hashed into
+    ``buckets`` buckets (F20) and only the buckets the batch touches are
+    rewritten: their current rows, minus the batch's keys, plus the batch's
+    rows (rows whose ``op_col`` is 'd' are tombstones and remove the key).
+    Untouched buckets keep their files. A retried batch rewrites the same
     version."""
     spark = batch.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    latest = state.keep_latest(batch, keys, order)
-    cur = read_upsert_table(spark, path)
-    merged = latest if cur is None else cur.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
+    latest = state.keep_latest(batch, keys, order).withColumn(BUCKET, key_bucket(keys, buckets))
+    touched = [r[0] for r in latest.select(BUCKET).distinct().collect()]  # at most `buckets` values
+    cur = read_versioned(spark, path, touched, before=batch_id)
+    if cur is not None:
+        cur = cur.withColumn(BUCKET, key_bucket(keys, buckets))
+        merged = cur.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
+    else:
+        merged = latest
     if op_col:
         merged = merged.where(F.coalesce(F.col(op_col), F.lit("")) != "d")
-    vpath = f"{path}/v={batch_id:012d}"
-    merged.write.mode("overwrite").parquet(vpath)
-    spark.createDataFrame([(batch_id, vpath)], "version long, path string") \
-         .write.mode("append").parquet(f"{path}/_versions")
+    write_versioned(merged, path, batch_id, touched)
 
 
 def read_upsert_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """Current version of an upsert table (None before the first batch)."""
-    try:
-        log = spark.read.parquet(f"{path}/_versions")
-    except Exception:  # no version yet
-        return None
-    row = log.orderBy(F.col("version").desc()).select("path").first()
-    return spark.read.parquet(row["path"]) if row else None
+    """Current contents of an upsert table (None before the first batch)."""
+    return read_versioned(spark, path)
 
 
 def upsert_stream(stream: DataFrame, path: str, key, order, name: str, op_col: str | None = None,
