@@ -153,14 +153,17 @@ def upsert_stream(stream: DataFrame, path: str, key, order, name: str, op_col: s
 # multi-output log split (R1) and table append (K5)
 # --------------------------------------------------------------------------
 
-def split_log_batch(batch: DataFrame, batch_id: int, base: str) -> None:
+def split_log_batch(batch: DataFrame, batch_id: int, base: str, repair: bool = False) -> None:
     """R1 inside ``foreachBatch``: parse the micro-batch once (persisted),
     write the five outputs and the dirty lines as JSON text, then release.
     Each output of a batch goes to ``<base>/<name>/batch=<id>`` so a retried
-    batch replaces its own files."""
+    batch replaces its own files. The new-visitor repair needs keyed state
+    across batches, so it is off here; ``apps.log_split_app`` is the full job
+    (stateful repair before the split). ``repair=True`` repairs within the
+    batch only (for one-off backfills of a complete log)."""
     batch.persist()
     try:
-        parts = logsplit.split_log(batch)
+        parts = logsplit.split_log(batch, repair=repair)
         for name, df in parts.items():
             out = df if name == "dirty" else logsplit.to_json_lines(df)
             out.write.mode("overwrite").text(f"{base}/{name}/batch={batch_id}")
