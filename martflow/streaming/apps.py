@@ -104,9 +104,12 @@ def fact_route_app(ods_values: DataFrame, config_reader, out: str, **kw):
     ods, _bad = cdc_src.parse_cdc(ods_values)
 
     def write(batch, batch_id):
+        # One folder per sink table (topic) and batch; dynamic overwrite
+        # replaces only this batch's folders, so a retried batch is idempotent.
         r = routing.route_facts(batch, config_reader())
-        r.withColumn("data", F.to_json("data")).withColumn("batch", F.lit(batch_id)) \
-         .write.mode("overwrite").partitionBy("sink_table", "batch").json(f"{out}/batch_{batch_id}")
+        (r.withColumn("data", F.to_json("data")).withColumn("batch", F.lit(batch_id))
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("sink_table", "batch").json(out))
 
     return _start(ods, "fact_route", fn=write, **kw)
 

@@ -14,8 +14,9 @@ SF = "/root/testdata/sf0.001"
 
 
 def topic_dir(df, path, parts=3):
-    """Write a text topic as a few files with increasing mtimes."""
-    df.repartition(parts).write.text(path)
+    """Write a text topic as a few files with increasing mtimes (one file
+    keeps the input's order)."""
+    (df.coalesce(1) if parts == 1 else df.repartition(parts)).write.text(path)
     for i, f in enumerate(sorted(x for x in os.listdir(path) if x.startswith("part-"))):
         os.utime(f"{path}/{f}", (1_000_000 + i, 1_000_000 + i))
 
@@ -220,3 +221,52 @@ def test_sku_window_stream_amounts_equal_batch(spark, scratch):
     for k, v_ in want.items():
         assert got[k] == v_, k
     assert all(v_[1] == Decimal("0") for k, v_ in got.items() if k not in want)
+
+
+def _run_app(q):
+    q.processAllAvailable()
+    q.stop()
+
+
+def test_simple_fact_apps_equal_batch(spark, scratch):
+    """cart-add, comment and config-routed facts as stream apps."""
+    from martflow.operators import facts
+    t = Tables(spark, SF)
+    ods = retail.ods(t, ["cart_info", "comment_info", "refund_payment"])
+    topic_dir(cdc_src.to_topic_value(ods), f"{scratch}/ods", parts=3)
+    src = lambda: spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{scratch}/ods")
+    ck = f"{scratch}/ckpt"
+    _run_app(apps.cart_add_app(src(), f"{scratch}/cart", checkpoint=ck))
+    _run_app(apps.comment_app(src(), retail.base_dic(spark), f"{scratch}/comment", checkpoint=ck))
+    _run_app(apps.fact_route_app(src(), lambda: config.fact_config_feed(spark), f"{scratch}/route", checkpoint=ck))
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/cart").collect())
+    assert got == sorted(tuple(r) for r in facts.cart_add_fact(ods).collect())
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/comment").collect())
+    assert got == sorted(tuple(r) for r in facts.comment_fact(ods, retail.base_dic(spark)).collect())
+    routed = spark.read.json(f"{scratch}/route")
+    want = routing.route_facts(ods, config.fact_config_feed(spark))
+    assert sorted((r.sink_table, r.data) for r in routed.select("sink_table", "data").collect()) == \
+        sorted((r.sink_table, r.data) for r in want.select("sink_table", F.to_json("data").alias("data")).collect())
+
+
+def test_traffic_app_on_page_topic(spark, scratch):
+    """Page topic (the log split's page output as JSON lines) -> traffic
+    windows, equal to the batch window over the same page records."""
+    from martflow.operators import windows
+    raw = applog.app_log_text(Tables(spark, SF)).checkpoint()
+    pages = logsplit.to_json_lines(logsplit.split_log(raw)["page"])
+    sentinel = spark.createDataFrame(
+        [('{"common":{"mid":"zz","vc":"v","ch":"c","ar":"a","is_new":"0"},"page":{"page_id":"home"},'
+          '"ts":4102444800000}',)], "value string")
+    topic_dir(pages.orderBy(F.get_json_object("value", "$.ts").cast("long")), f"{scratch}/pages", parts=1)
+    topic_dir(sentinel, f"{scratch}/pages_s", parts=1)
+    for f in os.listdir(f"{scratch}/pages_s"):
+        if f.startswith("part-"):
+            os.link(f"{scratch}/pages_s/{f}", f"{scratch}/pages/zz_{f}")
+            os.utime(f"{scratch}/pages/zz_{f}", (9_000_000, 9_000_000))
+    s = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{scratch}/pages")
+    _run_app(apps.traffic_app(s, f"{scratch}/traffic", size="1 hour", checkpoint=f"{scratch}/ckpt"))
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/traffic").collect())
+    flat = cdc_src.page_topic_table(pages, lag=None).withColumn("event_id", F.col("ts_ms"))
+    want = sorted(tuple(r) for r in windows.traffic_window(flat, "1 hour").collect())
+    assert got == want and len(got) > 0
