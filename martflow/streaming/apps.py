@@ -144,4 +144,4 @@ def keyword_app(page_values: DataFrame, texts: DataFrame, out: str, size: str =
     """Page topic -> search keywords per window (static text table)."""
     pl = cdc_src.page_topic_table(page_values, lag="0 seconds")
     kws = text.search_keywords(text.search_rows(pl), texts)
-    return _start(jobs.keyword_window_stream(kws, size), "keywords", path=out, **kw)
+    return _start(jobs.keyword_window_stream(kws, size, lag=None), "keywords", path=out, **kw)

@@ -141,9 +141,11 @@ def login_window_stream(page_log: DataFrame, size: str = "3 hours", back_days: i
 
 
 def keyword_window_stream(keywords: DataFrame, size: str = "1 second", ts: str = "et",
-                          lag: str = "0 seconds") -> DataFrame:
-    """A7 + W5 + W7: keyword rows (ts, keyword, cnt) counted per window."""
-    return windows.keyword_counts(keywords.withWatermark(ts, lag), size, ts)
+                          lag: str | None = "0 seconds") -> DataFrame:
+    """A7 + W5 + W7: keyword rows (ts, keyword, cnt) counted per window.
+    ``lag=None`` when the watermark was set upstream (on the page topic)."""
+    k = keywords if lag is None else keywords.withWatermark(ts, lag)
+    return windows.keyword_counts(k, size, ts)
 
 
 def province_window_stream(details: DataFrame, provinces: DataFrame, order: list[str],

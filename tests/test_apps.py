@@ -270,3 +270,24 @@ def test_traffic_app_on_page_topic(spark, scratch):
     flat = cdc_src.page_topic_table(pages, lag=None).withColumn("event_id", F.col("ts_ms"))
     want = sorted(tuple(r) for r in windows.traffic_window(flat, "1 hour").collect())
     assert got == want and len(got) > 0
+
+
+def test_keyword_app_on_page_topic(spark, scratch):
+    """Search pages of the page topic -> keyword counts per window, the
+    search texts looked up in the documents table (stream-static join)."""
+    from martflow.operators import text as text_ops, windows
+    t = Tables(spark, SF)
+    raw = applog.app_log_text(t).checkpoint()
+    pages = logsplit.to_json_lines(logsplit.split_log(raw)["page"])
+    sentinel = spark.createDataFrame(
+        [('{"common":{"mid":"zz"},"page":{"page_id":"x","last_page_id":"search","item_type":"keyword",'
+          '"item":"0"},"ts":4102444800000}',)], "value string")
+    topic_dir(pages.unionByName(sentinel).orderBy(F.get_json_object("value", "$.ts").cast("long")),
+              f"{scratch}/pages", parts=1)
+    s = spark.readStream.format("text").load(f"{scratch}/pages")
+    _run_app(apps.keyword_app(s, t.documents, f"{scratch}/kw", size="1 day", checkpoint=f"{scratch}/ckpt"))
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/kw").collect())
+    flat = cdc_src.page_topic_table(pages, lag=None)
+    want = sorted(tuple(r) for r in windows.keyword_counts(
+        text_ops.search_keywords(text_ops.search_rows(flat), t.documents), "1 day").collect())
+    assert got == want and len(got) > 0
