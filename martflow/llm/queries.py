@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, packing, secrets, sharding
+from . import chat, embdup, langid, neardup, packing, secrets, sharding
 from .common import held_out, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op2_sorted_projection_dedup(spark, sf_dir):
+    return embdup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_schema_fingerprint_chat(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -47,6 +52,11 @@ def op4_subword_langid(spark, sf_dir):
     return found.select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op6_minmax_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 @query
 def op7_trigram_secrets(spark, sf_dir):
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
