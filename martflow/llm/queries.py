@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embdup, langid, neardup, packing, secrets, sharding
+from . import chat, embdup, langid, lmscore, neardup, packing, secrets, sharding, tiling
 from .common import held_out, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_ppm_score(spark, sf_dir):
+    held = held_out("doc_id", 7)
+    scored = lmscore.score(table(spark, sf_dir, "documents"), held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op2_sorted_projection_dedup(spark, sf_dir):
     return embdup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
@@ -73,6 +80,15 @@ def op8_hypergeometric_shards(spark, sf_dir):
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op9_string_tiling(spark, sf_dir):
+    """The contaminated documents."""
+    found = tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "text_key").agg(
+        F.max("coverage").alias("coverage"), F.array_sort(F.collect_set("item_id")).alias("item_ids")) \
+        .select("doc_id", "coverage", "item_ids")
+
+
 @query
 def op10_hilbert_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)

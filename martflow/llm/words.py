@@ -19,10 +19,13 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: All ASCII but letters and digits: words without punctuation.
+NO_WORD = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _TABLE = np.random.Generator(np.random.PCG64(20240607)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_RUN = np.uint64(0xA24BAED4963EE407)
 _pow: dict[str, np.ndarray] = {}
 
 
@@ -73,13 +76,13 @@ def slices(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
 class Words:
     """Words of a slice of texts: byte bounds, owning text, 64-bit hash."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, fold: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE):
         n = len(data)
         self.n_texts = len(offsets) - 1
-        self.bytes = LOWER[data] if fold else data
+        self.bytes = LOWER[data]
         solid = np.empty(n + 2, dtype=bool)
         solid[0] = solid[-1] = False
-        np.logical_not(SPACE[data], out=solid[1:-1])
+        np.logical_not(between[data], out=solid[1:-1])
         first = solid[1:-1] & ~solid[:-2]
         last = solid[1:-1] & ~solid[2:]
         # A text's edge is a word edge too.
@@ -106,26 +109,34 @@ class Words:
         h = (s[self.end] - s[self.start]) * down[self.start]
         return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
+    def grams(self, k: int, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(running hash, first word's number) of every k words of one text."""
+        h = self.hashes() if h is None else h
+        n = len(h) - k + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        out = h[:n].copy()
+        for j in range(1, k):
+            out *= _RUN
+            out += h[j:n + j]
+        at = np.flatnonzero(self.text[:n] == self.text[k - 1:])
+        return mix(out[at] + np.uint64(k)), at
+
     def shingles(self, k: int, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(hash, text) of every k-word shingle; a text of fewer words has its
         whole word sequence as its one shingle; no words, none."""
         h = self.hashes() if h is None else h
-        n = len(h)
-        if not n:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        m = np.uint64(0xA24BAED4963EE407)
-        left = self.first[self.text + 1] - np.arange(n)  # words of the text from here on
-        opens = np.arange(n) == self.first[self.text]
-        out = np.zeros(n, dtype=np.uint64)
-        for j in range(k):
-            # words beyond the text's end add nothing: only short texts keep those
-            inside = left > j
-            nxt = np.zeros(n, dtype=np.uint64)
-            nxt[:n - j] = h[j:]
-            out = np.where(inside, out * m + nxt, out)
-        keep = (left >= k) | (opens & (self.counts[self.text] < k))
-        size = np.minimum(left[keep], k).astype(np.uint64)
-        return mix(out[keep] + size), self.text[keep]
+        out, at = self.grams(k, h)
+        text = self.text[at]
+        short = np.flatnonzero((self.counts > 0) & (self.counts < k))
+        if len(short):
+            first, size = self.first[short], self.counts[short]
+            few = h[first].copy()
+            for j in range(1, k):
+                more = size > j
+                few[more] = few[more] * _RUN + h[first[more] + j]
+            out, text = np.concatenate((out, mix(few + size.astype(np.uint64)))), np.concatenate((text, short))
+        return out, text
 
 
 def unique_per_text(h: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
