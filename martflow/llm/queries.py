@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embdup, langid, lmscore, neardup, packing, secrets, sharding, tiling
+from . import chat, embdup, langid, lmscore, neardup, packing, quality, secrets, sharding, tiling
 from .common import held_out, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op4_subword_langid(spark, sf_dir):
     return found.select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op5_kn_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
+
+
 @query
 def op6_minmax_dedup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
