@@ -29,13 +29,13 @@ def join_list(arr, sep: str = ",") -> Column:
 def upper_first(c) -> Column:
     """upper-case only the first character."""
     c = _c(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
 
 
 def lower_first(c) -> Column:
     """lower-case only the first character."""
     c = _c(c)
-    return F.concat(F.lower(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
+    return F.concat(F.lower(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
 
 
 def pad(c, width: int, ch: str = "0") -> Column:

@@ -1,7 +1,7 @@
 """Change-record operators: gates, selectors, projections.
 
 All are single-row expressions over the envelope columns
-``before / after / source / op / ts_ms``; they run unchanged on a stream.
+``before / after / source / op / ts_ms / pos``; they run unchanged on a stream.
 """
 
 from __future__ import annotations
@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def change_order(df: DataFrame) -> list[Column]:
+    """The total order of changes: time, then log position where there is one."""
+    return [F.col("ts_ms"), *([F.col("pos")] if "pos" in df.columns else [])]
+
+
 def image() -> Column:
     """The row image of a change -- ``before`` for deletes, else ``after``."""
     return F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))

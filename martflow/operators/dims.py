@@ -1,10 +1,8 @@
 """Dimension lookups.
 
-A lookup is a join. Fixed-size tables (the dictionary) are broadcast. Tables
-that grow with the business (SKUs, provinces, ...) are broadcast only after a
-bounded row count shows they are small; beyond the bound the join stays a
-shuffle join, and adaptive execution can still switch to broadcast at run
-time from real sizes.
+A lookup is a join; how it runs is left to Catalyst and adaptive execution,
+which know the sides' bytes. Only lists written out in the code (the
+dictionary) come with a broadcast hint, given where the list is made.
 """
 
 from __future__ import annotations
@@ -13,26 +11,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cdc import flatten_dict
-from .joins import SMALL_ROWS, bounded_broadcast  # noqa: F401
 
 
 def dict_lookup(df: DataFrame, dic: DataFrame, key: str, out: str, how: str = "inner",
                 code_col: str = "dic_code", name_col: str = "dic_name") -> DataFrame:
     """Lookup of a code in the dictionary (``FOR SYSTEM_TIME AS OF
     proc_time``): adds ``out`` = the code's name. Inner drops unknown codes.
-    The dictionary is a short list, broadcast after the size check; join it twice
-    under different ``out`` names for two codes."""
+    Join it twice under different ``out`` names for two codes."""
     d = dic
     if "info" in d.columns:
         d = flatten_dict(d)
-    d = bounded_broadcast(d.select(F.col(code_col).alias("__code"), F.col(name_col).alias(out)), SMALL_ROWS)
+    d = d.select(F.col(code_col).alias("__code"), F.col(name_col).alias(out))
     return df.join(d, F.col(key) == F.col("__code"), how).drop("__code")
 
 
 def with_province(df: DataFrame, provinces: DataFrame, key: str = "province_id") -> DataFrame:
     """Province name by id; a missing province gives a null name (Q14:
     the original failed the job)."""
-    p = bounded_broadcast(provinces.select(F.col("id").alias("__pid"), F.col("name").alias("province_name")))
+    p = provinces.select(F.col("id").alias("__pid"), F.col("name").alias("province_name"))
     return df.join(p, F.col(key) == F.col("__pid"), "left").drop("__pid")
 
 
@@ -59,5 +55,5 @@ def wide_sku_dim(dims: dict[str, DataFrame]) -> DataFrame:
 def with_sku(df: DataFrame, wide: DataFrame, key: str = "sku_id") -> DataFrame:
     """J7 applied: one left join of (already aggregated) rows to the wide
     SKU dimension."""
-    w = bounded_broadcast(wide.withColumnRenamed("sku_id", "__sku"))
+    w = wide.withColumnRenamed("sku_id", "__sku")
     return df.join(w, F.col(key) == F.col("__sku"), "left").drop("__sku")

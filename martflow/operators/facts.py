@@ -17,18 +17,28 @@ from ..functions.dates import flexible_date, ms_to_date
 from . import cdc, dims, state
 
 
+def _last(df: DataFrame, key: str) -> DataFrame:
+    """The last version per key by change order; ``pos`` is not kept."""
+    return state.keep_latest(df, key, cdc.change_order(df)).drop("pos")
+
+
 # --------------------------------------------------------------------------
-# cart add (Addthefactsheet)
+# cart add
 # --------------------------------------------------------------------------
 
 def cart_add_fact(ods: DataFrame) -> DataFrame:
     """X2 + X5 + P9 + P15: cart additions -- inserts, and updates that raised
     the quantity, with ``sku_num`` = the added quantity; ``ts_ms`` is bound
     to the sink column ``ts`` by position."""
+    return _last(cart_add_rows(ods), "id").withColumnRenamed("ts_ms", "ts")
+
+
+def cart_add_rows(ods: DataFrame) -> DataFrame:
+    """Every cart addition of the feed, replays included (``ts_ms``, ``pos``)."""
     c = cdc.quantity_increased(cdc.select_changes(ods, "cart_info", ("c", "u")), "sku_num")
     a = F.col("after")
     return c.select(a["id"].alias("id"), a["user_id"].alias("user_id"), a["sku_id"].alias("sku_id"),
-                    cdc.quantity_delta("sku_num").alias("sku_num"), F.col("ts_ms").alias("ts"))
+                    cdc.quantity_delta("sku_num").alias("sku_num"), *cdc.change_order(ods))
 
 
 # --------------------------------------------------------------------------
@@ -70,37 +80,51 @@ def _detail_rows(ods: DataFrame, order: Sequence[Column] | None) -> DataFrame:
         F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order or detail_order())]).alias("replay_order"))
 
 
+def _orders(ods: DataFrame) -> DataFrame:
+    """The last inserted version of every order: its user and province."""
+    oi = cdc.select_changes(ods, "order_info", "c")
+    a = F.col("after")
+    last = F.max(F.struct(*cdc.change_order(ods), a["user_id"].alias("user_id"), a["province_id"].alias("province_id")))
+    return oi.groupBy(a["id"].alias("__oid")).agg(last.alias("__o")).select("__oid", "__o.user_id", "__o.province_id")
+
+
+LINKS = {"order_detail_activity": ["activity_id", "activity_rule_id"], "order_detail_coupon": ["coupon_id"]}
+
+
+def _links(ods: DataFrame, table: str) -> DataFrame:
+    """(id, link): a detail's activity or coupon records in change order."""
+    a = F.col("after")
+    return cdc.select_changes(ods, table, "c").select(
+        a["order_detail_id"].alias("id"),
+        F.struct(*cdc.change_order(ods), *[a[c].alias(c) for c in LINKS[table]]).alias("link"))
+
+
 def _attach_orders(od: DataFrame, ods: DataFrame) -> DataFrame:
-    """J1 + J2: join detail rows to their order (inner) and to the detail's
-    activity and coupon (left outer), add ``date_id`` (Q7)."""
-    oi = cdc.project(cdc.select_changes(ods, "order_info", "c"),
-                     {"__oid": "id", "user_id": "user_id", "province_id": "province_id"})
-    # One order_info insert per order id; keep the last if the feed replays it.
-    oi = oi.groupBy("__oid").agg(F.max(F.struct("user_id", "province_id")).alias("__o")) \
-           .select("__oid", "__o.user_id", "__o.province_id")
-    act = cdc.project(cdc.select_changes(ods, "order_detail_activity", "c"),
-                      {"__aid": "order_detail_id", "activity_id": "activity_id",
-                       "activity_rule_id": "activity_rule_id"})
-    cou = cdc.project(cdc.select_changes(ods, "order_detail_coupon", "c"),
-                      {"__cid": "order_detail_id", "coupon_id": "coupon_id"})
-    j = (od.join(act, F.col("id") == F.col("__aid"), "left")
-           .join(cou, F.col("id") == F.col("__cid"), "left")
-           .join(oi, F.col("order_id") == F.col("__oid"), "inner"))
-    return j.withColumn("date_id", flexible_date("create_time"))
+    """Join detail rows to their order (inner), add ``date_id`` (Q7)."""
+    return od.join(_orders(ods), F.col("order_id") == F.col("__oid"), "inner") \
+             .withColumn("date_id", flexible_date("create_time"))
 
 
 def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """J1 + J2 as an upsert table: the last version of every order detail,
-    joined to its order (inner) and to its activity and coupon (left).
+    joined to its order (inner) and to its last activity and coupon (left).
     ``date_id`` is the date of ``create_time`` (Q7: epoch-ms text is read as
     a time).
 
-    Plan: detail rows are reduced to their last version per id first (an
-    aggregate hash-partitioned by id); activity and coupon are keyed by the
-    same id, so both left joins reuse that partitioning; only the order join
-    re-shuffles, on order_id.
+    Plan: details, activities and coupons are keyed by the same id, so they
+    are one union folded by one aggregate (partial before the shuffle), which
+    does the left joins too; then one join to the folded orders.
     """
-    od = state.keep_latest(_detail_rows(ods, order), "id", [F.col("replay_order")])
+    rows = _detail_rows(ods, order)
+    payload = [c for c in rows.columns if c not in ("id", "replay_order")]
+    kinds = {"d": rows.select("id", F.struct("replay_order", *payload).alias("d"))}
+    kinds |= {t: _links(ods, t).withColumnRenamed("link", t) for t in LINKS}
+    union = None
+    for name, df in kinds.items():
+        union = df if union is None else union.unionByName(df, allowMissingColumns=True)
+    folded = union.groupBy("id").agg(*[F.max(k).alias(k) for k in kinds]).where(F.col("d").isNotNull())
+    od = folded.select("id", *[F.col(f"d.{c}").alias(c) for c in payload],
+                       *[F.col(f"{t}.{c}").alias(c) for t, cols in LINKS.items() for c in cols])
     return _attach_orders(od, ods).select(*ORDER_DETAIL_COLS)
 
 
@@ -117,7 +141,12 @@ def order_detail_versions(ods: DataFrame, order: Sequence[Column] | None = None)
     """The order-detail topic as the DWS jobs read it: every version of
     every detail (replays included), with ``replay_order`` kept so that
     downstream dedup (T6/T7) knows which version came last."""
-    return _attach_orders(_detail_rows(ods, order), ods).select(*ORDER_DETAIL_COLS, "replay_order")
+    od = _detail_rows(ods, order)
+    for t, cols in LINKS.items():
+        link = _links(ods, t).groupBy(F.col("id").alias("__lid")).agg(F.max("link").alias("__l")) \
+            .select("__lid", *[F.col(f"__l.{c}").alias(c) for c in cols])
+        od = od.join(link, F.col("id") == F.col("__lid"), "left").drop("__lid")
+    return _attach_orders(od, ods).select(*ORDER_DETAIL_COLS, "replay_order")
 
 
 # --------------------------------------------------------------------------
@@ -133,10 +162,11 @@ ORDER_CANCEL_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "provinc
 def order_cancel_fact(detail: DataFrame, ods: DataFrame) -> DataFrame:
     """X3 + J3: order-detail facts of orders cancelled (1001 -> 1003);
     ``cancel_time`` = the update's operate_time, ``date_id`` its date,
-    ``ts_ms`` the cancel change's time."""
+    ``ts_ms`` the cancel change's time; the last cancellation of an order
+    counts."""
     c = cdc.transitioned(cdc.select_changes(ods, "order_info", "u"), "order_status", "1001", "1003")
-    c = c.select(F.col("after")["id"].alias("__oid"), F.col("after")["operate_time"].alias("cancel_time"),
-                 F.col("ts_ms").alias("__cts"))
+    c = _last(c.select(F.col("after")["id"].alias("__oid"), F.col("after")["operate_time"].alias("cancel_time"),
+                       *cdc.change_order(c)), "__oid").withColumnRenamed("ts_ms", "__cts")
     j = detail.drop("date_id", "create_time", "ts_ms").join(c, F.col("order_id") == F.col("__oid"), "inner")
     return (j.withColumn("date_id", flexible_date("cancel_time"))
              .withColumnRenamed("__cts", "ts_ms").select(*ORDER_CANCEL_COLS))
@@ -157,7 +187,7 @@ def payment_fact(detail: DataFrame, ods: DataFrame, dic: DataFrame,
                  status: str = "1602", interval: tuple[str, str] | None = None,
                  detail_time: str = "create_time") -> DataFrame:
     """X4 + J4 + J5: successful payments joined to the order's detail facts
-    and to the payment-type name.
+    and to the payment-type name; the last payment of an order counts.
 
     Q10: the source table and status are parameters (the original reads
     refund_payment / 1602). ``interval=(before, after)`` -- e.g.
@@ -167,9 +197,9 @@ def payment_fact(detail: DataFrame, ods: DataFrame, dic: DataFrame,
     """
     p = cdc.changed_to(cdc.select_changes(ods, source_table, "u"), status_col, status)
     a = F.col("after")
-    p = p.select(a["order_id"].alias("__poid"), a["payment_type"].alias("payment_type_code"),
-                 a["callback_time"].alias("callback_time"), F.col("ts_ms").alias("__pts"),
-                 F.timestamp_millis(F.col("ts_ms")).alias("__pet"))
+    p = _last(p.select(a["order_id"].alias("__poid"), a["payment_type"].alias("payment_type_code"),
+                       a["callback_time"].alias("callback_time"), *cdc.change_order(p)), "__poid") \
+        .withColumn("__pet", F.timestamp_millis("ts_ms")).withColumnRenamed("ts_ms", "__pts")
     cond = F.col("order_id") == F.col("__poid")
     d = detail
     if interval is not None:
@@ -206,9 +236,11 @@ def refund_fact(ods: DataFrame, dic: DataFrame, ops: Sequence[str] = ("r", "c"))
                       "refund_type_code": "refund_type", "refund_num": "refund_num",
                       "refund_amount": "refund_amount", "refund_reason_type_code": "refund_reason_type",
                       "refund_reason_txt": "refund_reason_txt", "create_time": "create_time"},
-                     keep=["ts_ms"])
+                     keep=cdc.change_order(ods))
+    ri = _last(ri, "id")
     oi = cdc.changed_to(cdc.select_changes(ods, "order_info", "u"), "order_status", "1005")
-    oi = oi.select(F.col("after")["id"].alias("__oid"), F.col("after")["province_id"].alias("province_id"))
+    oi = _last(oi.select(F.col("after")["id"].alias("__oid"), F.col("after")["province_id"].alias("province_id"),
+                         *cdc.change_order(oi)), "__oid").drop("ts_ms")
     j = ri.join(oi, F.col("order_id") == F.col("__oid"), "inner")
     j = dims.dict_lookup(j, dic, "refund_type_code", "refund_type_name", "inner")
     j = dims.dict_lookup(j, dic, "refund_reason_type_code", "refund_reason_type_name", "inner")
@@ -223,9 +255,16 @@ COMMENT_COLS = ["id", "user_id", "sku_id", "appraise", "appraise_name", "comment
 
 
 def comment_fact(ods: DataFrame, dic: DataFrame, ops: Sequence[str] = ("r", "c")) -> DataFrame:
-    """X6 + J5: comments with the appraisal name (inner lookup: unknown
-    appraisal codes are dropped). Q8 as for refunds."""
-    c = cdc.project(cdc.select_changes(ods, "comment_info", ops),
-                    ["id", "user_id", "sku_id", "appraise", "comment_txt"], keep=["ts_ms"])
-    j = dims.dict_lookup(c, dic, "appraise", "appraise_name", "inner")
-    return j.select(*COMMENT_COLS)
+    """X6 + J5: the last version of each comment with the appraisal name (inner
+    lookup: unknown appraisal codes are dropped). Q8 as for refunds."""
+    return named_comments(_last(comment_rows(ods, ops), "id"), dic)
+
+
+def comment_rows(ods: DataFrame, ops: Sequence[str] = ("r", "c")) -> DataFrame:
+    """Every comment record of the feed, replays included."""
+    return cdc.project(cdc.select_changes(ods, "comment_info", ops),
+                       ["id", "user_id", "sku_id", "appraise", "comment_txt"], keep=cdc.change_order(ods))
+
+
+def named_comments(comments: DataFrame, dic: DataFrame) -> DataFrame:
+    return dims.dict_lookup(comments, dic, "appraise", "appraise_name", "inner").select(*COMMENT_COLS)

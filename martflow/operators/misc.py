@@ -41,10 +41,11 @@ def with_event_day(df: DataFrame, value_col: str, out: str = "day") -> DataFrame
 def write_day_partitioned(df: DataFrame, path: str, value_col: str, max_records: int = 1_000_000,
                           fmt: str = "parquet", mode: str = "append") -> None:
     """K8 sink: rows written under ``day=yyyyMMdd`` folders. Rows are first
-    clustered by day so each task writes few files; ``maxRecordsPerFile``
-    rolls big days into several files (the size-based roll)."""
+    rebalanced by day, so a task writes few files and adaptive execution
+    splits a big day (or the error bucket) over several tasks;
+    ``maxRecordsPerFile`` rolls files by size."""
     d = with_event_day(df, value_col)
-    (d.repartition("day").write.mode(mode).format(fmt).option("maxRecordsPerFile", max_records)
+    (d.hint("rebalance", "day").write.mode(mode).format(fmt).option("maxRecordsPerFile", max_records)
        .partitionBy("day").save(path))
 
 

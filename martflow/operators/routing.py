@@ -1,10 +1,10 @@
 """Config-driven routing of the change feed.
 
 The routing configuration is itself a change feed; its current state
-(``state.latest_config``) has one row per routed source table, i.e. it is
-bounded by the number of tables in the source database, so it is broadcast
-to every task -- the Spark counterpart of broadcast state. Business rows
-are matched by a hash join against it, never by a driver-side lookup.
+(``state.latest_config``) has one row per routed source table. Business rows
+are joined to it. A configuration that is a list in the code carries a
+broadcast hint from its source; one read from a table is broadcast if its
+bytes say so. Never a driver-side lookup.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import cdc, state
-from .joins import SMALL_ROWS, bounded_broadcast
 
 
 # --------------------------------------------------------------------------
@@ -22,7 +21,7 @@ from .joins import SMALL_ROWS, bounded_broadcast
 
 def route_dims(ods: DataFrame, config_feed: DataFrame, db: str | None = None) -> DataFrame:
     """X1 + P8 + J8 + P5 + K7: each gated change becomes
-    ``(sink_table, row_key, op, ts_ms, data)`` where ``data`` is the change's
+    ``(sink_table, row_key, op, ts_ms, pos, data)`` where ``data`` is the change's
     image pruned to the configured ``sink_columns``.
 
     Only source tables present in the current config are routed (inner
@@ -33,11 +32,12 @@ def route_dims(ods: DataFrame, config_feed: DataFrame, db: str | None = None) ->
         "source_table", "sink_table", "sink_columns", "sink_row_key",
         F.col("op").alias("__cfg_op"), F.col("ts_ms").alias("__cfg_ts"))
     g = cdc.cdc_gate(ods, db).select(F.col("source")["table"].alias("__src"), "op", "ts_ms",
-                                     cdc.image().alias("data"))
-    j = g.join(bounded_broadcast(cfg, SMALL_ROWS), F.col("__src") == F.col("source_table"), "inner")
+                                     *(["pos"] if "pos" in ods.columns else []), cdc.image().alias("data"))
+    j = g.join(cfg, F.col("__src") == F.col("source_table"), "inner")
     j = j.where((F.col("__cfg_op") != "u") | (F.col("ts_ms") >= F.col("__cfg_ts")))
     j = cdc.prune_payload(j, "data", "sink_columns")
-    return j.select("sink_table", F.col("data")[F.col("sink_row_key")].alias("row_key"), "op", "ts_ms", "data")
+    pos = F.col("pos") if "pos" in ods.columns else F.lit(0).cast("bigint").alias("pos")
+    return j.select("sink_table", F.col("data")[F.col("sink_row_key")].alias("row_key"), "op", "ts_ms", pos, "data")
 
 
 def fold_routed_dims(routed: DataFrame) -> DataFrame:
@@ -52,12 +52,12 @@ def fold_routed_dims(routed: DataFrame) -> DataFrame:
     return dim_rows(dim_cells(routed))
 
 
-CELL_SCHEMA = "sink_table string, row_key string, k string, m struct<s:bigint,v:string>"
+CELL_SCHEMA = "sink_table string, row_key string, k string, m struct<s:struct<ts:bigint,pos:bigint>,v:string>"
 
 
 def dim_cells(routed: DataFrame) -> DataFrame:
     """The fold state: per (sink_table, row_key, k) the newest non-empty
-    ``m = (s, v)``; ``k = '__last'`` holds the row's last change time and
+    ``m = (s, v)``, s being (time, log position); ``k = '__last'`` holds the row's last change time and
     ``k = '__del'`` its last delete. States of different batches merge with
     :func:`merge_cells` (the same max), whatever order changes arrive in."""
     nonempty = lambda v: v.isNotNull() & (v != "")
@@ -69,9 +69,10 @@ def dim_cells(routed: DataFrame) -> DataFrame:
         F.struct(F.lit("__last").alias("k"), F.lit(None).cast("string").alias("v")),
         F.when(F.col("op") == "d", F.struct(F.lit("__del").alias("k"), F.lit(None).cast("string").alias("v"))))
     entries = F.concat(F.coalesce(cells, F.array().cast("array<struct<k:string,v:string>>")), markers)
-    x = routed.select("sink_table", "row_key", "ts_ms", F.explode(entries).alias("e")).where(F.col("e").isNotNull())
+    seq = F.struct(F.col("ts_ms").alias("ts"), F.coalesce("pos", F.lit(0)).cast("bigint").alias("pos"))
+    x = routed.select("sink_table", "row_key", seq.alias("s"), F.explode(entries).alias("e")).where(F.col("e").isNotNull())
     return x.groupBy("sink_table", "row_key", F.col("e.k").alias("k")) \
-            .agg(F.max(F.struct(F.col("ts_ms").alias("s"), F.col("e.v").alias("v"))).alias("m"))
+            .agg(F.max(F.struct("s", F.col("e.v").alias("v"))).alias("m"))
 
 
 def merge_cells(*states: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def dim_rows(cells: DataFrame) -> DataFrame:
 def fold_dimension_table(feed: DataFrame, key: str, cols) -> DataFrame:
     """T9 for one source table with known columns: flat output."""
     img = cdc.image()
-    flat = feed.select("op", F.col("ts_ms").alias("seq"), img[key].alias(key),
+    flat = feed.select("op", F.struct(*cdc.change_order(feed)).alias("seq"), img[key].alias(key),
                        *[img[c].alias(c) for c in cols if c != key])
     return state.fold_dimension(flat, key, [c for c in cols if c != key], "seq", "op")
 
@@ -114,7 +115,7 @@ def route_facts(ods: DataFrame, config_feed: DataFrame) -> DataFrame:
     ``ts_ms``. Q2: deletes use their before image."""
     cfg = state.latest_config(config_feed, ["source_table", "source_type"], "ts_ms") \
                .select("source_table", "source_type", "sink_table", "sink_columns")
-    j = ods.join(bounded_broadcast(cfg, SMALL_ROWS), (F.col("source")["table"] == F.col("source_table")) &
+    j = ods.join(cfg, (F.col("source")["table"] == F.col("source_table")) &
                  (F.col("op") == F.col("source_type")), "inner")
     j = j.withColumn("data", cdc.image())
     j = cdc.prune_payload(j, "data", "sink_columns")

@@ -5,9 +5,9 @@ order. On a table the same answers come from aggregates over the key, which
 Spark evaluates partially on the map side before shuffling -- so a key that
 holds a third of all rows costs one partial row per input partition, not one
 giant task. Where each input row needs a per-key value back, the value is
-joined on the key (plus the day where the rule is per day), which lets
-adaptive execution split a hot key's partition (skew join) instead of
-sorting it in one task as a ``Window.partitionBy(key)`` would.
+joined on the key (:func:`_attach`) in a form whose hot partitions adaptive
+execution can split, instead of sorting a key's rows in one task as a
+``Window.partitionBy(key)`` would.
 
 The ordering of records within a key is always a total order given by the
 caller: the event time followed by tie-breaker columns.
@@ -50,13 +50,31 @@ def _ordered_struct(df: DataFrame, order: Sequence, payload: Sequence[str]) -> C
     return F.struct(*fields)
 
 
+def _attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of every row to its key's aggregate (null keys match nothing).
+
+    The join is on a struct of the keys. An aggregate by the keys would
+    already be partitioned by them and be joined as it is, and adaptive
+    execution splits a skewed partition only if both sides of the join are
+    plain shuffles; the struct makes the planner shuffle the (small) aggregate
+    once more.
+    """
+    small = per_key
+    for k in keys:
+        small = small.where(F.col(k).isNotNull())
+    small = small.withColumn("__on", F.struct(*keys)).drop(*keys)
+    return df.withColumn("__key", F.struct(*keys)).join(small, F.col("__key") == F.col("__on"), "left").drop("__key", "__on")
+
+
 def first_of_day(df: DataFrame, keys, ts: str, ties=(), day_col: str = "__day",
                  keep_day: bool = False) -> DataFrame:
     """T4: the first record per key and calendar day (repeats are dropped).
 
     Equal to the literal rule "emit when the stored date differs from the
     record's date" because dates never decrease along the event order.
-    One partial+final hash aggregate; no per-row state, no sort.
+    One aggregate with a partial step before the shuffle. (Min over a struct
+    is a sort aggregate: each partition's rows, then the partials, are sorted
+    by key; no key's rows are held together.)
     """
     keys = _names(keys)
     order = [ts, *_names(ties)]
@@ -73,15 +91,15 @@ def flag_first_of_day(df: DataFrame, keys, ts: str, ties=(), out: str = "uv_ct")
     """Every record, with ``out`` = 1 for the first record of its key
     on its day and 0 for the rest (the daily unique-visitor flag).
 
-    The first (ts, ties) per (key, day) is aggregated and joined back on
-    (key, day); a hot key is spread over its days and AQE splits what remains.
+    The first (ts, ties) per (key, day) is aggregated and attached to the
+    rows; a hot (key, day) is split by the skew join.
     """
     keys = _names(keys)
     order = [ts, *_names(ties)]
     firsts = (df.withColumn("__day", day_of(ts))
                 .groupBy(*keys, "__day")
                 .agg(F.min(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)])).alias("__f")))
-    j = df.withColumn("__day", day_of(ts)).join(firsts, [*keys, "__day"], "left")
+    j = _attach(df.withColumn("__day", day_of(ts)), firsts, [*keys, "__day"])
     me = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)])
     return j.withColumn(out, F.when(me == F.col("__f"), F.lit(1)).otherwise(F.lit(0)).cast("bigint")) \
             .drop("__day", "__f")
@@ -103,7 +121,7 @@ def repair_is_new(df: DataFrame, key: str = "mid", ts: str = "ts", ties=("event_
     f_ts = F.col("__f.__o0")
     d0 = F.when(F.col("__f.__flag") == "1", day_of(f_ts)) \
           .otherwise(F.date_format(F.date_sub(f_ts.cast("date"), 1), DATE_FMT))
-    j = df.join(first, key, "left")
+    j = _attach(df, first, [key])
     fixed = F.when((F.col(flag) == "1") & (d0 != day_of(ts)), F.lit("0")).otherwise(F.col(flag))
     return j.withColumn(flag, fixed).drop("__f").select(*df.columns)
 
@@ -148,16 +166,22 @@ def retract_duplicates(df: DataFrame, key, order, measures: Sequence[str],
     successor arrives, keeping the old timestamp -- Q15). Negation is numeric,
     so a null stays null and a negative value flips sign (Q12).
 
-    Summing the output per group equals keeping the last record per key.
-    Plan: one combinable max per key, a join back on the key, and an
-    ``explode`` of one or two signed copies -- no global sort, no lag.
+    Exact copies of a record (replays) are counted first: n copies give n
+    positive rows, and n negative ones less one if the record is its key's
+    last, so summing the output per group equals keeping the last record per
+    key. Records that are equal in ``order`` only follow each other in the
+    order of their other columns.
+    Plan: a combinable count, a combinable max per key attached to the rows,
+    and an ``explode`` of the signed copies -- no global sort, no lag.
     """
     keys = _names(key)
     o = _cols(order)
-    last = df.groupBy(*keys).agg(F.max(F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(o)])).alias("__last"))
-    me = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(o)])
-    j = df.join(last, keys, "left")
-    signs = F.when(me == F.col("__last"), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(-1)))
+    me = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(o)], *[F.col(c) for c in df.columns if c not in keys])
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias("__n")).withColumn("__me", me)
+    last = copies.groupBy(*keys).agg(F.max("__me").alias("__last"))
+    j = _attach(copies, last, keys)
+    taken_back = F.col("__n") - F.when(F.col("__me") == F.col("__last"), 1).otherwise(0)
+    signs = F.concat(F.array_repeat(F.lit(1), F.col("__n")), F.array_repeat(F.lit(-1), taken_back))
     x = j.withColumn("__sign", F.explode(signs)).drop("__last")
     for m in measures:
         dt = df.schema[m].dataType
@@ -168,8 +192,9 @@ def retract_duplicates(df: DataFrame, key, order, measures: Sequence[str],
 
 def latest_config(df: DataFrame, key, seq: str = "ts_ms", op: str = "op") -> DataFrame:
     """Fold a change feed of configuration rows into its current state:
-    the last change per key wins, a delete (``op = 'd'``) removes the key."""
-    latest = keep_latest(df, key, [seq])
+    the last change per key (by ``seq``, then the log position ``pos`` if there
+    is one) wins, a delete (``op = 'd'``) removes the key."""
+    latest = keep_latest(df, key, [seq, *(["pos"] if "pos" in df.columns else [])])
     return latest.where(F.col(op) != "d")
 
 

@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import CHARSET_PATTERN
-from .joins import SMALL_ROWS, bounded_broadcast
 
-# Fixed value: a token is a run of lower-case ASCII letters/digits or a run of
-# CJK ideographs (U+4E00..U+9FA5), taken from the lower-cased text.
-TOKEN_PATTERN = "[a-z0-9]+|[一-龥]+"
+# Fixed value: a token is a run of letters, marks and digits of any script or,
+# kept apart, a run of CJK ideographs (U+4E00..U+9FA5), taken from the
+# lower-cased text. The first class is written as a negated one ("no non-letter
+# and no ideograph"), which Java's regex and RE2 read alike.
+TOKEN_PATTERN = r"(?:[^\P{L}一-龥]|\p{M}|\p{N})+|[一-龥]+"
 
 
 def tokens(text) -> Column:
@@ -67,26 +68,13 @@ def search_keywords(searches: DataFrame, texts: DataFrame, ref: str = "item", ke
 def flag_words(words: DataFrame, word_col: str, word_list: DataFrame, list_col: str = "word",
                out: str = "listed") -> DataFrame:
     """J11 (re-aimed): each distinct word with ``out`` = whether it is in the
-    word list. The list is broadcast after the size check (a shuffle join
-    beyond it); distinct words are found by an aggregate first."""
+    word list; distinct words are found by an aggregate first."""
     d = words.select(F.col(word_col).alias("word")).where(F.col("word").isNotNull()).distinct()
-    wl = bounded_broadcast(word_list.select(F.col(list_col).alias("__w")).distinct(), SMALL_ROWS)
+    wl = word_list.select(F.col(list_col).alias("__w")).distinct()
     return d.join(wl, F.col("word") == F.col("__w"), "left") \
             .select("word", F.col("__w").isNotNull().alias(out))
 
 
-def keep_listed(df: DataFrame, word_col: str, word_list: DataFrame, list_col: str = "word") -> DataFrame:
-    """Rows whose word is in the list (semi join)."""
-    wl = bounded_broadcast(word_list.select(F.col(list_col).alias(word_col)), SMALL_ROWS)
-    return df.join(wl, word_col, "left_semi")
-
-
-def drop_listed(df: DataFrame, word_col: str, word_list: DataFrame, list_col: str = "word") -> DataFrame:
-    """Rows whose word is not in the list (anti join)."""
-    wl = bounded_broadcast(word_list.select(F.col(list_col).alias(word_col)), SMALL_ROWS)
-    return df.join(wl, word_col, "left_anti")
-
-
 # --------------------------------------------------------------------------
 # X11: whole-string character class
 # --------------------------------------------------------------------------

@@ -184,22 +184,25 @@ od_ranked AS (
          {vc(f"{d2('l_extendedprice')} * {d2('l_discount')}")} AS split_activity_amount,
          {vc(f"{d2('l_extendedprice')} * {d2('l_tax')}")} AS split_coupon_amount,
          {vc(f"{d2('l_extendedprice')} - {d2('l_extendedprice')} * {d2('l_discount')} - {d2('l_extendedprice')} * {d2('l_tax')}")} AS split_total_amount,
-         {ms('l_shipdate')} AS ts_ms,
+         {ms('l_shipdate')} + (l_orderkey % 60) * 1000 AS ts_ms,
+         CASE WHEN l_partkey % 17 = 0 THEN 2 ELSE 1 END AS copies,
          row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC,
                                      l_quantity DESC, l_discount DESC, l_tax DESC) AS rn
   FROM lines
 ),
 act AS (
-  SELECT DISTINCT {DID} AS aid, {vc('l_linenumber + 100')} AS activity_id,
-         {vc('l_linenumber * 10 + 1')} AS activity_rule_id
+  SELECT {DID} AS aid, {vc('l_linenumber + 100')} AS activity_id,
+         {vc('l_linenumber * 10 + l_suppkey % 3')} AS activity_rule_id
   FROM lineitem WHERE l_discount >= 0.05
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_suppkey DESC) = 1
 ),
 cou AS (
   SELECT DISTINCT {DID} AS cid, {vc('l_linenumber + 200')} AS coupon_id FROM lineitem WHERE l_tax >= 0.05
 ),
 oi AS (
-  SELECT {vc('o_orderkey')} AS oid, {vc('o_custkey')} AS user_id, {vc('c_nationkey')} AS province_id,
+  SELECT {vc('o_orderkey')} AS oid, {vc('o_custkey')} AS user_id,
+         {vc('CASE WHEN o_orderkey % 13 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END')} AS province_id,
          o_orderstatus, o_orderdate, o_orderkey, o_totalprice
   FROM orders JOIN customer ON o_custkey = c_custkey
 ),
@@ -324,12 +327,12 @@ SELECT id, ts_ms, {_amount_cols()} FROM od_ranked JOIN oi ON order_id = oid WHER
 
 register("order_dedup_retract", f"""
 WITH {ORDER_DETAIL},
-v AS (SELECT id, ts_ms, rn, {_amount_cols()} FROM od_ranked JOIN oi ON order_id = oid)
+v AS (SELECT id, ts_ms, rn, copies, {_amount_cols()} FROM od_ranked JOIN oi ON order_id = oid)
 SELECT id, ts_ms, split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount,
-       1 AS sign FROM v
+       1 AS sign FROM v, range(2) AS r(k) WHERE k < copies
 UNION ALL
 SELECT id, ts_ms, -split_original_amount, -split_activity_amount, -split_coupon_amount, -split_total_amount,
-       -1 AS sign FROM v WHERE rn > 1
+       -1 AS sign FROM v, range(2) AS r(k) WHERE k < copies - (CASE WHEN rn = 1 THEN 1 ELSE 0 END)
 """)
 
 
@@ -415,7 +418,7 @@ register("cart_add_uu_window_1d", _cart_uu(86_400_000))
 
 # -- keywords and text -----------------------------------------------------------
 
-TOKENS = "regexp_extract_all(lower(text), '[a-z0-9]+|[一-龥]+')"
+TOKENS = r"regexp_extract_all(lower(text), '(?:[^\P{L}一-龥]|\p{M}|\p{N})+|[一-龥]+')"
 
 
 def _keyword(size_ms: int) -> str:
@@ -635,22 +638,26 @@ cart AS (
   FROM ev WHERE event_type = 'purchase'
 ),
 routed AS (
-  SELECT 'dwd_cart_add' AS sink_table, id, list_filter(kv, lambda e: e[1] IN ('id', 'user_id', 'sku_id', 'sku_num', 'ts_ms')) AS kv
+  SELECT 'dwd_cart_add' AS sink_table, id, list_filter(kv, lambda e: e[1] IN ('id', 'user_id', 'sku_id', 'sku_num', 'ts_ms')) AS kv,
+         CAST(id AS BIGINT) % 10 = 0 AS again
   FROM cart WHERE op = 'c'
   UNION ALL
-  SELECT 'dwd_cart_update', id, list_filter(kv, lambda e: e[1] IN ('id', 'sku_num', 'ts_ms')) FROM cart WHERE op = 'u'
+  SELECT 'dwd_cart_update', id, list_filter(kv, lambda e: e[1] IN ('id', 'sku_num', 'ts_ms')), CAST(id AS BIGINT) % 10 = 0
+  FROM cart WHERE op = 'u'
   UNION ALL
   SELECT 'dwd_comment', {vc('event_id')},
          [('id', {vc('event_id')}), ('user_id', {vc('user_id')}), ('appraise', {vc('1201 + event_id % 4')}),
-          ('comment_txt', 'comment ' || {vc('event_id')}), ('ts_ms', {vc(ms('ts'))})]
+          ('comment_txt', 'comment ' || {vc('event_id')}), ('ts_ms', {vc(ms('ts'))})], event_id % 8 = 0
   FROM ev WHERE event_type = 'view'
   UNION ALL
   SELECT 'dwd_refund_payment_success', {vc('o_orderkey')},
          [('id', {vc('o_orderkey')}), ('order_id', {vc('o_orderkey')}), ('payment_type', {vc('1101 + o_orderkey % 3')}),
-          ('refund_status', '1602'), ('ts_ms', {vc(ms('o_orderdate') + ' + (o_orderkey % 60 - 10) * 60000')})]
+          ('refund_status', '1602'), ('ts_ms', {vc(ms('o_orderdate') + ' + (o_orderkey % 60 - 10) * 60000')})],
+         o_orderkey % 7 = 0
   FROM orders WHERE o_orderstatus = 'F'
 )
-SELECT sink_table, id AS row_id, e[1] AS "column", e[2] AS value FROM (SELECT sink_table, id, unnest(kv) AS e FROM routed)
+SELECT sink_table, id AS row_id, e[1] AS "column", e[2] AS value
+FROM (SELECT sink_table, id, unnest(kv) AS e FROM routed, range(2) AS r(k) WHERE k = 0 OR again)
 """)
 
 

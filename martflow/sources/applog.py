@@ -84,11 +84,7 @@ def app_log_text(t: Tables) -> DataFrame:
 
 
 def app_log_topic(t: Tables) -> DataFrame:
-    """The raw log feed as a stored topic: the derived text is written once
-    to the session's checkpoint folder (``spark.checkpoint.dir``) and read
-    back, cutting its lineage. Without the cut the optimizer would fuse the
-    JSON building into the parser and every consumer of it, and planning
-    time explodes."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(t.spark)
-    return app_log_text(t).checkpoint(eager=True)
+    """The raw log feed as a topic's rows: JSON text in column ``value``. The
+    observed row count keeps the optimizer from merging the expressions that
+    build the text into those that parse it, as a stored topic would."""
+    return app_log_text(t).observe("app_log_topic", F.count(F.lit(1)).alias("rows"))

@@ -1,8 +1,10 @@
 """Change-record envelopes and topic sources.
 
-A change record is ``before / after / source`` maps of text plus ``op`` and
-``ts_ms`` -- the shape a binlog connector writes to a topic as JSON. Numbers
-in the maps are text (decimals as strings, datetimes as epoch-ms numbers).
+A change record is ``before / after / source`` maps of text plus ``op``,
+``ts_ms`` and the log position ``pos`` -- the shape a binlog connector writes
+to a topic as JSON. Numbers in the maps are text (decimals as strings,
+datetimes as epoch-ms numbers). ``pos`` orders changes of one millisecond; it
+may be null.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ ENVELOPE = T.StructType([
     T.StructField("source", MAP_SS),
     T.StructField("op", T.StringType()),
     T.StructField("ts_ms", T.LongType()),
+    T.StructField("pos", T.LongType()),
 ])
 
 ENVELOPE_COLS = [f.name for f in ENVELOPE.fields]
@@ -34,7 +37,7 @@ def text_map(fields: dict[str, Column | str | None]) -> Column:
 
 
 def envelope(table: str, op, after: Column | None, before: Column | None, ts_ms: Column,
-             db: str = "stream_retail") -> Column:
+             db: str = "stream_retail", pos: Column | None = None) -> Column:
     """One change record as a struct (the element type of a feed). The
     ``table``/``db`` arguments are kept for readability; the ``source`` map
     is attached by :func:`explode_envelopes` as a constant column."""
@@ -44,6 +47,7 @@ def envelope(table: str, op, after: Column | None, before: Column | None, ts_ms:
         (after if after is not None else F.lit(None).cast(MAP_SS)).alias("after"),
         op_c.alias("op"),
         ts_ms.cast("bigint").alias("ts_ms"),
+        (pos if pos is not None else F.lit(0)).cast("bigint").alias("pos"),
     )
 
 
@@ -65,7 +69,7 @@ def explode_envelopes(df: DataFrame, records: list[Column], table: str,
         x = df.select(records[0].alias("r")).where(F.col("r").isNotNull())
     else:
         x = df.select(F.explode(F.array(*records)).alias("r")).where(F.col("r").isNotNull())
-    return x.select("r.before", "r.after", source_map(table, db).alias("source"), "r.op", "r.ts_ms")
+    return x.select("r.before", "r.after", source_map(table, db).alias("source"), "r.op", "r.ts_ms", "r.pos")
 
 
 # --------------------------------------------------------------------------

@@ -2,12 +2,14 @@
 
 In production these rows come from the configuration database (a snapshot
 ``op = 'r'`` followed by its changes); here they are short fixed lists. They
-are only ever joined to the business feeds, never used alone.
+are only ever joined to the business feeds, never used alone, and carry a
+broadcast hint because they are written out here.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 T0 = 1_700_000_000_000
 
@@ -35,18 +37,13 @@ FACT_CONFIG = [
 
 
 def dim_config_feed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return F.broadcast(spark.createDataFrame(
         DIM_CONFIG, "op string, ts_ms bigint, source_table string, sink_table string, "
-                    "sink_columns string, sink_family string, sink_row_key string")
+                    "sink_columns string, sink_family string, sink_row_key string"))
 
 
 def fact_config_feed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return F.broadcast(spark.createDataFrame(
         FACT_CONFIG, "op string, ts_ms bigint, source_table string, source_type string, "
-                     "sink_table string, sink_columns string")
+                     "sink_table string, sink_columns string"))
 
-
-def snake_config(df: DataFrame) -> DataFrame:
-    """S6 helper: config loaded with camelCase names -> snake_case."""
-    import re
-    return df.withColumnsRenamed({c: re.sub(r"(?<!^)(?=[A-Z])", "_", c).lower() for c in df.columns})

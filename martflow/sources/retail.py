@@ -80,20 +80,26 @@ def order_status(code) -> F.Column:
 def order_info_feed(t: Tables) -> DataFrame:
     """order_info changes: an insert per order (status 1001) and, for orders
     that moved on, an update 1001 -> 1003 (F, 10 min later) or
-    1001 -> 1005 (O, 20 min later)."""
+    1001 -> 1005 (O, 20 min later). Replays: orders divisible by 13 are
+    inserted again a minute later with another province, updates of orders
+    divisible by 9 come twice."""
     o = t.orders.join(t.customer.select("c_custkey", "c_nationkey"),
                       F.col("o_custkey") == F.col("c_custkey"), "inner")
     created = epoch_ms("o_orderdate")
     delay = F.when(F.col("o_orderstatus") == "F", 10 * MINUTE_MS).otherwise(20 * MINUTE_MS)
-    row = lambda status, op_time: text_map({
-        "id": "o_orderkey", "user_id": "o_custkey", "province_id": "c_nationkey",
+    row = lambda status, op_time, province="c_nationkey": text_map({
+        "id": "o_orderkey", "user_id": "o_custkey", "province_id": province,
         "order_status": status, "create_time": created, "operate_time": op_time,
         "total_amount": _dec("o_totalprice")})
     ins = envelope("order_info", "c", row(F.lit("1001"), None), None, created)
     upd = F.when(F.col("o_orderstatus").isin("F", "O"),
                  envelope("order_info", "u", row(order_status("o_orderstatus"), created + delay),
                           row(F.lit("1001"), None), created + delay))
-    return explode_envelopes(o, [ins, upd], "order_info")
+    moved = (F.col("c_nationkey") + 1) % 25
+    again = F.when(F.col("o_orderkey") % 13 == 0,
+                   envelope("order_info", "c", row(F.lit("1001"), None, moved), None, created + MINUTE_MS))
+    twice = F.when(F.col("o_orderkey") % 9 == 0, upd)
+    return explode_envelopes(o, [ins, upd, again, twice], "order_info")
 
 
 def _lines(t: Tables) -> DataFrame:
@@ -109,9 +115,15 @@ def detail_id() -> F.Column:
     return F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"))
 
 
+def line_time_ms() -> F.Column:
+    """Change time of a line: its ship date, at a second given by its order."""
+    return epoch_ms("l_shipdate") + (F.col("l_orderkey") % 60) * 1000
+
+
 def order_detail_feed(t: Tables) -> DataFrame:
     """order_detail inserts, one per lineitem row. (orderkey, linenumber)
-    repeats on purpose: a repeated id is a replayed record."""
+    repeats on purpose: a repeated id is a replayed record. Lines of parts
+    divisible by 17 are replayed exactly."""
     li = _lines(t)
     original = _dec("l_extendedprice")
     activity = original * _dec("l_discount")
@@ -123,29 +135,32 @@ def order_detail_feed(t: Tables) -> DataFrame:
         "split_original_amount": original,
         "split_activity_amount": activity, "split_coupon_amount": coupon,
         "split_total_amount": original - activity - coupon})
-    return explode_envelopes(li, [envelope("order_detail", "c", after, None, epoch_ms("l_shipdate"))], "order_detail")
+    rec = envelope("order_detail", "c", after, None, line_time_ms())
+    return explode_envelopes(li, [rec, F.when(F.col("l_partkey") % 17 == 0, rec)], "order_detail")
 
 
 def order_detail_activity_feed(t: Tables) -> DataFrame:
-    """Activity attached to a detail line: lines with discount >= 0.05."""
-    li = (t.lineitem.where(F.col("l_discount") >= 0.05)
-          .groupBy("l_orderkey", "l_linenumber").agg(F.min("l_shipdate").alias("l_shipdate")))
+    """Activity attached to a detail line, once for each version of the line
+    with discount >= 0.05; the rule differs between versions."""
+    li = t.lineitem.where(F.col("l_discount") >= 0.05)
     after = text_map({"order_detail_id": detail_id(), "activity_id": F.col("l_linenumber") + 100,
-                      "activity_rule_id": F.col("l_linenumber") * 10 + 1})
-    return explode_envelopes(li, [envelope("order_detail_activity", "c", after, None, epoch_ms("l_shipdate"))], "order_detail_activity")
+                      "activity_rule_id": F.col("l_linenumber") * 10 + F.col("l_suppkey") % 3})
+    return explode_envelopes(li, [envelope("order_detail_activity", "c", after, None, line_time_ms(), pos=F.col("l_suppkey"))],
+                             "order_detail_activity")
 
 
 def order_detail_coupon_feed(t: Tables) -> DataFrame:
-    """Coupon attached to a detail line: lines with tax >= 0.05."""
-    li = (t.lineitem.where(F.col("l_tax") >= 0.05)
-          .groupBy("l_orderkey", "l_linenumber").agg(F.min("l_shipdate").alias("l_shipdate")))
+    """Coupon attached to a detail line, once for each version of the line
+    with tax >= 0.05."""
+    li = t.lineitem.where(F.col("l_tax") >= 0.05)
     after = text_map({"order_detail_id": detail_id(), "coupon_id": F.col("l_linenumber") + 200})
-    return explode_envelopes(li, [envelope("order_detail_coupon", "c", after, None, epoch_ms("l_shipdate"))], "order_detail_coupon")
+    return explode_envelopes(li, [envelope("order_detail_coupon", "c", after, None, line_time_ms())], "order_detail_coupon")
 
 
 def cart_info_feed(t: Tables) -> DataFrame:
     """cart_info changes from purchase events: even ids insert, odd ids update
-    an existing cart line (old quantity missing for some updates)."""
+    an existing cart line (old quantity missing for some updates); ids
+    divisible by 10 are replayed."""
     e = t.events.where(F.col("event_type") == "purchase")
     is_c = e.event_id % 2 == 0
     old = F.when(is_c | (e.event_id % 11 == 0), F.lit(None)).otherwise(_s(e.event_id % 5))
@@ -154,7 +169,7 @@ def cart_info_feed(t: Tables) -> DataFrame:
     row = lambda n: text_map({"id": "event_id", "user_id": "user_id", "sku_id": sku, "sku_num": n})
     rec = F.when(is_c, envelope("cart_info", "c", row(new), None, epoch_ms("ts"))) \
            .otherwise(envelope("cart_info", "u", row(new), row(old), epoch_ms("ts")))
-    return explode_envelopes(e, [rec], "cart_info")
+    return explode_envelopes(e, [rec, F.when(F.col("event_id") % 10 == 0, rec)], "cart_info")
 
 
 def payment_time_ms() -> F.Column:
@@ -163,18 +178,21 @@ def payment_time_ms() -> F.Column:
 
 
 def refund_payment_feed(t: Tables) -> DataFrame:
-    """refund_payment status updates 1601 -> 1602 for the cancelled orders."""
+    """refund_payment status updates 1601 -> 1602 for the cancelled orders;
+    those of orders divisible by 7 come twice."""
     o = t.orders.where(F.col("o_orderstatus") == "F")
     et = payment_time_ms()
     row = lambda st: text_map({
         "id": "o_orderkey", "order_id": "o_orderkey",
         "payment_type": F.lit(1101) + F.col("o_orderkey") % 3,
         "callback_time": et, "total_amount": _dec("o_totalprice"), "refund_status": st})
-    return explode_envelopes(o, [envelope("refund_payment", "u", row(F.lit("1602")), row(F.lit("1601")), et)], "refund_payment")
+    rec = envelope("refund_payment", "u", row(F.lit("1602")), row(F.lit("1601")), et)
+    return explode_envelopes(o, [rec, F.when(F.col("o_orderkey") % 7 == 0, rec)], "refund_payment")
 
 
 def order_refund_info_feed(t: Tables) -> DataFrame:
-    """order_refund_info snapshot rows: one per detail id with return flag R."""
+    """order_refund_info snapshot rows: one per detail id with return flag R;
+    those of orders divisible by 5 come twice."""
     li = (t.lineitem.where(F.col("l_returnflag") == "R")
           .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
           .groupBy("l_orderkey", "l_linenumber")
@@ -190,17 +208,20 @@ def order_refund_info_feed(t: Tables) -> DataFrame:
         "refund_reason_type": F.lit(1301) + F.col("l_partkey") % 3,
         "refund_reason_txt": F.concat(F.lit("reason for line "), detail_id()),
         "create_time": created, "refund_status": F.lit("0701")})
-    return explode_envelopes(li, [envelope("order_refund_info", "r", after, None, created)], "order_refund_info")
+    rec = envelope("order_refund_info", "r", after, None, created)
+    return explode_envelopes(li, [rec, F.when(F.col("l_orderkey") % 5 == 0, rec)], "order_refund_info")
 
 
 def comment_info_feed(t: Tables) -> DataFrame:
-    """comment_info snapshot rows from view events; appraise 1201..1204."""
+    """comment_info snapshot rows from view events; appraise 1201..1204; ids
+    divisible by 8 come twice."""
     e = t.events.where(F.col("event_type") == "view")
     after = text_map({"id": "event_id", "user_id": "user_id", "sku_id": F.get_json_object("props", "$.k"),
                       "appraise": F.lit(1201) + F.col("event_id") % 4,
                       "comment_txt": F.concat(F.lit("comment "), _s("event_id")),
                       "create_time": epoch_ms("ts")})
-    return explode_envelopes(e, [envelope("comment_info", "r", after, None, epoch_ms("ts"))], "comment_info")
+    rec = envelope("comment_info", "r", after, None, epoch_ms("ts"))
+    return explode_envelopes(e, [rec, F.when(F.col("event_id") % 8 == 0, rec)], "comment_info")
 
 
 FEEDS = {
@@ -246,9 +267,8 @@ BASE_DIC = [
 def base_dic(spark) -> DataFrame:
     """Dictionary lookup table as stored: row key ``dic_code`` and a column
     family ``info`` holding ``dic_name`` (S10)."""
-    return spark.createDataFrame(
-        BASE_DIC, "dic_code string, dic_name string, parent_code string"
-    ).select("dic_code", F.struct("dic_name", "parent_code").alias("info"))
+    dic = spark.createDataFrame(BASE_DIC, "dic_code string, dic_name string, parent_code string")
+    return F.broadcast(dic).select("dic_code", F.struct("dic_name", "parent_code").alias("info"))
 
 
 def province_dim(t: Tables) -> DataFrame:

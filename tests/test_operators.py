@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from martflow.functions import dates, keys, strings
-from martflow.operators import cdc, dims, logsplit, misc, routing, state, text
+from martflow.operators import cdc, dims, facts, logsplit, misc, routing, state, text
 from martflow.sources import cdc as cdc_src
 
 ENV = "before map<string,string>, after map<string,string>, source map<string,string>, op string, ts_ms bigint"
@@ -204,3 +204,57 @@ def test_camel_columns_and_positional_rename(spark):
     df = spark.createDataFrame([(1, 2)], "sink_table int, sink_row_key int")
     assert strings.camel_columns(df).columns == ["sinkTable", "sinkRowKey"]
     assert cdc.rename_positional(df, ["a", "b"]).columns == ["a", "b"]
+
+
+# -- replayed records ---------------------------------------------------------
+
+def _feed(spark, rows):
+    """(table, op, after, ts_ms, pos) -> change feed."""
+    return spark.createDataFrame(
+        [(None, after, {"db": "d", "table": t}, op, ts, pos) for t, op, after, ts, pos in rows],
+        "before map<string,string>, after map<string,string>, source map<string,string>, op string, ts_ms long, pos long")
+
+
+def test_retract_exact_replay_sums_to_last(spark):
+    df = spark.createDataFrame([("a", 1, 10.0), ("a", 1, 10.0), ("b", 1, 1.0), ("b", 2, 5.0), ("b", 2, 5.0), (None, 1, 2.0)],
+                               "id string, seq int, amt double")
+    out = state.retract_duplicates(df, "id", ["seq"], ["amt"], sign_col="sign")
+    sums = {r["id"]: r["s"] for r in out.groupBy("id").agg(F.sum("amt").alias("s")).collect()}
+    assert sums["a"] == 10.0 and sums["b"] == 5.0
+    assert out.where("id = 'a' and sign = 1").count() == 2 and out.where("id = 'a' and sign = -1").count() == 1
+
+
+def test_order_detail_takes_last_order_and_last_link(spark):
+    line = {"id": "7", "order_id": "1", "sku_id": "3", "create_time": "1700000000000", "sku_num": "1", "order_price": "2"}
+    ods = _feed(spark, [
+        ("order_detail", "c", line, 10, 0),
+        ("order_info", "c", {"id": "1", "user_id": "9", "province_id": "3"}, 10, 0),
+        ("order_info", "c", {"id": "1", "user_id": "10", "province_id": "4"}, 20, 0),
+        ("order_detail_activity", "c", {"order_detail_id": "7", "activity_id": "9", "activity_rule_id": "9"}, 11, 1),
+        ("order_detail_activity", "c", {"order_detail_id": "7", "activity_id": "10", "activity_rule_id": "8"}, 11, 2),
+        ("order_detail_coupon", "c", {"order_detail_id": "7", "coupon_id": "5"}, 11, 0),
+        ("order_detail_coupon", "c", {"order_detail_id": "7", "coupon_id": "5"}, 11, 0),
+        ("order_detail_coupon", "c", {"order_detail_id": "unknown", "coupon_id": "5"}, 11, 0),
+    ])
+    rows = facts.order_detail_fact(ods).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.user_id, r.province_id, r.activity_id, r.activity_rule_id, r.coupon_id) == ("10", "4", "10", "8", "5")
+
+
+def test_delete_and_insert_in_one_millisecond(spark):
+    cfg = spark.createDataFrame([("r", 1, "t", "dim_t", "id,v", "info", "id")],
+                                "op string, ts_ms long, source_table string, sink_table string, sink_columns string, sink_family string, sink_row_key string")
+    ods = _feed(spark, [("t", "c", {"id": "1", "v": "old"}, 5, 1), ("t", "d", None, 9, 2), ("t", "c", {"id": "1", "v": "a"}, 9, 3)])
+    ods = ods.withColumn("before", F.when(F.col("op") == "d", F.create_map(F.lit("id"), F.lit("1"))))
+    got = {(r["column"], r["value"]) for r in routing.fold_routed_dims(routing.route_dims(ods, cfg)).collect()}
+    assert got == {("id", "1"), ("v", "a")}
+
+
+def test_replayed_facts_keep_one_row(spark):
+    ods = _feed(spark, [("comment_info", "r", {"id": "1", "appraise": "1201", "comment_txt": "x"}, 5, 0),
+                        ("comment_info", "r", {"id": "1", "appraise": "1201", "comment_txt": "y"}, 5, 1),
+                        ("cart_info", "c", {"id": "4", "sku_num": "2"}, 5, 0), ("cart_info", "c", {"id": "4", "sku_num": "2"}, 5, 0)])
+    dic = spark.createDataFrame([("1201", "good")], "dic_code string, dic_name string")
+    assert [r.comment_txt for r in facts.comment_fact(ods, dic).collect()] == ["y"]
+    assert facts.cart_add_fact(ods).count() == 1

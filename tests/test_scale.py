@@ -4,7 +4,7 @@ big side of the traffic job is never shuffled row by row."""
 
 from pyspark.sql import functions as F
 
-from martflow.operators import joins, state, windows
+from martflow.operators import state, windows
 from martflow.sources import retail
 from martflow.sources.tables import Tables
 
@@ -46,11 +46,6 @@ def test_fold_dimension_partial(spark):
     assert out.where("id = '0'").first().name == "59994"
 
 
-def test_bounded_broadcast_falls_back(spark):
-    small = spark.range(10).toDF("k")
-    assert "broadcast" in joins.bounded_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in joins.bounded_broadcast(small, 5)._jdf.queryExecution().logical().toString().lower()
-
 
 def test_traffic_window_never_shuffles_raw_rows(spark):
     pl = retail.page_log(Tables(spark, "/root/testdata/sf0.001"))
@@ -58,3 +53,41 @@ def test_traffic_window_never_shuffles_raw_rows(spark):
     # two exchanges: per-(mid, day) firsts and the final window aggregate, both after partial aggregation
     assert p.count("Exchange hashpartitioning") == 2
     assert "partial_min" in p and "partial_sum" in p
+
+
+def test_hot_key_rows_are_split(spark):
+    """A key with half of the rows: the join that attaches its aggregate to the
+    rows is split by adaptive execution."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(200_000).select(
+            F.col("id").alias("event_id"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("mid"),
+            F.timestamp_seconds("id").alias("ts"), F.lit("1").alias("is_new"), F.lit(1.0).alias("amt"))
+        for x in (state.repair_is_new(df), state.flag_first_of_day(df, "mid", "ts", ["event_id"]),
+                  state.retract_duplicates(df, "mid", ["ts", "event_id"], ["amt"])):
+            y = x.agg(F.sum(F.hash(*x.columns)))
+            y.collect()
+            assert "skew=true" in y._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_queries_plan_without_running_jobs(spark):
+    """Building a query's plan starts no Spark job (no size checks, no eager writes)."""
+    import __spark_entry__
+    from martflow.plans.catalog import QUERIES
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("payment_fact", "refund_fact", "sku_order_window", "dim_route", "fact_route", "log_split_page", "sensitive_word_flag"):
+        group = f"plan-{name}"
+        spark.sparkContext.setJobGroup(group, name)
+        QUERIES[name](spark, __spark_entry__.SMOKE_DIR)
+        jobs = [j for j in tracker.getJobIdsForGroup(group)]
+        # reading a Parquet file's footer for its schema is Spark's own job
+        assert len(jobs) <= 12, (name, jobs)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
