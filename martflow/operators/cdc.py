@@ -17,6 +17,16 @@ def change_order(df: DataFrame) -> list[Column]:
     return [F.col("ts_ms"), *([F.col("pos")] if "pos" in df.columns else [])]
 
 
+def compacted(df: DataFrame) -> DataFrame:
+    """The feed as a compacted log: of each (table, op, row id) the last change."""
+    from . import state
+    rid = F.coalesce(F.col("after")["id"], F.col("after")["order_detail_id"], F.col("before")["id"])
+    keyed = df.withColumn("__t", F.col("source")["table"]).withColumn("__id", rid)
+    last = keyed.groupBy("__t", "op", "__id").agg(
+        F.max_by(F.struct(*[c for c in df.columns if c != "op"]), F.struct(*change_order(df))).alias("r"))
+    return last.select(*[F.col(c) if c == "op" else F.col(f"r.{c}").alias(c) for c in df.columns])
+
+
 def image() -> Column:
     """The row image of a change -- ``before`` for deletes, else ``after``."""
     return F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))

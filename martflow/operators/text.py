@@ -7,6 +7,9 @@ joins); texts are processed whole.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +19,21 @@ from ..functions.strings import CHARSET_PATTERN
 # kept apart, a run of CJK ideographs (U+4E00..U+9FA5), taken from the
 # lower-cased text. The first class is written as a negated one ("no non-letter
 # and no ideograph"), which Java's regex and RE2 read alike.
-TOKEN_PATTERN = r"(?:[^\P{L}一-龥]|\p{M}|\p{N})+|[一-龥]+"
+LETTERS = r"(?:[^\P{L}一-龥]|\p{M}|\p{N})+"
+TOKEN_PATTERN = LETTERS + "|[一-龥]+"
 
 
-def tokens(text) -> Column:
-    """U2 (re-aimed): the text's keyword tokens, in order. The dictionary
-    segmenter of the original is not reproduced; CJK runs stay whole."""
+def tokens(text, words: Sequence[str] = ()) -> Column:
+    """The text's keyword tokens, in order. Without ``words`` a run of
+    ideographs stays whole; with a dictionary (a list in the code) it is cut
+    from left to right into the longest words that match, single ideographs
+    where none does -- one native regular expression, longest word first."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
+    pattern = TOKEN_PATTERN
+    if words:
+        known = sorted({w.lower() for w in words}, key=lambda w: (-len(w), w))
+        pattern = "|".join([*map(re.escape, known), LETTERS, "[一-龥]"])
+    return F.regexp_extract_all(F.lower(c), F.lit(pattern), 0)
 
 
 def explode_keywords(df: DataFrame, text: str, out: str = "keyword") -> DataFrame:
@@ -61,6 +71,15 @@ def search_keywords(searches: DataFrame, texts: DataFrame, ref: str = "item", ke
     return s.join(per_text, "__ref", "inner").select("et", "keyword", "cnt")
 
 
+def searched_texts(searches: DataFrame, texts: DataFrame, ref: str = "item", key: str = "doc_id",
+                   text: str = "text") -> DataFrame:
+    """(ref, keyword, cnt) of the texts that a search refers to; only those are
+    tokenised."""
+    asked = searches.select(F.col(ref).alias("ref")).distinct()
+    t = texts.select(F.col(key).cast("string").alias("ref"), text).join(asked, "ref", "left_semi")
+    return keyword_counts_per_text(t, "ref", text)
+
+
 # --------------------------------------------------------------------------
 # Membership of words in a word list
 # --------------------------------------------------------------------------

@@ -155,6 +155,19 @@ def keyword_counts(keywords: DataFrame, size: str = "1 second", ts: str = "et")
     return decorate_window(g, with_edt=False)
 
 
+def searched_keyword_counts(searches: DataFrame, per_text: DataFrame, size: str = "1 second", ts: str = "ts",
+                            ref: str = "item") -> DataFrame:
+    """A7 from the searches and the keyword counts of the texts they refer to
+    (ref, keyword, cnt): searches are counted per (window, text) before the
+    join fans out to a text's keywords, so a text searched often in a window
+    is joined once."""
+    s = tumble(searches.select(F.col(ts).alias("et"), F.col(ref).alias("ref")), "et", size) \
+        .groupBy(WIN, "ref").agg(F.count(F.lit(1)).alias("n"))
+    k = s.join(per_text, "ref").groupBy(WIN, "keyword") \
+        .agg(F.sum(F.col("n") * F.col("cnt")).cast("bigint").alias("keyword_count"))
+    return decorate_window(k, with_edt=False)
+
+
 # --------------------------------------------------------------------------
 # Order amounts per SKU and per province
 # --------------------------------------------------------------------------

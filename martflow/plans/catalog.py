@@ -191,18 +191,19 @@ def q_cart_uu_1d(spark, sf_dir):
 
 # -- keywords and text -----------------------------------------------------------
 
-def _search_keywords(t):
-    return text.search_keywords(text.search_rows(retail.page_log(t)), t.documents)
+def _keyword_window(t, size):
+    searches = text.search_rows(retail.page_log(t))
+    return windows.searched_keyword_counts(searches, text.searched_texts(searches, t.documents), size)
 
 
 @query("keyword_window")
 def q_keyword(spark, sf_dir):
-    return windows.keyword_counts(_search_keywords(_t(spark, sf_dir)), "1 second")
+    return _keyword_window(_t(spark, sf_dir), "1 second")
 
 
 @query("keyword_window_1d")
 def q_keyword_1d(spark, sf_dir):
-    return windows.keyword_counts(_search_keywords(_t(spark, sf_dir)), "1 day")
+    return _keyword_window(_t(spark, sf_dir), "1 day")
 
 
 @query("keyword_tokens")
@@ -362,6 +363,16 @@ def q_buckets(spark, sf_dir):
     return misc.bucket_counts(_t(spark, sf_dir).customer, "c_custkey", 128)
 
 
+# Keys known to be hot, with buckets of their own.
+HOT_KEYS = [("1", "hot1"), ("7", "hot7"), ("42", "hot42")]
+
+
+@query("salted_key_buckets_hot")
+def q_buckets_hot(spark, sf_dir):
+    hot = F.broadcast(spark.createDataFrame(HOT_KEYS, "key_lower string, bucket string"))
+    return misc.bucket_counts(_t(spark, sf_dir).orders, "o_custkey", 128, hot)
+
+
 @query("ordered_list_append")
 def q_ordered_list(spark, sf_dir):
     c = _t(spark, sf_dir).conversations

@@ -688,6 +688,13 @@ SELECT lpad(CAST(CAST(('0x' || right(md5(CAST(c_custkey AS VARCHAR)), 3)) AS INT
 FROM customer GROUP BY 1
 """)
 
+register("salted_key_buckets_hot", """
+SELECT CASE o_custkey WHEN 1 THEN 'hot1' WHEN 7 THEN 'hot7' WHEN 42 THEN 'hot42' ELSE
+         lpad(CAST(CAST(('0x' || right(md5(CAST(o_custkey AS VARCHAR)), 3)) AS INTEGER) % 128 AS VARCHAR), 4, '0') END AS bucket,
+       CAST(count(*) AS BIGINT) AS n
+FROM orders GROUP BY 1
+""")
+
 register("ordered_list_append", """
 SELECT conv_id, string_agg(role, ',' ORDER BY turn, role) AS roles FROM conversations GROUP BY conv_id
 """)

@@ -258,3 +258,12 @@ def test_replayed_facts_keep_one_row(spark):
     dic = spark.createDataFrame([("1201", "good")], "dic_code string, dic_name string")
     assert [r.comment_txt for r in facts.comment_fact(ods, dic).collect()] == ["y"]
     assert facts.cart_add_fact(ods).count() == 1
+
+
+def test_tokens_of_any_script_and_dictionary(spark):
+    df = spark.createDataFrame([("Größe élan 中文分词 x2, naïve!",)], "t string")
+    assert df.select(text.tokens("t").alias("x")).first().x == ["größe", "élan", "中文分词", "x2", "naïve"]
+    got = df.select(text.tokens("t", ["中文", "分词", "中"]).alias("x")).first().x
+    assert got == ["größe", "élan", "中文", "分词", "x2", "naïve"]
+    got = df.select(text.tokens("t", ["文分", "中文分"]).alias("x")).first().x
+    assert got == ["größe", "élan", "中文分", "词", "x2", "naïve"]
