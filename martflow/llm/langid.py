@@ -90,7 +90,8 @@ class Model:
 
 
 def _counts(batches):
-    """Task of the sample: (lang, distinct buckets, their counts) of each text."""
+    """Task of the sample: (lang, distinct buckets, their counts) of each text,
+    as packed bytes (six for each bucket that occurs)."""
     for b in batches:
         data, offsets = raw(b.column(1))
         idx, cnt = [], []
@@ -98,9 +99,9 @@ def _counts(batches):
             d = data[offsets[i]:offsets[i + 1]]
             f = np.concatenate([features(d, n)[:max(0, len(d) - n + 1)] for n in GRAMS])
             u, c = np.unique(f, return_counts=True)
-            idx.append(u)
-            cnt.append(c.astype(np.int64))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(idx, pa.list_(pa.int32())), pa.array(cnt, pa.list_(pa.int64()))],
+            idx.append(u.astype("<u2").tobytes())
+            cnt.append(c.astype("<u4").tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(idx, pa.binary()), pa.array(cnt, pa.binary())],
                                          names=["lang", "idx", "cnt"])
 
 
@@ -114,12 +115,12 @@ def sample(docs: DataFrame, doc_id: str, text: str, lang: str, train, per_lang:
     # chosen holds per_lang ids of each language at most
     rows = src.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("id")) \
         .join(F.broadcast(chosen.distinct()), ["id"]).where(F.col("of") == F.col("lang")).select("lang", "text")
-    return rows.mapInArrow(_counts, "lang string, idx array<int>, cnt array<bigint>")
+    return rows.mapInArrow(_counts, "lang string, idx binary, cnt binary")
 
 
 def fit(rows: list, epochs: int = 6, rate: float = 0.5, seed: int = 11, reject_rate: float = 0.01) -> Model | None:
     """SGD over the collected sample (bounded by :func:`sample`)."""
-    rows = sorted(((r["lang"], np.asarray(r["idx"], np.int64), np.asarray(r["cnt"], np.float64)) for r in rows if r["idx"]),
+    rows = sorted(((r["lang"], np.frombuffer(r["idx"], "<u2"), np.frombuffer(r["cnt"], "<u4")) for r in rows if r["idx"]),
                   key=lambda r: (r[0], len(r[1]), r[1].tobytes()))
     if not rows:
         return None
@@ -166,7 +167,7 @@ def fit(rows: list, epochs: int = 6, rate: float = 0.5, seed: int = 11, reject_r
 
 
 def identify(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-             per_lang: int = 800, epochs: int = 6) -> DataFrame:
+             per_lang: int = 500, epochs: int = 6) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``lang_pred``, ``score`` (its
     calibrated probability), ``rejected``. ``train``: which rows may be learned
     from. Fits on ``per_lang`` rows of each language at most."""
