@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .graph import chunk_pairs, chunked, components
+from .graph import Union, attach, chunk_pairs, chunked, components, sized
 
 PASSES = 24
 WINDOW = 32
@@ -58,29 +58,11 @@ def pass_keys(x: np.ndarray, passes: int) -> np.ndarray:
     return out
 
 
-class _Union:
-    def __init__(self):
-        self.up: dict = {}
-
-    def join(self, a, b) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
-
-    def find(self, a):
-        while (b := self.up.get(a, a)) != a:
-            self.up[a] = self.up.get(b, b)
-            a = b
-        return a
-
-
 def window_links(sorted_rows: DataFrame, window: int, least: float) -> DataFrame:
     """Links that join components of a sorted partition, from windows of
     ``window`` rows within the same pass and length."""
     def task(batches):
-        held, seen = None, _Union()
+        held, seen = None, Union()
         for b in batches:
             now = pa.Table.from_batches([b])
             t = now if held is None else pa.concat_tables([held, now])
@@ -153,12 +135,13 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str =
     by = ["pass", "dim", "key", "class"]
     ordered = keyed.repartitionByRange(*by).sortWithinPartitions(*by)
     found = components(window_links(ordered, window, least))
-    members = written(found.join(reps.withColumnRenamed("class", "node"), "node")
-                      .select(F.col("node").alias("class"), "component", "rep", "copies", "vec"))
-    parts = chunked(members, "component", "class", "copies", GROUP_ROWS // 2, 1 << 62)
-    counted = _count_links(chunk_pairs(parts).groupBy("component", "i", "j"), least).groupBy("class").agg(F.sum("links").alias("links"))
-    least_id = members.groupBy("component").agg(F.min("rep").alias("component_id"))
-    linked = members.select("class", "component").join(least_id, "component").join(counted, "class").select("class", "component_id", "links")
+    narrow = sized(found.withColumnRenamed("node", "class").join(reps.drop("vec"), "class"), "component", "copies")
+    least_id = narrow.groupBy("component").agg(F.min("rep").alias("component_id"))
+    members = written(attach(narrow, least_id, "component"))
+    parts = chunked(members, "class", GROUP_ROWS // 2, 1 << 62)
+    pairs = chunk_pairs(parts).join(reps.select("class", "vec"), "class").groupBy("component", "i", "j")
+    counted = _count_links(pairs, least).groupBy("class").agg(F.sum("links").alias("links"))
+    linked = members.select("class", "component_id").join(counted, "class")
     per_class = reps.select("class", "rep", "copies").join(linked, "class", "left").select(
         "class", F.coalesce("component_id", "rep").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

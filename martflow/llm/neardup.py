@@ -38,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
-from .graph import chunked, components
+from .common import bloom_filter, may_hold, written
+from .graph import attach, chunked, components, sized
 from .words import Words, mix, raw, slices, unique_per_text
 
 PERMUTATIONS = 80
@@ -48,6 +48,9 @@ BANDS = 2 * PERMUTATIONS // PER_BAND
 #: Bounds of a verifying task group: documents, shingles.
 GROUP_ROWS = 512
 GROUP_SHINGLES = 1_000_000
+#: Size of the filter that keeps texts of no family from being shuffled. Too
+#: small a filter only lets more of them pass.
+FILTER_BITS = 1 << 23
 
 
 def _factors() -> np.ndarray:
@@ -180,42 +183,55 @@ def _verify(grouped, k: int, percent: int) -> DataFrame:
 
 def verified_links(members: DataFrame, k: int, percent: int, deals: int = 2) -> DataFrame:
     """(a, b): links between classes that give every family its components.
-    ``members``: (family, class, n, text), one row per class."""
+    ``members``: (family, class, n, rows, weight, text), one row per class with
+    its family's size. Texts are shuffled only into groups of bounded size."""
     with_known = members.withColumns({"known": F.col("class"), "left": F.lit(True)})
     found = None
     for deal in range(deals):
-        parts = chunked(with_known, "family", "class", "n", GROUP_ROWS, GROUP_SHINGLES, deal)
+        parts = chunked(with_known, "class", GROUP_ROWS, GROUP_SHINGLES, deal)
         if deal:
             parts = parts.where("chunks > 1")  # a family of one part is done after the first deal
         links = _verify(parts.select("family", "chunk", "class", "text", "known", "left").groupBy("family", "chunk"), k, percent)
         found = links if found is None else found.unionByName(links)
     found = written(found)
     # What the deals left apart in families of several parts, against all of the family.
-    known = components(found)
-    big = chunked(members, "family", "class", "n", GROUP_ROWS // 2, GROUP_SHINGLES // 2).where("chunks > 2") \
-        .join(known.withColumnRenamed("node", "class"), "class", "left") \
-        .withColumn("known", F.coalesce("component", "class")).drop("component")
+    known = components(found).withColumnRenamed("node", "class")
+    big = chunked(members.drop("text"), "class", GROUP_ROWS // 2, GROUP_SHINGLES // 2).where("chunks > 2") \
+        .join(known, "class", "left").withColumn("known", F.coalesce("component", "class")).drop("component")
     counts = big.groupBy("family", "known").agg(F.count(F.lit(1)).alias("c"))
     largest = counts.groupBy("family").agg(F.max(F.struct("c", "known"))["known"].alias("main"))
-    big = big.join(largest, "family").withColumn("left", F.col("known") != F.col("main"))
+    big = attach(big, largest, "family").withColumn("left", F.col("known") != F.col("main"))
     apart = big.where("left")
     blocks = apart.groupBy("family").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / (GROUP_ROWS // 2)), F.ceil(F.sum("n") / (GROUP_SHINGLES // 2))).cast("int").alias("blocks"))
-    cols = ["family", "i", "j", "class", "text", "known", "left"]
-    every = big.join(blocks, "family").withColumns({"i": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "j": F.col("chunk"), "left": F.lit(False)})
-    some = apart.join(blocks, "family").withColumns({"i": F.pmod(F.xxhash64(F.lit(99), "class"), F.col("blocks")).cast("int"),
-                                                     "j": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))})
-    rest = _verify(every.select(*cols).unionByName(some.select(*cols)).groupBy("family", "i", "j"), k, percent)
-    return found.unionByName(written(rest))
+    big, cols = written(attach(big, blocks, "family")), ["family", "i", "j", "class", "known", "left"]
+    every = big.withColumns({"i": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "j": F.col("chunk"), "left": F.lit(False)})
+    some = big.where("left").withColumns({"i": F.pmod(F.xxhash64(F.lit(99), "class"), F.col("blocks")).cast("int"),
+                                          "j": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))})
+    plan = every.select(*cols).unionByName(some.select(*cols)).join(members.select("class", "text"), "class")
+    return found.unionByName(written(_verify(plan.groupBy("family", "i", "j"), k, percent)))
+
+
+def _texts_of(texts: DataFrame, of: DataFrame) -> DataFrame:
+    """The rows (rep, text) whose id may represent a family's class: what the
+    join with ``of`` would drop mostly goes before its shuffle."""
+    held = texts.sparkSession.sparkContext.broadcast(bloom_filter(of.select(F.xxhash64("rep").alias("h")), "h", FILTER_BITS))
+
+    def task(batches):
+        for b in batches:
+            hit = may_hold(held.value, b.column(2).to_numpy())
+            yield b.filter(pa.array(hit)).select(["rep", "text"])
+
+    return texts.withColumn("h", F.xxhash64("rep")).mapInArrow(task, "rep long, text string")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     sigs = written(signatures(docs, shingle, doc_id, text))
     classes = sigs.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
-    of = written(families(sigs).join(classes, "class").where("rep is not null"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).cast("string").alias("text"))
-    members = written(of.join(texts, "rep").select("family", "class", "n", "text"))
+    of = written(sized(families(sigs).join(classes, "class").where("rep is not null"), "family", "n"))
+    texts = _texts_of(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).cast("string").alias("text")), of)
+    members = written(of.join(texts, "rep").select("family", "class", "n", "rows", "weight", "text"))
     joined = components(verified_links(members, shingle, percent))
     named = joined.join(classes.select(F.col("class").alias("node"), "rep"), "node")
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from . import chat, embdup, langid, lmscore, neardup, packing, quality, secrets, sharding, tiling
 from .common import held_out, prepare
+from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 

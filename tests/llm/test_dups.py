@@ -97,10 +97,12 @@ def test_empty_inputs(spark):
     assert embdup.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_components_of_paths_and_hubs(spark):
+@pytest.mark.parametrize("local", [500_000, 7])
+def test_components_of_paths_and_hubs(spark, monkeypatch, local):
+    monkeypatch.setattr(graph, "LOCAL_EDGES", local)
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)]
-    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long").repartition(9)).collect()}
     nodes = sorted({x for a, b in edges if a != b for x in (a, b)})
     want = dict(zip(nodes, brute_components(nodes, [(nodes.index(a), nodes.index(b)) for a, b in edges if a != b])))
     assert got == want

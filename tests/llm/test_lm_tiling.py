@@ -161,7 +161,7 @@ def test_tiling_matches_brute_force(spark):
     for i, t in set(docs):
         for j, u in items:
             x, y = tokens(t), tokens(u)
-            if len(x) < 5000 and len(y) >= 5 and (c := brute_tiling(x, y, 5) / len(y)) >= 0.6:
+            if len(x) < 5000 and len(y) >= 5 and (c := brute_tiling(x, y, 5) / len(y)) >= 0.5:
                 want.add((str(i), j, round(c, 6)))
     assert got == sorted(want) and len(want) > 20
     left = tiling.clean(d, b)
@@ -178,7 +178,7 @@ def test_tiling_query_finds_whole_items(spark):
     whole = {r.doc_id for r in spark.read.parquet(f"{sf}/documents.parquet").collect()
              for t in [" " + " ".join(tokens(r.text)) + " "] if any(i in t for i in items)}
     assert whole and whole <= got.keys()
-    assert all(r.coverage >= 0.6 for r in got.values())
+    assert all(r.coverage >= 0.5 for r in got.values())
 
 
 def test_tiling_empty(spark):
