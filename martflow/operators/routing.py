@@ -16,7 +16,7 @@ from . import cdc, state
 
 
 # --------------------------------------------------------------------------
-# dimensions (Dim_App): R3 + J8 + K7, then the T9 fold
+# dimensions: R3 + J8 + K7, then the T9 fold
 # --------------------------------------------------------------------------
 
 def route_dims(ods: DataFrame, config_feed: DataFrame, db: str | None = None) -> DataFrame:
@@ -106,7 +106,7 @@ def fold_dimension_table(feed: DataFrame, key: str, cols) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# facts (dwd_base_db): R2 + J9 + P5
+# facts: R2 + J9 + P5
 # --------------------------------------------------------------------------
 
 def route_facts(ods: DataFrame, config_feed: DataFrame) -> DataFrame:

@@ -7,9 +7,6 @@ what is unset.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: a fixed session zone (date strings are derived
@@ -35,8 +32,9 @@ def build_session(master: str | None = None, partitions: int | None = None,
     """Create (or reuse) a session with the engine's core settings.
 
     ``partitions`` sizes ``spark.sql.shuffle.partitions``; AQE coalesces small
-    partitions at run time, so on a cluster set it from the data volume
-    (roughly input bytes / 128 MiB) rather than from the core count.
+    partitions at run time, so on a cluster give adaptive execution room
+    (``spark.sql.adaptive.coalescePartitions.initialPartitionNum``) rather than
+    a number per job.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -44,7 +42,7 @@ def build_session(master: str | None = None, partitions: int | None = None,
     conf = dict(CORE_CONF)
     if master and master.startswith("local"):
         # Local mode runs every task inside the driver JVM.
-        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.memory"] = "8g"
     if partitions:
         conf["spark.sql.shuffle.partitions"] = str(partitions)
     conf.update(extra or {})
@@ -55,23 +53,11 @@ def build_session(master: str | None = None, partitions: int | None = None,
     return spark
 
 
-def shuffle_partitions_for(input_bytes: int, per_partition: int = 256 << 20, floor: int = 8) -> int:
-    """Initial ``spark.sql.shuffle.partitions`` for a job reading
-    ``input_bytes``: about one partition per ``per_partition`` bytes so each
-    reducer's share fits executor memory without heavy spill (AQE then
-    coalesces small ones). E.g. 100 TB -> ~400k partitions."""
-    return max(floor, -(-int(input_bytes) // per_partition))
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and streaming state.
-
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (local
-    tests) a fresh scratch folder is made and registered on the session.
-    """
+    """The cluster's shared folder for checkpoints and streaming state, as set
+    in ``spark.checkpoint.dir``. There is no fallback: a folder of this
+    machine, or a fresh one per process, would lose offsets and state."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="martflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return d

@@ -78,18 +78,22 @@ def explode_envelopes(df: DataFrame, records: list[Column], table: str,
 
 def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str | None = None,
                servers: str | None = None, starting: str = "earliest", stream: bool = True,
-               options: dict | None = None) -> DataFrame:
+               options: dict | None = None, pattern: bool = False, group: str | None = None) -> DataFrame:
     """A feed of JSON text, one record per row, column ``value``.
 
     ``kafka``: value bytes as text, earliest offsets, partition discovery is
-    built in (needs the Kafka connector on the classpath). ``text``/``json``:
+    built in (needs the Kafka connector on the classpath); ``pattern`` takes
+    ``topic`` as a regular expression and follows topics that appear later,
+    ``group`` names the consumer group. ``text``/``json``:
     JSON lines under ``path/topic`` -- the test and file-drop form. Null
     values are skipped (S1).
     """
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
         r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
-             .option("subscribe", topic).option("startingOffsets", starting))
+             .option("subscribePattern" if pattern else "subscribe", topic).option("startingOffsets", starting))
+        if group:
+            r = r.option("kafka.group.id", group)
         for k, v in (options or {}).items():
             r = r.option(k, v)
         df = r.load().select(F.col("value").cast("string").alias("value"))
@@ -160,11 +164,12 @@ PAGE_TOPIC = T.StructType([
 ])
 
 
-def page_topic_table(value_df: DataFrame, lag: str | None = "0 seconds", col: str = "value") -> DataFrame:
+def page_topic_table(value_df: DataFrame, lag: str | None = "0 seconds", col: str = "value") -> tuple[DataFrame, DataFrame]:
     """The page topic as a table -- ``common`` and ``page`` maps, ``ts``,
     computed event time ``et`` (epoch ms) and, on a stream, a watermark.
-    Flattened to the page-log columns the DWS jobs use."""
-    j = value_df.select(F.from_json(F.col(col), PAGE_TOPIC).alias("j")).select("j.*")
+    Flattened to the page-log columns the DWS jobs use. Returns ``(table, bad)``:
+    text that is no JSON object is diverted (Q21)."""
+    j, bad = parse_json(value_df, PAGE_TOPIC, col)
     c, p = F.col("common"), F.col("page")
     out = j.select(
         c["mid"].alias("mid"), c["uid"].alias("uid"), c["vc"].alias("vc"), c["ch"].alias("ch"),
@@ -173,16 +178,16 @@ def page_topic_table(value_df: DataFrame, lag: str | None = "0 seconds", col: st
         p["item"].alias("item"), p["item_type"].alias("item_type"),
         p["during_time"].try_cast("bigint").alias("during_time"),
         F.col("ts").alias("ts_ms"), F.timestamp_millis("ts").alias("ts"))
-    return out.withWatermark("ts", lag) if (lag is not None and value_df.isStreaming) else out
+    return (out.withWatermark("ts", lag) if (lag is not None and value_df.isStreaming) else out), bad
 
 
 def fact_topic_table(value_df: DataFrame, columns: list[str], lag: str | None = None,
-                     col: str = "value") -> DataFrame:
+                     col: str = "value") -> tuple[DataFrame, DataFrame]:
     """A DWD fact topic re-read as a table: text columns, ``ts_ms``
     bigint and its event time ``et``; optional watermark (3 s in one of the
-    original jobs, none in the other)."""
+    original jobs, none in the other). Returns ``(table, bad)``."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in columns if n != "ts_ms"]
                           + [T.StructField("ts_ms", T.LongType())])
-    j = value_df.select(F.from_json(F.col(col), schema).alias("j")).select("j.*")
+    j, bad = parse_json(value_df, schema, col)
     j = j.withColumn("et", F.timestamp_millis("ts_ms"))
-    return j.withWatermark("et", lag) if (lag is not None and value_df.isStreaming) else j
+    return (j.withWatermark("et", lag) if (lag is not None and value_df.isStreaming) else j), bad

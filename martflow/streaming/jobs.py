@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators import windows
 from ..operators.windows import WIN, decorate_window, tumble
-from .processors import FirstOfDay, LoginFlags, RepairIsNew, RetractDuplicates
+from .processors import FirstOfDay, KeepLatest, LoginFlags, RepairIsNew, RetractDuplicates
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -61,7 +61,7 @@ def repair_is_new_stream(stream: DataFrame, key: str, ts: str, ties, flag: str =
 
 
 def login_flags_stream(stream: DataFrame, key: str, ts: str, ties, back_days: int = 8,
-                       lag: str | None = "0 seconds") -> DataFrame:
+                       lag: str | None = "0 seconds", ttl_ms: int | None = None) -> DataFrame:
     """T5 on a stream. ``lag=None`` when the caller already set the
     watermark upstream (e.g. before a filter, so that every source row
     advances event time)."""
@@ -69,7 +69,7 @@ def login_flags_stream(stream: DataFrame, key: str, ts: str, ties, back_days: in
     schema = _with(stream.schema, T.StructField("back_ct", T.LongType()), T.StructField("uu_ct", T.LongType()))
     s = stream if lag is None else stream.withWatermark(ts, lag)
     return (s.groupBy(key)
-            .transformWithStateInPandas(LoginFlags(ts, list(ties), back_days), schema, "Append", "None",
+            .transformWithStateInPandas(LoginFlags(ts, list(ties), back_days, ttl_ms), schema, "Append", _time_mode(ttl_ms),
                                         eventTimeColumnName=ts))
 
 
@@ -87,22 +87,33 @@ def retract_stream(stream: DataFrame, key: str, order, measures, ts: str | None
                                         eventTimeColumnName=ts or ""))
 
 
+def keep_latest_stream(stream: DataFrame, key: str, order, delay_ms: int = 5000, ttl_ms: int | None = None) -> DataFrame:
+    """T7 on a stream: a key's newest record, emitted ``delay_ms`` of processing
+    time after the first one arrived."""
+    use_rocksdb_state(stream.sparkSession)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields)
+    return stream.groupBy(key).transformWithStateInPandas(
+        KeepLatest(stream.columns, list(order), ddl, delay_ms, ttl_ms), stream.schema, "Append", "ProcessingTime")
+
+
 # --------------------------------------------------------------------------
-# windowed jobs
+# windowed jobs (``ttl_ms``: processing-time life of the keyed state)
 # --------------------------------------------------------------------------
 
-def traffic_window_stream(page_log: DataFrame, size: str = "10 seconds", lag: str = "1 second") -> DataFrame:
+def traffic_window_stream(page_log: DataFrame, size: str = "10 seconds", lag: str = "1 second",
+                          ttl_ms: int | None = None) -> DataFrame:
     """A1 + T2 + W1 + W6 on a page-log stream (``ts`` TIMESTAMP)."""
     keys = ["vc", "ch", "ar", "is_new"]
     base = page_log.select("mid", "ts", "event_id", "last_page_id", "during_time", *keys)
-    flagged = first_of_day_stream(base, "mid", "ts", ["event_id"], "flag", "uv_ct", lag)
+    flagged = first_of_day_stream(base, "mid", "ts", ["event_id"], "flag", "uv_ct", lag, ttl_ms)
     m = windows.page_metrics(flagged, F.col("uv_ct"))
     g = tumble(m, "ts", size).groupBy(WIN, *keys).agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum")])
     return decorate_window(g)
 
 
-def home_detail_window_stream(page_log: DataFrame, size: str = "3 seconds", lag: str = "3 seconds") -> DataFrame:
+def home_detail_window_stream(page_log: DataFrame, size: str = "3 seconds", lag: str = "3 seconds",
+                              ttl_ms: int | None = None) -> DataFrame:
     """X8 + T3 + A2 + W3 on a page-log stream: daily first home / good_detail
     view per visitor (two independent states = key (mid, page_id)). The
     watermark is set before the page filter."""
@@ -111,7 +122,7 @@ def home_detail_window_stream(page_log: DataFrame, size: str = "3 seconds", lag:
                     .select("mid", "page_id", "ts", "event_id")
     schema = pages.schema
     firsts = (pages.groupBy("mid", "page_id")
-              .transformWithStateInPandas(FirstOfDay("ts", ["event_id"], "first"), schema, "Append", "None",
+              .transformWithStateInPandas(FirstOfDay("ts", ["event_id"], "first", ttl_ms=ttl_ms), schema, "Append", _time_mode(ttl_ms),
                                           eventTimeColumnName="ts"))
     m = firsts.select("ts", F.when(F.col("page_id") == "home", 1).otherwise(0).alias("home_uv_ct"),
                       F.when(F.col("page_id") == "good_detail", 1).otherwise(0).alias("good_detail_uv_ct"))
@@ -121,20 +132,20 @@ def home_detail_window_stream(page_log: DataFrame, size: str = "3 seconds", lag:
 
 
 def cart_uu_window_stream(cart_add: DataFrame, size: str = "5 seconds", ts: str = "et",
-                          lag: str = "0 seconds") -> DataFrame:
+                          lag: str = "0 seconds", ttl_ms: int | None = None) -> DataFrame:
     """T4 + A3 + W3 + W7 on a cart-add stream."""
-    firsts = first_of_day_stream(cart_add.select("user_id", ts, "id"), "user_id", ts, ["id"], "first", lag=lag)
+    firsts = first_of_day_stream(cart_add.select("user_id", ts, "id"), "user_id", ts, ["id"], "first", lag=lag, ttl_ms=ttl_ms)
     g = tumble(firsts, ts, size).groupBy(WIN).agg(F.count(F.lit(1)).cast("bigint").alias("cart_add_uu_ct"))
     return decorate_window(g)
 
 
 def login_window_stream(page_log: DataFrame, size: str = "3 hours", back_days: int = 8,
-                        lag: str = "0 seconds") -> DataFrame:
+                        lag: str = "0 seconds", ttl_ms: int | None = None) -> DataFrame:
     """X9 + T5 + A4 + W3 on a page-log stream. The watermark is set on the
     whole page stream, before the login filter: event time advances with
     every page view, not only with logins."""
     rows = windows.login_rows(page_log.withWatermark("ts", lag)).select("uid", "ts", "event_id")
-    flags = login_flags_stream(rows, "uid", "ts", ["event_id"], back_days, lag=None)
+    flags = login_flags_stream(rows, "uid", "ts", ["event_id"], back_days, lag=None, ttl_ms=ttl_ms)
     g = tumble(flags, "ts", size).groupBy(WIN).agg(F.sum("back_ct").cast("bigint").alias("back_ct"),
                                                    F.sum("uu_ct").cast("bigint").alias("uu_ct"))
     return windows.drop_zero(decorate_window(g), ["uu_ct", "back_ct"])
@@ -149,7 +160,7 @@ def keyword_window_stream(keywords: DataFrame, size: str = "1 second", ts: str =
 
 
 def province_window_stream(details: DataFrame, provinces: DataFrame, order: list[str],
-                           size: str = "2 seconds", lag: str = "0 seconds") -> DataFrame:
+                           size: str = "2 seconds", lag: str = "0 seconds", ttl_ms: int | None = None) -> DataFrame:
     """T6 + A6 + W2 + J6 on an order-detail stream (``et`` TIMESTAMP, replay
     order given as scalar columns ``order``).
 
@@ -165,7 +176,7 @@ def province_window_stream(details: DataFrame, provinces: DataFrame, order: list
     from ..operators import dims
     d = details.select("id", "et", *order, "province_id", "order_id",
                        F.col("split_total_amount").cast("decimal(20,4)").alias("amt"))
-    r = retract_stream(d, "id", list(order), ["amt"], ts="et", lag=lag)
+    r = retract_stream(d, "id", list(order), ["amt"], ts="et", lag=lag, ttl_ms=ttl_ms)
     g = tumble(r, "et", size).groupBy(WIN, "province_id").agg(
         F.size(F.collect_set(F.when(F.col("sign") > 0, F.col("order_id")))).cast("bigint").alias("order_count"),
         F.sum("amt").cast("decimal(38,4)").alias("order_amount"))
@@ -174,7 +185,7 @@ def province_window_stream(details: DataFrame, provinces: DataFrame, order: list
 
 
 def sku_window_stream(details: DataFrame, wide_sku: DataFrame, order: list[str], size: str = "10 seconds",
-                      lag: str = "0 seconds", processing_time: bool = False) -> DataFrame:
+                      lag: str = "0 seconds", processing_time: bool = False, ttl_ms: int | None = None) -> DataFrame:
     """T6 + A5 + J7 on an order-detail stream: the four amounts summed over
     the +/- rows per window and SKU, then one lookup in the wide SKU
     dimension. ``processing_time=True`` windows on arrival time instead
@@ -184,7 +195,7 @@ def sku_window_stream(details: DataFrame, wide_sku: DataFrame, order: list[str],
                "coupon_reduce_amount": "split_coupon_amount", "order_amount": "split_total_amount"}
     d = details.select("id", "et", *order, "sku_id",
                        *[F.col(src).cast("decimal(20,4)").alias(dst) for dst, src in amounts.items()])
-    r = retract_stream(d, "id", list(order), list(amounts), ts="et", lag=lag)
+    r = retract_stream(d, "id", list(order), list(amounts), ts="et", lag=lag, ttl_ms=ttl_ms)
     r = processing_time_window(r, size) if processing_time else tumble(r, "et", size)
     g = r.groupBy(WIN, "sku_id").agg(*[F.sum(c).cast("decimal(38,4)").alias(c) for c in amounts])
     g = dims.with_sku(g, wide_sku).withColumnRenamed("tm_id", "trademark_id") \

@@ -96,11 +96,11 @@ class LoginFlags(StatefulProcessor):
     ``back_ct = 1`` when the previous login day is ``back_days`` or more
     days earlier. State: the last login date."""
 
-    def __init__(self, ts: str, ties: list[str], back_days: int = 8):
-        self.ts, self.ties, self.back_days = ts, list(ties), back_days
+    def __init__(self, ts: str, ties: list[str], back_days: int = 8, ttl_ms: int | None = None):
+        self.ts, self.ties, self.back_days, self.ttl_ms = ts, list(ties), back_days, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_login", "d string")
+        self.last = handle.getValueState("last_login", "d string", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, [self.ts, *self.ties])
@@ -145,7 +145,8 @@ class RetractDuplicates(StatefulProcessor):
             before = pd.concat([old, before], ignore_index=True)
         neg = before.copy()
         for m in self.measures:
-            neg[m] = neg[m].map(lambda v: None if v is None or v != v else -v)
+            neg[m] = -neg[m].where(neg[m].notna(), 0)
+            neg[m] = neg[m].where(before[m].notna(), None)
         self.prev.update(tuple(pdf.iloc[-1].tolist()))
         yield pd.concat([neg.assign(sign=-1), pdf.assign(sign=1)], ignore_index=True)
 
@@ -159,12 +160,14 @@ class KeepLatest(StatefulProcessor):
     processing time has passed since the key's first held record. Needs
     ``timeMode='ProcessingTime'``."""
 
-    def __init__(self, columns: list[str], order: list[str], state_schema: str, delay_ms: int = 5000):
+    def __init__(self, columns: list[str], order: list[str], state_schema: str, delay_ms: int = 5000,
+                 ttl_ms: int | None = None):
         self.columns, self.order, self.state_schema, self.delay_ms = list(columns), list(order), state_schema, delay_ms
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", self.state_schema)
+        self.held = handle.getValueState("held", self.state_schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, self.order)[self.columns]

@@ -64,85 +64,57 @@ def console(df: DataFrame):
 
 
 # --------------------------------------------------------------------------
-# upsert table (K4 / K6)
+# upsert table (K4 / K6): changes are appended, the table is a fold over them
 # --------------------------------------------------------------------------
 
-BUCKET = "__bucket"
+def append_changes(batch: DataFrame, batch_id: int, path: str) -> None:
+    """One micro-batch's change rows under ``kind=change/batch=<id>``. A
+    retried batch replaces its own folder; nothing stored is read or
+    rewritten, so a read error can't lose rows."""
+    batch.write.mode("overwrite").parquet(f"{path}/kind=change/batch={batch_id}")
 
 
-def key_bucket(keys, n: int) -> F.Column:
-    """F20 hash bucket of the (possibly composite) key."""
-    from ..functions.keys import hash_bucket
-    return hash_bucket(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]), n)
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The rows whose fold is the table: the newest compacted base and the
+    change batches after it. Which folders those are is decided from the
+    partition columns, so older ones aren't scanned."""
+    rows = spark.read.parquet(path)
+    base = rows.where("kind = 'base'").agg(F.coalesce(F.max("batch"), F.lit(-1)).alias("b"))
+    b = base.first()["b"]
+    return rows.where(((F.col("kind") == "base") & (F.col("batch") == b)) |
+                      ((F.col("kind") == "change") & (F.col("batch") > b))).drop("kind", "batch")
 
 
-def read_versioned(spark: SparkSession, path: str, buckets: list[str] | None = None,
-                   before: int | None = None) -> DataFrame | None:
-    """Current rows of a bucket-versioned table (all buckets, or only
-    ``buckets``), as of the versions older than ``before`` if given -- a
-    retried batch must merge into the state before itself. The version log
-    holds one small row per (bucket, version), so the driver reads at most
-    one path per bucket."""
-    try:
-        log = spark.read.parquet(f"{path}/_versions")
-    except Exception:  # nothing written yet
-        return None
-    if buckets is not None:
-        log = log.where(F.col("bucket").isin(list(buckets)))
-    if before is not None:
-        log = log.where(F.col("version") < before)
-    latest = log.groupBy("bucket").agg(F.max_by("path", "version").alias("path")).collect()
-    paths = [r["path"] for r in latest if r["path"]]
-    return spark.read.parquet(*paths) if paths else None
-
-
-def write_versioned(rows: DataFrame, path: str, version: int, touched: list[str]) -> None:
-    """Write the new contents of the ``touched`` buckets as ``version`` and
-    then record them in the version log (a bucket left empty is recorded
-    with no path). Rewriting the same version is idempotent."""
-    spark = rows.sparkSession
-    vpath = f"{path}/v={version:012d}"
-    rows.write.mode("overwrite").partitionBy(BUCKET).parquet(vpath)
-    present = {r[0] for r in rows.select(BUCKET).distinct().collect()}
-    log = [(b, version, f"{vpath}/{BUCKET}={b}" if b in present else None) for b in touched]
-    spark.createDataFrame(log, "bucket string, version long, path string") \
-         .write.mode("append").parquet(f"{path}/_versions")
-
-
-def upsert_batch(batch: DataFrame, batch_id: int, path: str, key, order, op_col: str | None = None,
-                 buckets: int = 64) -> None:
-    """K4: merge one micro-batch into a keyed table kept as versions.
-
-    The batch is reduced to its last record per key; keys are hashed into
-    ``buckets`` buckets (F20) and only the buckets the batch touches are
-    rewritten: their current rows, minus the batch's keys, plus the batch's
-    rows (rows whose ``op_col`` is 'd' are tombstones and remove the key).
-    Untouched buckets keep their files. A retried batch rewrites the same
-    version."""
-    spark = batch.sparkSession
+def compact(spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame], upto: int) -> None:
+    """Fold everything up to batch ``upto`` into a new base. Runs beside the
+    stream, on batches that are complete; ``fold`` must give rows of the same
+    schema whose fold is the same (keep tombstones: an older change may still
+    arrive). Old folders can be deleted once no reader uses them."""
+    rows = spark.read.parquet(path)
+    older = rows.where(F.col("batch") <= upto)
+    fold(older.drop("kind", "batch")).write.mode("overwrite").parquet(f"{path}/kind=base/batch={upto}")
+
+
+def upsert_batch(batch: DataFrame, batch_id: int, path: str, key, order) -> None:
+    """K4: one micro-batch, reduced to its last record per key, appended."""
+    append_changes(state.keep_latest(batch, [key] if isinstance(key, str) else list(key), order), batch_id, path)
+
+
+def read_upsert_table(spark: SparkSession, path: str, key, order, op_col: str | None = None) -> DataFrame:
+    """Current contents of an upsert table: the last record per key under the
+    same ``order`` within and across batches, less the deleted keys."""
+    rows = state.keep_latest(read_changes(spark, path), [key] if isinstance(key, str) else list(key), order)
+    return rows.where(F.coalesce(F.col(op_col), F.lit("")) != "d") if op_col else rows
+
+
+def compact_upsert_table(spark: SparkSession, path: str, key, order, upto: int) -> None:
     keys = [key] if isinstance(key, str) else list(key)
-    latest = state.keep_latest(batch, keys, order).withColumn(BUCKET, key_bucket(keys, buckets))
-    touched = [r[0] for r in latest.select(BUCKET).distinct().collect()]  # at most `buckets` values
-    cur = read_versioned(spark, path, touched, before=batch_id)
-    if cur is not None:
-        cur = cur.withColumn(BUCKET, key_bucket(keys, buckets))
-        merged = cur.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
-    else:
-        merged = latest
-    if op_col:
-        merged = merged.where(F.coalesce(F.col(op_col), F.lit("")) != "d")
-    write_versioned(merged, path, batch_id, touched)
-
-
-def read_upsert_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """Current contents of an upsert table (None before the first batch)."""
-    return read_versioned(spark, path)
-
-
-def upsert_stream(stream: DataFrame, path: str, key, order, name: str, op_col: str | None = None,
-                  trigger: str | None = None):
-    """K4 on a stream: ``foreachBatch`` upsert with a checkpoint."""
-    fn: Callable = lambda b, i: upsert_batch(b, i, path, key, order, op_col)
+    compact(spark, path, lambda rows: state.keep_latest(rows, keys, order), upto)
+
+
+def upsert_stream(stream: DataFrame, path: str, key, order, name: str, trigger: str | None = None):
+    """K4 on a stream: ``foreachBatch`` append with a checkpoint."""
+    fn: Callable = lambda b, i: upsert_batch(b, i, path, key, order)
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", _ckpt(stream.sparkSession, name))
     if trigger:
         w = w.trigger(processingTime=trigger)

@@ -119,12 +119,19 @@ def test_upsert_batches(spark, scratch):
     path = f"{scratch}/upsert"
     b1 = spark.createDataFrame([("1", 1, "a", "c"), ("2", 1, "b", "c"), ("1", 2, "a2", "u")],
                                "id string, ts long, v string, op string")
-    sinks.upsert_batch(b1, 0, path, "id", ["ts"], op_col="op")
+    sinks.upsert_batch(b1, 0, path, "id", ["ts"])
     b2 = spark.createDataFrame([("2", 3, "b", "d"), ("3", 3, "c", "c")], b1.schema)
-    sinks.upsert_batch(b2, 1, path, "id", ["ts"], op_col="op")
-    sinks.upsert_batch(b2, 1, path, "id", ["ts"], op_col="op")  # a retried batch is idempotent
-    got = sorted((r.id, r.v) for r in sinks.read_upsert_table(spark, path).collect())
-    assert got == [("1", "a2"), ("3", "c")]
+    sinks.upsert_batch(b2, 1, path, "id", ["ts"])
+    sinks.upsert_batch(b2, 1, path, "id", ["ts"])  # a retried batch is idempotent
+    # an older change that arrives late, of a live and of a deleted row
+    sinks.upsert_batch(spark.createDataFrame([("1", 1, "late", "u"), ("2", 2, "late", "u")], b1.schema), 2, path, "id", ["ts"])
+
+    def rows():
+        return sorted((r.id, r.v) for r in sinks.read_upsert_table(spark, path, "id", ["ts"], "op").collect())
+    assert rows() == [("1", "a2"), ("3", "c")]
+    for upto in (1, 2):
+        sinks.compact_upsert_table(spark, path, "id", ["ts"], upto)
+        assert rows() == [("1", "a2"), ("3", "c")]
 
 
 def test_split_log_batch_writes_all_outputs(spark, scratch):
@@ -160,14 +167,11 @@ def test_keep_latest_timer_emits_latest(spark, scratch):
     """Records are held per key and the newest is emitted once the
     processing-time delay has passed."""
     import time
-    from martflow.streaming.processors import KeepLatest
     rows = [("a", 1, "x1"), ("a", 3, "x3"), ("a", 2, "x2"), ("b", 1, "y1")]
     df = spark.createDataFrame(rows, "id string, seq int, v string")
     df.coalesce(1).write.parquet(f"{scratch}/kl")
     s = spark.readStream.schema(df.schema).parquet(f"{scratch}/kl")
-    out = s.groupBy("id").transformWithStateInPandas(
-        KeepLatest(["id", "seq", "v"], ["seq"], "id string, seq int, v string", delay_ms=500),
-        df.schema, "Append", "ProcessingTime")
+    out = jobs.keep_latest_stream(s, "id", ["seq"], delay_ms=500)
     q = (out.writeStream.format("memory").queryName("kl").outputMode("append")
          .option("checkpointLocation", f"{scratch}/ckpt_kl").trigger(processingTime="500 milliseconds").start())
     try:
