@@ -237,7 +237,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     linked = named.select("node", "component").join(least, "component").select(F.col("node").alias("class"), "component_id")
     final = classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "rep").alias("component_id"))
-    rows = sigs.where("n_shingles > 0").select("doc_id", "n_shingles", "class").join(final, "class") \
+    # a class may hold a third of all rows
+    rows = attach(sigs.where("n_shingles > 0").select("doc_id", "n_shingles", "class"), final, "class") \
         .select("doc_id", "n_shingles", "component_id")
     alone = sigs.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return rows.unionByName(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
