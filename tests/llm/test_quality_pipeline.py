@@ -79,11 +79,11 @@ def test_perplexity_matches_brute_force(spark, broadcast):
 def test_classifier_rejects_junk_and_keeps_clean(spark):
     prepare(spark)
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
-    out = quality.classify(docs, labels, sample=quality.Sample(150, 200_000))
+    out = quality.classify(docs, labels)
     x = out.join(labels, "doc_id").toPandas()
     assert out.count() == docs.count()
     assert x[x.quality == 1].kept.mean() > 0.95 and x[x.quality == 0].kept.mean() < 0.5
-    left = quality.keep_good(docs, labels, sample=quality.Sample(150, 200_000))
+    left = quality.keep_good(docs, labels)
     assert left.columns == docs.columns and left.count() == out.where("kept").count()
 
 
