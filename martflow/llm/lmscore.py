@@ -47,7 +47,7 @@ ORDER = 4
 END, START = 256, 257
 SYMBOLS = 257  # bytes and the end
 BITS = 9
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 32 << 20
 PIECE_BYTES = 1 << 20
 
 
