@@ -25,3 +25,16 @@ def spark():
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="martflow-test-")
+
+
+@pytest.fixture(autouse=True)
+def few_stream_partitions(request):
+    """Streams keep one state store per shuffle partition; a few rows need few."""
+    if request.module.__name__.rpartition(".")[2] not in ("test_streaming", "test_apps"):
+        yield
+        return
+    s = request.getfixturevalue("spark")
+    old = s.conf.get("spark.sql.shuffle.partitions")
+    s.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    s.conf.set("spark.sql.shuffle.partitions", old)

@@ -325,15 +325,7 @@ def _cdc(table, op, after, ts, before=None, pos=0):
     return json.dumps({"before": before, "after": after, "source": {"db": "stream_retail", "table": table}, "op": op, "ts_ms": ts, "pos": pos})
 
 
-@pytest.fixture()
-def few_partitions(spark):
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    yield
-    spark.conf.set("spark.sql.shuffle.partitions", old)
-
-
-def test_apps_divert_bad_records(spark, scratch, few_partitions):
+def test_apps_divert_bad_records(spark, scratch):
     jobs.use_rocksdb_state(spark)
     bad = ["no json", '{"cut off": ']
     t = Tables(spark, SF)
@@ -374,7 +366,7 @@ def test_apps_divert_bad_records(spark, scratch, few_partitions):
     assert sum(r.order_amount for r in rows) == 12
 
 
-def test_cancel_and_payment_apps(spark, scratch, few_partitions):
+def test_cancel_and_payment_apps(spark, scratch):
     detail = [[DETAIL % ("d1", "o1", "5.00", T0), "no detail"]]
     feed = [[_cdc("order_info", "u", {"id": "o1", "order_status": "1003", "operate_time": str(T0)}, T0 + 60_000, {"order_status": "1001"}),
              _cdc("refund_payment", "u", {"id": "p", "order_id": "o1", "payment_type": "1101", "callback_time": "x", "refund_status": "1602"},
