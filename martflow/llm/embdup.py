@@ -1,12 +1,18 @@
 """Near-duplicate vectors by sorted projection passes.
 
 Identical vectors are one class from the start. In every pass each class gets
-a key of concatenated random hashes (signs of random projections); classes are
-range-partitioned and sorted lexicographically by it, and each is compared, by
-cosine in double precision, with its neighbours in a bounded window. Links of
-all passes are united into components. The passes have only to connect each
-component: inside one, all links are then counted exactly, in blocks of bounded
-size, so window and group size don't bound a vector's number of links.
+a key of concatenated random hashes (signs of random projections). Classes that
+share a key's first bits are a run, and a run is compared as a whole, by cosine
+in double precision, in blocks of bounded size, however dense or long it is.
+Two vectors agree in a bit with probability 1 - angle / pi, so :func:`plan`
+can derive from the number of classes how many bits keep runs of unrelated
+vectors short, and how many passes then put a pair at the threshold into a
+common run but for a share of ``MISS``; few classes are compared all with all.
+Before that, classes are range-partitioned and sorted lexicographically by
+their keys and compared with their neighbours in a bounded window; that finds
+most links cheaply, and runs that lie inside one component by then are left out.
+Links of all passes are united into components; inside one, all links are then
+counted exactly, in blocks of bounded size.
 
 Defined results: a vector that is null, empty or all zero, or holds a null or
 non-finite component, links with nothing (n_links 0, its own component);
@@ -16,6 +22,8 @@ with each other; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,12 +32,25 @@ from pyspark.sql import functions as F
 from .common import written
 from .graph import Union, attach, chunk_pairs, chunked, components, sized
 
-PASSES = 24
+#: Share of the pairs at the threshold that no run of any pass holds.
+MISS = 1e-6
 WINDOW = 32
 KEY_BITS = 63
 GROUP_ROWS = 1024
 
 
+def plan(classes: int, least: float, block: int) -> tuple[int, int]:
+    """(bits of a run's prefix, passes). Runs of unrelated vectors have
+    ``block`` rows or so; a pair of cosine ``least`` shares no run of any pass
+    with probability ``MISS`` at most. Where that takes more passes than there
+    are runs in one, no bits and one pass: all with all."""
+    bits = min(KEY_BITS, max(0, math.ceil(math.log2(max(1, classes) / block))))
+    meet = (1 - math.acos(min(1.0, max(-1.0, least))) / math.pi) ** bits
+    if meet * 2 ** bits <= -math.log(MISS):
+        return 0, 1
+    return bits, 1 if meet >= 1 else math.ceil(math.log(MISS) / math.log1p(-meet))
+
+
 def matrix(col: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """(row numbers, unit rows in double precision) for each vector length."""
     if isinstance(col, pa.ChunkedArray):
@@ -100,6 +121,41 @@ def _with_keys(reps: DataFrame, passes: int, kind: str) -> DataFrame:
     return reps.select("class", "vec").mapInArrow(task, f"class long, vec {kind}, keys array<long>")
 
 
+def _run_parts(keyed: DataFrame, known: DataFrame, bits: int, classes: int, block: int) -> DataFrame:
+    """(run, class, known, chunk, chunks): narrow rows of the runs that hold
+    more than one component of ``known``."""
+    rows = keyed.join(known, "class", "left").withColumn("known", F.coalesce("component", "class"))
+    if not bits:
+        one = rows.select("class", "known", F.lit(0).cast("long").alias("run"), *(F.lit(classes).alias(c) for c in ("rows", "weight")))
+        return chunked(one, "class", block, 1 << 62)
+    exploded = rows.select("class", "known", F.size("vec").alias("dim"), F.posexplode("keys").alias("pass", "key"))
+    runs = exploded.select("class", "known", F.xxhash64("pass", "dim", F.shiftright("key", KEY_BITS - bits)).alias("run"))
+    mixed = runs.groupBy("run").agg(F.count(F.lit(1)).alias("rows"), F.min("known").alias("low"), F.max("known").alias("high")) \
+        .where("low < high").select("run", "rows", F.col("rows").alias("weight"))
+    return chunked(attach(runs, mixed, "run"), "class", block, 1 << 62)
+
+
+def _run_links(pairs, least: float) -> DataFrame:
+    """Links between two blocks of a run that join components not yet joined."""
+    def task(t: pa.Table) -> pa.Table:
+        ident, comp = t.column("class").to_numpy(), t.column("known").to_numpy().copy()
+        chunk, i, j = t.column("chunk").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        a_out, b_out = [], []
+        for rows, x in matrix(t.column("vec")):
+            left, right = np.flatnonzero(chunk[rows] == i), np.flatnonzero(chunk[rows] == j)
+            near = x[left] @ x[right].T >= least
+            for k in np.flatnonzero(near.any(axis=1)):
+                u, others = rows[left[k]], rows[right[near[k]]]
+                for v in others[comp[others] != comp[u]]:
+                    if comp[v] != comp[u]:
+                        a_out.append(ident[u])
+                        b_out.append(ident[v])
+                        comp[comp == comp[v]] = comp[u]
+        return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
+
+    return pairs.applyInArrow(task, "a long, b long")
+
+
 def _count_links(pairs, least: float) -> DataFrame:
     """Per class and block pair: rows linked with it, its own class left out."""
     def task(t: pa.Table) -> pa.Table:
@@ -119,8 +175,9 @@ def _count_links(pairs, least: float) -> DataFrame:
 
 
 def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_id", vec: str = "embedding",
-                           passes: int = PASSES, window: int = WINDOW) -> DataFrame:
-    """One row per row of ``vectors``: vec_id, n_links, component_id, kept."""
+                           passes: int | None = None, window: int = WINDOW) -> DataFrame:
+    """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
+    ``passes``: more or fewer than :func:`plan` derives."""
     v = F.col("vec")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     src = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vec).alias("vec"))
@@ -131,14 +188,20 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str =
     kind = src.schema["vec"].dataType.simpleString()
     reps = written(rows.where("ok").groupBy("class").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")))
-    keyed = _with_keys(reps, passes, kind).select("class", "vec", F.size("vec").alias("dim"), F.posexplode("keys").alias("pass", "key"))
+    block, classes = GROUP_ROWS // 2, reps.count()
+    bits, needed = plan(classes, least, block)
+    hashed = _with_keys(reps, passes or needed, kind)
+    keyed = hashed.select("class", "vec", F.size("vec").alias("dim"), F.posexplode("keys").alias("pass", "key"))
     by = ["pass", "dim", "key", "class"]
     ordered = keyed.repartitionByRange(*by).sortWithinPartitions(*by)
-    found = components(window_links(ordered, window, least))
+    near = written(window_links(ordered, window, least))
+    known = components(near).withColumnRenamed("node", "class")
+    runs = chunk_pairs(_run_parts(hashed, known, bits, classes, block)).join(reps.select("class", "vec"), "class")
+    found = components(near.unionByName(written(_run_links(runs.groupBy("run", "i", "j"), least))))
     narrow = sized(found.withColumnRenamed("node", "class").join(reps.drop("vec"), "class"), "component", "copies")
     least_id = narrow.groupBy("component").agg(F.min("rep").alias("component_id"))
     members = written(attach(narrow, least_id, "component"))
-    parts = chunked(members, "class", GROUP_ROWS // 2, 1 << 62)
+    parts = chunked(members, "class", block, 1 << 62)
     pairs = chunk_pairs(parts).join(reps.select("class", "vec"), "class").groupBy("component", "i", "j")
     counted = _count_links(pairs, least).groupBy("class").agg(F.sum("links").alias("links"))
     linked = members.select("class", "component_id").join(counted, "class")

@@ -145,3 +145,37 @@ def test_vector_edges_and_groups(spark, monkeypatch):
     rows = list(enumerate(rows)) + [(0, rows[0]), (0, rows[0])]
     df = spark.createDataFrame([(a, b, "x") for a, b in rows], "vec_id long, embedding array<float>, rep string")
     assert got_vectors(embdup.near_duplicate_vectors(df)) == brute_vectors(rows)
+
+
+@pytest.mark.parametrize("bound", [1024, 64])
+def test_pairs_inside_a_dense_group(spark, monkeypatch, bound):
+    """Planted links among vectors that lie just below the threshold of each
+    other: too many neighbours for windows, whether compared all with all or in runs."""
+    prepare(spark)
+    monkeypatch.setattr(embdup, "GROUP_ROWS", bound)
+    rng = np.random.default_rng(8)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+    dense = unit(unit(rng.normal(size=128)) * 0.855 ** 0.5 + unit(rng.normal(size=(1800, 128))) * 0.145 ** 0.5)
+    # some of them once more, turned by the angle of cosine 0.915
+    away = rng.normal(size=(60, 128))
+    away = unit(away - (away * dense[:60]).sum(axis=1, keepdims=True) * dense[:60])
+    x = np.concatenate([dense, 0.915 * dense[:60] + (1 - 0.915 ** 2) ** 0.5 * away]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    u = unit(x.astype(np.float64))
+    near = u @ u.T >= 0.9
+    links = [(i, j) for i, j in np.argwhere(near).tolist() if j < i]
+    assert all((1800 + i, i) in links for i in range(60)) and len(links) < 1800
+    comp = brute_components(list(range(len(x))), links)
+    want = sorted((str(i), int(near[i].sum()) - 1, str(c), str(i == c)) for i, c in enumerate(comp))
+    assert got_vectors(embdup.near_duplicate_vectors(df)) == want
+
+
+def test_passes_follow_the_number_of_classes():
+    share = []
+    for n in (0, 1, 5_000, 10**5, 10**7, 10**9):
+        bits, passes = embdup.plan(n, 0.9, 512)
+        assert n <= 512 * 2 ** bits or not bits and n < 10**4
+        share.append((1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** passes)
+    assert max(share) <= embdup.MISS
