@@ -3,9 +3,10 @@
 ``STAGES`` in order: reject low-quality documents, keep one document of each
 near-duplicate group, drop documents that hold benchmark items, mask secrets,
 pack token sequences. A stage takes (spark, docs, sf_dir) and works on all that
-its predecessor kept; all but the last return the columns of documents. Rows
-whose id is null are never dropped as duplicates (a group's representative is
-named by id).
+its predecessor kept; all but the last return the columns of documents. Near
+duplicates are dropped by row (id and text): an id that has several texts loses
+only those that are copies, and of a group's rows of null ids one stays (beside
+the row with an id, if there is one).
 """
 
 from __future__ import annotations
@@ -26,12 +27,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document whose id names its group stays; of repeated rows one."""
+    """One row of each group stays, and one of its rows of null ids; of repeated rows one."""
     prepare(spark)
-    found = neardup.near_duplicates(docs, shingle=5)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    return named.select(COLUMNS).unionByName(docs.where("doc_id is null").select(COLUMNS))
+    return neardup.one_per_group(docs.select(COLUMNS), shingle=5)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ similarity 0.8 share a band with probability above 0.99999.
 2. Classes that share a band key are linked to the smallest class of that key;
    connected components of those unverified links are families. No other pair
    of different classes can be a candidate.
-3. Families are verified on full sets, recomputed from the texts of one
-   document per class: a family of bounded size is one task group, where an
+3. Families are verified on full sets, recomputed from one
+   text per class, named by its id and hash: a family of bounded size is one task group, where an
    inverted index over its shingles counts intersections. Larger families are
    dealt into random parts of bounded size, several times over; documents that
    after that aren't in their family's largest component are compared, block
@@ -24,9 +24,11 @@ similarity 0.8 share a band with probability above 0.99999.
 Defined results: a text without words (null, empty, white space) has size 0 and
 links with nothing; fewer words than the shingle size make the whole sequence
 the one shingle; rows with equal sets are linked; repeated rows each give a
-row; a null id never names a component unless all ids of the class are null
-(then component_id and kept are null); an empty table gives an empty table;
-other columns are ignored.
+row; a null id never names a component unless all ids of the component are
+null (then component_id and kept are null), but its text links like others; an
+empty table gives an empty table; other columns are ignored. An id may have
+several texts: what is to be kept is a row, so :func:`grouped` also tells which
+rows represent their component, by id and text hash.
 """
 
 from __future__ import annotations
@@ -100,7 +102,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, n_shingles, class, bands array<long>)."""
+    """(doc_id, text_hash, n_shingles, class, bands array<long>)."""
     def task(batches):
         for b in batches:
             data, offsets = raw(b.column(1))
@@ -118,12 +120,13 @@ def signatures(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
             flat = _signed(np.concatenate([np.zeros(0, np.uint64), *bands]))
             upto = np.concatenate(([0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes])))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *ns])),
+                b.column(0), b.column(2), pa.array(np.concatenate([np.zeros(0, np.int64), *ns])),
                 pa.array(_signed(np.concatenate([np.zeros(0, np.uint64), *cs]))),
-                pa.ListArray.from_arrays(pa.array(upto), pa.array(flat))], names=["doc_id", "n_shingles", "class", "bands"])
+                pa.ListArray.from_arrays(pa.array(upto), pa.array(flat))], names=["doc_id", "text_hash", "n_shingles", "class", "bands"])
 
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return src.mapInArrow(task, "doc_id long, n_shingles long, class long, bands array<long>")
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
+        .withColumn("text_hash", F.xxhash64("text"))
+    return src.mapInArrow(task, "doc_id long, text_hash long, n_shingles long, class long, bands array<long>")
 
 
 def families(sigs: DataFrame) -> DataFrame:
@@ -145,7 +148,7 @@ def _links(texts: pa.Array, classes: np.ndarray, known: np.ndarray, left: np.nda
     sizes = np.concatenate([np.diff(b) for _, b in parts])
     own = np.concatenate([set_class(s, b) for s, b in parts])
     n = len(sizes)
-    valid = (_signed(own) == classes) & (sizes > 0)  # another text under the same id isn't this class
+    valid = (_signed(own) == classes) & (sizes > 0)  # another text of the same key isn't this class
     owner = np.repeat(np.arange(n), sizes)
     order = np.argsort(sets, kind="stable")
     _, start, inv, count = np.unique(sets, return_index=True, return_inverse=True, return_counts=True)
@@ -213,32 +216,61 @@ def verified_links(members: DataFrame, k: int, percent: int, deals: int = 2) ->
 
 
 def _texts_of(texts: DataFrame, of: DataFrame) -> DataFrame:
-    """The rows (rep, text) whose id may represent a family's class: what the
-    join with ``of`` would drop mostly goes before its shuffle."""
-    held = texts.sparkSession.sparkContext.broadcast(bloom_filter(of.select(F.xxhash64("rep").alias("h")), "h", FILTER_BITS))
+    """One row (key, text) for each key that may represent a family's class:
+    what the join with ``of`` would drop mostly goes before its shuffle."""
+    held = texts.sparkSession.sparkContext.broadcast(bloom_filter(of.select("key"), "key", FILTER_BITS))
 
     def task(batches):
         for b in batches:
-            hit = may_hold(held.value, b.column(2).to_numpy())
-            yield b.filter(pa.array(hit)).select(["rep", "text"])
+            yield b.filter(pa.array(may_hold(held.value, b.column(0).to_numpy())))
 
-    return texts.withColumn("h", F.xxhash64("rep")).mapInArrow(task, "rep long, text string")
+    # a repeated row may hold a third of all rows
+    return texts.mapInArrow(task, "key long, text string").dropDuplicates(["key"])
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+def grouped(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_hash, n_shingles, component_id
+    (its smallest id), first. The rows that are ``first`` are those of one id
+    and one text in each component: the smallest id and of its texts the one of
+    the smallest hash. Rows of a null id, which can't be told to be the same
+    document, have one first text of their own in each component. A text
+    without words is its own component."""
     sigs = written(signatures(docs, shingle, doc_id, text))
-    classes = sigs.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
-    of = written(sized(families(sigs).join(classes, "class").where("rep is not null"), "family", "n"))
-    texts = _texts_of(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).cast("string").alias("text")), of)
-    members = written(of.join(texts, "rep").select("family", "class", "n", "rows", "weight", "text"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    classes = sigs.where("n_shingles > 0").groupBy("class").agg(
+        F.min(row).alias("rep"), F.min(F.when(F.col("doc_id").isNull(), F.col("text_hash"))).alias("unnamed"), F.max("n_shingles").alias("n")) \
+        .withColumn("key", F.xxhash64("rep.doc_id", "rep.text_hash"))
+    of = written(sized(families(sigs).join(classes.drop("rep", "unnamed"), "class"), "family", "n"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
+        .select(F.xxhash64("doc_id", F.xxhash64("text")).alias("key"), "text")
+    members = written(of.join(_texts_of(texts, of), "key").select("family", "class", "n", "rows", "weight", "text"))
     joined = components(verified_links(members, shingle, percent))
-    named = joined.join(classes.select(F.col("class").alias("node"), "rep"), "node")
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    linked = named.select("node", "component").join(least, "component").select(F.col("node").alias("class"), "component_id")
-    final = classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "rep").alias("component_id"))
+    named = joined.join(classes.select(F.col("class").alias("node"), "rep", "unnamed"), "node")
+    least = named.groupBy("component").agg(F.min("rep").alias("lead"), F.min("unnamed").alias("spare"))
+    linked = named.select("node", "component").join(least, "component").select(F.col("node").alias("class"), "lead", "spare")
+    final = classes.join(linked, "class", "left").select(
+        "class", F.coalesce("lead", "rep").alias("lead"), F.coalesce("spare", "unnamed").alias("spare"))
     # a class may hold a third of all rows
-    rows = attach(sigs.where("n_shingles > 0").select("doc_id", "n_shingles", "class"), final, "class") \
-        .select("doc_id", "n_shingles", "component_id")
-    alone = sigs.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return rows.unionByName(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    rows = attach(sigs.where("n_shingles > 0").select("doc_id", "text_hash", "n_shingles", "class"), final, "class")
+    named_first = (F.col("doc_id") == F.col("lead.doc_id")) & (F.col("text_hash") == F.col("lead.text_hash"))
+    first = F.when(F.col("doc_id").isNull(), F.col("text_hash") == F.col("spare")).otherwise(named_first)
+    rows = rows.select("doc_id", "text_hash", "n_shingles", F.col("lead.doc_id").alias("component_id"), first.alias("first"))
+    alone = sigs.where("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return rows.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    return grouped(docs, shingle, percent, doc_id, text).select("doc_id", "n_shingles", "component_id") \
+        .withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def one_per_group(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` (doc_id, text and other columns) with one row of each component,
+    and of its rows of null ids, if it has any, one as well. Repeated rows of an id are one; rows of a null id without words all stay."""
+    gone = grouped(docs, shingle, percent).where("not first").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
+    lone = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    # repeated rows go first, so that no key of the join is hot
+    rows = docs.where(~lone).withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    return rows.join(gone, same, "left_anti").select(docs.columns).unionByName(docs.where(lone))

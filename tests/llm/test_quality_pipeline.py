@@ -135,3 +135,34 @@ def test_pipeline_on_odd_rows(spark):
             out = stage(spark, out, SF)
         got = {r.doc_id for r in out.collect()}
         assert got == ({1, 2, None, 3, 4} if data else set())
+
+
+def test_near_duplicates_are_dropped_by_row(spark):
+    """Ids of several texts, near copies under one id and under null ids."""
+    prepare(spark)
+    words = [[f"{g}{i}" for i in range(60)] for g in "abcdefg"]
+    a, b, c, d, e, f, g = (" ".join(w) for w in words)
+
+    def near(text):
+        return text + " more"
+    rows = [(1, a), (5, a), (5, b), (5, c), (6, near(c)),  # 5 copies 1, has a text of its own and names another group
+            (7, d), (7, near(d)),  # near copies under one id
+            (None, e), (None, e), (None, near(e)),  # a group without ids
+            (None, f), (9, near(f)),  # a text without id stays beside one with
+            (8, g), (8, g), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.one_per_group(spark, docs.repartition(5), SF).collect()
+    pairs = [(r.doc_id, r.text) for r in got]
+    assert pairs.count((None, "")) == 2 and len(pairs) == 10
+    rest = {p for p in pairs if p[1]}
+    assert {(1, a), (5, b), (5, c), (9, near(f)), (None, f), (8, g)} <= rest
+    assert len({(7, d), (7, near(d))} & rest) == 1 and len({(None, e), (None, near(e))} & rest) == 1
+    assert all(r.n_chars == len(r.text) for r in got)
+
+
+def test_groups_of_null_ids_link(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    prepare(spark)
+    df = spark.createDataFrame([(None, text), (None, text + " more"), (3, text + " else")], "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(df).collect()}
+    assert got == {(None, 3), (3, 3)}
