@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, embdup, langid, lmscore, neardup, packing, quality, secrets, sharding, tiling
-from .common import held_out, prepare
+from .common import held_out, prepare, written
 from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,13 +77,12 @@ def op7_trigram_secrets(spark, sf_dir):
 
 @query
 def op8_hypergeometric_shards(spark, sf_dir):
+    """Whole documents in shards, written; a digest of what was written."""
+    shards = written(sharding.hypergeometric_shards(table(spark, sf_dir, "documents"), 40, keys=["doc_id"]))
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"))
-    out = sharding.hypergeometric_shards(rows, 40)
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                      F.lit(None).cast("int").alias("grown_shard"))
+    return shards.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+                         F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from martflow.llm import chat, langid, packing, queries, secrets, sharding
+from martflow.llm import chat, common, langid, packing, queries, secrets, sharding
 from martflow.llm.common import prepare
 from martflow.llm.words import Words, raw
 
@@ -256,3 +256,24 @@ def test_words_and_shingles():
         for i in range(len(texts)):
             for j in range(len(texts)):
                 assert len(sets[i] & sets[j]) == len(want[i] & want[j])
+
+
+# -- queries keep the operators' real output --------------------------------------
+
+@pytest.fixture()
+def kept_tables(monkeypatch):
+    """What a query writes before it derives its digest."""
+    tables = []
+    write = common.written
+    monkeypatch.setattr(queries, "written", lambda df, *a: tables.append(write(df, *a)) or tables[-1], raising=False)
+    return tables
+
+
+def test_shards_hold_whole_documents(spark, kept_tables):
+    out = queries.QUERIES["op8_hypergeometric_shards"](spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    shards, = kept_tables
+    assert set(shards.columns) == {*docs.columns, "shard", "slot"}
+    assert sorted(map(str, shards.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+    want = {(r.shard, r.slot): (r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in shards.collect()}
+    assert {(r.shard, r.slot): (r.doc_id, r.size, r.text_crc32) for r in out.collect()} == want and len(want) == docs.count()
