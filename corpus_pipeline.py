@@ -47,7 +47,7 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, with_ids=True)
 
 
 STAGES = [

@@ -183,7 +183,8 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
                 cols = list(zip(*rows))
                 arrays = [pa.array(cols[0], b.schema.field(0).type), *(pa.array(c, pa.int64()) for c in cols[1:7])]
                 if with_ids:
-                    arrays.append(pa.array([p.astype(np.int32) for p in cols[7]], pa.list_(pa.int32())))
+                    upto = np.concatenate(([0], np.cumsum(cols[2]))).astype(np.int32)
+                    arrays.append(pa.ListArray.from_arrays(pa.array(upto), pa.array(np.concatenate(cols[7]).astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(arrays, names=fields)
 
     fields = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])]
@@ -194,3 +195,19 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     sorted_ = (keyed.repartitionByRange(partitions, *by) if partitions else keyed.repartitionByRange(*by)).sortWithinPartitions(*by)
     return sorted_.select("doc_id", "text").mapInArrow(
         cut, f"doc_id {kind}, " + ", ".join(f"`{f}` {'array<int>' if f == 'ids' else 'long'}" for f in fields[1:]))
+
+
+def digest(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``ids_crc32`` computed from the ``ids`` that were
+    emitted, in their place."""
+    def task(batches):
+        for b in batches:
+            ids = b.column("ids")
+            flat, size = ids.flatten().to_numpy().astype("<u4"), np.asarray(ids.value_lengths())
+            upto = np.concatenate(([0], np.cumsum(size)))
+            crc = pa.array([zlib.crc32(flat[i:j]) for i, j in zip(upto[:-1], upto[1:])], pa.int64())
+            yield pa.RecordBatch.from_arrays([crc if f == "ids_crc32" else b.column(f) for f in fields], names=fields)
+
+    kinds = {f.name: f.dataType.simpleString() for f in pieces.schema}
+    fields = [f for f in kinds if f != "ids"]
+    return pieces.mapInArrow(task, ", ".join(f"`{f}` {kinds[f]}" for f in fields))

@@ -96,4 +96,5 @@ def op9_string_tiling(spark, sf_dir):
 
 @query
 def op10_hilbert_pack(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    """Whole sequences, written; a digest of what was written."""
+    return packing.digest(written(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=True)))

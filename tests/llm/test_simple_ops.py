@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import public_tokenizers
 from martflow.llm import chat, common, langid, packing, queries, secrets, sharding
 from martflow.llm.common import prepare
@@ -277,3 +278,17 @@ def test_shards_hold_whole_documents(spark, kept_tables):
     assert sorted(map(str, shards.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
     want = {(r.shard, r.slot): (r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in shards.collect()}
     assert {(r.shard, r.slot): (r.doc_id, r.size, r.text_crc32) for r in out.collect()} == want and len(want) == docs.count()
+
+
+def test_packing_emits_the_ids_it_digests(spark, kept_tables):
+    out = queries.QUERIES["op10_hilbert_pack"](spark, SF)
+    pieces, = kept_tables
+    want = {(r.sequence_id, r.offset): (r.doc_id, len(r.ids), zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())) for r in pieces.collect()}
+    assert {(r.sequence_id, r.offset): (r.doc_id, r.length, r.ids_crc32) for r in out.collect()} == want
+    assert out.columns == packing.pack(spark.read.parquet(f"{SF}/documents.parquet"), queries.TOKENIZER).columns
+
+
+def test_pipeline_emits_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    rows = corpus_pipeline.packed(spark, docs, SF).collect()
+    assert rows and all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 for r in rows)
