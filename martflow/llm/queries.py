@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embdup, langid, lmscore, neardup, packing, quality, secrets, sharding, tiling
+from . import chat, embdup, langid, lmscore, neardup, packing, quality, repair, secrets, sharding, tiling, toxicity, variants
 from .common import held_out, prepare, written
 from .oracle import ORACLE  # noqa: F401
 
@@ -98,3 +98,23 @@ def op9_string_tiling(spark, sf_dir):
 def op10_hilbert_pack(spark, sf_dir):
     """Whole sequences, written; a digest of what was written."""
     return packing.digest(written(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=True)))
+
+
+@query
+def op11_permuterm_variants(spark, sf_dir):
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    whole = table(spark, sf_dir, "conversations")
+    rows = repair.damage(whole)
+    audited = written(repair.audits(rows))
+    return repair.digest(repair.apply(rows, audited), audited, whole)
+
+
+@query
+def op13_subword_toxicity(spark, sf_dir):
+    train = ~held_out("doc_id", 5, 0)
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train)
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
