@@ -190,27 +190,29 @@ class Model:
 
 def fit(rows: list, epochs: int = 25, rate: float = 0.2, seed: int = 13) -> Model | None:
     """SGD over the collected sample (bounded by :func:`sample`)."""
-    bags = sorted(((r["label"], np.frombuffer(r["idx"], "<u4").astype(np.int64), np.frombuffer(r["cnt"], "<f4")) for r in rows if r["idx"]),
-                  key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
-    y = np.array([b[0] for b in bags], dtype=np.int64)
+    rows = sorted((r for r in rows if r["idx"]), key=lambda r: (r["label"], r["idx"], r["cnt"]))
+    y = np.array([r["label"] for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return None
     rng = np.random.Generator(np.random.PCG64(seed))
     emb = np.zeros((BUCKETS, DIM), dtype=np.float32)  # subwords never seen stay neutral
     lin = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32)
     seen, seen_lin = np.full(BUCKETS, 1e-8, dtype=np.float32), np.full((DIM, 2), 1e-8, dtype=np.float32)
-    order = rng.permutation(len(bags))
-    cut = len(bags) // 5 if len(bags) >= 40 else 0
+    order = rng.permutation(len(rows))
+    cut = len(rows) // 5 if len(rows) >= 40 else 0
     learned, checked = order[cut:], order[:cut] if cut else order
     # labels weigh alike, however many rows they have
     weight = np.array([len(learned) / (2 * max(1, (y[learned] == k).sum())) for k in (0, 1)])
-    size = [b[2].sum() + NEUTRAL for b in bags]
     often = np.zeros(BUCKETS, dtype=np.int64)
     for i in learned:
-        often[bags[i][1]] += 1
-    known = [often[b[1]] >= min(MIN_BAGS, max(1, len(learned) // 50)) for b in bags]  # rarer ones stay neutral
-    grams = [b[1][k] for b, k in zip(bags, known)]
-    parts = [(b[2][k] / n).astype(np.float32) for b, k, n in zip(bags, known, size)]
+        often[np.frombuffer(rows[i]["idx"], "<u4")] += 1
+    known = often >= min(MIN_BAGS, max(1, len(learned) // 50))  # rarer ones stay neutral
+    grams, parts = [], []
+    for r in rows:
+        idx, cnt = np.frombuffer(r["idx"], "<u4"), np.frombuffer(r["cnt"], "<f4")
+        use = known[idx]
+        grams.append(idx[use].astype(np.int32))
+        parts.append(cnt[use] / np.float32(cnt.sum(dtype=np.float64) + NEUTRAL))
     for _ in range(epochs):
         for i in rng.permutation(learned):
             idx, part = grams[i], parts[i]
