@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cdc import flatten_dict
+from . import versions
+from .cdc import change_order, flatten_dict, image, select_changes
 
 
 def dict_lookup(df: DataFrame, dic: DataFrame, key: str, out: str, how: str = "inner",
@@ -25,6 +26,16 @@ def dict_lookup(df: DataFrame, dic: DataFrame, key: str, out: str, how: str = "i
     return df.join(d, F.col(key) == F.col("__code"), how).drop("__code")
 
 
+def dict_versions(feed: DataFrame, code: str, out: str, span_ms: int = versions.DAY_MS, table: str = "base_dic") -> DataFrame:
+    """S10 with a life of its own: the dictionary's change feed (snapshot rows,
+    inserts, updates, deletes) as a validity table (``code``, ``out``,
+    valid_from, valid_to) for ``versions.as_of_join``. A delete leaves its code
+    unknown until it is inserted again."""
+    d = select_changes(feed, table, ("r", "c", "u", "d"))
+    rows = d.select(image()["dic_code"].alias(code), image()["dic_name"].alias(out), (F.col("op") == "d").alias("__del"), *change_order(d))
+    return versions.versions(rows, code, change_order(d), deleted=F.col("__del"), span_ms=span_ms).drop("__del", "pos")
+
+
 def with_province(df: DataFrame, provinces: DataFrame, key: str = "province_id") -> DataFrame:
     """Province name by id; a missing province gives a null name (Q14:
     the original failed the job)."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import flexible_date, ms_to_date
-from . import cdc, dims, state
+from . import cdc, dims, state, versions
 
 
 def _last(df: DataFrame, key: str) -> DataFrame:
@@ -117,17 +117,53 @@ def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None) ->
     """
     rows = _detail_rows(ods, order)
     payload = [c for c in rows.columns if c not in ("id", "replay_order")]
-    kinds = {"d": rows.select("id", F.struct("replay_order", *payload).alias("d"))}
-    kinds |= {t: _links(ods, t).withColumnRenamed("link", t) for t in LINKS}
+    kinds = {"d": rows.where(F.col("id").isNotNull()).select("id", F.struct("replay_order", *payload).alias("d"))}
+    kinds |= {t: _links(ods, t).withColumnRenamed("link", t).where(F.col("id").isNotNull()) for t in LINKS}
     union = None
     for name, df in kinds.items():
         union = df if union is None else union.unionByName(df, allowMissingColumns=True)
     folded = union.groupBy("id").agg(*[F.max(k).alias(k) for k in kinds]).where(F.col("d").isNotNull())
     od = folded.select("id", *[F.col(f"d.{c}").alias(c) for c in payload],
                        *[F.col(f"{t}.{c}").alias(c) for t, cols in LINKS.items() for c in cols])
+    # a detail without an id has no link and no other version
+    alone = rows.where(F.col("id").isNull()).drop("replay_order")
+    od = od.unionByName(alone, allowMissingColumns=True)
     return _attach_orders(od, ods).select(*ORDER_DETAIL_COLS)
 
 
+CHANGE_COLS = ["id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id", "sku_num",
+               "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount", "change_ms", "sign"]
+
+
+def order_detail_changes(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
+    """J1 + J2 as the change rows that the streaming join emits: a detail
+    appears when its order has (links null until theirs come), and each later
+    change of detail, order, activity or coupon retracts the row (``sign`` -1)
+    and emits the new one (+1) at ``change_ms``. Null ids join nothing; a detail
+    without an id is never retracted.
+
+    The signs of an id sum to 1, and what remains is its row in
+    :func:`order_detail_fact`. Changes of a millisecond count as one, so records
+    that a replay repeats emit nothing.
+    """
+    rows = _detail_rows(ods, order)
+    detail = versions.last_per_ms(rows, "id", [F.col("replay_order")]).drop("replay_order")
+    links = {}
+    for t, cols in LINKS.items():
+        r = _links(ods, t).select("id", F.col("link.ts_ms").alias("ts_ms"), "link")
+        links[t] = versions.last_per_ms(r, "id", [F.col("link")]).select("id", "ts_ms", *[F.col(f"link.{c}").alias(c) for c in cols])
+    state = versions.merged(detail, links, "id").select(
+        "id", "main.*", *[F.col(f"{t}.{c}").alias(c) for t, cols in LINKS.items() for c in cols], "valid_from", "valid_to")
+    alone = rows.where(F.col("id").isNull()).withColumn("valid_from", F.col("ts_ms")).drop("replay_order", "ts_ms")
+    state = state.unionByName(alone, allowMissingColumns=True)
+    oi = cdc.select_changes(ods, "order_info", "c")
+    a = F.col("after")
+    orders = versions.versions(oi.select(a["id"].alias("oid"), a["user_id"].alias("user_id"), a["province_id"].alias("province_id"),
+                                         *cdc.change_order(oi)), "oid", cdc.change_order(oi))
+    joined = versions.overlap_join(state, orders.select("oid", "user_id", "province_id", "valid_from", "valid_to"), ("order_id", "oid"))
+    return versions.signed_changes(joined.select(*CHANGE_COLS[:-2], "valid_from", "valid_to"))
+
+
 def order_detail_rows(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """Detail versions that have their order (the inner side of J1) without
     attaching anything: the cheap input for per-id dedup or retraction.
@@ -182,6 +218,14 @@ PAYMENT_COLS = ["order_detail_id", "order_id", "user_id", "sku_id", "sku_name",
                 "split_coupon_amount", "split_payment_amount", "ts_ms"]
 
 
+def payments(ods: DataFrame, source_table: str = "refund_payment", status_col: str = "refund_status", status: str = "1602") -> DataFrame:
+    """The last successful payment of each order (``__poid``)."""
+    p = cdc.changed_to(cdc.select_changes(ods, source_table, "u"), status_col, status)
+    a = F.col("after")
+    return _last(p.select(a["order_id"].alias("__poid"), a["payment_type"].alias("payment_type_code"),
+                          a["callback_time"].alias("callback_time"), *cdc.change_order(p)), "__poid")
+
+
 def payment_fact(detail: DataFrame, ods: DataFrame, dic: DataFrame,
                  source_table: str = "refund_payment", status_col: str = "refund_status",
                  status: str = "1602", interval: tuple[str, str] | None = None,
@@ -195,10 +239,7 @@ def payment_fact(detail: DataFrame, ods: DataFrame, dic: DataFrame,
     ``[pay_time - before, pay_time + after]`` (the interval-join variant);
     the detail time is the epoch-ms column ``detail_time``.
     """
-    p = cdc.changed_to(cdc.select_changes(ods, source_table, "u"), status_col, status)
-    a = F.col("after")
-    p = _last(p.select(a["order_id"].alias("__poid"), a["payment_type"].alias("payment_type_code"),
-                       a["callback_time"].alias("callback_time"), *cdc.change_order(p)), "__poid") \
+    p = payments(ods, source_table, status_col, status) \
         .withColumn("__pet", F.timestamp_millis("ts_ms")).withColumnRenamed("ts_ms", "__pts")
     cond = F.col("order_id") == F.col("__poid")
     d = detail
@@ -214,6 +255,18 @@ def payment_fact(detail: DataFrame, ods: DataFrame, dic: DataFrame,
              .withColumnRenamed("__pts", "ts_ms").select(*PAYMENT_COLS))
 
 
+def payment_fact_versioned(detail: DataFrame, ods: DataFrame, dic_feed: DataFrame, span_ms: int = versions.DAY_MS, **kw) -> DataFrame:
+    """X4 + J4 + J5 as of the payment's time: :func:`payment_fact` with the
+    payment-type name that the dictionary held at ``ts_ms``. ``dic_feed``: the
+    dictionary's own change feed. A payment whose code was deleted or not yet
+    known then is dropped (inner lookup)."""
+    p = payments(ods, **kw)
+    named = versions.as_of_join(p, dims.dict_versions(dic_feed, "payment_type_code", "payment_type_name", span_ms),
+                                "payment_type_code", "ts_ms", span_ms=span_ms)
+    return named.join(detail.drop("ts_ms"), F.col("order_id") == F.col("__poid"), "inner") \
+        .withColumnRenamed("id", "order_detail_id").withColumnRenamed("split_total_amount", "split_payment_amount").select(*PAYMENT_COLS)
+
+
 # --------------------------------------------------------------------------
 # refund (J10)
 # --------------------------------------------------------------------------

@@ -17,8 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import DATE_FMT
 
@@ -147,7 +150,8 @@ def login_flags(df: DataFrame, key: str = "uid", ts: str = "ts", ties=("event_id
 
 
 def keep_latest(df: DataFrame, key, order) -> DataFrame:
-    """T7 (and upsert-table contents, K4): the last record per key under the
+    """The last record per key (upsert-table contents, K4; T7 with a hold that
+    never ends before the feed, see :func:`hold_and_flush`) under the
     total ``order`` (list of columns / expressions). A max over a struct --
     partial aggregation collapses duplicates before the shuffle."""
     keys = _names(key)
@@ -156,6 +160,56 @@ def keep_latest(df: DataFrame, key, order) -> DataFrame:
     return g.select(*keys, *[F.col("__last." + c).alias(c) for c in payload]).select(*df.columns)
 
 
+def hold_and_flush(df: DataFrame, key: str, ts_ms: str, order, hold_ms: int = 5000) -> DataFrame:
+    """T7, the rule itself: a key's first record opens a hold of ``hold_ms``; the
+    newest record that comes within it (by ``ts_ms``, then ``order``) is emitted
+    when it ends; the next record opens another one. Adds ``hold_start`` and
+    ``flush_ms`` (epoch ms). A record at the very end of a hold opens the next.
+    Records without a time are skipped; null keys are one key.
+
+    Where a hold starts depends on where the one before it ended, so a key's
+    records are walked in order: they are shuffled by key, sorted (with spill)
+    and streamed past one open hold, in constant memory however many records a
+    hot key has. Records of a key and millisecond are folded to the newest
+    before that, since they always share a hold.
+    """
+    payload = [c for c in df.columns if c not in (key, ts_ms)]
+    newest = df.where(F.col(ts_ms).isNotNull()).groupBy(key, ts_ms).agg(F.max(_ordered_struct(df, order, payload)).alias("__last")) \
+        .select(key, ts_ms, *[F.col(f"__last.{c}").alias(c) for c in payload]).select(*df.columns)
+    at = (df.columns.index(key), df.columns.index(ts_ms))
+    out = T.StructType([*newest.schema.fields, T.StructField("hold_start", T.LongType()), T.StructField("flush_ms", T.LongType())])
+    return newest.repartition(key).sortWithinPartitions(key, ts_ms).mapInArrow(_holds(at, hold_ms), out)
+
+
+def _holds(at: tuple[int, int], hold_ms: int):
+    """Task of :func:`hold_and_flush`: the last row of each hold."""
+    def emit(rows, starts):
+        start = pa.array(starts, pa.int64())
+        return pa.RecordBatch.from_arrays([*rows.columns, start, pc.add(start, pa.scalar(hold_ms, pa.int64()))],
+                                          names=[*rows.schema.names, "hold_start", "flush_ms"])
+
+    def task(batches):
+        held, key, start = None, None, None  # the newest row of the open hold
+        for b in batches:
+            last, starts = [], []
+            for i, (k, t) in enumerate(zip(b.column(at[0]).to_pylist(), b.column(at[1]).to_pylist())):
+                if start is None or k != key or t >= start + hold_ms:
+                    if i and start is not None:
+                        last.append(i - 1)
+                        starts.append(start)
+                    elif held is not None:
+                        yield emit(held, [start])
+                    key, start = k, t
+            if last:
+                yield emit(b.take(pa.array(last, pa.int64())), starts)
+            if b.num_rows:
+                held = b.slice(b.num_rows - 1)
+        if held is not None:
+            yield emit(held, [start])
+
+    return task
+
+
 def retract_duplicates(df: DataFrame, key, order, measures: Sequence[str],
                        sign_col: str | None = None) -> DataFrame:
     """Retraction dedup ("state + offset").

@@ -107,6 +107,17 @@ def q_payment_interval(spark, sf_dir):
                               interval=("30 minutes", "5 seconds"))
 
 
+@query("payment_fact_versioned")
+def q_payment_versioned(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return facts.payment_fact_versioned(_detail(t), retail.ods(t, ["refund_payment"]), retail.base_dic_feed(t))
+
+
+@query("order_detail_changes")
+def q_order_detail_changes(spark, sf_dir):
+    return facts.order_detail_changes(retail.ods(_t(spark, sf_dir), DETAIL_FEEDS))
+
+
 @query("refund_fact")
 def q_refund(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -121,7 +132,7 @@ def q_comment(spark, sf_dir):
 
 # -- order windows, dedup ------------------------------------------------------
 
-from ..operators import dims, text  # noqa: E402
+from ..operators import dims, segment, text  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 AMOUNTS = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
@@ -150,6 +161,19 @@ def q_latest(spark, sf_dir):
     return state.keep_latest(v, "id", [F.col("replay_order")]).drop("replay_order")
 
 
+@query("order_dedup_hold")
+def q_order_hold(spark, sf_dir):
+    v = _detail_amounts(_t(spark, sf_dir))
+    return state.hold_and_flush(v, "id", "ts_ms", [F.col("replay_order")], 5000).drop("replay_order")
+
+
+@query("visitor_page_hold")
+def q_visitor_hold(spark, sf_dir):
+    """A visitor's newest page of each hold of six hours."""
+    pl = retail.page_log(_t(spark, sf_dir)).select("mid", "ts_ms", "event_id", "page_id")
+    return state.hold_and_flush(pl, "mid", "ts_ms", ["event_id"], 6 * 3_600_000)
+
+
 @query("province_order_window")
 def q_province(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -213,6 +237,15 @@ def q_keyword_tokens(spark, sf_dir):
         .agg(F.count(F.lit(1)).cast("bigint").alias("keyword_count"))
 
 
+@query("keyword_segment")
+def q_keyword_segment(spark, sf_dir):
+    """Tokens of all texts cut by a dictionary of the texts' own short words
+    (2 to 8 letters, one occurrence in a hundred documents or more)."""
+    d = _t(spark, sf_dir).documents
+    words = segment.frequent_words(d, "text", 2, 8, d.agg(F.count(F.lit(1)) / 100).scalar())
+    return segment.segment_counts(d, "text", words)
+
+
 # The word list of the membership check.
 WORD_LIST = ["password", "secret", "token", "apikey", "passwd", "private", "ssn", "license"]
 

@@ -257,6 +257,85 @@ JOIN base_dic ON payment_type_code = dic_code
 register("payment_fact", _payment(False))
 register("payment_fact_interval", _payment(True))
 
+register("payment_fact_versioned", f"""
+WITH {ORDER_DETAIL}, {BASE_DIC_SQL},
+quarters AS (SELECT date_trunc('quarter', o_orderdate) AS q, min({ms('o_orderdate')}) AS since FROM orders GROUP BY 1),
+dic AS (
+  SELECT dic_code, dic_name || '@' || {vc('year(q)')} || 'Q' || {vc('quarter(q)')} AS dic_name, since,
+         lead(since) OVER (PARTITION BY dic_code ORDER BY since) AS upto,
+         quarter(q) = 3 AND dic_code LIKE '%3' AS gone
+  FROM quarters, base_dic
+  WHERE NOT (dic_code LIKE '%2' AND since = (SELECT min(since) FROM quarters))
+),
+pay AS (
+  SELECT oid AS p_oid, {vc('1101 + o_orderkey % 3')} AS payment_type_code,
+         {ms('o_orderdate')} + (o_orderkey % 60 - 10) * 60000 AS pay_ms
+  FROM oi WHERE o_orderstatus = 'F'
+)
+SELECT id AS order_detail_id, order_id, user_id, sku_id, sku_name, province_id, activity_id, activity_rule_id,
+       coupon_id, payment_type_code, dic_name AS payment_type_name, {vc('pay_ms')} AS callback_time, sku_num,
+       split_original_amount, split_activity_amount, split_coupon_amount,
+       split_total_amount AS split_payment_amount, pay_ms AS ts_ms
+FROM pay JOIN detail ON detail.order_id = pay.p_oid
+JOIN dic ON payment_type_code = dic_code AND NOT gone AND since <= pay_ms AND (upto IS NULL OR pay_ms < upto)
+""")
+
+# The literal way: at every time at which any side of a detail changes, look up
+# the last version of each side, and compare with the row before.
+register("order_detail_changes", f"""
+WITH {ORDER_DETAIL},
+dv AS (
+  SELECT id, order_id, sku_id, sku_num, split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount, ts_ms
+  FROM od_ranked QUALIFY row_number() OVER (PARTITION BY id, ts_ms ORDER BY rn) = 1
+),
+av AS (
+  SELECT {DID} AS id, {vc('l_linenumber + 100')} AS activity_id, {vc('l_linenumber * 10 + l_suppkey % 3')} AS activity_rule_id,
+         {ms('l_shipdate')} + (l_orderkey % 60) * 1000 AS ts_ms
+  FROM lineitem WHERE l_discount >= 0.05
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_shipdate ORDER BY l_suppkey DESC, l_linenumber DESC) = 1
+),
+cv AS (
+  SELECT DISTINCT {DID} AS id, {vc('l_linenumber + 200')} AS coupon_id, {ms('l_shipdate')} + (l_orderkey % 60) * 1000 AS ts_ms
+  FROM lineitem WHERE l_tax >= 0.05
+),
+ov AS (
+  SELECT {vc('o_orderkey')} AS oid, {vc('o_custkey')} AS user_id, {vc('c_nationkey')} AS province_id, {ms('o_orderdate')} AS ts_ms
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  UNION ALL
+  SELECT {vc('o_orderkey')}, {vc('o_custkey')}, {vc('(c_nationkey + 1) % 25')}, {ms('o_orderdate')} + 60000
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 13 = 0
+),
+times AS (
+  SELECT id, ts_ms FROM dv UNION SELECT id, ts_ms FROM av UNION SELECT id, ts_ms FROM cv
+  UNION SELECT d.id, o.ts_ms FROM (SELECT DISTINCT id, order_id FROM dv) d JOIN ov o ON d.order_id = o.oid
+),
+states AS (
+  SELECT t.id, t.ts_ms AS change_ms, order_id, user_id, sku_id, province_id, activity_id, activity_rule_id, coupon_id, sku_num,
+         split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount
+  FROM times t
+  ASOF LEFT JOIN dv ON t.id = dv.id AND t.ts_ms >= dv.ts_ms
+  ASOF LEFT JOIN ov ON dv.order_id = ov.oid AND t.ts_ms >= ov.ts_ms
+  ASOF LEFT JOIN av ON t.id = av.id AND t.ts_ms >= av.ts_ms
+  ASOF LEFT JOIN cv ON t.id = cv.id AND t.ts_ms >= cv.ts_ms
+  WHERE dv.id IS NOT NULL AND ov.oid IS NOT NULL
+),
+packed AS (
+  SELECT id, change_ms, row(order_id, user_id, sku_id, province_id, activity_id, activity_rule_id, coupon_id, sku_num,
+                            split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount) AS s FROM states
+),
+paired AS (SELECT id, change_ms, s, lag(s) OVER (PARTITION BY id ORDER BY change_ms) AS before,
+                  lag(change_ms) OVER (PARTITION BY id ORDER BY change_ms) IS NOT NULL AS later FROM packed),
+signed AS (
+  SELECT id, change_ms, s, 1 AS sign FROM paired WHERE NOT later OR s IS DISTINCT FROM before
+  UNION ALL
+  SELECT id, change_ms, before, -1 FROM paired WHERE later AND s IS DISTINCT FROM before
+)
+SELECT id, s[1] AS order_id, s[2] AS user_id, s[3] AS sku_id, s[4] AS province_id, s[5] AS activity_id, s[6] AS activity_rule_id,
+       s[7] AS coupon_id, s[8] AS sku_num, s[9] AS split_original_amount, s[10] AS split_activity_amount,
+       s[11] AS split_coupon_amount, s[12] AS split_total_amount, change_ms, sign
+FROM signed
+""")
+
 register("refund_fact", f"""
 WITH {BASE_DIC_SQL},
 r AS (
@@ -336,6 +415,35 @@ SELECT id, ts_ms, -split_original_amount, -split_activity_amount, -split_coupon_
 """)
 
 
+def _hold(rows: str, key: str, hold_ms: int, cols: str) -> str:
+    """``rows`` (key, ts_ms, one row per key and ms): holds opened one after the
+    other by walking each key's sorted times."""
+    return f"""
+times AS (SELECT {key} AS k, list_sort(list(DISTINCT ts_ms)) AS rest FROM {rows} GROUP BY 1),
+holds AS (
+  SELECT k, rest[1] AS hold_start, list_filter(rest, lambda x: x >= rest[1] + {hold_ms}) AS rest FROM times
+  UNION ALL
+  SELECT k, rest[1], list_filter(rest, lambda x: x >= rest[1] + {hold_ms}) FROM holds WHERE len(rest) > 0
+)
+SELECT {cols}, hold_start, hold_start + {hold_ms} AS flush_ms
+FROM holds JOIN {rows} r ON r.{key} = holds.k AND r.ts_ms >= hold_start AND r.ts_ms < hold_start + {hold_ms}
+QUALIFY row_number() OVER (PARTITION BY holds.k, hold_start ORDER BY r.ts_ms DESC) = 1
+"""
+
+
+register("order_dedup_hold", f"""
+WITH RECURSIVE {ORDER_DETAIL},
+v AS (
+  SELECT id, ts_ms, {_amount_cols()} FROM od_ranked JOIN oi ON order_id = oid
+  QUALIFY row_number() OVER (PARTITION BY id, ts_ms ORDER BY rn) = 1
+),""" + _hold("v", "id", 5000, "r.*"))
+
+register("visitor_page_hold", f"""
+WITH RECURSIVE {PAGE_LOG.strip()},
+v AS (SELECT mid, ts_ms, event_id, page_id FROM page_log QUALIFY row_number() OVER (PARTITION BY mid, ts_ms ORDER BY event_id DESC) = 1),"""
+         + _hold("v", "mid", 6 * 3_600_000, "r.*"))
+
+
 def _province(size_ms: int) -> str:
     return f"""
 WITH {ORDER_DETAIL},
@@ -443,6 +551,39 @@ SELECT keyword, CAST(count(*) AS BIGINT) AS keyword_count
 FROM (SELECT unnest({TOKENS}) AS keyword FROM documents) GROUP BY keyword
 """)
 
+# Best cuts of each token's suffixes, one position after the other; best[k] is
+# the suffix that starts k - 1 code points behind the position.
+register("keyword_segment", f"""
+WITH RECURSIVE runs AS (
+  SELECT run, count(*) AS n FROM (SELECT unnest({TOKENS}) AS run FROM documents) GROUP BY 1
+),
+dict AS (SELECT run AS word FROM runs WHERE length(run) BETWEEN 2 AND 8 AND n >= (SELECT count(*) / 100 FROM documents)),
+lattice AS (
+  SELECT run, list({{'i': i, 'l': l}}) AS edges
+  FROM (SELECT run, i, unnest(range(2, least(8, length(run) - i + 1) + 1)) AS l
+        FROM (SELECT run, unnest(range(1, length(run) + 1)) AS i FROM runs))
+  JOIN dict ON substr(run, i, l) = word GROUP BY run
+),
+dp AS (
+  SELECT run, n, coalesce(edges, []) AS edges, length(run) + 1 AS pos,
+         [{{'loose': 0::BIGINT, 'pieces': 0::BIGINT, 'sq': 0::BIGINT, 'l': 0::BIGINT}}] AS best
+  FROM runs LEFT JOIN lattice USING (run)
+  UNION ALL
+  SELECT run, n, edges, pos - 1, list_prepend(list_sort(list_append(
+           list_transform(list_filter(edges, lambda e: e.i = pos - 1),
+             lambda e: {{'loose': best[e.l].loose, 'pieces': best[e.l].pieces + 1, 'sq': best[e.l].sq - e.l * e.l, 'l': -e.l}}),
+           {{'loose': best[1].loose + 1, 'pieces': best[1].pieces + 1, 'sq': best[1].sq - 1, 'l': (-1)::BIGINT}}))[1], best)
+  FROM dp WHERE pos > 1
+),
+walk AS (
+  SELECT run, n, best, 1::BIGINT AS pos, substr(run, 1, -best[1].l) AS keyword FROM dp WHERE pos = 1
+  UNION ALL
+  SELECT run, n, best, pos - best[pos].l, substr(run, pos - best[pos].l, -best[pos - best[pos].l].l)
+  FROM walk WHERE pos - best[pos].l <= length(run)
+)
+SELECT keyword, CAST(sum(n) AS BIGINT) AS keyword_count FROM walk GROUP BY keyword
+""")
+
 register("sensitive_word_flag", f"""
 WITH w AS (SELECT DISTINCT unnest({TOKENS}) AS word FROM documents),
 l AS (SELECT * FROM (VALUES ('password'), ('secret'), ('token'), ('apikey'), ('passwd'), ('private'),

@@ -271,6 +271,23 @@ def base_dic(spark) -> DataFrame:
     return F.broadcast(dic).select("dic_code", F.struct("dic_name", "parent_code").alias("info"))
 
 
+def base_dic_feed(t: Tables) -> DataFrame:
+    """The dictionary's own changes: each quarter that has orders renames every
+    code (``name@yyyyQq``) at the quarter's first order, and deletes the unions'
+    codes (ending in 3) instead in third quarters; codes ending in 2 only come
+    with the second quarter that has any."""
+    o = t.orders.select(F.date_trunc("quarter", "o_orderdate").alias("q"), epoch_ms("o_orderdate").alias("at")) \
+        .groupBy("q").agg(F.min("at").alias("at"))
+    first = t.orders.agg(F.min(epoch_ms("o_orderdate")).alias("first"))
+    codes = F.explode(F.array(*[F.struct(F.lit(c).alias("code"), F.lit(n).alias("name")) for c, n, _ in BASE_DIC])).alias("d")
+    q = o.select("q", "at", codes).withColumn("no", F.quarter("q"))
+    row = text_map({"dic_code": F.col("d.code"), "dic_name": F.concat(F.col("d.name"), F.lit("@"), F.year("q").cast("string"), F.lit("Q"), F.col("no").cast("string"))})
+    gone = (F.col("no") == 3) & F.col("d.code").endswith("3")
+    late = F.col("d.code").endswith("2") & (F.col("at") == first.scalar())
+    rec = F.when(gone, envelope("base_dic", "d", None, row, F.col("at"))).when(~late, envelope("base_dic", "u", row, None, F.col("at")))
+    return explode_envelopes(q, [rec], "base_dic")
+
+
 def province_dim(t: Tables) -> DataFrame:
     """dim_base_province: id, name (from nation)."""
     return t.nation.select(_s("n_nationkey").alias("id"), F.col("n_name").alias("name"),
