@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import windows
+from ..operators.cdc import image as cdc_image
 from ..operators.windows import WIN, decorate_window, tumble
-from .processors import FirstOfDay, KeepLatest, LoginFlags, RepairIsNew, RetractDuplicates
+from .processors import ConfigRouter, FirstOfDay, IdleJoin, KeepLatest, LoginFlags, RepairIsNew, RetractDuplicates
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -326,3 +327,103 @@ def refund_fact_stream(ods: DataFrame, dic: DataFrame, lag: str = "5 seconds", b
     j = dims.dict_lookup(j, dic, "refund_type_code", "refund_type_name", "inner")
     j = dims.dict_lookup(j, dic, "refund_reason_type_code", "refund_reason_type_name", "inner")
     return j.withColumn("date_id", ms_to_date(F.col("create_time").try_cast("bigint"))).select(*REFUND_COLS)
+
+
+# --------------------------------------------------------------------------
+# J8 / J9 with the config as a second stream
+# --------------------------------------------------------------------------
+
+CONFIG_COLS = ["sink_table", "sink_columns"]
+
+
+def route_by_config_stream(ods: DataFrame, configs: DataFrame, preload: DataFrame, keys: str = "source_table, source_type",
+                           columns=CONFIG_COLS, salts: int = 16) -> DataFrame:
+    """J9 (``keys``: table and op) or J8 (table only) where ``configs`` is a
+    stream of config changes (``op``, ``ts_ms``, the keys and ``columns``) and
+    ``preload`` a table of the config as it was read at the start (S6), given to
+    the processor as initial state. Output as ``routing.route_facts``:
+    ``sink_table``, ``data`` (pruned image and ``ts_ms``); other ``columns`` follow.
+
+    A source table may hold most of the records, so each key has ``salts`` parts:
+    a record goes to the part of its image's hash, config changes and the
+    preload to every part.
+    """
+    use_rocksdb_state(ods.sparkSession)
+    names = [k.strip() for k in keys.split(",")]
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    data = F.to_json(F.map_concat(F.coalesce(cdc_image(), F.create_map().cast("map<string,string>")),
+                                  F.create_map(F.lit("ts_ms"), F.col("ts_ms").cast("string"))))
+    record = {"source_table": F.col("source")["table"], "source_type": F.col("op")}
+    pos = F.col("pos") if "pos" in ods.columns else F.lit(0)
+    records = ods.where(F.col("ts_ms").isNotNull() & record["source_table"].isNotNull()).select(
+        F.concat_ws(":", *[record[n] for n in names]).alias("key"), data.alias("data"), "op", "ts_ms", F.coalesce(pos, F.lit(0)).cast("long").alias("pos"))
+    records = records.select("key", F.pmod(F.xxhash64("data"), F.lit(salts)).cast("int").alias("salt"), F.lit("record").alias("kind"), "op", "ts_ms", "pos",
+                             "data", *[F.lit(None).cast("string").alias(c) for c in columns])
+    key = F.concat_ws(":", *names).alias("key")
+    changes = configs.select(key, every, F.lit("config").alias("kind"), "op", F.col("ts_ms").cast("long"),
+                             (F.col("pos") if "pos" in configs.columns else F.lit(0)).cast("long").alias("pos"),
+                             F.lit(None).cast("string").alias("data"), *columns)
+    both = records.unionByName(changes)
+    start = preload.select(key, every, F.col("ts_ms").cast("long"), *columns)
+    routed = both.groupBy("key", "salt").transformWithStateInPandas(
+        ConfigRouter(list(columns)), both.schema, "Append", "None", initialState=start.groupBy("key", "salt"))
+    kept = F.split(F.col("sink_columns"), ",")
+    image = F.from_json("data", "map<string,string>")
+    pruned = F.map_filter(image, lambda k, v: F.array_contains(kept, k) | (k == "ts_ms"))
+    return routed.select("sink_table", pruned.alias("data"), *[c for c in columns if c not in CONFIG_COLS])
+
+
+# --------------------------------------------------------------------------
+# J3 / J10 with idle state retention
+# --------------------------------------------------------------------------
+
+def idle_join_stream(left: DataFrame, right: DataFrame, on: tuple[str, str], idle_ms: int, at: tuple[str, str] | None = None,
+                     lag: str = "0 seconds", renew: bool = True) -> DataFrame:
+    """Inner join of two streams on text keys whose rows are kept ``idle_ms``
+    after their last use (T10), see ``IdleJoin``. ``at``: epoch-ms columns of the
+    two sides, to measure idleness in event time; without them it is processing
+    time. Columns of both sides follow each other; null keys join nothing."""
+    use_rocksdb_state(left.sparkSession)
+    sides = []
+    for name, df, key, ms in (("l", left, on[0], at and at[0]), ("r", right, on[1], at and at[1])):
+        time = F.col(ms).cast("long") if at else F.lit(0).cast("long")
+        d = df.where(F.col(key).isNotNull()) if not at else df.where(F.col(key).isNotNull() & F.col(ms).isNotNull())
+        sides.append(d.select(F.col(key).cast("string").alias("key"), F.lit(name).alias("side"), F.to_json(F.struct(*df.columns)).alias("body"), time.alias("at")))
+    both = sides[0].unionByName(sides[1])
+    if at:
+        both = both.withColumn("et", F.timestamp_millis("at")).withWatermark("et", lag)
+    joined = both.groupBy("key").transformWithStateInPandas(
+        IdleJoin(idle_ms, bool(at), renew), "l string, r string", "Append", "EventTime" if at else "ProcessingTime")
+    rows = joined.select(F.from_json("l", left.schema).alias("l"), F.from_json("r", right.schema).alias("r"))
+    return rows.select(*[F.col(f"l.`{c}`") for c in left.columns], *[F.col(f"r.`{c}`") for c in right.columns])
+
+
+def order_cancel_fact_idle_stream(detail: DataFrame, ods: DataFrame, idle_ms: int = 1_805_000, event_time: bool = False) -> DataFrame:
+    """J3 with the original's state rule: details and cancellations wait for
+    each other 1805 s after their last use, however far apart their times are."""
+    from ..functions.dates import flexible_date
+    from ..operators import cdc
+    from ..operators.facts import ORDER_CANCEL_COLS
+    c = cdc.transitioned(cdc.select_changes(ods, "order_info", "u"), "order_status", "1001", "1003")
+    c = c.select(F.col("after")["id"].alias("__oid"), F.col("after")["operate_time"].alias("cancel_time"), F.col("ts_ms").alias("__cts"))
+    d = detail.withColumnRenamed("ts_ms", "__dts").drop("date_id", "create_time", "et")
+    j = idle_join_stream(d, c, ("order_id", "__oid"), idle_ms, ("__dts", "__cts") if event_time else None)
+    return j.withColumn("date_id", flexible_date("cancel_time")).withColumnRenamed("__cts", "ts_ms").select(*ORDER_CANCEL_COLS)
+
+
+def refund_fact_idle_stream(ods: DataFrame, dic: DataFrame, idle_ms: int = 5_000, event_time: bool = False, ops=("r", "c")) -> DataFrame:
+    """J10 with the original's state rule: 5 s after the last use (Q9)."""
+    from ..functions.dates import ms_to_date
+    from ..operators import cdc, dims
+    from ..operators.facts import REFUND_COLS
+    ri = cdc.project(cdc.select_changes(ods, "order_refund_info", ops),
+                     {"id": "id", "user_id": "user_id", "order_id": "order_id", "sku_id": "sku_id",
+                      "refund_type_code": "refund_type", "refund_num": "refund_num",
+                      "refund_amount": "refund_amount", "refund_reason_type_code": "refund_reason_type",
+                      "refund_reason_txt": "refund_reason_txt", "create_time": "create_time"}, keep=["ts_ms"])
+    oi = cdc.changed_to(cdc.select_changes(ods, "order_info", "u"), "order_status", "1005")
+    oi = oi.select(F.col("after")["id"].alias("__oid"), F.col("after")["province_id"].alias("province_id"), F.col("ts_ms").alias("__ots"))
+    j = idle_join_stream(ri, oi, ("order_id", "__oid"), idle_ms, ("ts_ms", "__ots") if event_time else None)
+    j = dims.dict_lookup(j, dic, "refund_type_code", "refund_type_name", "inner")
+    j = dims.dict_lookup(j, dic, "refund_reason_type_code", "refund_reason_type_name", "inner")
+    return j.withColumn("date_id", ms_to_date(F.col("create_time").try_cast("bigint"))).select(*REFUND_COLS)

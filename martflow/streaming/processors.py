@@ -188,3 +188,103 @@ class KeepLatest(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ConfigRouter(StatefulProcessor):
+    """Routing by a config that is a stream of its own.
+
+    Rows of two kinds share a key (the source table, or table and op): config
+    changes (``kind = 'config'``) set, replace or delete the key's config, records
+    (``kind = 'record'``) get the ``columns`` of the config that holds for them and
+    are dropped without one. A record meets the config changes of earlier
+    batches and those of its own batch that aren't newer than it. A preloaded
+    config comes as initial state, so a record whose key no change has touched
+    falls back to it; a delete removes it too. A change older than the one in
+    force is ignored. State: the config and its time.
+    """
+
+    def __init__(self, columns: list[str]):
+        self.columns = list(columns)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        cols = ", ".join(f"{c} string" for c in self.columns)
+        self.config = handle.getValueState("config", f"ts long, live boolean, {cols}")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        row = initialState.sort_values("ts_ms", kind="mergesort").iloc[-1]
+        self.config.update((int(row["ts_ms"]), True, *(row[c] for c in self.columns)))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        pdf = pdf.assign(_k=(pdf["kind"] != "config").astype(int)).sort_values(["ts_ms", "_k", "pos"], kind="mergesort").reset_index(drop=True)
+        now = tuple(self.config.get()) if self.config.exists() else None
+        before, last = now, 0
+        cut = [*pdf.index[pdf["kind"] == "config"], len(pdf)]
+        for i in cut:
+            if now is not None and now[1] and i > last:
+                yield pdf.iloc[last:i].drop(columns=["_k"]).assign(**dict(zip(self.columns, now[2:])))
+            if i < len(pdf):
+                row = pdf.iloc[i]
+                if now is None or int(row["ts_ms"]) >= now[0]:
+                    now = (int(row["ts_ms"]), row["op"] != "d", *(row[c] for c in self.columns))
+            last = i + 1
+        if now is not None and now != before:
+            self.config.update(now)
+
+    def close(self) -> None:
+        pass
+
+
+class IdleJoin(StatefulProcessor):
+    """Inner join of two streams whose rows wait for partners as
+    long as they are in use: a row leaves the state ``idle_ms`` after it came or
+    (``renew``) last found a partner. There is no bound between the times of the
+    two sides.
+
+    Rows are ``side`` ('l' or 'r'), ``body`` (text) and ``at`` (ms). The clock is
+    the rows' ``at`` with event time, the time of the batch with processing time.
+    State: each side's rows with the time of their last use; a key's rows are
+    held while it is worked on, which suits keys of few rows such as orders.
+    """
+
+    def __init__(self, idle_ms: int, event_time: bool, renew: bool = True):
+        self.idle_ms, self.event_time, self.renew = idle_ms, event_time, renew
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = {s: handle.getListState(s, "body string, used long") for s in ("l", "r")}
+
+    def _load(self) -> dict[str, list]:
+        return {s: [[b, u] for b, u in st.get()] if st.exists() else [] for s, st in self.rows.items()}
+
+    def _store(self, held: dict[str, list], now: int) -> None:
+        for s, st in self.rows.items():
+            alive = [(b, u) for b, u in held[s] if u + self.idle_ms > now]
+            if alive:
+                st.put(alive)
+            elif st.exists():
+                st.clear()
+        if used := [u for side in held.values() for _, u in side if u + self.idle_ms > now]:
+            self.handle.registerTimer(max(used) + self.idle_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _frame(rows, ["at", "side", "body"])
+        held, out = self._load(), []
+        now = 0
+        for side, body, at in zip(pdf["side"], pdf["body"], pdf["at"]):
+            now = int(at) if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+            for row in held["r" if side == "l" else "l"]:
+                if row[1] + self.idle_ms > now:
+                    out.append((body, row[0]) if side == "l" else (row[0], body))
+                    if self.renew:
+                        row[1] = max(row[1], now)
+            held[side].append([body, now])
+        self._store(held, timerValues.getCurrentWatermarkInMs() if self.event_time else now)
+        yield pd.DataFrame(out, columns=["l", "r"], dtype=object)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._store(self._load(), expiredTimerInfo.getExpiryTimeInMs())
+        yield pd.DataFrame([], columns=["l", "r"], dtype=object)
+
+    def close(self) -> None:
+        pass

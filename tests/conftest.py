@@ -30,7 +30,7 @@ def scratch():
 @pytest.fixture(autouse=True)
 def few_stream_partitions(request):
     """Streams keep one state store per shuffle partition; a few rows need few."""
-    if request.module.__name__.rpartition(".")[2] not in ("test_streaming", "test_apps"):
+    if request.module.__name__.rpartition(".")[2] not in ("test_streaming", "test_apps", "test_stream_tables"):
         yield
         return
     s = request.getfixturevalue("spark")
