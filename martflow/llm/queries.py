@@ -78,7 +78,7 @@ def op7_trigram_secrets(spark, sf_dir):
 @query
 def op8_hypergeometric_shards(spark, sf_dir):
     """Whole documents in shards, written; a digest of what was written."""
-    shards = written(sharding.hypergeometric_shards(table(spark, sf_dir, "documents"), 40, keys=["doc_id"]))
+    shards = written(sharding.hypergeometric_shards(table(spark, sf_dir, "documents"), 40))
     text = F.coalesce(F.col("text"), F.lit(""))
     return shards.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
                          F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",

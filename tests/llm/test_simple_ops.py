@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -119,6 +120,61 @@ def test_shards_look_uniform(spark):
     assert out.sort_values("id").values.tolist() == again.sort_values("id").values.tolist()
 
 
+def _brute_shards(classes, shards, seed, cell_rows):
+    """The scheme of the operator on plain lists: {(k1, k2, copy): (shard, slot)}."""
+    import struct
+
+    import xxhash
+
+    def key(salt, k1, k2, copy):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed + salt), 42)
+        for v in (k1, k2, copy):
+            h = xxhash.xxh64_intdigest(struct.pack("<q", v), h)
+        return h - (1 << 64) if h >> 63 else h
+
+    copies = [(a, b, c) for a, b, n in classes for c in range(n)]
+    parts, cells = -(-len(copies) // cell_rows), -(-len(copies) // (shards * cell_rows))
+    dealt = [[] for _ in range(parts)]
+    for x in copies:
+        dealt[key(1, *x) % parts].append(x)
+    matrix = sharding.communication_matrix([len(d) for d in dealt], shards, seed)
+    got = [[] for _ in range(shards)]
+    for d, row in zip(dealt, matrix):
+        d.sort(key=lambda x: (key(2, *x), x))
+        for s, k in enumerate(row):
+            got[s] += d[:k]
+            del d[:k]
+    return {x: (s, i) for s, g in enumerate(got) for i, x in enumerate(sorted(g, key=lambda x: (key(3, *x) % cells, key(4, *x), x)))}
+
+
+def test_shards_equal_the_plain_scheme(spark):
+    prepare(spark)
+    rows = [(i if i % 3 else None, f"t{i % 7}") for i in range(300)] + [(None, "same")] * 200 + [(5, "same")] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = df.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(8), "doc_id", "text").alias("k2")).collect()
+    classes = Counter((r.k1, r.k2) for r in keyed)
+    row = {(r.k1, r.k2): (r.doc_id, r.text) for r in keyed}
+    want = Counter((*row[x[:2]], s, i) for x, (s, i) in _brute_shards([(*k, n) for k, n in classes.items()], 6, 8, 40).items())
+    got = Counter(tuple(r) for r in sharding.hypergeometric_shards(df, 6, seed=8, cell_rows=40).collect())
+    assert got == want
+    # whatever the order and partitions that rows come in
+    assert Counter(tuple(r) for r in sharding.hypergeometric_shards(df.repartition(7), 6, seed=8, cell_rows=40).collect()) == want
+
+
+def test_copies_and_null_ids_are_spread_evenly(spark):
+    prepare(spark)
+    df = spark.range(40_000).select(F.when(F.col("id") >= 20_000, F.col("id")).alias("doc_id"), F.when(F.col("id") < 12_000, F.lit("copy")).otherwise(F.col("id").cast("string")).alias("text"))
+    out = sharding.hypergeometric_shards(df, 40, cell_rows=1000).toPandas()
+    assert out.groupby("shard").size().tolist() == [1000] * 40
+    for part, share in ((out[out.text == "copy"], 300), (out[out.doc_id.isna()], 500)):
+        n = part.groupby("shard").size().reindex(range(40), fill_value=0)
+        # hypergeometric: a variance of share * (1 - share / 1000) a shard
+        chi = ((n - share) ** 2).sum() / (share * (1 - share / 1000))
+        assert 15 < chi < 75, chi
+        # and evenly within shards
+        assert abs(part.slot.mean() - 499.5) < 15
+
+
 # -- packing --------------------------------------------------------------------
 
 def brute_ids(text):
