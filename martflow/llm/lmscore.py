@@ -13,14 +13,16 @@ that occurs; so a symbol's probability is a function of its last ORDER + 1
 symbols, and the trie is a table per depth, sharded by context:
 
 1. Whole texts are dealt into blocks of about ``BLOCK_BYTES`` (long ones in
-   pieces cut at white space). A block names the distinct (ORDER + 1)-grams and
-   words that it holds, with their counts in training documents.
+   pieces cut at white space; rows that a scan task meets again are counted, not
+   sent again). A block names the distinct (ORDER + 1)-grams and words that it
+   holds, with their counts in training documents.
 2. These rows, summed by key, are the trie's deepest level and the word counts;
    levels above are sums of levels below. Grams that training documents hold
    get their probability from their context's row; the others escape level by
    level through joins.
-3. The values go back to the blocks that asked for them, and each block scores
-   its texts against its own part of the model.
+3. The values go back to the blocks that asked for them, packed. A block's values
+   come first and its pieces after them in one sorted stream, so a task holds a
+   block's part of the model and one slice of texts, however many blocks it gets.
 
 Nothing of the model passes through the driver or is broadcast, and the rows
 that a block asks for don't grow with the corpus.
@@ -33,6 +35,7 @@ table; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -41,14 +44,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .words import LOWER, SPACE, Words, raw, slices
+from .graph import attach
+from .words import LOWER, SPACE, Words, raw
 
 ORDER = 4
 END, START = 256, 257
 SYMBOLS = 257  # bytes and the end
 BITS = 9
-BLOCK_BYTES = 32 << 20
-PIECE_BYTES = 1 << 20
+BLOCK_BYTES = 16 << 20
+PIECE_BYTES = 1 << 18
+#: Bytes of texts that a task works on at a time.
+SLICE = 1 << 19
+#: Distinct keys that a block collects before it merges them.
+MERGE = 1 << 20
+#: Values in a packed row, and values that a task holds to pack them.
+PACK, PACK_ROWS = 1 << 12, 1 << 20
+#: Rows of which a scan task remembers that it has sent them.
+SEEN = 100_000
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, heads: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,57 +89,131 @@ def word_keys(w: Words) -> np.ndarray:
     return (w.hashes() | np.uint64(1 << 63)).view(np.int64)
 
 
+def _cut(d: np.ndarray) -> list[int]:
+    """Bounds of a text's pieces."""
+    cut = [0]
+    while len(d) - cut[-1] > PIECE_BYTES:
+        rest = np.flatnonzero(SPACE[d[cut[-1] + PIECE_BYTES:]])
+        if not len(rest):
+            break
+        cut.append(int(cut[-1] + PIECE_BYTES + rest[0]))
+    return [*cut, len(d)]
+
+
 def _pieces(docs: DataFrame, blocks: int) -> DataFrame:
-    """(block, doc_id, row_key, piece, last, train, head, text)."""
+    """(block, doc_id, row_key, piece, last, train, head, text, n). A row that a
+    task has just sent comes again without text, as a count ``n`` for each of
+    its pieces."""
     def task(batches):
+        rows: list = []
+        seen: dict = {}
+        names = ["doc_id", "row_key", "piece", "last", "train", "head", "text", "n"]
+        kind = None
+
+        def out():
+            cols = list(zip(*rows)) if rows else [[]] * 8
+            types = [kind, pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+
+        def again():
+            for (doc_id, row_key), (train, count, n) in seen.items():
+                rows.extend((doc_id, row_key, p, p == count - 1, train, None, None, n) for p in range(count) if n)
+            seen.clear()
+
         for b in batches:
+            kind = b.schema.field(0).type
             data, offsets = raw(b.column(3))
-            rows, piece, last, head, text = [], [], [], [], []
+            ids, keys, train = (b.column(k).to_pylist() for k in range(3))
+            size = 0
             for k in range(b.num_rows):
+                if (have := seen.get((ids[k], keys[k]))) is not None:
+                    have[2] += 1
+                    continue
                 d = data[offsets[k]:offsets[k + 1]]
-                cut = [0]
-                while len(d) - cut[-1] > PIECE_BYTES:
-                    rest = np.flatnonzero(SPACE[d[cut[-1] + PIECE_BYTES:]])
-                    if not len(rest):
-                        break
-                    cut.append(int(cut[-1] + PIECE_BYTES + rest[0]))
-                cut.append(len(d))
-                for p in range(len(cut) - 1):
-                    rows.append(k)
-                    piece.append(p)
-                    last.append(p == len(cut) - 2)
-                    head.append(d[max(0, cut[p] - ORDER):cut[p]].tobytes() if p else b"")
-                    text.append(d[cut[p]:cut[p + 1]].tobytes())
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([
-                b.column(0).take(at), b.column(1).take(at), pa.array(piece, pa.int32()), pa.array(last, pa.bool_()), b.column(2).take(at),
-                pa.array(head, pa.binary()), pa.array(text, pa.binary())],
-                names=["doc_id", "row_key", "piece", "last", "train", "head", "text"])
-
-    src = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "train", "text")
+                cut = _cut(d)
+                seen[ids[k], keys[k]] = [train[k], len(cut) - 1, 0]
+                for p, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])):
+                    rows.append((ids[k], keys[k], p, p == len(cut) - 2, train[k], d[max(0, lo - ORDER):lo].tobytes() if p else b"", d[lo:hi].tobytes(), 1))
+                    size += hi - lo
+                if size > 8 * SLICE:
+                    yield out()
+                    rows.clear()
+                    size = 0
+            if len(seen) > SEEN:
+                again()
+            yield out()
+            rows.clear()
+        again()
+        if rows:
+            yield out()
+
+    src = docs.select("doc_id", F.xxhash64("doc_id", "text", "train").alias("row_key"), "train", "text")
     kind = src.schema["doc_id"].dataType.simpleString()
-    cut = src.mapInArrow(task, f"doc_id {kind}, row_key long, piece int, last boolean, train boolean, head binary, text binary")
+    cut = src.mapInArrow(task, f"doc_id {kind}, row_key long, piece int, last boolean, train boolean, head binary, text binary, n long")
     return cut.withColumn("block", F.pmod(F.xxhash64("row_key", "piece"), F.lit(blocks)).cast("int"))
 
 
-def _block_slices(t: pa.Table):
-    """Slices of a block's pieces: (row numbers, bytes, offsets, heads, last)."""
-    if isinstance(t, pa.Table):
-        t = t.combine_chunks()
-    order = np.argsort(t.column("train").to_numpy(zero_copy_only=False), kind="stable")
-    t = t.take(pa.array(order))
-    text = t.column("text").combine_chunks() if isinstance(t.column("text"), pa.ChunkedArray) else t.column("text")
-    data, offsets = raw(text)
-    train, last = (t.column(c).to_numpy(zero_copy_only=False) for c in ("train", "last"))
-    heads = np.full((t.num_rows, ORDER), START, dtype=np.int64)
-    for k, h in enumerate(t.column("head").to_pylist()):
-        if h:
-            heads[k, ORDER - len(h):] = LOWER[np.frombuffer(h, np.uint8)]
-    edge = int(np.searchsorted(train, True))  # a slice holds training pieces only, or none
-    for lo, hi in ((0, edge), (edge, t.num_rows)):
-        for i, j in slices(offsets[lo:hi + 1]):
-            i, j = lo + i, lo + j
-            yield t.slice(i, j - i), data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], heads[i:j], last[i:j], bool(train[i])
+class _Slice:
+    """Distinct pieces of a block, worked on together."""
+
+    def __init__(self):
+        self.rows: list = []  # doc_id, row_key, piece, last, train, head, text, n
+        self.size = 0
+
+    def add(self, row: list) -> None:
+        if self.rows and self.rows[-1][:3] == row[:3]:
+            mine = self.rows[-1]
+            mine[7] += row[7]
+            if mine[6] is None:
+                mine[5:7] = row[5:7]
+                self.size += len(row[6] or b"")
+            return
+        self.rows.append(row)
+        self.size += len(row[6] or b"")
+
+    def taken(self) -> list:
+        rows, self.rows, self.size = self.rows, [], 0
+        return rows
+
+
+def _arrays(rows: list):
+    """(bytes, offsets, heads, last) of a slice."""
+    data = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(r[6]) for r in rows]))).astype(np.int64)
+    heads = np.full((len(rows), ORDER), START, dtype=np.int64)
+    for k, r in enumerate(rows):
+        if r[5]:
+            heads[k, ORDER - len(r[5]):] = LOWER[np.frombuffer(r[5], np.uint8)]
+    return data, offsets, heads, np.array([r[3] for r in rows], dtype=bool)
+
+
+def _walk(batches, columns: list[str], on_slice, on_block, on_row=None):
+    """Streams sorted rows: ``on_slice(rows)`` for slices of a block's pieces,
+    ``on_block(block)`` behind each block, ``on_row`` for rows of values. All
+    yield record batches."""
+    now, part = None, _Slice()
+    for b in batches:
+        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in columns]
+        for block, *row in zip(*cols):
+            if block != now:
+                if now is not None:
+                    if rows := part.taken():
+                        yield from on_slice(rows)
+                    yield from on_block(now)
+                now = block
+            if on_row is not None and row[8] is not None:
+                on_row(row[8], row[9])
+                continue
+            if part.size >= SLICE and part.rows and part.rows[-1][:3] != row[:3]:
+                yield from on_slice(part.taken())
+            part.add(row[:8])
+    if now is not None:
+        if rows := part.taken():
+            yield from on_slice(rows)
+        yield from on_block(now)
+
+
+PIECE = ["block", "doc_id", "row_key", "piece", "last", "train", "head", "text", "n"]
 
 
 def _merge(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,19 +226,32 @@ def _merge(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def _asked(pieces: DataFrame) -> DataFrame:
-    """(block, key, n): distinct grams and words of a block, n of them in training pieces."""
-    def task(key, t):
-        found = []
-        for _, data, offsets, heads, last, train in _block_slices(t):
-            for values in (grams(data, offsets, heads, last)[0], word_keys(Words(data, offsets))):
-                u, c = np.unique(values, return_counts=True)
-                found.append((u, c * int(train)))
-            if sum(len(k) for k, _ in found) > 4_000_000:
-                found = [_merge(found)]
-        keys, counts = _merge(found)
-        return pa.table({"block": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "key": keys, "n": counts})
+    """(block, key, n): distinct grams and words of a block, n of them in training rows."""
+    def task(batches):
+        found: list = []
+
+        def on_slice(rows):
+            data, offsets, heads, last = _arrays(rows)
+            weight = np.array([r[7] if r[4] else 0 for r in rows], dtype=np.int64)
+            code, bounds = grams(data, offsets, heads, last)
+            found.append(_merge([(code, np.repeat(weight, np.diff(bounds)))]))
+            w = Words(data, offsets)
+            found.append(_merge([(word_keys(w), weight[w.text])]))
+            if sum(len(k) for k, _ in found[1:]) > MERGE:
+                found[:] = [_merge(found)]
+            return ()
+
+        def on_block(block):
+            keys, counts = _merge(found)
+            found.clear()
+            for i in range(0, len(keys), 1 << 16):
+                k = keys[i:i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), block, np.int32)), pa.array(k), pa.array(counts[i:i + (1 << 16)])],
+                                                 names=["block", "key", "n"])
 
-    return pieces.groupBy("block").applyInArrow(task, "block int, key long, n long")
+        yield from _walk(batches, PIECE, on_slice, on_block)
+
+    return pieces.repartition("block").sortWithinPartitions("block", "row_key", "piece").mapInArrow(task, "block int, key long, n long")
 
 
 def trie_scores(counts: DataFrame) -> DataFrame:
@@ -195,58 +294,103 @@ def trie_scores(counts: DataFrame) -> DataFrame:
     return seen.unionByName(rest)
 
 
+def _packed(values: DataFrame) -> DataFrame:
+    """(block, keys, vals): rows of up to PACK values of (block, key, value)."""
+    def pack(held):
+        block, key, value = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(block, kind="stable")
+        block, key, value = block[order], key[order], value[order]
+        cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+        lots = [(i, min(i + PACK, hi)) for lo, hi in zip(cut, np.append(cut[1:], len(block))) for i in range(lo, hi, PACK)]
+        for i in range(0, len(lots), 256):
+            part = lots[i:i + 256]
+            yield pa.RecordBatch.from_arrays([pa.array([block[a] for a, _ in part], pa.int32()), pa.array([key[a:z].tobytes() for a, z in part], pa.binary()),
+                                              pa.array([value[a:z].tobytes() for a, z in part], pa.binary())], names=["block", "keys", "vals"])
+
+    def task(batches):
+        held, n = [], 0
+        for b in batches:
+            if b.num_rows:
+                held.append(tuple(c.to_numpy(zero_copy_only=False) for c in b.columns))
+                n += b.num_rows
+            if n > PACK_ROWS:
+                yield from pack(held)
+                held, n = [], 0
+        if held:
+            yield from pack(held)
+
+    return values.mapInArrow(task, "block int, keys binary, vals binary")
+
+
 def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return values[np.searchsorted(keys, wanted)] if len(wanted) else np.zeros(0)
 
 
-def _scored(pieces: DataFrame, values: DataFrame, kind: str) -> DataFrame:
-    def task(t, v):
-        order = np.argsort(v.column("key").to_numpy())
-        keys, val = v.column("key").to_numpy()[order], v.column("value").to_numpy()[order]
-        out = []
-        for rows, data, offsets, heads, last, _ in _block_slices(t):
+def _scored(pieces: DataFrame, packed: DataFrame, kind: str) -> DataFrame:
+    def task(batches):
+        some: list = []  # a block's values as they come
+        model: list = []  # and sorted
+
+        def on_row(keys, vals):
+            some.append((np.frombuffer(keys, np.int64), np.frombuffer(vals, np.float64)))
+
+        def on_slice(rows):
+            if not model:
+                keys, val = (np.concatenate(x) for x in zip(*some))
+                some.clear()
+                order = np.argsort(keys)
+                model.extend((keys[order], val[order]))
+            keys, val = model
+            data, offsets, heads, last = _arrays(rows)
             code, bounds = grams(data, offsets, heads, last)
             upto = np.concatenate(([0.0], np.cumsum(_look_up(keys, val, code))))
             w = Words(data, offsets)
-            c = _look_up(keys, val, word_keys(w))
-            n = len(offsets) - 1
-            out.append(pa.table([
-                rows.column("doc_id"), rows.column("row_key"), rows.column("piece"), pa.array(w.counts),
+            c, n = _look_up(keys, val, word_keys(w)), len(rows)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r[0] for r in rows], doc_type), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()),
+                pa.array([r[7] for r in rows], pa.int64()), pa.array(w.counts.astype(np.int64)),
                 pa.array(np.bincount(w.text, weights=c > 0, minlength=n).astype(np.int64)),
                 pa.array(np.bincount(w.text, weights=np.log10(c + 1), minlength=n)), pa.array(upto[bounds[1:]] - upto[bounds[:-1]])],
-                names=names))
-        return pa.concat_tables(out) if out else pa.table({n: [] for n in names})
+                names=["doc_id", "row_key", "piece", "copies", "words", "known", "logs", "score"])
+
+        def on_block(block):
+            model.clear()
+            some.clear()
+            return ()
+
+        doc_type = None
+        for first in batches:
+            doc_type = first.schema.field("doc_id").type
+            yield from _walk(itertools.chain([first], batches), [*PIECE, "keys", "vals"], on_slice, on_block, on_row)
 
-    names = ["doc_id", "row_key", "piece", "words", "known", "logs", "score"]
-    return pieces.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
-        task, f"doc_id {kind}, row_key long, piece int, words long, known long, logs double, score double")
+    # values (kind 0) before pieces
+    both = packed.withColumn("kind", F.lit(0)).unionByName(pieces.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    return both.repartition("block").sortWithinPartitions("block", "kind", "row_key", "piece").mapInArrow(
+        task, f"doc_id {kind}, row_key long, piece int, copies long, words long, known long, logs double, score double")
 
 
-def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text", block_bytes: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens,
     base_score, score. ``held_out``: which rows not to learn from."""
     src = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), (~held_out).alias("train"))
     kind = src.schema["doc_id"].dataType.simpleString()
     total, ends = src.agg(F.sum(F.octet_length("text")), F.sum(F.col("train").cast("long"))).first()
     ends = ends or 0
-    pieces = _pieces(src, max(1, math.ceil((total or 0) / block_bytes)))
+    pieces = _pieces(src, max(1, math.ceil((total or 0) / (block_bytes or BLOCK_BYTES))))
     asked = written(_asked(pieces))
-    counts = written(asked.where("key >= 0").groupBy("key").agg(F.sum("n").alias("n")))
-    model = trie_scores(counts)
-    of = Window.partitionBy("key")
-    words = asked.where("key < 0").select("block", "key", F.sum("n").over(of).alias("n"),
-                                          (F.row_number().over(of.orderBy("block")) == 1).alias("once"))
-    values = written(words.select("block", "key", F.col("n").cast("double").alias("value"), "once").unionByName(
-        asked.where("key >= 0").select("block", "key").join(model, "key").select("block", "key", "value", F.lit(False).alias("once"))))
-    n, v = values.where("once and value > 0").agg(F.sum("value").cast("long"), F.count(F.lit(1))).first()
+    counts = written(asked.groupBy("key").agg(F.sum("n").alias("n")))
+    words = counts.where("key < 0")
+    n, v = words.where("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
     n, v = (n or 0) + ends, v + (ends > 0)
-    scored = _scored(pieces, values.select("block", "key", "value"), kind)
-    # rows with equal id and text have equal pieces: one of each, and how many there are
-    one = scored.groupBy("doc_id", "row_key", "piece").agg(
-        F.count(F.lit(1)).alias("copies"), *[F.max(c).alias(c) for c in ("words", "known", "logs", "score")])
-    rows = one.groupBy("doc_id", "row_key").agg(F.max("copies").alias("copies"), *[F.sum(c).alias(c) for c in ("words", "known", "logs", "score")])
-    final = rows.select("doc_id", (F.col("words") + 1).alias("n_tokens"), (F.col("known") + int(ends > 0)).alias("n_known"),
-                        F.lit(n).cast("long").alias("train_tokens"),
-                        (F.col("logs") + math.log10(ends + 1) - (F.col("words") + 1) * math.log10(n + v + 1)).alias("base_score"),
-                        "score", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
-    return final.drop("copy")
+    model = trie_scores(counts.where("key >= 0")).unionByName(words.select("key", F.col("n").cast("double").alias("value")))
+    values = attach(asked.select("block", "key"), model, "key").select("block", "key", "value")
+    scored = _scored(pieces, written(_packed(values)), kind)
+    # rows with equal id and text have equal pieces; how many there are is in each
+    rows = scored.groupBy("doc_id", "row_key").agg(F.max("copies").alias("copies"), *[F.sum(c).alias(c) for c in ("words", "known", "logs", "score")])
+    step = 1 << 12  # equal rows are counted out in two steps, so that no array is long
+    lots = rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / step))))
+    left = F.least(F.lit(step), F.col("copies") - F.col("lot") * step).cast("int")
+    return lots.select("doc_id", (F.col("words") + 1).alias("n_tokens"), (F.col("known") + int(ends > 0)).alias("n_known"),
+                       F.lit(n).cast("long").alias("train_tokens"),
+                       (F.col("logs") + math.log10(ends + 1) - (F.col("words") + 1) * math.log10(n + v + 1)).alias("base_score"),
+                       "score", F.explode(F.sequence(F.lit(1), left)).alias("copy")).drop("copy")

@@ -90,6 +90,7 @@ def test_scores_match_brute_force(spark):
 def edge_rows():
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choice(["ab", "Ba", "abc", "ü", "x\ty"]) for _ in range(rng.randrange(12)))) for i in range(40)]
+    rows += [(7, "copy of a copy ")] * 300 + [(None, "copy")] * 200
     return rows + [(100, None), (101, ""), (None, "ab ab"), (3, "other text"), (102, "q" * 3000), rows[4], rows[4], (103, "zz new ~ symbols \U0001F600"),
                    (104, "long words here " * 400)]
 
@@ -98,6 +99,8 @@ def edge_rows():
 def test_scores_edges(spark, monkeypatch, piece):
     prepare(spark)
     monkeypatch.setattr(lmscore, "PIECE_BYTES", piece)
+    monkeypatch.setattr(lmscore, "SEEN", 20 if piece == 50 else 1000)
+    monkeypatch.setattr(lmscore, "PACK", 16 if piece == 50 else 4096)
     rows = edge_rows()
     df = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, train string")
     close(got_scores(lmscore.score(df, held_out("doc_id", 7), block_bytes=2000)), brute_scores(rows))
