@@ -51,7 +51,7 @@ ORDER = 4
 END, START = 256, 257
 SYMBOLS = 257  # bytes and the end
 BITS = 9
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 PIECE_BYTES = 1 << 18
 #: Bytes of texts that a task works on at a time.
 SLICE = 1 << 19
@@ -219,12 +219,19 @@ PIECE = ["block", "doc_id", "row_key", "piece", "last", "train", "head", "text",
 def _merge(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys = np.concatenate([np.zeros(0, np.int64), *(k for k, _ in found)])
     counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in found)])
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _distinct(keys: np.ndarray, weight: np.ndarray):
+    """(distinct keys, summed weights), once for each weight."""
+    for w in np.unique(weight):
+        u, c = np.unique(keys if weight[0] == w and (weight == w).all() else keys[weight == w], return_counts=True)
+        yield u, c * int(w)
+
+
 def _asked(pieces: DataFrame) -> DataFrame:
     """(block, key, n): distinct grams and words of a block, n of them in training rows."""
     def task(batches):
@@ -234,9 +241,9 @@ def _asked(pieces: DataFrame) -> DataFrame:
             data, offsets, heads, last = _arrays(rows)
             weight = np.array([r[7] if r[4] else 0 for r in rows], dtype=np.int64)
             code, bounds = grams(data, offsets, heads, last)
-            found.append(_merge([(code, np.repeat(weight, np.diff(bounds)))]))
+            found.extend(_distinct(code, np.repeat(weight, np.diff(bounds))))
             w = Words(data, offsets)
-            found.append(_merge([(word_keys(w), weight[w.text])]))
+            found.extend(_distinct(word_keys(w), weight[w.text]))
             if sum(len(k) for k, _ in found[1:]) > MERGE:
                 found[:] = [_merge(found)]
             return ()
@@ -323,7 +330,9 @@ def _packed(values: DataFrame) -> DataFrame:
 
 
 def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    return values[np.searchsorted(keys, wanted)] if len(wanted) else np.zeros(0)
+    out, order = np.zeros(len(wanted)), np.argsort(wanted)  # a search in order finds its way in the cache
+    out[order] = values[np.searchsorted(keys, wanted[order])]
+    return out
 
 
 def _scored(pieces: DataFrame, packed: DataFrame, kind: str) -> DataFrame:
