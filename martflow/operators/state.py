@@ -210,6 +210,10 @@ def _holds(at: tuple[int, int], hold_ms: int):
     return task
 
 
+#: Copies of a record that one generated array holds.
+COPIES = 1 << 12
+
+
 def retract_duplicates(df: DataFrame, key, order, measures: Sequence[str],
                        sign_col: str | None = None) -> DataFrame:
     """Retraction dedup ("state + offset").
@@ -231,12 +235,16 @@ def retract_duplicates(df: DataFrame, key, order, measures: Sequence[str],
     keys = _names(key)
     o = _cols(order)
     me = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(o)], *[F.col(c) for c in df.columns if c not in keys])
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias("__n")).withColumn("__me", me)
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).withColumn("__me", me)
     last = copies.groupBy(*keys).agg(F.max("__me").alias("__last"))
     j = _attach(copies, last, keys)
     taken_back = F.col("__n") - F.when(F.col("__me") == F.col("__last"), 1).otherwise(0)
-    signs = F.concat(F.array_repeat(F.lit(1), F.col("__n")), F.array_repeat(F.lit(-1), taken_back))
-    x = j.withColumn("__sign", F.explode(signs)).drop("__last")
+    # copies are counted out in two steps, so that no row holds a long array
+    signs = F.explode(F.array(F.struct(F.lit(1).alias("s"), F.col("__n").alias("n")), F.struct(F.lit(-1).alias("s"), taken_back.alias("n"))))
+    lots = j.select(*df.columns, signs.alias("__c")).where("__c.n > 0") \
+        .withColumn("__lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("__c.n") - 1) / COPIES))))
+    some = F.least(F.lit(COPIES), F.col("__c.n") - F.col("__lot") * COPIES).cast("int")
+    x = lots.withColumn("__sign", F.explode(F.array_repeat(F.col("__c.s"), some))).drop("__c", "__lot")
     for m in measures:
         dt = df.schema[m].dataType
         x = x.withColumn(m, F.when(F.col("__sign") == -1, -F.col(m)).otherwise(F.col(m)).cast(dt))

@@ -84,7 +84,9 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str |
     ``kafka``: value bytes as text, earliest offsets, partition discovery is
     built in (needs the Kafka connector on the classpath); ``pattern`` takes
     ``topic`` as a regular expression and follows topics that appear later,
-    ``group`` names the consumer group. ``text``/``json``:
+    ``group`` starts the names of the consumer groups: each query has a group of
+    its own, since two queries of one group would share out the partitions and
+    each miss the other's. ``text``/``json``:
     JSON lines under ``path/topic`` -- the test and file-drop form. Null
     values are skipped (S1).
     """
@@ -93,7 +95,9 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str |
         r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
              .option("subscribePattern" if pattern else "subscribe", topic).option("startingOffsets", starting))
         if group:
-            r = r.option("kafka.group.id", group)
+            r = r.option("groupIdPrefix", group)
+        if "kafka.group.id" in (options or {}):
+            raise ValueError("a fixed kafka.group.id loses rows where an application reads the topic twice; give group")
         for k, v in (options or {}).items():
             r = r.option(k, v)
         df = r.load().select(F.col("value").cast("string").alias("value"))

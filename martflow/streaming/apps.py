@@ -54,7 +54,7 @@ def cdc_ingest_app(values: DataFrame, out: str, **kw):
     good, bad = cdc_src.parse_cdc(values)
 
     def write(batch, batch_id):
-        cdc_src.to_topic_value(batch).write.mode("overwrite").text(f"{out}/batch={batch_id}")
+        cdc_src.to_topic_value(batch).write.mode("overwrite").text(f"{out}/{sinks.batch_folder(batch, batch_id)}")
 
     return _app(good, bad, "cdc_ingest", out, fn=write, **kw)
 
@@ -79,7 +79,7 @@ def log_split_app(raw: DataFrame, out: str, lag: str = "3 seconds", ttl_ms: int
         batch.persist()
         try:
             for name, df in logsplit.split_records(batch).items():
-                logsplit.to_json_lines(df).write.mode("overwrite").text(f"{out}/{name}/batch={batch_id}")
+                logsplit.to_json_lines(df).write.mode("overwrite").text(f"{out}/{name}/{sinks.batch_folder(batch, batch_id)}")
         finally:
             batch.unpersist()
 
@@ -119,12 +119,11 @@ def fact_route_app(ods_values: DataFrame, config_reader, out: str, **kw):
     ods, bad = cdc_src.parse_cdc(ods_values)
 
     def write(batch, batch_id):
-        # One folder per sink table (topic) and batch; dynamic overwrite
-        # replaces only this batch's folders, so a retried batch is idempotent.
+        # One folder per run, batch and sink table (topic): a retried batch
+        # replaces its own.
         r = routing.route_facts(batch, config_reader())
-        (r.withColumn("data", F.to_json("data")).withColumn("batch", F.lit(batch_id))
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("sink_table", "batch").json(out))
+        r.withColumn("data", F.to_json("data")).write.mode("overwrite").partitionBy("sink_table") \
+            .json(f"{out}/{sinks.batch_folder(batch, batch_id)}")
 
     return _app(ods, bad, "fact_route", out, fn=write, **kw)
 
@@ -185,7 +184,8 @@ def refund_app(ods_values: DataFrame, dic: DataFrame, out: str, lag: str = "5 se
 
 def _pages(page_values: DataFrame, lag: str | None):
     pages, bad = cdc_src.page_topic_table(page_values, lag=lag)
-    return pages.withColumn("event_id", F.col("ts_ms")), bad  # tie-breaker within a visitor: arrival time
+    # tie-breaker within a visitor and millisecond: the record itself
+    return pages.withColumn("event_id", F.xxhash64(*[c for c in pages.columns if c != "ts"])), bad
 
 
 def traffic_app(page_values: DataFrame, out: str, size: str = "10 seconds", lag: str = "1 second",
@@ -221,7 +221,9 @@ def _upsert_windows(out: str):
     table, ordered by batch; read with :func:`window_table`."""
 
     def write(batch, batch_id):
-        sinks.append_changes(batch.withColumn("version", F.lit(batch_id)), batch_id, out)
+        # batches are ordered in a run, and runs by when they wrote
+        at = F.struct(F.current_timestamp().alias("at"), F.lit(batch_id).alias("batch"))
+        sinks.append_changes(batch.withColumn("version", at), batch_id, out)
     return write
 
 
@@ -249,7 +251,12 @@ def sku_app(detail_values: DataFrame, wide_sku: DataFrame, out: str, size: str =
 
 
 def keyword_app(page_values: DataFrame, texts: DataFrame, out: str, size: str = "1 second", **kw):
-    """Page topic -> search keywords per window (static text table)."""
+    """Page topic -> search keywords per window. The texts are tokenised once,
+    when the application starts, into ``<out>_terms``; batches join that table."""
     pages, bad = cdc_src.page_topic_table(page_values, lag="0 seconds")
-    kws = text.search_keywords(text.search_rows(pages), texts)
+    terms = f"{out}_terms"
+    text.keyword_counts_per_text(texts.select(F.col("doc_id").cast("string").alias("ref"), "text"), "ref", "text") \
+        .write.mode("overwrite").parquet(terms)
+    searches = text.search_rows(pages).select(F.col("ts").alias("et"), F.col("item").alias("ref"))
+    kws = searches.join(texts.sparkSession.read.parquet(terms), "ref").select("et", "keyword", "cnt")
     return _app(jobs.keyword_window_stream(kws, size, lag=None), bad, "keywords", out, **kw)

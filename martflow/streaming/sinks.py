@@ -8,8 +8,10 @@ batch overwrite its own output instead of duplicating it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,32 +69,80 @@ def console(df: DataFrame):
 # upsert table (K4 / K6): changes are appended, the table is a fold over them
 # --------------------------------------------------------------------------
 
+def run_of(batch: DataFrame) -> str:
+    """The run a micro-batch belongs to: its query's id, which the checkpoint
+    keeps. Batches of a stream that starts anew, with another checkpoint, count
+    from 0 again under another run, so they never meet the old ones."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def batch_folder(batch: DataFrame, batch_id: int) -> str:
+    return f"run={run_of(batch)}/batch={batch_id}"
+
+
 def append_changes(batch: DataFrame, batch_id: int, path: str) -> None:
-    """One micro-batch's change rows under ``kind=change/batch=<id>``. A
-    retried batch replaces its own folder; nothing stored is read or
-    rewritten, so a read error can't lose rows."""
-    batch.write.mode("overwrite").parquet(f"{path}/kind=change/batch={batch_id}")
+    """One micro-batch's change rows, in a folder of its own. A retried batch
+    replaces its own folder; nothing stored is read or rewritten, so a read
+    error can't lose rows."""
+    batch.write.mode("overwrite").parquet(f"{path}/kind=change/{batch_folder(batch, batch_id)}")
+
+
+BASES = "_bases"  # published bases, hidden from the table's own listing
+BASE_SCHEMA = "base string, run string, upto long"
+
+
+def _published(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
+    """(number, rows) of the newest published base: which base it is, and up to
+    which batch it covers each run."""
+    try:
+        rows = spark.read.schema(f"{BASE_SCHEMA}, n long").parquet(f"{path}/{BASES}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1, spark.createDataFrame([], f"{BASE_SCHEMA}, n long")
+    n = rows.agg(F.max("n")).first()[0]
+    return (-1, rows.limit(0)) if n is None else (n, rows.where(F.col("n") == n))
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """All rows with kind, run and batch; a base's run is its name."""
+    return spark.read.option("mergeSchema", "false").parquet(path).withColumn("run", F.col("run").cast("string"))
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """The rows whose fold is the table: the newest compacted base and the
-    change batches after it. Which folders those are is decided from the
-    partition columns, so older ones aren't scanned."""
-    rows = spark.read.parquet(path)
-    base = rows.where("kind = 'base'").agg(F.coalesce(F.max("batch"), F.lit(-1)).alias("b"))
-    b = base.first()["b"]
-    return rows.where(((F.col("kind") == "base") & (F.col("batch") == b)) |
-                      ((F.col("kind") == "change") & (F.col("batch") > b))).drop("kind", "batch")
-
-
-def compact(spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame], upto: int) -> None:
-    """Fold everything up to batch ``upto`` into a new base. Runs beside the
-    stream, on batches that are complete; ``fold`` must give rows of the same
-    schema whose fold is the same (keep tombstones: an older change may still
-    arrive). Old folders can be deleted once no reader uses them."""
-    rows = spark.read.parquet(path)
-    older = rows.where(F.col("batch") <= upto)
-    fold(older.drop("kind", "batch")).write.mode("overwrite").parquet(f"{path}/kind=base/batch={upto}")
+    """The rows whose fold is the table: the newest published base and the
+    change batches that it doesn't cover. Which folders those are is decided
+    from the partition columns, so others aren't scanned."""
+    _, covered = _published(spark, path)
+    base = covered.select("base").distinct()
+    upto = F.broadcast(covered.select(F.col("run").alias("__run"), "upto"))  # a row per run of the stream
+    rows = _stored(spark, path)
+    new = rows.where("kind = 'change'").join(upto, (F.col("run") == F.col("__run")) & (F.col("batch") <= F.col("upto")), "left_anti")
+    old = rows.where("kind = 'base'").join(F.broadcast(base), F.col("run") == F.col("base"), "left_semi")
+    return old.unionByName(new).drop("kind", "run", "batch")
+
+
+def compact(spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame], upto: dict[str, int] | None = None) -> None:
+    """Folds the table, as far as its change batches are complete, into a new
+    base and then publishes it; until then, and if it never is, readers use the
+    base before. ``upto``: the last complete batch of each run (all that are
+    stored, if not given: only while no stream writes). ``fold`` must give rows
+    of the same schema whose fold is the same (keep tombstones: an older change
+    may still arrive). Folders that the published base covers can be deleted."""
+    n, covered = _published(spark, path)
+    rows = _stored(spark, path)
+    stored = rows.where("kind = 'change'").groupBy("run").agg(F.max("batch").cast("long").alias("upto"))
+    if upto is not None:
+        stored = spark.createDataFrame(list(upto.items()), "run string, upto long")
+    marks = stored.unionByName(covered.select("run", "upto")).groupBy("run").agg(F.max("upto").alias("upto"))
+    marks = spark.createDataFrame([(r["run"], r["upto"]) for r in marks.collect()], "run string, upto long")  # a row per run
+    late = rows.where("kind = 'change'").join(F.broadcast(marks.withColumnRenamed("run", "__run")), (F.col("run") == F.col("__run")) & (F.col("batch") <= F.col("upto")), "left_semi")
+    done = F.broadcast(covered.select(F.col("run").alias("__run"), F.col("upto").alias("__upto")))
+    late = late.join(done, (F.col("run") == F.col("__run")) & (F.col("batch") <= F.col("__upto")), "left_anti")
+    old = rows.where("kind = 'base'").join(F.broadcast(covered.select("base").distinct()), F.col("run") == F.col("base"), "left_semi")
+    name = uuid.uuid4().hex
+    fold(old.unionByName(late).drop("kind", "run", "batch")).write.parquet(f"{path}/kind=base/run={name}/batch=0")
+    marks.select(F.lit(name).alias("base"), "run", "upto").coalesce(1).write.parquet(f"{path}/{BASES}/n={n + 1}")
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, key, order) -> None:
@@ -107,7 +157,7 @@ def read_upsert_table(spark: SparkSession, path: str, key, order, op_col: str |
     return rows.where(F.coalesce(F.col(op_col), F.lit("")) != "d") if op_col else rows
 
 
-def compact_upsert_table(spark: SparkSession, path: str, key, order, upto: int) -> None:
+def compact_upsert_table(spark: SparkSession, path: str, key, order, upto: dict[str, int] | None = None) -> None:
     keys = [key] if isinstance(key, str) else list(key)
     compact(spark, path, lambda rows: state.keep_latest(rows, keys, order), upto)
 
@@ -128,7 +178,7 @@ def upsert_stream(stream: DataFrame, path: str, key, order, name: str, trigger:
 def split_log_batch(batch: DataFrame, batch_id: int, base: str, repair: bool = False) -> None:
     """R1 inside ``foreachBatch``: parse the micro-batch once (persisted),
     write the five outputs and the dirty lines as JSON text, then release.
-    Each output of a batch goes to ``<base>/<name>/batch=<id>`` so a retried
+    Each output of a batch goes to ``<base>/<name>/run=<run>/batch=<id>`` so a retried
     batch replaces its own files. The new-visitor repair needs keyed state
     across batches, so it is off here; ``apps.log_split_app`` is the full job
     (stateful repair before the split). ``repair=True`` repairs within the
@@ -138,7 +188,7 @@ def split_log_batch(batch: DataFrame, batch_id: int, base: str, repair: bool = F
         parts = logsplit.split_log(batch, repair=repair)
         for name, df in parts.items():
             out = df if name == "dirty" else logsplit.to_json_lines(df)
-            out.write.mode("overwrite").text(f"{base}/{name}/batch={batch_id}")
+            out.write.mode("overwrite").text(f"{base}/{name}/{batch_folder(batch, batch_id)}")
     finally:
         batch.unpersist()
 

@@ -56,7 +56,7 @@ def test_dim_sync_app_matches_batch(spark, scratch):
         routing.route_dims(feed, config.dim_config_feed(spark))).collect())
     assert got == want and len(got) > 0
     # compacted: the same rows from a base and the batches after it
-    sinks.compact(spark, f"{scratch}/dims", routing.merge_cells, 1)
+    sinks.compact(spark, f"{scratch}/dims", routing.merge_cells)
     assert sorted(tuple(r) for r in apps.dim_table(spark, f"{scratch}/dims").collect()) == want
 
 

@@ -271,3 +271,11 @@ def test_tokens_of_any_script_and_dictionary(spark):
     assert got == ["größe", "élan", "中文", "分词", "x2", "naïve"]
     got = df.select(text.tokens("t", ["文分", "中文分"]).alias("x")).first().x
     assert got == ["größe", "élan", "中文分", "词", "x2", "naïve"]
+
+
+def test_retraction_of_many_copies_needs_no_long_array(spark, monkeypatch):
+    monkeypatch.setattr(state, "COPIES", 8)
+    df = spark.createDataFrame([("a", 1, 5)] * 53 + [("a", 2, 7)] * 17 + [("b", 1, 1)], "id string, ts long, amt long")
+    got = {(r.id, r.ts, r.sign): r.n for r in state.retract_duplicates(df, "id", ["ts"], ["amt"], sign_col="sign")
+           .groupBy("id", "ts", "sign").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {("a", 1, 1): 53, ("a", 1, -1): 53, ("a", 2, 1): 17, ("a", 2, -1): 16, ("b", 1, 1): 1}

@@ -129,16 +129,43 @@ def test_upsert_batches(spark, scratch):
     def rows():
         return sorted((r.id, r.v) for r in sinks.read_upsert_table(spark, path, "id", ["ts"], "op").collect())
     assert rows() == [("1", "a2"), ("3", "c")]
-    for upto in (1, 2):
+    for upto in ({"none": 1}, {"none": 2}, None):
         sinks.compact_upsert_table(spark, path, "id", ["ts"], upto)
         assert rows() == [("1", "a2"), ("3", "c")]
+    # a base that was written but not published counts for nothing
+    b2.write.parquet(f"{path}/kind=base/run=cut_short/batch=0")
+    assert rows() == [("1", "a2"), ("3", "c")]
+    # batches behind the base still count
+    sinks.upsert_batch(spark.createDataFrame([("1", 9, "newer", "u")], b1.schema), 3, path, "id", ["ts"])
+    assert rows() == [("1", "newer"), ("3", "c")]
+
+
+def test_a_new_checkpoint_overwrites_nothing(spark, scratch):
+    schema = "id string, ts long, v string"
+
+    def run(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{scratch}/{name}")
+        s = spark.readStream.schema(schema).parquet(f"{scratch}/{name}")
+        q = s.writeStream.foreachBatch(lambda b, i: sinks.upsert_batch(b, i, f"{scratch}/t", "id", ["ts"])) \
+            .option("checkpointLocation", f"{scratch}/ck_{name}").start()
+        q.processAllAvailable()
+        q.stop()
+        return sorted((r.id, r.v) for r in sinks.read_upsert_table(spark, f"{scratch}/t", "id", ["ts"]).collect())
+    assert run("one", [("a", 1, "x"), ("b", 1, "x")]) == [("a", "x"), ("b", "x")]
+    assert run("one", [("a", 2, "y")]) == [("a", "y"), ("b", "x")]  # the same checkpoint: the next batch
+    # another checkpoint counts from 0 again, beside the first run
+    assert run("two", [("c", 1, "z")]) == [("a", "y"), ("b", "x"), ("c", "z")]
+    sinks.compact_upsert_table(spark, f"{scratch}/t", "id", ["ts"])
+    assert run("two", [("c", 2, "w")]) == [("a", "y"), ("b", "x"), ("c", "w")]
+    assert run("three", [("a", 0, "old")]) == [("a", "y"), ("b", "x"), ("c", "w")]
+    assert len(os.listdir(f"{scratch}/t/kind=change")) == 3
 
 
 def test_split_log_batch_writes_all_outputs(spark, scratch):
     from martflow.sources import applog
     raw = applog.app_log_text(Tables(spark, SF)).checkpoint()
     sinks.split_log_batch(raw, 7, f"{scratch}/split")
-    n = {k: spark.read.text(f"{scratch}/split/{k}/batch=7").count()
+    n = {k: spark.read.text(f"{scratch}/split/{k}/run=none/batch=7").count()
          for k in ["err", "start", "display", "action", "page", "dirty"]}
     assert all(v > 0 for v in n.values())
 
