@@ -41,13 +41,10 @@ GROUP_ROWS = 1024
 
 def plan(classes: int, least: float, block: int) -> tuple[int, int]:
     """(bits of a run's prefix, passes). Runs of unrelated vectors have
-    ``block`` rows or so; a pair of cosine ``least`` shares no run of any pass
-    with probability ``MISS`` at most. Where that takes more passes than there
-    are runs in one, no bits and one pass: all with all."""
-    bits = min(KEY_BITS, max(0, math.ceil(math.log2(max(1, classes) / block))))
+    ``block`` rows or so (a quarter of the classes, if they are few); a pair of
+    cosine ``least`` shares no run of any pass with probability ``MISS`` at most."""
+    bits = min(KEY_BITS, max(2, math.ceil(math.log2(max(1, classes) / block))))
     meet = (1 - math.acos(min(1.0, max(-1.0, least))) / math.pi) ** bits
-    if meet * 2 ** bits <= -math.log(MISS):
-        return 0, 1
     return bits, 1 if meet >= 1 else math.ceil(math.log(MISS) / math.log1p(-meet))
 
 
