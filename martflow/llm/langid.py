@@ -5,7 +5,7 @@ Features are the byte 2-, 3- and 4-grams of the lower-cased text, white space
 taken as one boundary byte, hashed into ``BUCKETS`` embeddings of ``DIM``
 numbers. A text is the average of its embeddings; a linear layer and softmax
 give the language. The model is fitted on a bounded sample of labelled rows
-(``per_lang`` rows of each language, chosen by a hash of the id); its size is
+(``per_lang`` distinct rows of each language, chosen by hashes of id and text); its size is
 fixed by ``BUCKETS``. Probabilities are calibrated by one temperature fitted on
 a part of the sample that SGD doesn't see, and ``rejected`` marks predictions
 whose probability lies below the one that all but ``reject_rate`` of the right
@@ -90,10 +90,10 @@ class Model:
 
 
 def _counts(batches):
-    """Task of the sample: (lang, distinct buckets, their counts) of each text,
+    """Task of the sample: (lang, row, distinct buckets, their counts) of each text,
     as packed bytes (six for each bucket that occurs)."""
     for b in batches:
-        data, offsets = raw(b.column(1))
+        data, offsets = raw(b.column(2))
         idx, cnt = [], []
         for i in range(b.num_rows):
             d = data[offsets[i]:offsets[i + 1]]
@@ -101,21 +101,35 @@ def _counts(batches):
             u, c = np.unique(f, return_counts=True)
             idx.append(u.astype("<u2").tobytes())
             cnt.append(c.astype("<u4").tobytes())
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(idx, pa.binary()), pa.array(cnt, pa.binary())],
-                                         names=["lang", "idx", "cnt"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(idx, pa.binary()), pa.array(cnt, pa.binary())],
+                                         names=["lang", "row", "idx", "cnt"])
+
+
+#: First ranking of the sample: parts of a language that are ranked apart.
+LOTS = 64
 
 
 def sample(docs: DataFrame, doc_id: str, text: str, lang: str, train, per_lang: int) -> DataFrame:
-    """(lang, idx, cnt) of the ``per_lang`` rows of each language with the
-    smallest id hashes among the rows where ``train`` holds."""
-    src = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.col(text) != ""))
-    narrow = src.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.xxhash64(F.lit(17), F.col(doc_id)).alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    chosen = narrow.withColumn("r", rank).where(F.col("r") <= per_lang).select("id", F.col("lang").alias("of"))
-    # chosen holds per_lang ids of each language at most
-    rows = src.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("id")) \
-        .join(F.broadcast(chosen.distinct()), ["id"]).where(F.col("of") == F.col("lang")).select("lang", "text")
-    return rows.mapInArrow(_counts, "lang string, idx binary, cnt binary")
+    """(lang, idx, cnt) of ``per_lang`` rows of each language at most: those with
+    the smallest (id hash, text hash) among the distinct rows where ``train`` holds.
+
+    A language's rows are ranked in LOTS parts first, so that the task that ranks
+    the parts' best has LOTS * per_lang narrow rows at most."""
+    src = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.col(text) != "")) \
+        .select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    place = [F.xxhash64(F.lit(17), "id").alias("h"), F.xxhash64("text").alias("t")]
+    narrow = src.select("lang", "id", *place).distinct()
+    lot = narrow.withColumn("lot", F.pmod(F.xxhash64("h", "t"), F.lit(LOTS)))
+    order = ["h", "id", "t"]
+    some = lot.withColumn("r", F.row_number().over(Window.partitionBy("lang", "lot").orderBy(*order))).where(F.col("r") <= per_lang).drop("r")
+    best = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("r") <= per_lang)
+    chosen = best.select(F.col("lang").alias("of"), F.col("id").alias("i"), F.col("t").alias("k"))  # per_lang rows of each language
+    on = (F.col("lang") == F.col("of")) & F.col("id").eqNullSafe(F.col("i")) & (F.xxhash64("text") == F.col("k"))
+    rows = src.join(F.broadcast(chosen), on).select("lang", F.xxhash64("id", "text").alias("row"), "text")
+    kept = rows.mapInArrow(_counts, "lang string, row long, idx binary, cnt binary")
+    # equal rows are one
+    one = kept.groupBy("lang", "row").agg(F.min(F.struct("idx", "cnt")).alias("r"))
+    return one.select("lang", "r.idx", "r.cnt")
 
 
 def fit(rows: list, epochs: int = 6, rate: float = 0.5, seed: int = 11, reject_rate: float = 0.01) -> Model | None:

@@ -90,6 +90,16 @@ def test_empty_tables(spark, docs):
     assert chat.digest(chat.format_turns(conv)).count() == 0
 
 
+def test_language_sample_is_bounded_in_rows(spark):
+    prepare(spark)
+    rows = [(7, f"text number {i}", "en") for i in range(3000)] + [(8, "the same text", "en")] * 500 + [(i, f"texte {i}", "fr") for i in range(100, 130)] + [(None, "kein Wort", "de")] * 9
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    n = Counter(r.lang for r in langid.sample(d, "doc_id", "text", "lang", F.lit(True), 50).collect())
+    assert n == {"en": 50, "fr": 30, "de": 1}
+    again = langid.sample(d.repartition(5), "doc_id", "text", "lang", F.lit(True), 50)
+    assert sorted(map(str, again.collect())) == sorted(map(str, langid.sample(d, "doc_id", "text", "lang", F.lit(True), 50).collect()))
+
+
 # -- sharding -----------------------------------------------------------------
 
 def test_communication_matrix_is_exact():
