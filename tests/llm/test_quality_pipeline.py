@@ -87,6 +87,17 @@ def test_classifier_rejects_junk_and_keeps_clean(spark):
     assert left.columns == docs.columns and left.count() == out.where("kept").count()
 
 
+def test_training_sample_is_bounded_in_rows(spark):
+    prepare(spark)
+    docs = spark.createDataFrame([(1, f"hot id text {i}", "en") for i in range(5000)] + [(k, "plain text", "en") for k in range(2, 30)] * 3, "doc_id long, text string, lang string")
+    trusted = spark.range(1, 30).withColumnRenamed("id", "doc_id")
+    texts = quality.training_texts(docs, trusted, quality.Sample(rows=25, words=10_000)).collect()
+    ids = [r.doc_id for r in texts]
+    assert 10 < len(ids) <= 25 and len(set(ids)) == len(ids)
+    few = quality.training_texts(docs, trusted, quality.Sample(rows=25, words=20)).collect()
+    assert 0 < sum(len(r.words) for r in few) <= 20
+
+
 def test_classifier_edges(spark):
     prepare(spark)
     docs = spark.createDataFrame([(1, "a b c", "en", "x"), (1, "a b c", "en", "x"), (2, None, None, "x"), (None, "d", "en", "x"), (3, "", "fr", "x"),
