@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,21 @@ def test_tiling_empty(spark):
     prepare(spark)
     none = spark.createDataFrame([], "doc_id long, item_id long, text string")
     assert tiling.contaminated(none, none).count() == 0 and tiling.clean(none, none).count() == 0
+
+
+def test_a_word_repeated_a_million_times(spark, monkeypatch):
+    prepare(spark)
+    rng = random.Random(6)
+    items = [(1, " ".join(["ha"] * 30)), (2, "start of it " + "ha " * 12 + "and then it ends"), (3, "ha " * 7 + "ho " + "ha " * 9 + "hu hi he"), (4, "no such words in any of them")]
+    lots = lambda n: "ha " * n
+    docs = [(1, lots(1_000_000)), (2, "start of it " + lots(5000) + "and then it ends"), (3, lots(3000) + "ho " + lots(4000) + "hu hi he"), (4, lots(20)), (5, "ho " + lots(9) + "x")]
+    docs += [(10 + k, " ".join(rng.choice(["ho", "hu hi he", "start of it", "and then it ends", *[lots(rng.choice([3, 9, 40, 400]))] * 3]) for _ in range(6))) for k in range(12)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+
+    def found(frame):
+        return sorted((r.doc_id, r.item_id, round(r.coverage, 9), str(r.tiles)) for r in tiling.contaminated(frame, i, least=0.3).collect())
+    got = found(d)
+    assert (1, 1) in {r[:2] for r in got} and (2, 2) in {r[:2] for r in got} and (3, 3) in {r[:2] for r in got}
+    monkeypatch.setattr(tiling, "_edges", lambda h, at, text, keep: np.ones(len(h), dtype=bool))
+    assert found(d.where("doc_id > 1")) == [r for r in got if r[0] > 1]
