@@ -82,3 +82,47 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(compon
        coalesce(component_id, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least ON w.doc_id = least.node
 """.strip()
+
+# CRC-32 byte by byte with its table; near words by the holes that edits leave.
+ORACLE["op11_permuterm_variants"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY ALL
+),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(d || ':' || run, ''),
+           lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, (unicode(c) - 64)::BIGINT] END))),
+           lambda crc, b: xor(crc >> 8, t[(xor(crc, b) & 255) + 1]))) AS h
+  FROM runs, crc_table
+),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+),
+holes AS (SELECT word, n, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT DISTINCT x.word, y.word AS other, y.n AS other_n FROM holes x JOIN holes y ON x.a || '?' || x.b = y.a || '?' || y.b AND x.word <> y.word
+  UNION SELECT x.word, w.word, w.n FROM holes x JOIN words w ON x.a || x.b = w.word
+  UNION SELECT w.word, x.word, x.n FROM holes x JOIN words w ON x.a || x.b = w.word
+),
+near AS (SELECT word, count(*) AS n_near FROM pairs GROUP BY word),
+best AS (SELECT word, other, other_n FROM pairs QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN near USING (word) LEFT JOIN best USING (word)
+),
+walk AS (
+  SELECT word, coalesce(form, word) AS here FROM forms
+  UNION ALL
+  SELECT walk.word, forms.form FROM walk JOIN forms ON walk.here = forms.word WHERE forms.form IS NOT NULL
+),
+ends AS (SELECT walk.word, here AS root FROM walk JOIN forms ON walk.here = forms.word WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+""".strip()
