@@ -9,11 +9,13 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import numbers
 import os
 import sys
 import time
 
 import duckdb
+import pandas as pd
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -31,13 +33,13 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return "∅"
     if isinstance(v, float) and math.isnan(v):
         return "∅"
     if isinstance(v, bool):
         return str(int(v))
-    if isinstance(v, (int, float, decimal.Decimal)):
+    if isinstance(v, (numbers.Number, decimal.Decimal)):
         f = float(v)
         return "%.6f" % round(f, 6)
     if isinstance(v, (dt.datetime, dt.date)):
