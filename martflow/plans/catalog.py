@@ -464,3 +464,88 @@ def q_scalar_rowkey(spark, sf_dir):
     return p.select("p_partkey", fn.row_key(cols, "_").alias("rk"),
                     fn.row_key(cols, "|", md5_fields=True).alias("rk_md5_fields"),
                     fn.row_key(cols, "_", md5_all=True).alias("rk_md5"))
+
+
+# -- watermarks over recorded arrivals, event time from other fields, topics re-read ----
+
+from ..operators import lateness  # noqa: E402
+
+WINDOW_MS, STEP_MS = 10_000, 10_000
+
+
+def _page_counts(rows):
+    metrics = windows.page_metrics(rows)
+    return windows.decorate_window(windows.tumble(metrics, "ts", "10 seconds").groupBy(windows.WIN, "vc", "ch", "ar", "is_new").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("sv_ct", "pv_ct", "dur_sum")]))
+
+
+@query("page_late_rows")
+def q_late_rows(spark, sf_dir):
+    _, late = lateness.split_late(retail.page_arrivals(_t(spark, sf_dir)), "arrival_ms", "ts_ms", WINDOW_MS, STEP_MS, 3_000)
+    return late.select("event_id", "mid", "page_id", "ts_ms", "arrival_ms", "watermark")
+
+
+@query("page_on_time_window")
+def q_on_time(spark, sf_dir):
+    on_time, _ = lateness.split_late(retail.page_arrivals(_t(spark, sf_dir)), "arrival_ms", "ts_ms", WINDOW_MS, STEP_MS, 3_000)
+    return _page_counts(on_time)
+
+
+@query("page_on_time_window_monotonous")
+def q_on_time_monotonous(spark, sf_dir):
+    on_time, _ = lateness.split_late(retail.page_arrivals(_t(spark, sf_dir)), "arrival_ms", "ts_ms", WINDOW_MS, STEP_MS)
+    return _page_counts(on_time)
+
+
+@query("page_arrival_window")
+def q_arrival_window(spark, sf_dir):
+    return _page_counts(lateness.arrival_time(retail.page_arrivals(_t(spark, sf_dir)), "arrival_ms"))
+
+
+@query("event_time_fallback")
+def q_event_time_fallback(spark, sf_dir):
+    o = _t(spark, sf_dir).orders
+    seconds = F.floor(fn.epoch_ms("o_orderdate") / 1000)
+    rows = o.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", seconds).alias("block_timestamp"),
+                    F.when(F.col("o_orderkey") % 11 != 0, seconds + 3_600).alias("timestamp"))
+    return windows.event_time_from(rows, ["block_timestamp", "timestamp"]).select(
+        "o_orderkey", F.unix_millis("et").alias("et_ms"), F.date_format("et", "yyyy-MM-dd HH:mm:ss").alias("et"))
+
+
+@query("batch_event_time")
+def q_batch_event_time(spark, sf_dir):
+    # a sender's batch: sixteen views in the order of their ids
+    p = retail.page_log(_t(spark, sf_dir)).select(
+        F.floor(F.col("event_id") / 16).alias("batch_id"),
+        F.struct("event_id", F.col("ts_ms").alias("window_start_time"), "during_time").alias("r"))
+    batches = p.groupBy("batch_id").agg(F.sort_array(F.collect_list("r")).alias("items"))
+    return windows.batch_event_time(batches, "items", unit="ms").select(
+        "batch_id", F.unix_millis("et").alias("et_ms"), F.size("items").cast("bigint").alias("n"),
+        F.aggregate("items", F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x["during_time"], F.lit(0))).alias("during_time"))
+
+
+@query("page_topic_rows")
+def q_page_topic(spark, sf_dir):
+    values = retail.page_topic(_t(spark, sf_dir)).observe("page_topic", F.count(F.lit(1)).alias("rows"))
+    return cdc_src.page_topic_table(values, lag=None)[0].drop("ts")
+
+
+@query("page_topic_dirty")
+def q_page_topic_dirty(spark, sf_dir):
+    values = retail.page_topic(_t(spark, sf_dir)).observe("page_topic", F.count(F.lit(1)).alias("rows"))
+    return cdc_src.page_topic_table(values, lag=None)[1]
+
+
+@query("order_detail_topic_rows")
+def q_detail_topic(spark, sf_dir):
+    from ..operators.facts import ORDER_DETAIL_COLS
+    fact = QUERIES["order_detail_fact"](spark, sf_dir)
+    values = fact.select(F.to_json(F.struct(*ORDER_DETAIL_COLS)).alias("value")).observe("detail_topic", F.count(F.lit(1)).alias("rows"))
+    rows = cdc_src.fact_topic_table(values, ORDER_DETAIL_COLS)[0]
+    return rows.withColumn("et", F.date_format("et", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("camel_case_columns")
+def q_camel(spark, sf_dir):
+    from ..functions.strings import camel_columns
+    return camel_columns(_t(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment"))

@@ -882,3 +882,81 @@ SELECT p_partkey,
        md5(CAST(p_partkey AS VARCHAR) || '_' || p_brand || '_' || p_type) AS rk_md5
 FROM part
 """)
+
+
+# -- watermarks over recorded arrivals, event time from other fields, topics re-read ----
+
+ARRIVALS = f"""{PAGE_LOG},
+arrivals AS (
+  SELECT *, ts_ms + (event_id * 37) % 6001
+         + CASE WHEN event_id % 97 = 0 THEN 10800000 WHEN event_id % 10 = 3 THEN (event_id * 7919) % 1200001 ELSE 0 END AS arrival_ms
+  FROM page_log
+)"""
+
+
+def _met(lag_ms: int) -> str:
+    """Each row with the watermark of all rows of earlier steps (the literal way)."""
+    return f"""
+met AS (
+  SELECT *, max(ts_ms) OVER (ORDER BY arrival_ms // 10000 RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {lag_ms} AS watermark
+  FROM arrivals
+),
+judged AS (
+  SELECT *, coalesce((ts_ms // 10000 + 1) * 10000 <= watermark, false) AS late FROM met
+)"""
+
+
+def _page_counts(rows: str, time: str = "ts_ms") -> str:
+    return f"""
+SELECT {win_cols(f"min({time})", 10_000)}, vc, ch, ar, is_new,
+       count(*) FILTER (last_page_id IS NULL OR last_page_id = '') AS sv_ct, count(*) AS pv_ct,
+       CAST(sum(during_time) AS BIGINT) AS dur_sum
+FROM {rows} GROUP BY {win_key(time, 10_000)}, vc, ch, ar, is_new"""
+
+
+register("page_late_rows", f"""
+WITH {ARRIVALS}, {_met(3_000)}
+SELECT event_id, mid, page_id, ts_ms, arrival_ms, watermark FROM judged WHERE late
+""")
+
+register("page_on_time_window", f"WITH {ARRIVALS}, {_met(3_000)} {_page_counts('judged WHERE NOT late')}")
+register("page_on_time_window_monotonous", f"WITH {ARRIVALS}, {_met(0)} {_page_counts('judged WHERE NOT late')}")
+register("page_arrival_window", f"WITH {ARRIVALS} {_page_counts('arrivals', 'arrival_ms')}")
+
+register("event_time_fallback", """
+WITH s AS (
+  SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN epoch_ms(o_orderdate) // 1000
+                          WHEN o_orderkey % 11 <> 0 THEN epoch_ms(o_orderdate) // 1000 + 3600 END AS sec
+  FROM orders
+)
+SELECT o_orderkey, sec * 1000 AS et_ms, strftime(epoch_ms(sec * 1000), '%Y-%m-%d %H:%M:%S') AS et FROM s
+""")
+
+register("batch_event_time", f"""
+WITH {PAGE_LOG}
+SELECT event_id // 16 AS batch_id, arg_min(ts_ms, event_id) AS et_ms, count(*) AS n,
+       CAST(sum(coalesce(during_time, 0)) AS BIGINT) AS during_time
+FROM page_log GROUP BY 1
+""")
+
+register("page_topic_rows", f"""
+WITH {PAGE_LOG}
+SELECT mid, uid, vc, ch, ar, is_new, 's-' || CAST(event_id AS VARCHAR) AS sid, page_id, last_page_id, item, item_type,
+       during_time, ts_ms
+FROM page_log WHERE event_id % 53 <> 0
+""")
+
+register("page_topic_dirty", f"""
+WITH {PAGE_LOG}
+SELECT substr('{{"common":{{"mid":"' || mid || '",' || coalesce('"uid":"' || uid || '",', '') || '"vc":"' || vc || '"', 1, 30) AS value
+FROM page_log WHERE event_id % 53 = 0
+""")
+
+register("order_detail_topic_rows", f"""
+WITH {ORDER_DETAIL}
+SELECT * EXCLUDE (create_ms), strftime(epoch_ms(ts_ms), '%Y-%m-%d %H:%M:%S') AS et FROM detail
+""")
+
+register("camel_case_columns", """
+SELECT c_custkey AS "cCustkey", c_name AS "cName", c_mktsegment AS "cMktsegment" FROM customer
+""")
