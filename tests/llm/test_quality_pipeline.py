@@ -18,61 +18,80 @@ SF = "/root/testdata/sf0.01"
 
 
 class Brute:
-    """Interpolated modified Kneser-Ney bigrams, by the book."""
+    """Interpolated modified Kneser-Ney trigrams, by the book."""
 
     def __init__(self, texts):
-        two = Counter(p for t in texts for p in zip(t, t[1:]))
-        one = Counter(b for _, b in two)
+        three = Counter(g for t in texts for g in zip(t, t[1:], t[2:]))
+        two = Counter((b, c) for _, b, c in three) + Counter((t[0], t[1]) for t in texts)
+        one = Counter(c for _, c in two)
 
         def discounts(counts):
             n = [sum(v == k for v in counts.values()) for k in range(5)]
             y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
             d = [0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k] if n[k] else y * k, 0.05), k - 0.05) for k in (1, 2, 3)]
             return lambda c: d[min(c, 3)]
-        self.two, self.one, self.d1, self.d2 = two, one, discounts(one), discounts(two)
-        self.total, self.types = sum(one.values()), len(one)
+        self.one, self.d1, self.total, self.types = one, discounts(one), sum(one.values()), len(one)
         self.rest1 = sum(map(self.d1, one.values())) / self.total
-        self.n, self.rest = Counter(), defaultdict(float)
-        for (a, _), c in two.items():
-            self.n[a] += c
-            self.rest[a] += self.d2(c)
-
-    def p(self, a, b):
-        low = self.rest1 / (self.types + 1)
-        if b in self.one:
-            low += (self.one[b] - self.d1(self.one[b])) / self.total
-        if a not in self.n:
+        self.orders = []
+        for counts in (two, three):
+            n, rest, d = Counter(), defaultdict(float), discounts(counts)
+            for g, c in counts.items():
+                n[g[:-1]] += c
+                rest[g[:-1]] += d(c)
+            self.orders.append((counts, n, rest, d))
+
+    def p(self, before, w):
+        """Probability of ``w`` after the words ``before`` (two at most)."""
+        if not before:
+            return self.rest1 / (self.types + 1) + ((self.one[w] - self.d1(self.one[w])) / self.total if w in self.one else 0)
+        low = self.p(before[1:], w)
+        counts, n, rest, d = self.orders[len(before) - 1]
+        if before not in n:
             return low
-        c = self.two[a, b]
-        return ((c - self.d2(c)) if c else 0) / self.n[a] + self.rest[a] / self.n[a] * low
+        c = counts[(*before, w)]
+        return ((c - d(c)) if c else 0) / n[before] + rest[before] / n[before] * low
 
     def perplexity(self, t):
-        return 10 ** (-sum(math.log10(self.p(a, b)) for a, b in zip(t, t[1:])) / (len(t) - 1))
+        return 10 ** (-sum(math.log10(self.p(tuple(t[max(0, i - 2):i]), t[i])) for i in range(1, len(t))) / (len(t) - 1))
 
 
 def tokens(t):
     return [quality.BEGIN, *re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()), quality.FINISH]
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_perplexity_matches_brute_force(spark, broadcast):
+@pytest.mark.parametrize("posting, group_chars", [(quality.POSTING, quality.GROUP_CHARS), (50, 300)])
+def test_perplexity_matches_brute_force(spark, monkeypatch, posting, group_chars):
+    """Also with texts cut into many postings and groups."""
     prepare(spark)
+    monkeypatch.setattr(quality, "GROUP_CHARS", group_chars)
+    monkeypatch.setattr(quality, "POSTING", posting)
+    task = quality._count
+
+    def small(groups):
+        assert groups > 5 or group_chars > 300
+        inner = task(groups)
+
+        def run(batches):
+            quality.POSTING = posting  # in the worker
+            yield from inner(batches)
+        return run
+    monkeypatch.setattr(quality, "_count", small)
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(30)] + ["É", "A"]
     texts = [" ".join(rng.choice(vocab[:rng.randrange(2, 32)]) for _ in range(rng.randrange(1, 40))) for _ in range(60)]
-    train, test = texts[:40], [*texts[40:], None, "", "new words only", texts[0], texts[0]]
+    train, test = texts[:40], [*texts[40:], None, "", "new words only", texts[0], texts[0], "w1 " * 400]
     t = spark.createDataFrame([(i, tokens(x)) for i, x in enumerate(train)], "doc_id long, words array<string>")
     d = spark.createDataFrame([(i, x, None) for i, x in enumerate(test)] + [(0, test[0], None)], "doc_id long, text string, lang string")
     table, unknown = quality.model(t)
-    finish = table.where(F.col("gram") == quality._gram(F.lit(quality.FINISH))).first()["value"]
     brute = Brute([tokens(x) for x in train])
-    got = {r.doc_id: r for r in quality.perplexities(d, table, unknown, broadcast).collect()}
+    got = {r.doc_id: r for r in quality.perplexities(d, table).collect()}
+    assert len(got) == len(test)
     for i, x in enumerate(test):
         r = got[i]
-        assert r.n_tokens == len(tokens(x)) - 1 and r.copies == (2 if i == 0 else 1)
-        assert 10 ** (-(r.v + r.copies * finish + r.n * unknown) / r.n) == pytest.approx(brute.perplexity(tokens(x)))
-    # probabilities after any word sum to 1, the unknown word's included
-    for a in ("w0", "w1", "never"):
+        assert r.n_tokens == len(tokens(x)) - 1 and r.copies == (2 if i == 0 else 1) and r.n == r.n_tokens * r.copies
+        assert 10 ** (-(r.v + r.n * unknown) / r.n) == pytest.approx(brute.perplexity(tokens(x)))
+    # probabilities after any words sum to 1, the unknown word's included
+    for a in (("w0",), ("w1", "w0"), ("never", "w0"), (quality.BEGIN, "w1")):
         assert sum(brute.p(a, b) for b in brute.one) + brute.p(a, "never") == pytest.approx(1)
 
 
