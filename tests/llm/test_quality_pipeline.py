@@ -67,9 +67,9 @@ def test_perplexity_matches_brute_force(spark, monkeypatch, posting, group_chars
     monkeypatch.setattr(quality, "POSTING", posting)
     task = quality._count
 
-    def small(groups):
+    def small(groups, known):
         assert groups > 5 or group_chars > 300
-        inner = task(groups)
+        inner = task(groups, known)
 
         def run(batches):
             quality.POSTING = posting  # in the worker
