@@ -72,7 +72,7 @@ def test_perplexity_matches_brute_force(spark, monkeypatch, posting, group_chars
         inner = task(groups, known)
 
         def run(batches):
-            quality.POSTING = posting  # in the worker
+            quality.POSTING, quality.WORDS = posting, 7 if posting < 100 else 1 << 17  # in the worker
             yield from inner(batches)
         return run
     monkeypatch.setattr(quality, "_count", small)
