@@ -189,3 +189,14 @@ def test_cut_edges(spark):
     assert counts == {"a": 1, "b😀c": 1, "x": 1}  # equally loose: the larger squares win
     long = spark.createDataFrame([("ab" * 20_000,)], "run string")
     assert segment.segment_runs(long, d).first().pieces == ["ab"] * 20_000
+
+
+def test_sides_are_merged_in_one_exchange(spark):
+    """The fold per time, the walk and the look ahead share one exchange by key; several rows of a time are folded."""
+    main = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 2, "y"), ("a", 5, 1, "z"), ("b", 3, 1, "w")], "k string, ts_ms long, no long, v string")
+    side = spark.createDataFrame([("a", 0, "p"), ("a", 3, "q"), ("a", 3, "r"), ("b", 9, "s"), ("c", 1, "t")], "k string, ts_ms long, u string")
+    out = versions.merged(main, {"side": side}, "k").select("k", "valid_from", "valid_to", "main.v", "side.u")
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[:2]) == [
+        ("a", 1, 3, "y", "p"), ("a", 3, 5, "y", "r"), ("a", 5, None, "z", "r"), ("b", 3, 9, "w", None), ("b", 9, None, "w", "s")]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1
