@@ -91,3 +91,18 @@ def test_queries_plan_without_running_jobs(spark):
         # reading a Parquet file's footer for its schema is Spark's own job
         assert len(jobs) <= 12, (name, jobs)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_feed_maps_are_not_built_for_a_fact(spark):
+    """Replays repeat rows, not records: the fact takes its columns from the row, and no detail's map of texts is made."""
+    from martflow.plans.catalog import QUERIES
+    assert "map(id, " not in plan(QUERIES["order_dedup_latest"](spark, "/root/testdata/sf0.001"))
+
+
+def test_topic_text_is_parsed_once(spark):
+    from martflow.sources.cdc import parse_cdc
+    text = spark.createDataFrame([('{"after":{"id":"1"},"op":"c","ts_ms":5}',), ("{cut",), ('{"op":"bootstrap-start"}',), (None,)], "value string")
+    good, bad = parse_cdc(text.repartition(2))
+    rows = good.where("op = 'c' and ts_ms > 1 and after['id'] is not null")
+    assert plan(rows).count("from_json(") == 1
+    assert [r.after for r in rows.collect()] == [{"id": "1"}] and [r.value for r in bad.collect()] == ["{cut"]
