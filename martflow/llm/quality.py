@@ -1,7 +1,8 @@
 """Quality classifier: interpolated modified Kneser-Ney word n-grams.
 
-Trained on a bounded sample of trusted texts (``Sample``: at most ``rows``
-texts, one of an id, with at most ``words`` words together, chosen by a hash of the id). All
+Trained on every trusted text but those kept back (below), repeated rows once. A
+``Sample`` bounds that on demand (at most ``rows`` texts, one of an id, with at
+most ``words`` words together, chosen by a hash of the id). All
 counts are Spark aggregations and joins: bigram counts, continuation counts,
 context totals, and the three discounts of each order from its counts of
 counts.
@@ -18,10 +19,10 @@ sum of one number per n-gram that it holds. Scoring is therefore one count
 join: all n-grams of all texts against one table of n-gram values, summed by
 text, and the perplexity is 10 ** (-sum / tokens), the end being a token.
 
-The table has at most 2 * words + 2 * rows entries of 16 bytes, whatever the
-corpus; within that bound the join is a broadcast one by default, since a sharded
-one shuffles two rows for each word of the corpus. With ``broadcast=False`` the
-same join is sharded by n-gram.
+The table grows with the trusted texts, so the join is sharded by n-gram unless
+Spark's byte statistics call the table small; ``broadcast=True`` sends it whole
+(for a model of a ``Sample``). What is shuffled of a text is two numbers for
+each of its n-grams.
 
 A text is rejected if its perplexity is above the ``quantile`` of its language,
 taken over all trusted texts that the model wasn't trained on (over the
@@ -76,11 +77,18 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
         .where("q = 1 and coalesce(t, 0) = 0 and n = m").select("doc_id")
 
 
-def training_texts(docs: DataFrame, trusted: DataFrame, sample: Sample) -> DataFrame:
-    """(doc_id, words) of the sample."""
+def trained_on() -> Column:
+    """Whether the texts of a trusted id train the model (the others judge it)."""
+    return F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(KEPT_BACK)) != 0
+
+
+def training_texts(docs: DataFrame, trusted: DataFrame, sample: Sample | None = None) -> DataFrame:
+    """(doc_id, words) of every text of the trusted ids that train, or of the sample."""
+    if sample is None:
+        return docs.select("doc_id", "text").join(trusted.where(trained_on()), "doc_id", "left_semi").distinct() \
+            .select("doc_id", _words("text").alias("words"))
     order = F.xxhash64(F.lit(5), "doc_id")
-    open_ = F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(KEPT_BACK)) != 0
-    chosen = trusted.where(open_).select("doc_id", order.alias("h")).orderBy("h", "doc_id").limit(sample.rows)
+    chosen = trusted.where(trained_on()).select("doc_id", order.alias("h")).orderBy("h", "doc_id").limit(sample.rows)
     rows = docs.join(F.broadcast(chosen), "doc_id")  # sample.rows ids
     # of an id's rows the one with the smallest text hash, so that rows are bounded like ids
     texts = written(rows.select("doc_id", F.struct(F.xxhash64("text").alias("key"), "h", _words("text").alias("words")).alias("r"))
@@ -132,22 +140,22 @@ def model(texts: DataFrame) -> tuple[DataFrame, float]:
     return written(gains.unionByName(words)), math.log10(unknown)
 
 
-def perplexities(docs: DataFrame, table: DataFrame, unknown: float, broadcast: bool = True) -> DataFrame:
+def perplexities(docs: DataFrame, table: DataFrame, unknown: float, broadcast: bool = False) -> DataFrame:
     """(doc_id, text_key, lang, copies, n_tokens, perplexity) of the distinct
     (id, text, language) rows of ``docs``."""
     w = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "lang", _words("text").alias("words"))
-    rows = w.select("doc_id", "text_key", "lang", F.explode(_pairs("words")).alias("p")).select(
-        "doc_id", "text_key", "lang", (F.col("p.b") == FINISH).cast("int").alias("last"),
-        # a pair stands for itself and for its first word as context and follower
-        F.explode(F.array(_gram("p.a"), _gram("p.a", "p.b"))).alias("gram"))
+    ref = F.xxhash64("doc_id", "text_key", "lang").alias("ref")
+    texts = w.groupBy("doc_id", "text_key", "lang").agg(F.count(F.lit(1)).alias("copies"), F.max(F.size("words") - 1).cast("long").alias("n_tokens"))
+    # a pair stands for itself and for its first word as context and follower
+    rows = w.select(ref, F.explode(_pairs("words")).alias("p")).select("ref", F.explode(F.array(_gram("p.a"), _gram("p.a", "p.b"))).alias("gram"))
     table = F.broadcast(table) if broadcast else table
-    value = rows.join(table, "gram", "left").groupBy("doc_id", "text_key", "lang").agg(
-        (F.sum("last") / 2).cast("long").alias("copies"), (F.count(F.lit(1)) / 2).cast("long").alias("n"), F.sum(F.coalesce("value", F.lit(0.0))).alias("v"))
-    return value.withColumn("n_tokens", (F.col("n") / F.col("copies")).cast("long"))
+    value = rows.join(table, "gram").groupBy("ref").agg(F.sum("value").alias("v"))
+    return texts.withColumn("ref", ref).join(value, "ref", "left") \
+        .select("doc_id", "text_key", "lang", "copies", (F.col("n_tokens") * F.col("copies")).alias("n"), F.coalesce("v", F.lit(0.0)).alias("v"), "n_tokens")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, sample: Sample = Sample(), doc_id: str = "doc_id",
-             text: str = "text", lang: str = "lang", broadcast: bool = True) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, sample: Sample | None = None, doc_id: str = "doc_id",
+             text: str = "text", lang: str = "lang", broadcast: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, lang, n_tokens,
     perplexity, threshold, kept."""
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang"))
@@ -159,7 +167,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, sample
     scored = written(found.withColumn(
         # the end is a follower in each copy and never a context, so it has no pair of its own
         "perplexity", F.pow(F.lit(10.0), -(F.col("v") + F.col("copies") * F.lit(finish) + F.col("n") * F.lit(unknown)) / F.col("n"))).drop("v", "n"))
-    judged = scored.join(trusted, "doc_id").join(texts.select("doc_id").distinct(), "doc_id", "left_anti")
+    judged = scored.join(trusted, "doc_id")
+    judged = judged.where(~trained_on()) if sample is None else judged.join(texts.select("doc_id").distinct(), "doc_id", "left_anti")
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(100_000))
     limits = judged.groupBy("lang").agg(at.alias("limit")).select(F.col("lang").alias("of"), "limit")
     overall = judged.agg(at.alias("any")).first()["any"]

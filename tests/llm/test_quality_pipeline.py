@@ -98,6 +98,22 @@ def test_training_sample_is_bounded_in_rows(spark):
     assert 0 < sum(len(r.words) for r in few) <= 20
 
 
+def test_every_trusted_text_trains(spark):
+    """More trusted texts than a sample holds: all of the training ids count, repeated rows once."""
+    prepare(spark)
+    docs = spark.range(6000).selectExpr("id as doc_id", "concat('word', id) as text", "'en' as lang")
+    docs = docs.unionByName(docs.where("doc_id < 50")).unionByName(spark.createDataFrame([(0, "other text", "en"), (1, "other text", "en"), (2, "other text", "en")], docs.schema))
+    trusted = spark.range(6000).withColumnRenamed("id", "doc_id")
+    train = {r.doc_id for r in trusted.where(quality.trained_on()).collect()}
+    got = Counter((r.doc_id, r.words[1]) for r in quality.training_texts(docs, trusted).collect())
+    assert 4000 < len(train) < 6000
+    assert got == Counter([(i, f"word{i}") for i in train] + [(i, "other") for i in (0, 1, 2) if i in train])
+    table, unknown = quality.model(quality.training_texts(docs, trusted))
+    seen = {r.gram for r in table.collect()}
+    grams = {r.doc_id: r.g for r in docs.select("doc_id", quality._gram(F.lower("text")).alias("g")).where("text like 'word%'").collect()}
+    assert {i for i, g in grams.items() if g in seen} == train
+
+
 def test_classifier_edges(spark):
     prepare(spark)
     docs = spark.createDataFrame([(1, "a b c", "en", "x"), (1, "a b c", "en", "x"), (2, None, None, "x"), (None, "d", "en", "x"), (3, "", "fr", "x"),

@@ -106,3 +106,15 @@ def test_topic_text_is_parsed_once(spark):
     rows = good.where("op = 'c' and ts_ms > 1 and after['id'] is not null")
     assert plan(rows).count("from_json(") == 1
     assert [r.after for r in rows.collect()] == [{"id": "1"}] and [r.value for r in bad.collect()] == ["{cut"]
+
+
+def test_retraction_and_holds_send_a_row_once(spark):
+    """A row's order is no second copy of it in the retraction's joins, and holds need one exchange by key."""
+    def ran(x):
+        x.collect()
+        return x._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+
+    df = hot(spark, 3000)
+    assert ran(state.hold_and_flush(df.select("k", "seq", "v"), "k", "seq", ["v"], 10)).count("Exchange hashpartitioning") == 1
+    p = plan(state.retract_duplicates(df, "k", ["seq"], ["v"]))
+    assert not any("__me" in line or "struct(__o0" in line for line in p.split("\n") if "HashAggregate(keys=[k" in line and "count(1)" in line)
