@@ -160,7 +160,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, sample
     perplexity, threshold, kept."""
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang"))
     trusted = trusted_ids(labels.select("doc_id", "quality", "toxic"))
-    texts = written(training_texts(src, trusted, sample))
+    texts = training_texts(src, trusted, sample)  # read once where all train, small where sampled
     table, unknown = model(texts)
     finish = table.where(F.col("gram") == _gram(F.lit(FINISH))).agg(F.sum("value")).first()[0] or 0.0
     found = perplexities(src, table, unknown, broadcast)
