@@ -9,6 +9,9 @@ tokenizes every whole text once and cuts the stream of ids into sequences of
 exactly ``length`` ids. Only the last sequence of a partition is shorter, so
 padding is below one sequence per partition.
 
+Where the ranges begin is taken from the keys of some documents (``PLACED``),
+which only decides how even they are; all documents are keyed once and packed.
+
 Defined results: a null or empty text is just the end id; repeated rows are
 packed each for itself; an empty table gives an empty table; other columns are
 ignored.
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,11 @@ WIDTH = 64
 DIMS = 3
 BITS = 16
 
+#: Documents whose keys place the ranges, about; bytes of text of a range while
+#: there are fewer than the session's shuffle partitions, and at most.
+PLACED = 20_000
+RANGE_BYTES, MOST_BYTES = 8 << 20, 64 << 20
+
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
     """Position on the Hilbert curve of each row of integer coordinates
@@ -82,12 +91,48 @@ def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return hilbert_key(np.clip((x + 3) / 6 * top, 0, top).astype(np.int64), BITS)
 
 
-def _keys(batches):
+def _keyed(batches):
+    """(batch, key, crc, size) of the texts' batches (doc_id, text)."""
     for b in batches:
         data, offsets = raw(b.column(1))
         key = np.concatenate([np.zeros(0, np.int64), *(curve_keys(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in slices(offsets))])
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([zlib.crc32(data[a:z]) for a, z in zip(offsets[:-1], offsets[1:])], pa.int64()),
-                                          b.column(1), pa.array(key, pa.int64())], names=["doc_id", "crc", "text", "key"])
+        yield b, key, [zlib.crc32(data[a:z]) for a, z in zip(offsets[:-1], offsets[1:])], np.diff(offsets)
+
+
+def _place(key: int, doc_id, crc: int) -> tuple:
+    """What documents are ordered by, null ids first."""
+    return key, doc_id is not None, doc_id, crc
+
+
+def range_bounds(src: DataFrame, partitions: int | None = None) -> list[tuple]:
+    """First places of all ranges but the first, from about ``PLACED`` rows of
+    (doc_id, text): ranges of equal bytes, as many as ``partitions`` or as the
+    bytes ask for."""
+    def task(batches):
+        for b, key, crc, size in _keyed(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(crc, pa.int64()), pa.array(key, pa.int64()), pa.array(size, pa.int64())],
+                                             names=["doc_id", "crc", "key", "size"])
+
+    share = min(1.0, PLACED / max(1, src.count()))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    some = src.sample(share, seed=77) if share < 1 else src
+    rows = sorted((*_place(r["key"], r["doc_id"], r["crc"]), r["size"] + 16)
+                  for r in some.mapInArrow(task, f"doc_id {kind}, crc long, key long, size long").collect())  # PLACED narrow rows
+    upto = np.cumsum([r[-1] for r in rows])
+    total = upto[-1] / share if rows else 0
+    shuffle = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(1, int(min(total // RANGE_BYTES, max(shuffle, total // MOST_BYTES))))
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, n) / n, side="right") if rows else []
+    return [rows[i][:-1] for i in sorted(set(at))]
+
+
+def _ranged(bounds: list[tuple]):
+    def task(batches):
+        for b, key, crc, _ in _keyed(batches):
+            part = [bisect_right(bounds, _place(*place)) for place in zip(key.tolist(), b.column(0).to_pylist(), crc)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(crc, pa.int64()), b.column(1), pa.array(key, pa.int64()), pa.array(part, pa.int32())],
+                                             names=["doc_id", "crc", "text", "key", "part"])
+    return task
 
 
 # -- tokenizing -----------------------------------------------------------------
@@ -111,6 +156,7 @@ class Encoder:
     """
 
     PROBE = "It's  the\tfirst 1234 -- naïve Ünïcödé \u3000 日本 \U0001F600\n\n <|endoftext|> x"
+    NEVER = "\x00<|packing|>\x00"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -130,13 +176,14 @@ class Encoder:
         ranks = {bytes(names[c] for c in t): i for t, i in vocab.items() if t not in special}
         if sorted(ranks.values()) != list(range(len(ranks))):
             return None
-        fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        same = fast.encode_ordinary(self.PROBE) == self.tokenizer.encode(self.PROBE, add_special_tokens=False).ids
+        # encode_to_numpy looks for special tokens' strings, so there is one; in a text it is ordinary text
+        fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={self.NEVER: len(ranks)})
+        same = fast.encode_to_numpy(self.PROBE, disallowed_special=()).tolist() == self.tokenizer.encode(self.PROBE, add_special_tokens=False).ids
         return fast if same else None
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.fast is not None:
-            return [np.asarray(self.fast.encode_ordinary(t), dtype=np.uint32) for t in texts]
+            return [self.fast.encode_to_numpy(t, disallowed_special=()) for t in texts]
         return [np.asarray(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
@@ -190,9 +237,9 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     fields = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])]
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    keyed = src.mapInArrow(_keys, f"doc_id {kind}, crc long, text string, key long")
-    by = ["key", "doc_id", "crc"]
-    sorted_ = (keyed.repartitionByRange(partitions, *by) if partitions else keyed.repartitionByRange(*by)).sortWithinPartitions(*by)
+    bounds = range_bounds(src, partitions)
+    keyed = src.mapInArrow(_ranged(bounds), f"doc_id {kind}, crc long, text string, key long, part int")
+    sorted_ = keyed.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("key", "doc_id", "crc")
     return sorted_.select("doc_id", "text").mapInArrow(
         cut, f"doc_id {kind}, " + ", ".join(f"`{f}` {'array<int>' if f == 'ids' else 'long'}" for f in fields[1:]))
 

@@ -228,6 +228,19 @@ def test_packing_matches_plain_tokenizing(spark, docs):
         assert short <= 3
 
 
+def test_packing_keys_each_document_once(spark, docs):
+    """No range partitioning, whose sampling would key all texts a first time;
+    copies of a text fill several ranges; a special token's string is text."""
+    copies = spark.range(40).select(F.when(F.col("id") != 7, F.col("id")).alias("doc_id"),
+                                     F.lit(f"same words {packing.Encoder.NEVER} <|endoftext|> again").alias("text"))
+    assert "rangepartitioning" not in packing.pack(copies, queries.TOKENIZER, partitions=4)._jdf.queryExecution().executedPlan().toString()
+    assert len(packing.range_bounds(copies, 4)) == 3 and not packing.range_bounds(copies) and not packing.range_bounds(copies.limit(0), 4)
+    out = packing.pack(copies, queries.TOKENIZER, partitions=4).collect()
+    check_packing(copies, out, 1024)
+    by_range = Counter(r.sequence_id >> 32 for r in out if r.start == 0)
+    assert len(by_range) == 4 and max(by_range.values()) < 15
+
+
 def test_hilbert_is_a_curve():
     side = 8
     grid = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])
