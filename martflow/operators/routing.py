@@ -59,7 +59,12 @@ def dim_cells(routed: DataFrame) -> DataFrame:
     """The fold state: per (sink_table, row_key, k) the newest non-empty
     ``m = (s, v)``, s being (time, log position); ``k = '__last'`` holds the row's last change time and
     ``k = '__del'`` its last delete. States of different batches merge with
-    :func:`merge_cells` (the same max), whatever order changes arrive in."""
+    :func:`merge_cells` (the same max), whatever order changes arrive in.
+
+    Changes are dealt out before they become cells, several each: a file of
+    many short rows is one task's, whose partial max would sort the cells of all
+    of them. (Their time is part of the key, so a hot row's changes are spread.)
+    """
     nonempty = lambda v: v.isNotNull() & (v != "")
     cells = F.filter(
         F.transform(F.map_entries(F.when(F.col("op") != "d", F.col("data"))),
@@ -70,7 +75,8 @@ def dim_cells(routed: DataFrame) -> DataFrame:
         F.when(F.col("op") == "d", F.struct(F.lit("__del").alias("k"), F.lit(None).cast("string").alias("v"))))
     entries = F.concat(F.coalesce(cells, F.array().cast("array<struct<k:string,v:string>>")), markers)
     seq = F.struct(F.col("ts_ms").alias("ts"), F.coalesce("pos", F.lit(0)).cast("bigint").alias("pos"))
-    x = routed.select("sink_table", "row_key", seq.alias("s"), F.explode(entries).alias("e")).where(F.col("e").isNotNull())
+    dealt = routed.repartition("sink_table", "row_key", "ts_ms", "pos")
+    x = dealt.select("sink_table", "row_key", seq.alias("s"), F.explode(entries).alias("e")).where(F.col("e").isNotNull())
     return x.groupBy("sink_table", "row_key", F.col("e.k").alias("k")) \
             .agg(F.max(F.struct("s", F.col("e.v").alias("v"))).alias("m"))
 

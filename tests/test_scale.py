@@ -4,7 +4,7 @@ big side of the traffic job is never shuffled row by row."""
 
 from pyspark.sql import functions as F
 
-from martflow.operators import state, windows
+from martflow.operators import routing, state, windows
 from martflow.sources import retail
 from martflow.sources.tables import Tables
 
@@ -118,3 +118,25 @@ def test_retraction_and_holds_send_a_row_once(spark):
     assert ran(state.hold_and_flush(df.select("k", "seq", "v"), "k", "seq", ["v"], 10)).count("Exchange hashpartitioning") == 1
     p = plan(state.retract_duplicates(df, "k", ["seq"], ["v"]))
     assert not any("__me" in line or "struct(__o0" in line for line in p.split("\n") if "HashAggregate(keys=[k" in line and "count(1)" in line)
+
+
+def test_routed_changes_are_dealt_out_before_they_become_cells(spark):
+    """The rows of a file are spread by change before each becomes several
+    cells, also those of a hot row key, and the fold is as before."""
+    n = 3000
+    routed = spark.range(n, numPartitions=1).select(
+        F.lit("dim").alias("sink_table"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("row_key"),
+        F.lit("u").alias("op"), F.col("id").alias("ts_ms"), F.lit(0).cast("bigint").alias("pos"),
+        F.create_map(F.lit("a"), F.col("id").cast("string"), F.lit("b"), F.when(F.col("id") < 9, "early")).alias("data"))
+    cells = routing.dim_cells(routed)
+    p = plan(cells)
+    assert p.index("Generate explode") < p.index("REPARTITION_BY_COL") and "partial_max" in p
+    dealt = routed.repartition("sink_table", "row_key", "ts_ms", "pos").withColumn("p", F.spark_partition_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert dealt.where("row_key = 'hot'").select("p").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = {(r.row_key, r.column): r.value for r in routing.dim_rows(cells).collect()}
+    assert got[("hot", "a")] == str(n - 3) and got[("hot", "b")] == "early" and got[("7", "b")] == "early"
+    assert len(got) == 1 + n - n // 3 + 1 + 6
