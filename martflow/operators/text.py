@@ -72,12 +72,12 @@ def search_keywords(searches: DataFrame, texts: DataFrame, ref: str = "item", ke
 
 
 def searched_texts(searches: DataFrame, texts: DataFrame, ref: str = "item", key: str = "doc_id",
-                   text: str = "text") -> DataFrame:
+                   text: str = "text", tasks: int | None = None) -> DataFrame:
     """(ref, keyword, cnt) of the texts that a search refers to; only those are
-    tokenised."""
+    tokenised, in ``tasks`` tasks by ref if given."""
     asked = searches.select(F.col(ref).alias("ref")).distinct()
     t = texts.select(F.col(key).cast("string").alias("ref"), text).join(asked, "ref", "left_semi")
-    return keyword_counts_per_text(t, "ref", text)
+    return keyword_counts_per_text(t.repartition(tasks, "ref") if tasks else t, "ref", text)
 
 
 # --------------------------------------------------------------------------

@@ -155,15 +155,30 @@ def keyword_counts(keywords: DataFrame, size: str = "1 second", ts: str = "et")
     return decorate_window(g, with_edt=False)
 
 
-def searched_keyword_counts(searches: DataFrame, per_text: DataFrame, size: str = "1 second", ts: str = "ts",
-                            ref: str = "item") -> DataFrame:
-    """A7 from the searches and the keyword counts of the texts they refer to
-    (ref, keyword, cnt): searches are counted per (window, text) before the
-    join fans out to a text's keywords, so a text searched often in a window
-    is joined once."""
-    s = tumble(searches.select(F.col(ts).alias("et"), F.col(ref).alias("ref")), "et", size) \
+#: (window, text) pairs of a task that gives each of them its text's keywords.
+SPREAD_SEARCHES = 4096
+
+
+def windowed_searches(searches: DataFrame, size: str = "1 second", ts: str = "ts", ref: str = "item") -> DataFrame:
+    """(window, ref, n): searches counted per window and text."""
+    return tumble(searches.select(F.col(ts).alias("et"), F.col(ref).alias("ref")), "et", size) \
         .groupBy(WIN, "ref").agg(F.count(F.lit(1)).alias("n"))
-    k = s.join(per_text, "ref").groupBy(WIN, "keyword") \
+
+
+def search_tasks(asked: DataFrame) -> int:
+    """Tasks for the join of ``windowed_searches`` with the texts' keywords. Its
+    result is hundreds of times its input, so tasks sized by input bytes would
+    hold more and more counts as searches grow."""
+    return max(1, -(-asked.count() // SPREAD_SEARCHES))
+
+
+def searched_keyword_counts(asked: DataFrame, per_text: DataFrame, tasks: int) -> DataFrame:
+    """A7 from the windowed searches (window, ref, n) and the keyword counts of
+    the texts they refer to (ref, keyword, cnt): searches are counted per
+    (window, text) before the join fans out to a text's keywords, so a text
+    searched often in a window is joined once. ``tasks``: :func:`search_tasks`;
+    ``per_text`` partitioned alike (``text.searched_texts``) is joined as it is."""
+    k = asked.repartition(tasks, "ref").join(per_text, "ref").groupBy(WIN, "keyword") \
         .agg(F.sum(F.col("n") * F.col("cnt")).cast("bigint").alias("keyword_count"))
     return decorate_window(k, with_edt=False)
 

@@ -217,7 +217,9 @@ def q_cart_uu_1d(spark, sf_dir):
 
 def _keyword_window(t, size):
     searches = text.search_rows(retail.page_log(t))
-    return windows.searched_keyword_counts(searches, text.searched_texts(searches, t.documents), size)
+    asked = windows.windowed_searches(searches, size)
+    tasks = windows.search_tasks(asked)
+    return windows.searched_keyword_counts(asked, text.searched_texts(searches, t.documents, tasks=tasks), tasks)
 
 
 @query("keyword_window")

@@ -4,7 +4,7 @@ big side of the traffic job is never shuffled row by row."""
 
 from pyspark.sql import functions as F
 
-from martflow.operators import routing, state, windows
+from martflow.operators import routing, state, text, windows
 from martflow.sources import retail
 from martflow.sources.tables import Tables
 
@@ -140,3 +140,20 @@ def test_routed_changes_are_dealt_out_before_they_become_cells(spark):
     got = {(r.row_key, r.column): r.value for r in routing.dim_rows(cells).collect()}
     assert got[("hot", "a")] == str(n - 3) and got[("hot", "b")] == "early" and got[("7", "b")] == "early"
     assert len(got) == 1 + n - n // 3 + 1 + 6
+
+
+def test_keyword_join_has_tasks_by_its_searches(spark, monkeypatch):
+    """The join that gives each searched text its keywords is cut by the number
+    of searches, not by its input's bytes, and counts are as before."""
+    searches = spark.range(900).select(F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 450).alias("ts"),
+                                       (F.col("id") % 30).cast("string").alias("item"))
+    texts = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("one one w"), F.col("id").cast("string")).alias("text"))
+    monkeypatch.setattr(windows, "SPREAD_SEARCHES", 100)
+    asked = windows.windowed_searches(searches, "1 second")
+    tasks = windows.search_tasks(asked)
+    assert tasks == 5 and windows.search_tasks(asked.limit(0)) == 1  # 450 pairs, each twice
+    out = windows.searched_keyword_counts(asked, text.searched_texts(searches, texts, tasks=tasks), tasks)
+    p = plan(out)
+    assert p.count("hashpartitioning(ref") >= 2 and "ref#" in p and ", 5), REPARTITION_BY_NUM" in p
+    got = {(r.stt, r.keyword): r.keyword_count for r in out.collect()}
+    assert len(got) == 900 and got[("2024-01-01 00:00:00", "one")] == 4 and got[("2024-01-01 00:00:00", "w0")] == 2
