@@ -45,14 +45,22 @@ def cart_add_rows(ods: DataFrame) -> DataFrame:
 # order detail (J1 + J2)
 # --------------------------------------------------------------------------
 
+#: Texts of a detail record that the fact row lacks and its order needs; the
+#: fact's own ``split_original_amount`` is computed.
+ORDER_TEXTS = ("source_id", "split_original_amount")
+
+
+def _order_of(field) -> list[Column]:
+    return [field("ts_ms"), field("sku_id").try_cast("bigint"), field("source_id").try_cast("bigint"),
+            field("split_original_amount").try_cast("decimal(20,4)"), field("sku_num").try_cast("decimal(20,4)"),
+            field("split_activity_amount").try_cast("decimal(20,4)"),
+            field("split_coupon_amount").try_cast("decimal(20,4)")]
+
+
 def detail_order(after: str = "after") -> list[Column]:
     """Default replay order of order_detail records: change time, then the
     line's own values (sku, supplier, amounts) as numbers."""
-    a = F.col(after)
-    return [F.col("ts_ms"), a["sku_id"].try_cast("bigint"), a["source_id"].try_cast("bigint"),
-            a["split_original_amount"].try_cast("decimal(20,4)"), a["sku_num"].try_cast("decimal(20,4)"),
-            a["split_activity_amount"].try_cast("decimal(20,4)"),
-            a["split_coupon_amount"].try_cast("decimal(20,4)")]
+    return _order_of(lambda c: F.col(c) if c == "ts_ms" else F.col(after)[c])
 
 
 ORDER_DETAIL_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
@@ -61,9 +69,10 @@ ORDER_DETAIL_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "provinc
                      "split_total_amount", "ts_ms"]
 
 
-def _detail_rows(ods: DataFrame, order: Sequence[Column] | None) -> DataFrame:
+def _detail_rows(ods: DataFrame, order: Sequence[Column] | None, texts: bool = False) -> DataFrame:
     """order_detail inserts projected to fact columns, plus the replay order
-    as a struct ``replay_order``. ``split_original_amount`` is
+    as a struct ``replay_order`` (or, with ``texts``, only the texts that the
+    default order takes beside those columns, ``order_texts``). ``split_original_amount`` is
     ``sku_num * order_price`` in decimal(16,2) arithmetic."""
     od = cdc.select_changes(ods, "order_detail", "c").where(F.col("ts_ms").isNotNull())
     a = F.col("after")
@@ -77,6 +86,7 @@ def _detail_rows(ods: DataFrame, order: Sequence[Column] | None) -> DataFrame:
         a["split_activity_amount"].alias("split_activity_amount"),
         a["split_coupon_amount"].alias("split_coupon_amount"),
         F.col("ts_ms"),
+        F.struct(*[a[c].alias(c) for c in ORDER_TEXTS]).alias("order_texts") if texts else
         F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order or detail_order())]).alias("replay_order"))
 
 
@@ -112,21 +122,31 @@ def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None) ->
     a time).
 
     Plan: details, activities and coupons are keyed by the same id, so they
-    are one union folded by one aggregate (partial before the shuffle), which
-    does the left joins too; then one join to the folded orders.
+    are one union in one exchange by id, sorted once behind it and folded by one
+    aggregate, which does the left joins too; then one join to the folded orders.
+    Few ids have many versions, so a fold ahead of the exchange would sort
+    all rows a second time to send a few less; a hot id's rows are sorted, with
+    spill, and streamed. The default order is made of texts that are sent anyway
+    (and two more), behind the exchange.
     """
-    rows = _detail_rows(ods, order)
-    payload = [c for c in rows.columns if c not in ("id", "replay_order")]
-    kinds = {"d": rows.where(F.col("id").isNotNull()).select("id", F.struct("replay_order", *payload).alias("d"))}
+    rows = _detail_rows(ods, order, texts=order is None)
+    payload = [c for c in rows.columns if c not in ("id", "replay_order", "order_texts")]
+    sent = "order_texts" if order is None else "replay_order"
+    kinds = {"d": rows.where(F.col("id").isNotNull()).select("id", F.struct(sent, *payload).alias("d"))}
     kinds |= {t: _links(ods, t).withColumnRenamed("link", t).where(F.col("id").isNotNull()) for t in LINKS}
     union = None
     for name, df in kinds.items():
         union = df if union is None else union.unionByName(df, allowMissingColumns=True)
+    union = union.repartition("id")
+    if order is None:
+        d = F.col("d")
+        replay = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_order_of(lambda c: d["order_texts"][c] if c in ORDER_TEXTS else d[c]))])
+        union = union.withColumn("d", F.when(d.isNotNull(), F.struct(replay.alias("replay_order"), *[d[c].alias(c) for c in payload])))
     folded = union.groupBy("id").agg(*[F.max(k).alias(k) for k in kinds]).where(F.col("d").isNotNull())
     od = folded.select("id", *[F.col(f"d.{c}").alias(c) for c in payload],
                        *[F.col(f"{t}.{c}").alias(c) for t, cols in LINKS.items() for c in cols])
     # a detail without an id has no link and no other version
-    alone = rows.where(F.col("id").isNull()).drop("replay_order")
+    alone = rows.where(F.col("id").isNull()).drop(sent)
     od = od.unionByName(alone, allowMissingColumns=True)
     return _attach_orders(od, ods).select(*ORDER_DETAIL_COLS)
 

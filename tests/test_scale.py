@@ -4,8 +4,8 @@ big side of the traffic job is never shuffled row by row."""
 
 from pyspark.sql import functions as F
 
-from martflow.operators import routing, state, text, windows
-from martflow.sources import retail
+from martflow.operators import facts, routing, state, text, windows
+from martflow.sources import cdc, retail
 from martflow.sources.tables import Tables
 
 
@@ -157,3 +157,24 @@ def test_keyword_join_has_tasks_by_its_searches(spark, monkeypatch):
     assert p.count("hashpartitioning(ref") >= 2 and "ref#" in p and ", 5), REPARTITION_BY_NUM" in p
     got = {(r.stt, r.keyword): r.keyword_count for r in out.collect()}
     assert len(got) == 900 and got[("2024-01-01 00:00:00", "one")] == 4 and got[("2024-01-01 00:00:00", "w0")] == 2
+
+
+def test_detail_versions_meet_in_one_exchange(spark):
+    """Details and links cross one exchange by id, without a fold and its sort
+    ahead of it; the default order still compares numbers, of the record's own
+    texts, and a given order still counts."""
+    base = {"order_id": "o", "sku_id": "9", "source_id": "9", "sku_num": "1", "order_price": "5", "split_original_amount": "9.5",
+            "split_activity_amount": "0", "split_coupon_amount": "0", "split_total_amount": "first", "create_time": "0"}
+    rec = lambda table, after: (None, after, {"db": "d", "table": table}, "c", 1000, 0)
+    last = {"1": {"sku_id": "10"}, "2": {"source_id": "10"}, "3": {"split_original_amount": "10.5", "order_price": "4"}, "4": {"sku_num": "10", "order_price": "0.1"}}
+    rows = [rec("order_detail", base | {"id": k} | more) for k, new in last.items() for more in ({}, new | {"split_total_amount": "last"}, {})]
+    rows += [rec("order_detail", base), rec("order_detail", base), rec("order_info", {"id": "o", "user_id": "u", "province_id": "p"}),
+             rec("order_detail_coupon", {"order_detail_id": "1", "coupon_id": "7"}), rec("order_detail_coupon", {"order_detail_id": "8", "coupon_id": "7"})]
+    ods = spark.createDataFrame(rows, cdc.ENVELOPE)
+    out = facts.order_detail_fact(ods)
+    p = plan(out)
+    assert p.count("REPARTITION_BY_COL") == 1 and p.rindex("partial_max(d") < p.index("REPARTITION_BY_COL")
+    got = sorted(((r.id, r.split_total_amount, r.coupon_id, r.user_id) for r in out.collect()), key=str)
+    assert got == sorted([("1", "last", "7", "u"), *[(k, "last", None, "u") for k in "234"], (None, "first", None, "u"), (None, "first", None, "u")], key=str)
+    backwards = facts.order_detail_fact(ods, [-F.col("after")["sku_id"].try_cast("bigint"), F.col("ts_ms")])
+    assert backwards.where("id = '1'").first().split_total_amount == "first"
