@@ -19,10 +19,10 @@ sum of one number per n-gram that it holds. Scoring is therefore one count
 join: all n-grams of all texts against one table of n-gram values, summed by
 text, and the perplexity is 10 ** (-sum / tokens), the end being a token.
 
-The table grows with the trusted texts, so the join is sharded by n-gram unless
-Spark's byte statistics call the table small; ``broadcast=True`` sends it whole
-(for a model of a ``Sample``). What is shuffled of a text is two numbers for
-each of its n-grams.
+That is how a bounded model is used (``sample=``, or ``broadcast=True``). The model
+of all trusted texts grows with them, and two numbers for each n-gram of a text
+are several times the text, so there blocks of texts ask for their distinct
+n-grams' counts, packed (``bigrams``): the same sums of the same numbers.
 
 A text is rejected if its perplexity is above the ``quantile`` of its language,
 taken over all trusted texts that the model wasn't trained on (over the
@@ -44,6 +44,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import bigrams
 from .common import written
 
 BEGIN, FINISH = "\n<s>", "\n</s>"  # no word holds a line break
@@ -99,13 +100,15 @@ def training_texts(docs: DataFrame, trusted: DataFrame, sample: Sample | None =
     return texts.join(within, "doc_id").select("doc_id", "words")
 
 
-def _discounts(counts: DataFrame, c: str) -> tuple[list[float], list[int]]:
-    """Modified discounts of counts 1, 2 and 3 or more."""
-    n = {r["k"]: r["n"] for r in counts.groupBy(F.least(c, F.lit(5)).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n = [n.get(k, 0) for k in range(5)]
+def discounts(n: list[int]) -> list[float]:
+    """Modified discounts of counts 1, 2 and 3 or more; ``n``: how many counts are 0 to 4."""
     y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
-    d = [min(max(k - (k + 1) * y * n[k + 1] / n[k] if n[k] else y * k, 0.05), k - 0.05) for k in (1, 2, 3)]
-    return d, n
+    return [min(max(k - (k + 1) * y * n[k + 1] / n[k] if n[k] else y * k, 0.05), k - 0.05) for k in (1, 2, 3)]
+
+
+def _discounts(counts: DataFrame, c: str) -> list[float]:
+    n = {r["k"]: r["n"] for r in counts.groupBy(F.least(c, F.lit(5)).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return discounts([n.get(k, 0) for k in range(5)])
 
 
 def _discount(c: str, d: list[float]) -> Column:
@@ -125,8 +128,7 @@ def model(texts: DataFrame) -> tuple[DataFrame, float]:
     types, total = one.agg(F.count(F.lit(1)), F.sum("c")).first()
     if not types:
         return two.select(_gram("a").alias("gram"), F.lit(0.0).alias("value")), 0.0
-    d1, _ = _discounts(one, "c")
-    d2, _ = _discounts(two, "c")
+    d1, d2 = _discounts(one, "c"), _discounts(two, "c")
     left = one.agg(F.sum(_discount("c", d1))).first()[0] / total
     unknown = left / (types + 1)
     p1 = one.select("b", ((F.col("c") - _discount("c", d1)) / total + unknown).alias("p"))
@@ -160,13 +162,23 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, sample
     perplexity, threshold, kept."""
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang"))
     trusted = trusted_ids(labels.select("doc_id", "quality", "toxic"))
-    texts = training_texts(src, trusted, sample)  # read once where all train, small where sampled
-    table, unknown = model(texts)
-    finish = table.where(F.col("gram") == _gram(F.lit(FINISH))).agg(F.sum("value")).first()[0] or 0.0
-    found = perplexities(src, table, unknown, broadcast)
-    scored = written(found.withColumn(
-        # the end is a follower in each copy and never a context, so it has no pair of its own
-        "perplexity", F.pow(F.lit(10.0), -(F.col("v") + F.col("copies") * F.lit(finish) + F.col("n") * F.lit(unknown)) / F.col("n"))).drop("v", "n"))
+    if sample is None and not broadcast:
+        def trained(rows):
+            """One row of each text of the ids that train."""
+            return rows.join(trusted.where(trained_on()), "doc_id", "left_semi").groupBy("doc_id", "text_key") \
+                .agg(F.min(F.struct("block", "row")).alias("r")).select("r.block", "r.row")
+        lowered = src.select("doc_id", F.xxhash64("text").alias("text_key"), "lang", F.lower(F.coalesce("text", F.lit(""))).alias("text"))
+        scored = bigrams.log_probabilities(lowered, trained, discounts) \
+            .select("doc_id", "text_key", "lang", F.lit(1).alias("copies"), "n_tokens", F.pow(F.lit(10.0), -F.col("v") / F.col("n_tokens")).alias("perplexity"))
+        scored = written(scored)
+    else:
+        texts = training_texts(src, trusted, sample)  # read once where all train, small where sampled
+        table, unknown = model(texts)
+        finish = table.where(F.col("gram") == _gram(F.lit(FINISH))).agg(F.sum("value")).first()[0] or 0.0
+        found = perplexities(src, table, unknown, broadcast)
+        scored = written(found.withColumn(
+            # the end is a follower in each copy and never a context, so it has no pair of its own
+            "perplexity", F.pow(F.lit(10.0), -(F.col("v") + F.col("copies") * F.lit(finish) + F.col("n") * F.lit(unknown)) / F.col("n"))).drop("v", "n"))
     judged = scored.join(trusted, "doc_id")
     judged = judged.where(~trained_on()) if sample is None else judged.join(texts.select("doc_id").distinct(), "doc_id", "left_anti")
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(100_000))
