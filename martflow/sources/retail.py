@@ -123,16 +123,19 @@ def order_info_feed(t: Tables) -> DataFrame:
 
 
 def _lines(t: Tables) -> DataFrame:
-    """lineitem with its order's time and customer and the part's name/price."""
-    li = t.lineitem
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    """lineitem with the part's name/price and its order's time. The order comes
+    last and by its text (``order_id``), as records carry it: lines are then dealt
+    out by it, and a job that joins them to their orders moves none of them again."""
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
-    return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-              .join(p, li.l_partkey == p.p_partkey, "left"))
+    o = t.orders.select(_s("o_orderkey").alias("__order"), "o_orderdate")
+    li = t.lineitem.join(p, F.col("l_partkey") == F.col("p_partkey"), "left") \
+        .select(_s("l_orderkey").alias("order_id"), line_time_ms().alias("__ms"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                "l_extendedprice", "l_discount", "l_tax", "p_name", "p_retailprice")
+    return li.join(o, F.col("order_id") == F.col("__order"), "inner")
 
 
-def detail_id() -> F.Column:
-    return F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"))
+def detail_id(order: str = "l_orderkey") -> F.Column:
+    return F.concat(_s(order), F.lit("-"), _s("l_linenumber"))
 
 
 def line_time_ms() -> F.Column:
@@ -149,13 +152,13 @@ def order_detail_feed(t: Tables) -> DataFrame:
     activity = original * _dec("l_discount")
     coupon = original * _dec("l_tax")
     # the texts of a line are made once, ahead of the repeat
-    texts = {"id": detail_id(), "order_id": "l_orderkey", "sku_id": "l_partkey", "sku_name": "p_name",
+    texts = {"id": detail_id("order_id"), "order_id": "order_id", "sku_id": "l_partkey", "sku_name": "p_name",
              "create_time": epoch_ms("o_orderdate"), "source_id": "l_suppkey", "source_type": F.lit("2401"),
              "sku_num": _dec("l_quantity"), "order_price": _dec("p_retailprice"),
              "split_original_amount": original,
              "split_activity_amount": activity, "split_coupon_amount": coupon,
              "split_total_amount": original - activity - coupon}
-    lines = li.select((F.col("l_partkey") % 17 == 0).alias("__again"), line_time_ms().alias("__ms"), *[_s(c).alias(k) for k, c in texts.items()])
+    lines = li.select((F.col("l_partkey") % 17 == 0).alias("__again"), "__ms", *[_s(c).alias(k) for k, c in texts.items()])
     return change_records(replayed(lines, F.col("__again")), "order_detail", "c", text_map({k: k for k in texts}), None, F.col("__ms"))
 
 

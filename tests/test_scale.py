@@ -178,3 +178,24 @@ def test_detail_versions_meet_in_one_exchange(spark):
     assert got == sorted([("1", "last", "7", "u"), *[(k, "last", None, "u") for k in "234"], (None, "first", None, "u"), (None, "first", None, "u")], key=str)
     backwards = facts.order_detail_fact(ods, [-F.col("after")["sku_id"].try_cast("bigint"), F.col("ts_ms")])
     assert backwards.where("id = '1'").first().split_total_amount == "first"
+
+
+def exchanges(df) -> int:
+    """Shuffles of a plan without broadcasts, as for tables that are too large for them."""
+    spark = df.sparkSession
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan(df.select("*")).count("Exchange hashpartitioning(")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_details_lie_by_their_order(spark):
+    """Where details meet their orders, the feed's lines are not moved again: beyond the lines' own two
+    joins only the orders are shuffled."""
+    ods = retail.ods(Tables(spark, "/root/testdata/sf0.001"), ("order_detail", "order_info"))
+    orders = facts._orders(ods)
+    lines = facts._detail_rows(ods, None)
+    assert exchanges(lines) == 4  # two joins of two sides
+    assert exchanges(facts.order_detail_rows(ods)) == exchanges(lines) + exchanges(orders)
