@@ -199,3 +199,23 @@ def test_details_lie_by_their_order(spark):
     lines = facts._detail_rows(ods, None)
     assert exchanges(lines) == 4  # two joins of two sides
     assert exchanges(facts.order_detail_rows(ods)) == exchanges(lines) + exchanges(orders)
+
+
+def test_retraction_shuffles_whole_rows_once(spark):
+    """All rows are dealt out once; only keys with several rows are counted and compared. Null keys and copies as before."""
+    rows = [(str(i), i, i + 0.5) for i in range(500)] + [("a", 1, 1.0), ("a", 2, 2.0), ("a", 2, 2.0), ("a", 2, None), (None, 1, 1.0), (None, 1, 1.0), ("b", 3, -1.0), ("b", 3, -1.0)]
+    df = spark.createDataFrame(rows, "k string, seq long, v double").repartition(4)
+    old = {c: spark.conf.get(c, None) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for c in old:
+        spark.conf.set(c, "-1")
+    try:
+        out = state.retract_duplicates(df, "k", ["seq"], ["v"], sign_col="s").select("k", "v", "s")
+        got = sorted(((r.k, r.v, r.s) for r in out.collect()), key=str)
+        final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for c, v in old.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+    assert got == sorted([(str(i), i + 0.5, 1) for i in range(500)] + [("a", 1.0, 1), ("a", -1.0, -1), ("a", None, 1), ("a", None, -1)] + [("a", 2.0, 1)] * 2 + [("a", -2.0, -1)]
+                         + [(None, 1.0, 1), (None, -1.0, -1)] * 2 + [("b", -1.0, 1)] * 2 + [("b", 1.0, -1)], key=str)
+    by_key = [line for line in final.split("\n") if "Exchange hashpartitioning(struct(k" in line]
+    assert sum("Reused" not in line for line in by_key) == 1
