@@ -8,7 +8,7 @@ replayed id keeps its last version (``state.keep_latest``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,40 +115,69 @@ def _attach_orders(od: DataFrame, ods: DataFrame) -> DataFrame:
              .withColumn("date_id", flexible_date("create_time"))
 
 
-def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
+def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None, per_order: DataFrame | None = None) -> DataFrame:
     """J1 + J2 as an upsert table: the last version of every order detail,
     joined to its order (inner) and to its last activity and coupon (left).
     ``date_id`` is the date of ``create_time`` (Q7: epoch-ms text is read as
-    a time).
+    a time). ``per_order``: a table of one row per order, the order's id first,
+    whose other columns are joined with the order (inner).
 
-    Plan: details, activities and coupons are keyed by the same id, so they
+    Plan: an order's versions of a detail are folded and joined to it where they
+    lie by it, as a feed's lines do already; what has no order goes after the
+    last fold, since it may replace what has one. Details,
+    activities and coupons are keyed by the same id, so they
     are one union in one exchange by id, sorted once behind it and folded by one
-    aggregate, which does the left joins too; then one join to the folded orders.
-    Few ids have many versions, so a fold ahead of the exchange would sort
-    all rows a second time to send a few less; a hot id's rows are sorted, with
+    aggregate, which does the left joins too. A hot id's rows are sorted, with
     spill, and streamed. The default order is made of texts that are sent anyway
-    (and two more), behind the exchange.
+    (and two more), on either side of the exchange.
     """
     rows = _detail_rows(ods, order, texts=order is None)
-    payload = [c for c in rows.columns if c not in ("id", "replay_order", "order_texts")]
     sent = "order_texts" if order is None else "replay_order"
-    kinds = {"d": rows.where(F.col("id").isNotNull()).select("id", F.struct(sent, *payload).alias("d"))}
+    orders = _orders(ods)
+    if per_order is not None:
+        key = per_order.columns[0]
+        orders = orders.join(per_order, F.col("__oid") == F.col(key), "inner").drop(key)
+    of_order = [c for c in orders.columns if c != "__oid"]
+    orders = orders.select("__oid", F.struct(*of_order).alias("of_order"))
+    payload = [c for c in rows.columns if c not in ("id", sent)]
+
+    def ranked(field, *more: str) -> Column:
+        """What is sent, the payload and more as a struct, with the replay order ahead."""
+        by = field("replay_order") if order is not None else F.struct(
+            *[c.alias(f"k{i}") for i, c in enumerate(_order_of(lambda c: field("order_texts")[c] if c in ORDER_TEXTS else field(c)))])
+        return F.struct(by.alias("by"), *[field(c).alias(c) for c in (sent, *payload, *more)])
+
+    def with_order(df: DataFrame, how: str) -> DataFrame:
+        return df.join(orders, F.col("order_id") == F.col("__oid"), how).drop("__oid")
+
+    # ranked in the aggregate: its sort, which the join goes on with, holds no second form of the texts
+    dealt = rows.where(F.col("id").isNotNull()).groupBy("order_id", "id").agg(F.max(ranked(F.col)).alias("v"))
+    dealt = with_order(dealt.select("id", "order_id", *[F.col(f"v.{c}").alias(c) for c in (sent, *payload) if c != "order_id"]), "left")
+    kinds = {"d": dealt.select("id", F.struct(sent, *payload, "of_order").alias("d"))}
     kinds |= {t: _links(ods, t).withColumnRenamed("link", t).where(F.col("id").isNotNull()) for t in LINKS}
     union = None
     for name, df in kinds.items():
         union = df if union is None else union.unionByName(df, allowMissingColumns=True)
-    union = union.repartition("id")
-    if order is None:
-        d = F.col("d")
-        replay = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_order_of(lambda c: d["order_texts"][c] if c in ORDER_TEXTS else d[c]))])
-        union = union.withColumn("d", F.when(d.isNotNull(), F.struct(replay.alias("replay_order"), *[d[c].alias(c) for c in payload])))
+    union = union.repartition("id").withColumn("d", F.when(F.col("d").isNotNull(), ranked(lambda c: F.col("d")[c], "of_order")))
     folded = union.groupBy("id").agg(*[F.max(k).alias(k) for k in kinds]).where(F.col("d").isNotNull())
-    od = folded.select("id", *[F.col(f"d.{c}").alias(c) for c in payload],
+    od = folded.select("id", *[F.col(f"d.{c}").alias(c) for c in (*payload, "of_order")],
                        *[F.col(f"{t}.{c}").alias(c) for t, cols in LINKS.items() for c in cols])
     # a detail without an id has no link and no other version
-    alone = rows.where(F.col("id").isNull()).drop(sent)
-    od = od.unionByName(alone, allowMissingColumns=True)
-    return _attach_orders(od, ods).select(*ORDER_DETAIL_COLS)
+    alone = with_order(rows.where(F.col("id").isNull()).drop(sent), "inner")
+    od = od.where(F.col("of_order").isNotNull()).unionByName(alone, allowMissingColumns=True)
+    od = od.select("*", *[F.col(f"of_order.{c}").alias(c) for c in of_order]).withColumn("date_id", flexible_date("create_time"))
+    return od.select(*ORDER_DETAIL_COLS, *[c for c in of_order if c not in ORDER_DETAIL_COLS])
+
+
+def _with_orders(detail: DataFrame | Callable[..., DataFrame], per_order: DataFrame) -> DataFrame:
+    """Detail facts joined (inner) to a table of one row per order, the order's
+    id first. ``detail``: the facts, or what makes them and takes the table as
+    ``per_order`` (:func:`order_detail_fact`); folded facts lie by their id and
+    would all be dealt out by their order once more."""
+    if callable(detail):
+        return detail(per_order=per_order)
+    key = per_order.columns[0]
+    return detail.join(per_order, F.col("order_id") == F.col(key), "inner").drop(key)
 
 
 CHANGE_COLS = ["id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id", "sku_num",
@@ -214,15 +243,15 @@ ORDER_CANCEL_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "provinc
                      "split_total_amount", "ts_ms"]
 
 
-def order_cancel_fact(detail: DataFrame, ods: DataFrame) -> DataFrame:
+def order_cancel_fact(detail: DataFrame | Callable[..., DataFrame], ods: DataFrame) -> DataFrame:
     """X3 + J3: order-detail facts of orders cancelled (1001 -> 1003);
     ``cancel_time`` = the update's operate_time, ``date_id`` its date,
     ``ts_ms`` the cancel change's time; the last cancellation of an order
-    counts."""
+    counts. ``detail``: see :func:`_with_orders`."""
     c = cdc.transitioned(cdc.select_changes(ods, "order_info", "u"), "order_status", "1001", "1003")
     c = _last(c.select(F.col("after")["id"].alias("__oid"), F.col("after")["operate_time"].alias("cancel_time"),
                        *cdc.change_order(c)), "__oid").withColumnRenamed("ts_ms", "__cts")
-    j = detail.drop("date_id", "create_time", "ts_ms").join(c, F.col("order_id") == F.col("__oid"), "inner")
+    j = _with_orders(detail, c.withColumnRenamed("__oid", "__coid")).drop("date_id", "create_time", "ts_ms")
     return (j.withColumn("date_id", flexible_date("cancel_time"))
              .withColumnRenamed("__cts", "ts_ms").select(*ORDER_CANCEL_COLS))
 
@@ -245,7 +274,7 @@ def payments(ods: DataFrame, source_table: str = "refund_payment", status_col: s
                           a["callback_time"].alias("callback_time"), *cdc.change_order(p)), "__poid")
 
 
-def payment_fact(detail: DataFrame, ods: DataFrame, dic: DataFrame,
+def payment_fact(detail: DataFrame | Callable[..., DataFrame], ods: DataFrame, dic: DataFrame,
                  source_table: str = "refund_payment", status_col: str = "refund_status",
                  status: str = "1602", interval: tuple[str, str] | None = None,
                  detail_time: str = "create_time") -> DataFrame:
@@ -256,25 +285,22 @@ def payment_fact(detail: DataFrame, ods: DataFrame, dic: DataFrame,
     refund_payment / 1602). ``interval=(before, after)`` -- e.g.
     ``("30 minutes", "5 seconds")`` -- keeps detail rows whose time lies in
     ``[pay_time - before, pay_time + after]`` (the interval-join variant);
-    the detail time is the epoch-ms column ``detail_time``.
+    the detail time is the epoch-ms column ``detail_time``. ``detail``: see
+    :func:`_with_orders`.
     """
-    p = payments(ods, source_table, status_col, status) \
-        .withColumn("__pet", F.timestamp_millis("ts_ms")).withColumnRenamed("ts_ms", "__pts")
-    cond = F.col("order_id") == F.col("__poid")
-    d = detail
+    p = payments(ods, source_table, status_col, status).withColumnRenamed("ts_ms", "__pts")
+    j = _with_orders(detail, p).drop("ts_ms")
     if interval is not None:
         before, after = interval
-        d = d.withColumn("__det", F.timestamp_millis(F.col(detail_time).try_cast("bigint")))
-        cond = cond & (F.col("__det") >= F.col("__pet") - F.expr(f"INTERVAL {before}")) \
-                    & (F.col("__det") <= F.col("__pet") + F.expr(f"INTERVAL {after}"))
-    j = p.join(d.drop("ts_ms"), cond, "inner")
+        det, pet = F.timestamp_millis(F.col(detail_time).try_cast("bigint")), F.timestamp_millis("__pts")
+        j = j.where((det >= pet - F.expr(f"INTERVAL {before}")) & (det <= pet + F.expr(f"INTERVAL {after}")))
     j = dims.dict_lookup(j, dic, "payment_type_code", "payment_type_name", "inner")
     return (j.withColumnRenamed("id", "order_detail_id")
              .withColumnRenamed("split_total_amount", "split_payment_amount")
              .withColumnRenamed("__pts", "ts_ms").select(*PAYMENT_COLS))
 
 
-def payment_fact_versioned(detail: DataFrame, ods: DataFrame, dic_feed: DataFrame, span_ms: int = versions.DAY_MS, **kw) -> DataFrame:
+def payment_fact_versioned(detail: DataFrame | Callable[..., DataFrame], ods: DataFrame, dic_feed: DataFrame, span_ms: int = versions.DAY_MS, **kw) -> DataFrame:
     """X4 + J4 + J5 as of the payment's time: :func:`payment_fact` with the
     payment-type name that the dictionary held at ``ts_ms``. ``dic_feed``: the
     dictionary's own change feed. A payment whose code was deleted or not yet
@@ -282,7 +308,8 @@ def payment_fact_versioned(detail: DataFrame, ods: DataFrame, dic_feed: DataFram
     p = payments(ods, **kw)
     named = versions.as_of_join(p, dims.dict_versions(dic_feed, "payment_type_code", "payment_type_name", span_ms),
                                 "payment_type_code", "ts_ms", span_ms=span_ms)
-    return named.join(detail.drop("ts_ms"), F.col("order_id") == F.col("__poid"), "inner") \
+    named = named.select("__poid", "payment_type_code", "payment_type_name", "callback_time", F.col("ts_ms").alias("__pts"))
+    return _with_orders(detail, named).drop("ts_ms").withColumnRenamed("__pts", "ts_ms") \
         .withColumnRenamed("id", "order_detail_id").withColumnRenamed("split_total_amount", "split_payment_amount").select(*PAYMENT_COLS)
 
 

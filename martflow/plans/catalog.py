@@ -8,6 +8,7 @@ runs one operator chain over all of their rows. The DuckDB twins live in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,8 +75,13 @@ from ..operators import facts  # noqa: E402
 DETAIL_FEEDS = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
 
 
-def _detail(t):
-    return facts.order_detail_fact(retail.ods(t, DETAIL_FEEDS))
+def _detail(t, **options):
+    return facts.order_detail_fact(retail.ods(t, DETAIL_FEEDS), **options)
+
+
+def _details(t):
+    """Makes the detail facts; the facts of cancelled and paid orders have their orders' rows joined in it."""
+    return partial(_detail, t)
 
 
 @query("cart_add_fact")
@@ -91,26 +97,26 @@ def q_order_detail(spark, sf_dir):
 @query("order_cancel_fact")
 def q_order_cancel(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return facts.order_cancel_fact(_detail(t), retail.ods(t, ["order_info"]))
+    return facts.order_cancel_fact(_details(t), retail.ods(t, ["order_info"]))
 
 
 @query("payment_fact")
 def q_payment(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return facts.payment_fact(_detail(t), retail.ods(t, ["refund_payment"]), retail.base_dic(spark))
+    return facts.payment_fact(_details(t), retail.ods(t, ["refund_payment"]), retail.base_dic(spark))
 
 
 @query("payment_fact_interval")
 def q_payment_interval(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return facts.payment_fact(_detail(t), retail.ods(t, ["refund_payment"]), retail.base_dic(spark),
+    return facts.payment_fact(_details(t), retail.ods(t, ["refund_payment"]), retail.base_dic(spark),
                               interval=("30 minutes", "5 seconds"))
 
 
 @query("payment_fact_versioned")
 def q_payment_versioned(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return facts.payment_fact_versioned(_detail(t), retail.ods(t, ["refund_payment"]), retail.base_dic_feed(t))
+    return facts.payment_fact_versioned(_details(t), retail.ods(t, ["refund_payment"]), retail.base_dic_feed(t))
 
 
 @query("order_detail_changes")
@@ -138,18 +144,18 @@ from pyspark.sql import functions as F  # noqa: E402
 AMOUNTS = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 
 
-def _amounts(df):
-    return df.select("id", "ts_ms", *[f"replay_order.{k}" for k in REPLAY_OWN], *[F.col(c).cast("decimal(20,4)").alias(c) for c in AMOUNTS])
-
-
-def _detail_amounts(t):
-    """Detail versions that have an order, with numeric amounts -- nothing
 # The default replay order by columns: four of its own (sku, supplier, price and
 # quantity as numbers) beside those that the rows carry anyway.
 REPLAY_OWN = ["k1", "k2", "k3", "k4"]
 REPLAY_ORDER = ["ts_ms", *REPLAY_OWN, "split_activity_amount", "split_coupon_amount"]
 
 
+def _amounts(df):
+    return df.select("id", "ts_ms", *[f"replay_order.{k}" for k in REPLAY_OWN], *[F.col(c).cast("decimal(20,4)").alias(c) for c in AMOUNTS])
+
+
+def _detail_amounts(t):
+    """Detail versions that have an order, with numeric amounts -- nothing
     else is needed for the per-id dedup, so nothing else is joined."""
     return _amounts(facts.order_detail_rows(retail.ods(t, ("order_detail", "order_info"))))
 

@@ -201,6 +201,38 @@ def test_details_lie_by_their_order(spark):
     assert exchanges(facts.order_detail_rows(ods)) == exchanges(lines) + exchanges(orders)
 
 
+def test_orders_are_joined_ahead_of_the_fold(spark):
+    """Folded details are not dealt out by their order for J1 or the joins of an order's other rows."""
+    t = Tables(spark, "/root/testdata/sf0.001")
+    feed = retail.ods(t, ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon"))
+    fact = facts.order_detail_fact(feed)
+    own = exchanges(facts._detail_rows(feed, None)) + exchanges(facts._orders(feed))
+    alone = 3  # records without an id, which share their orders' shuffles where they are run
+    assert exchanges(fact) <= own + alone + own
+    from martflow.plans.catalog import QUERIES
+    p = plan(QUERIES["order_cancel_fact"](spark, "/root/testdata/sf0.001"))
+    assert p.index("Join") > p.index("REPARTITION_BY_COL")  # no join above the exchange by id
+
+
+def test_a_last_version_without_order_hides_the_earlier_ones(spark):
+    """J1 is done ahead of the fold: the version that counts is still the last one of all, and per-order rows are those of its order."""
+    rec = lambda table, after, ts=1000, op="c", before=None: (before, after, {"db": "d", "table": table}, op, ts, 0)
+    base = {"sku_id": "9", "sku_num": "1", "order_price": "5", "create_time": "0"}
+    rows = [rec("order_info", {"id": o, "user_id": f"u{o}", "province_id": "p"}) for o in ("a", "b")]
+    rows += [rec("order_detail", base | {"id": i, "order_id": o}, ts) for i, o, ts in
+             [("1", "a", 1), ("1", "gone", 2), ("2", "gone", 1), ("2", "a", 2), ("3", "a", 1), ("3", "b", 2), ("4", None, 2), ("4", "a", 1), ("5", "b", 1), (None, "b", 1), (None, "gone", 1)]]
+    rows += [rec("order_info", {"id": o, "order_status": "1003", "operate_time": "7"}, ts, "u", {"order_status": "1001"}) for o, ts in [("b", 5), ("b", 6), ("gone", 9)]]
+    ods = spark.createDataFrame(rows, cdc.ENVELOPE)
+    key = lambda df: sorted(((r.id, r.order_id, r.user_id, r.ts_ms) for r in df.collect()), key=str)
+    fact = facts.order_detail_fact(ods)
+    assert fact.columns == facts.ORDER_DETAIL_COLS
+    assert key(fact) == sorted([("2", "a", "ua", 2), ("3", "b", "ub", 2), ("5", "b", "ub", 1), (None, "b", "ub", 1)], key=str)
+    cancelled = sorted([("3", "b", "ub", 6), ("5", "b", "ub", 6), (None, "b", "ub", 6)], key=str)
+    for detail in (fact, lambda **more: facts.order_detail_fact(ods, **more)):
+        out = facts.order_cancel_fact(detail, ods)
+        assert out.columns == facts.ORDER_CANCEL_COLS and key(out) == cancelled
+
+
 def test_retraction_shuffles_whole_rows_once(spark):
     """All rows are dealt out once; only keys with several rows are counted and compared. Null keys and copies as before."""
     rows = [(str(i), i, i + 0.5) for i in range(500)] + [("a", 1, 1.0), ("a", 2, 2.0), ("a", 2, 2.0), ("a", 2, None), (None, 1, 1.0), (None, 1, 1.0), ("b", 3, -1.0), ("b", 3, -1.0)]
