@@ -207,3 +207,27 @@ def test_a_word_repeated_a_million_times(spark, monkeypatch):
     assert (1, 1) in {r[:2] for r in got} and (2, 2) in {r[:2] for r in got} and (3, 3) in {r[:2] for r in got}
     monkeypatch.setattr(tiling, "_edges", lambda h, at, text, keep: np.ones(len(h), dtype=bool))
     assert found(d.where("doc_id > 1")) == [r for r in got if r[0] > 1]
+
+
+def test_items_shorter_than_a_seed(spark):
+    """An item of one to four words is found where a document holds all of it, in the first such place."""
+    prepare(spark)
+    rng = random.Random(12)
+    items = [(1, "Alpha"), (2, "beta, gamma"), (3, "alpha beta alpha"), (4, "one two three four"), (5, "one two three four five"), (6, "no such"), (7, ""), (8, None),
+             (9, "alpha alpha alpha alpha"), (1, "delta")]
+    docs = [(1, "x alpha y ALPHA"), (2, "beta-gamma"), (3, "beta x gamma"), (4, "alpha beta alpha beta alpha"), (5, "zero one two three four"), (6, "one two three x four"),
+            (7, "one two three four five"), (8, "alpha " * 100_000), (None, "beta gamma"), (2, "other"), (10, None), (11, ""), (1, "x alpha y ALPHA"), (12, "alphabet")]
+    docs += [(20 + k, " ".join(rng.choice(["alpha", "beta", "gamma", "one two", "three four", "five"]) for _ in range(rng.randrange(1, 9)))) for k in range(60)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = tiling.contaminated(d, spark.createDataFrame(items, "item_id long, text string"), bits=1 << 10).collect()
+    want = set()
+    for i, t in set(docs):
+        for j, u in items:
+            x, y = tokens(t)[:1000], tokens(u)
+            if y and (c := brute_tiling(x, y, min(5, len(y))) / len(y)) >= 0.5:
+                want.add((str(i), t, j, round(c, 6)))
+    text_of = {r.key: r.text for r in d.select(F.xxhash64("text").alias("key"), "text").collect()}
+    assert sorted((str(r.doc_id), text_of[r.text_key], r.item_id, round(r.coverage, 6)) for r in found) == sorted(want) and len(want) > 50
+    tiles = {(r.doc_id, r.item_id): [tuple(x) for x in r.tiles] for r in found}
+    assert tiles[(1, 1)] == [(1, 0, 1)] and tiles[(2, 2)] == [(0, 0, 2)] and tiles[(4, 3)] == [(0, 0, 3)] and tiles[(5, 4)] == [(1, 0, 4)]
+    assert (6, 4) not in tiles and tiles[(8, 9)] == [(0, 0, 4)] and tiles[(7, 5)] == [(0, 0, 5)]
