@@ -251,3 +251,17 @@ def test_retraction_shuffles_whole_rows_once(spark):
                          + [(None, 1.0, 1), (None, -1.0, -1)] * 2 + [("b", -1.0, 1)] * 2 + [("b", 1.0, -1)], key=str)
     by_key = [line for line in final.split("\n") if "Exchange hashpartitioning(struct(k" in line]
     assert sum("Reused" not in line for line in by_key) == 1
+
+
+def test_change_rows_are_summed_where_they_lie(spark):
+    """Change rows hold their order's id, by which the join has dealt them out: no shuffle for their sums, and no numbers beside the texts in the one by id."""
+    t = Tables(spark, "/root/testdata/sf0.001")
+    feed = retail.ods(t, ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(facts.order_detail_changes(feed))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert p.index("Join") < p.index("Exchange") and p.count("REPARTITION_BY_COL") == 1
+    assert "replay_order" not in p[p.index("REPARTITION_BY_COL"):]
