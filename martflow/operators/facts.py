@@ -115,16 +115,19 @@ def _attach_orders(od: DataFrame, ods: DataFrame) -> DataFrame:
              .withColumn("date_id", flexible_date("create_time"))
 
 
-def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None, per_order: DataFrame | None = None) -> DataFrame:
+def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None, per_order: DataFrame | None = None,
+                      columns: Sequence[str] = ORDER_DETAIL_COLS) -> DataFrame:
     """J1 + J2 as an upsert table: the last version of every order detail,
     joined to its order (inner) and to its last activity and coupon (left).
     ``date_id`` is the date of ``create_time`` (Q7: epoch-ms text is read as
     a time). ``per_order``: a table of one row per order, the order's id first,
-    whose other columns are joined with the order (inner).
+    whose other columns are joined with the order (inner). ``columns``: those
+    that are wanted.
 
     Plan: an order's versions of a detail are folded and joined to it where they
     lie by it, as a feed's lines do already; what has no order goes after the
-    last fold, since it may replace what has one. Details,
+    last fold, since it may replace what has one. Of one row per order, those of
+    an id differ by it, so columns that aren't wanted stay behind. Details,
     activities and coupons are keyed by the same id, so they
     are one union in one exchange by id, sorted once behind it and folded by one
     aggregate, which does the left joins too. A hot id's rows are sorted, with
@@ -137,36 +140,42 @@ def order_detail_fact(ods: DataFrame, order: Sequence[Column] | None = None, per
     if per_order is not None:
         key = per_order.columns[0]
         orders = orders.join(per_order, F.col("__oid") == F.col(key), "inner").drop(key)
-    of_order = [c for c in orders.columns if c != "__oid"]
-    orders = orders.select("__oid", F.struct(*of_order).alias("of_order"))
+    of_order = [c for c in orders.columns if c != "__oid" and (c in columns or c not in ORDER_DETAIL_COLS)]
+    orders = orders.select("__oid", F.struct(F.lit(True).alias("known"), *of_order).alias("of_order"))
     payload = [c for c in rows.columns if c not in ("id", sent)]
 
-    def ranked(field, *more: str) -> Column:
-        """What is sent, the payload and more as a struct, with the replay order ahead."""
-        by = field("replay_order") if order is not None else F.struct(
-            *[c.alias(f"k{i}") for i, c in enumerate(_order_of(lambda c: field("order_texts")[c] if c in ORDER_TEXTS else field(c)))])
-        return F.struct(by.alias("by"), *[field(c).alias(c) for c in (sent, *payload, *more)])
+    wanted = {*columns, "order_id", *(["create_time"] if "date_id" in columns else []),
+              *(["ts_ms", "sku_id", "sku_num", "split_activity_amount", "split_coupon_amount"] if order is None else [])}
+
+    def ranked(kept: Sequence[str], *more: str) -> Column:
+        """The columns as a struct, with the replay order ahead."""
+        by = F.col("replay_order") if order is not None else F.struct(
+            *[c.alias(f"k{i}") for i, c in enumerate(_order_of(lambda c: F.col("order_texts")[c] if c in ORDER_TEXTS else F.col(c)))])
+        return F.struct(by.alias("by"), *[F.col(c).alias(c) for c in (*kept, *more, sent)])
 
     def with_order(df: DataFrame, how: str) -> DataFrame:
         return df.join(orders, F.col("order_id") == F.col("__oid"), how).drop("__oid")
 
     # ranked in the aggregate: its sort, which the join goes on with, holds no second form of the texts
-    dealt = rows.where(F.col("id").isNotNull()).groupBy("order_id", "id").agg(F.max(ranked(F.col)).alias("v"))
+    dealt = rows.where(F.col("id").isNotNull()).groupBy("order_id", "id").agg(F.max(ranked(payload)).alias("v"))
+    payload = [c for c in payload if c in wanted]
     dealt = with_order(dealt.select("id", "order_id", *[F.col(f"v.{c}").alias(c) for c in (sent, *payload) if c != "order_id"]), "left")
-    kinds = {"d": dealt.select("id", F.struct(sent, *payload, "of_order").alias("d"))}
+    kinds = {"detail": dealt.select("id", F.lit(True).alias("detail"), sent, *payload, "of_order")}
     kinds |= {t: _links(ods, t).withColumnRenamed("link", t).where(F.col("id").isNotNull()) for t in LINKS}
     union = None
     for name, df in kinds.items():
         union = df if union is None else union.unionByName(df, allowMissingColumns=True)
-    union = union.repartition("id").withColumn("d", F.when(F.col("d").isNotNull(), ranked(lambda c: F.col("d")[c], "of_order")))
-    folded = union.groupBy("id").agg(*[F.max(k).alias(k) for k in kinds]).where(F.col("d").isNotNull())
+    union = union.repartition("id").select("id", F.when(F.col("detail"), ranked(payload, "of_order")).alias("d"), *LINKS)
+    folded = union.groupBy("id").agg(*[F.max(k).alias(k) for k in ("d", *LINKS)]).where(F.col("d").isNotNull())
     od = folded.select("id", *[F.col(f"d.{c}").alias(c) for c in (*payload, "of_order")],
                        *[F.col(f"{t}.{c}").alias(c) for t, cols in LINKS.items() for c in cols])
     # a detail without an id has no link and no other version
-    alone = with_order(rows.where(F.col("id").isNull()).drop(sent), "inner")
+    alone = with_order(rows.where(F.col("id").isNull()).select("id", *payload), "inner")
     od = od.where(F.col("of_order").isNotNull()).unionByName(alone, allowMissingColumns=True)
-    od = od.select("*", *[F.col(f"of_order.{c}").alias(c) for c in of_order]).withColumn("date_id", flexible_date("create_time"))
-    return od.select(*ORDER_DETAIL_COLS, *[c for c in of_order if c not in ORDER_DETAIL_COLS])
+    od = od.select("*", *[F.col(f"of_order.{c}").alias(c) for c in of_order])
+    if "date_id" in columns:
+        od = od.withColumn("date_id", flexible_date("create_time"))
+    return od.select(*columns, *[c for c in of_order if c not in ORDER_DETAIL_COLS])
 
 
 def _with_orders(detail: DataFrame | Callable[..., DataFrame], per_order: DataFrame) -> DataFrame:

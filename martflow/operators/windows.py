@@ -201,6 +201,11 @@ def latest_details(versions: DataFrame, deduped: bool = False) -> DataFrame:
     return last.withColumn("et", F.timestamp_millis(F.col("ts_ms")))
 
 
+#: Detail columns that the order windows read.
+PROVINCE_IN = ["id", "ts_ms", "province_id", "order_id", "split_total_amount"]
+SKU_IN = ["id", "ts_ms", "sku_id", "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
+
+
 def province_window(versions: DataFrame, provinces: DataFrame, size: str = "2 seconds",
                     deduped: bool = False) -> DataFrame:
     """T6/T7 + A6 + W2 + J6: per window and province, distinct orders and
@@ -235,10 +240,11 @@ def sku_window(versions: DataFrame, wide_sku: DataFrame, size: str = "10 seconds
         F.col("split_activity_amount").cast(AMOUNT).alias("activity_reduce_amount"),
         F.col("split_coupon_amount").cast(AMOUNT).alias("coupon_reduce_amount"),
         F.col("split_total_amount").cast(AMOUNT).alias("order_amount"))
-    g = (tumble(d, "et", size).groupBy(WIN, "sku_id")
+    # a window is sent as its start, of which it is the window again
+    g = (tumble(d, "et", size).withColumn("et", F.col(WIN + ".start")).groupBy("et", "sku_id")
          .agg(*[F.sum(c).cast(SUM_AMOUNT).alias(c) for c in
                 ("original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount")]))
-    g = dims.with_sku(g, wide_sku).withColumnRenamed("tm_id", "trademark_id") \
+    g = tumble(dims.with_sku(g, wide_sku), "et", size).drop("et").withColumnRenamed("tm_id", "trademark_id") \
             .withColumnRenamed("tm_name", "trademark_name")
     return decorate_window(g).select(*SKU_OUT)
 

@@ -188,25 +188,25 @@ def q_visitor_hold(spark, sf_dir):
 @query("province_order_window")
 def q_province(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return windows.province_window(_detail(t), retail.province_dim(t), "2 seconds", deduped=True)
+    return windows.province_window(_detail(t, columns=windows.PROVINCE_IN), retail.province_dim(t), "2 seconds", deduped=True)
 
 
 @query("province_order_window_1d")
 def q_province_1d(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return windows.province_window(_detail(t), retail.province_dim(t), "1 day", deduped=True)
+    return windows.province_window(_detail(t, columns=windows.PROVINCE_IN), retail.province_dim(t), "1 day", deduped=True)
 
 
 @query("sku_order_window")
 def q_sku(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return windows.sku_window(_detail(t), dims.wide_sku_dim(retail.sku_dims(t)), "10 seconds", deduped=True)
+    return windows.sku_window(_detail(t, columns=windows.SKU_IN), dims.wide_sku_dim(retail.sku_dims(t)), "10 seconds", deduped=True)
 
 
 @query("sku_order_window_1d")
 def q_sku_1d(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return windows.sku_window(_detail(t), dims.wide_sku_dim(retail.sku_dims(t)), "1 day", deduped=True)
+    return windows.sku_window(_detail(t, columns=windows.SKU_IN), dims.wide_sku_dim(retail.sku_dims(t)), "1 day", deduped=True)
 
 
 def _cart_add_et(t):

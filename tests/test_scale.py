@@ -253,6 +253,30 @@ def test_retraction_shuffles_whole_rows_once(spark):
     assert sum("Reused" not in line for line in by_key) == 1
 
 
+def test_only_wanted_detail_columns_cross_the_exchange(spark):
+    """What a window doesn't read stays behind the fold by order, versions are still told apart by all of it; a window is sent as its start."""
+    t = Tables(spark, "/root/testdata/sf0.001")
+    feed = retail.ods(t, ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")).persist()
+    whole = facts.order_detail_fact(feed)
+    for columns in (windows.SKU_IN, windows.PROVINCE_IN, ["coupon_id", "date_id", "id"]):
+        some = facts.order_detail_fact(feed, columns=columns)
+        assert some.columns == columns
+        assert some.exceptAll(whole.select(*columns)).count() == 0 and whole.select(*columns).exceptAll(some).count() == 0
+    feed.unpersist()
+    base = {"order_id": "o", "sku_id": "9", "source_id": "9", "sku_num": "1", "order_price": "5", "split_original_amount": "9", "split_activity_amount": "0", "split_coupon_amount": "0"}
+    rec = lambda table, after: (None, after, {"db": "d", "table": table}, "c", 1000, 0)
+    rows = [rec("order_detail", base | {"id": "1", "sku_name": n, "create_time": c, "split_total_amount": v, "order_id": o})
+            for n, c, v, o in [("b", "1", "3", "o"), ("a", "2", "9", "o"), ("b", "0", "7", "o"), ("z", "9", "99", "n")]]
+    rows += [rec("order_info", {"id": o, "user_id": "u", "province_id": "p"}) for o in "on"]
+    tied = spark.createDataFrame(rows, cdc.ENVELOPE)
+    for columns in (facts.ORDER_DETAIL_COLS, windows.SKU_IN):
+        assert [r.split_total_amount for r in facts.order_detail_fact(tied, columns=columns).collect()] == ["3"]
+    from martflow.plans.catalog import QUERIES
+    p = plan(QUERIES["sku_order_window"](spark, "/root/testdata/sf0.001"))
+    above = p[:p.index("REPARTITION_BY_COL")]
+    assert "hashpartitioning(et" in above and "hashpartitioning(window" not in above
+
+
 def test_change_rows_are_summed_where_they_lie(spark):
     """Change rows hold their order's id, by which the join has dealt them out: no shuffle for their sums, and no numbers beside the texts in the one by id."""
     t = Tables(spark, "/root/testdata/sf0.001")
